@@ -5,6 +5,7 @@ from tallyweir.operators.partials import line_counts, partial_metrics, skip_coun
 from tallyweir.operators.points import points_from_partials, static_tags, to_lines, with_tags
 from tallyweir.operators.requests import accepted, parse_lines, rejected
 from tallyweir.options import OptionMismatch, RunOptions
+from tallyweir.session import tune
 from tallyweir.sources.logs import cap_lines, read_log, stream_log
 from tallyweir.sources.scratch import written
 from tallyweir.streaming.runs import MetricsRuns, stream_runs
@@ -31,6 +32,7 @@ __all__ = [
     "stream_log",
     "stream_runs",
     "to_lines",
+    "tune",
     "with_tags",
     "written",
 ]

@@ -6,31 +6,27 @@ by its right edge.  ``window()`` is closed on the left, so it does not fit.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
 
-
-def bucket_of(seconds: Column, bucket_duration: int) -> Column:
+def bucket_of(seconds: str, bucket_duration: int) -> str:
     """BIGINT index of the bucket holding an epoch time in seconds."""
-    return F.ceil(seconds / F.lit(check_duration(bucket_duration)))
+    return f"ceil({seconds} / {check_duration(bucket_duration)})"
 
 
-def bucket_end(bucket: Column, bucket_duration: int) -> Column:
+def bucket_end(bucket: str, bucket_duration: int) -> str:
     """Right edge of a bucket as TIMESTAMP (the event-time column of streams)."""
-    return F.timestamp_seconds(bucket * F.lit(check_duration(bucket_duration)))
+    return f"timestamp_seconds({bucket} * {check_duration(bucket_duration)})"
 
 
-def bucket_time(bucket: Column, bucket_duration: int) -> Column:
+def bucket_time(bucket: str, bucket_duration: int) -> str:
     """Right edge of a bucket as RFC 3339 text in UTC."""
-    return rfc3339(bucket * F.lit(check_duration(bucket_duration)))
+    return rfc3339(f"{bucket} * {check_duration(bucket_duration)}")
 
 
-def rfc3339(epoch_seconds: Column) -> Column:
+def rfc3339(epoch_seconds: str) -> str:
     """RFC 3339 UTC text of whole epoch seconds, whatever the session time zone."""
     # Adding an interval to a zone-less timestamp never consults the session zone.
-    moment = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
-        F.lit(0), F.lit(0), F.lit(0), epoch_seconds.cast("decimal(18,6)")
-    )
-    return F.concat(F.translate(moment.cast("string"), " ", "T"), F.lit("+00:00"))
+    moment = f"TIMESTAMP_NTZ '1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, {epoch_seconds})"
+    return f"concat(translate(string({moment}), ' ', 'T'), '+00:00')"
 
 
 def check_duration(bucket_duration: int) -> int:

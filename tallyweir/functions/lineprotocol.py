@@ -1,53 +1,61 @@
-"""Rendering of points as line-protocol text, with built-in expressions only."""
+r"""Rendering of points as line-protocol text.
+
+``\`` in the SQL literals below stands for itself where the literal is raw (``r'...'``).
+"""
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import types as T
 
 # Seconds, or parts of a second, per time precision.
 UNITS_PER_SECOND = {"n": 1_000_000_000, "u": 1_000_000, "ms": 1_000, "s": 1}
 SECONDS_PER_UNIT = {"m": 60, "h": 3_600}
 
 
-def escape_name(text: Column) -> Column:
+def literal(text: str) -> str:
+    """SQL literal of any text."""
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'").replace("\n", "\\n")
+    return f"'{escaped}'"
+
+
+def escape_name(text: str) -> str:
     """Escape a measurement, tag name or field name; the backslash goes first."""
-    escaped = F.replace(text, F.lit("\\"), F.lit("\\\\"))
-    for special in (" ", ",", "="):
-        escaped = F.replace(escaped, F.lit(special), F.lit("\\" + special))
-    return F.replace(escaped, F.lit("\n"), F.lit("\\n"))
+    for special in ("\\", " ", ",", "=", "\n"):
+        shown = "\\n" if special == "\n" else "\\" + special
+        text = f"replace({text}, {literal(special)}, {literal(shown)})"
+    return text
 
 
-def escape_tag_value(text: Column) -> Column:
+def escape_tag_value(text: str) -> str:
     """Escape a tag value; a blank follows a final backslash so it cannot eat the separator."""
     escaped = escape_name(text)
-    return F.when(F.endswith(escaped, F.lit("\\")), F.concat(escaped, F.lit(" "))).otherwise(escaped)
+    return f"concat({escaped}, CASE WHEN endswith({text}, {literal(chr(92))}) THEN ' ' ELSE '' END)"
 
 
-def integer_field(value: Column) -> Column:
-    return F.concat(value.cast("bigint").cast("string"), F.lit("i"))
+def integer_field(value: str) -> str:
+    return f"concat(string(bigint({value})), 'i')"
 
 
-def float_field(value: Column, digits: int = 6) -> Column:
+def float_field(value: str, digits: int = 6) -> str:
     """Plain decimal text, at most ``digits`` places, at least one, no exponent."""
-    fixed = F.round(value, digits).cast(f"decimal(38,{digits})").cast("string")
-    trimmed = F.regexp_replace(fixed, r"0+$", "")
-    return F.when(F.endswith(trimmed, F.lit(".")), F.concat(trimmed, F.lit("0"))).otherwise(trimmed)
+    fixed = f"string(cast(round({value}, {digits}) AS DECIMAL(38, {digits})))"
+    # all zeros at the end but the one right after the point
+    return f"regexp_replace({fixed}, r'(\\.\\d+?)0+$', '$1')"
 
 
-def boolean_field(value: Column) -> Column:
-    return F.when(value, "True").when(~value, "False")
+def boolean_field(value: str) -> str:
+    return f"CASE WHEN {value} THEN 'True' WHEN NOT {value} THEN 'False' END"
 
 
-def text_field(value: Column) -> Column:
-    escaped = F.replace(value, F.lit("\\"), F.lit("\\\\"))
-    escaped = F.replace(escaped, F.lit('"'), F.lit('\\"'))
-    escaped = F.replace(escaped, F.lit("\n"), F.lit("\\n"))
-    return F.concat(F.lit('"'), escaped, F.lit('"'))
+def text_field(value: str) -> str:
+    for special, shown in (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n")):
+        value = f"replace({value}, {literal(special)}, {literal(shown)})"
+    return f"concat('\"', {value}, '\"')"
 
 
-def field_text(value: Column, data_type: T.DataType) -> Column:
+def field_text(value: str, data_type: T.DataType) -> str:
     """Field text by column type; NULL stays NULL and is left out of the line."""
     if isinstance(data_type, T.BooleanType):
         return boolean_field(value)
@@ -55,46 +63,37 @@ def field_text(value: Column, data_type: T.DataType) -> Column:
         return integer_field(value)
     if isinstance(data_type, T.FractionalType):
         return float_field(value)
-    return text_field(value.cast("string"))
+    return text_field(f"string({value})")
 
 
-def tag_part(tags: Column) -> Column:
-    """``,name=value`` for each tag in name order; empty names and values are left out."""
-    shown = F.filter(F.map_entries(tags), lambda e: (e["key"] != "") & (F.coalesce(e["value"], F.lit("")) != ""))
+def tag_part(tags: str) -> str:
+    """``,name=value`` for each tag of a map in name order; empty names and values are left out."""
     # Entries are structs led by the key, so their natural order is name order.
-    parts = F.transform(
-        F.array_sort(shown),
-        lambda e: F.concat(F.lit(","), escape_name(e["key"]), F.lit("="), escape_tag_value(e["value"])),
-    )
-    return F.array_join(parts, "")
+    shown = f"array_sort(filter(map_entries({tags}), e -> e.key <> '' AND e.value <> ''))"
+    part = f"concat(',', {escape_name('e.key')}, '=', {escape_tag_value('e.value')})"
+    return f"array_join(transform({shown}, e -> {part}), '')"
 
 
-def field_part(fields: Mapping[str, Column]) -> Column:
-    """`` name=text,...`` in name order from ready field texts; NULL when all are absent."""
-    named = [
-        F.concat(escape_name(F.lit(name)), F.lit("="), text) for name, text in sorted(fields.items()) if name
-    ]
-    return F.concat_ws(",", *named)
+def field_part(fields: Mapping[str, str]) -> str:
+    """`` name=text,...`` in name order from ready field texts; empty when all are absent."""
+    named = [f"concat({escape_name(literal(name))}, '=', {text})" for name, text in sorted(fields.items()) if name]
+    joined = f"concat_ws(',', {', '.join(named)})" if named else "''"
+    return f"CASE WHEN {joined} <> '' THEN concat(' ', {joined}) ELSE '' END"
 
 
-def render_line(measurement: Column, tags: Column, fields: Mapping[str, Column], time: Column | None = None) -> Column:
+def render_line(measurement: str, tags: str, fields: Mapping[str, str], time: str | None = None) -> str:
     """One line: measurement and tags, fields, and a time already in the wanted precision."""
-    field_text_ = field_part(fields)
-    line = F.concat(
-        escape_name(measurement),
-        tag_part(tags),
-        F.when(field_text_ != "", F.concat(F.lit(" "), field_text_)).otherwise(""),
-    )
-    if time is None:
-        return line
-    return F.concat(line, F.coalesce(F.concat(F.lit(" "), time.cast("bigint").cast("string")), F.lit("")))
-
-
-def time_in_precision(epoch_seconds: Column, precision: str | None = None) -> Column:
+    parts = [escape_name(measurement), tag_part(tags), field_part(fields)]
+    if time is not None:
+        parts.append(f"coalesce(concat(' ', string(bigint({time}))), '')")
+    return f"concat({', '.join(parts)})"
+
+
+def time_in_precision(epoch_seconds: str, precision: str | None = None) -> str:
     """Epoch seconds, whole or fractional, floored to ``n``, ``u``, ``ms``, ``s``, ``m`` or ``h``."""
     precision = precision or "n"
     if precision in UNITS_PER_SECOND:
-        return F.floor(epoch_seconds * F.lit(UNITS_PER_SECOND[precision])).cast("bigint")
+        return f"bigint(floor({epoch_seconds} * {UNITS_PER_SECOND[precision]}))"
     if precision in SECONDS_PER_UNIT:
-        return F.floor(epoch_seconds / F.lit(SECONDS_PER_UNIT[precision])).cast("bigint")
+        return f"bigint(floor({epoch_seconds} / {SECONDS_PER_UNIT[precision]}))"
     raise ValueError(f"Invalid precision: {precision}")

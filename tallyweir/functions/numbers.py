@@ -7,34 +7,37 @@ to an integer type takes exactly optional blanks, a sign and digits.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
-
 # Accepted number texts.
 INTEGER_PATTERN = r"[+-]?\d{1,18}"
 DECIMAL_PATTERN = r"[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?"
-
-MICROS_PER_UNIT = 1_000_000.0
+# Decimals as logs write them, surely below LARGEST_NUMBER.
+PLAIN_DECIMAL_PATTERN = r"[+-]?(?:\d{1,12}\.?\d*|\.\d+)"
 
 # Above this, a value in micro-units no longer fits a BIGINT.
 LARGEST_NUMBER = 9.0e12
 
 
-def integer(text: Column, type_name: str = "bigint") -> Column:
+def integer(text: str, type_name: str = "BIGINT") -> str:
     """Integer value of ``text``, NULL when it is not one or does not fit."""
-    return text.try_cast(type_name)
+    return f"try_cast({text} AS {type_name})"
 
 
-def decimal_number(text: Column, largest: float = LARGEST_NUMBER) -> Column:
-    """DOUBLE value of ``text``; NULL for other text and for values beyond ``largest``."""
-    number = text.try_cast("double")
-    return F.when(text.rlike(rf"^\s*{DECIMAL_PATTERN}\s*$") & (F.abs(number) <= largest), number)
+def decimal_number(text: str) -> str:
+    """DOUBLE value of ``text``; NULL for other text and for values beyond ``LARGEST_NUMBER``."""
+    # The cast comes after the test: casting text that is no number costs an exception each time.
+    number = f"try_cast({text} AS DOUBLE)"
+    return (
+        f"CASE WHEN {text} RLIKE r'^\\s*{PLAIN_DECIMAL_PATTERN}\\s*$' THEN {number} "
+        f"WHEN {text} RLIKE r'^\\s*{DECIMAL_PATTERN}\\s*$' "
+        f"THEN CASE WHEN abs({number}) <= {LARGEST_NUMBER!r}D THEN {number} END END"
+    )
 
 
-def micros(number: Column) -> Column:
+def micros(number: str) -> str:
     """Whole micro-units of a DOUBLE, so that sums do not depend on row order."""
-    return F.floor(number * MICROS_PER_UNIT + F.lit(0.5))
+    return f"floor({number} * 1000000D + 0.5D)"
 
 
-def mean_from_micros(total: Column, count: Column) -> Column:
+def mean_from_micros(total: str, count: str) -> str:
     """Mean in natural units from a sum of micro-units; NULL when the count is 0."""
-    return F.when(count > 0, total / (count * F.lit(MICROS_PER_UNIT)))
+    return f"CASE WHEN {count} > 0 THEN {total} / ({count} * 1000000D) END"

@@ -1,4 +1,4 @@
-"""Expressions over the upstream lists of one request.
+"""The upstream lists of one request.
 
 Five parallel text lists describe the servers a request was passed to.  Groups
 are separated by ``", "``; an internal redirect adds ``" : "`` inside a group.
@@ -7,66 +7,64 @@ Only the positions present in *all* five lists count.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
-
-from tallyweir.functions.numbers import DECIMAL_PATTERN, INTEGER_PATTERN, LARGEST_NUMBER
+from tallyweir.functions.numbers import (
+    DECIMAL_PATTERN,
+    INTEGER_PATTERN,
+    LARGEST_NUMBER,
+    PLAIN_DECIMAL_PATTERN,
+)
 
 NONE_MARKER = "-"
 GROUP_SEPARATOR = ", "
-REDIRECT_SEPARATOR = " : "
 
 # Cutting at either separator in one left-to-right scan equals cutting at groups
 # first and at redirects second: where the two overlap, the comma comes first.
-_EITHER_SEPARATOR = "(?:, | : )"
-_STATUS = rf"(?:\s*{INTEGER_PATTERN}\s*|-)"
-_TIME = rf"(?:\s*{DECIMAL_PATTERN}\s*|-|)"
-_STATUS_LIST = f"^{_STATUS}(?:{_EITHER_SEPARATOR}{_STATUS})*$"
-_TIME_LIST = f"^{_TIME}(?:{_EITHER_SEPARATOR}{_TIME})*$"
+EITHER_SEPARATOR = "(?:, | : )"
 # from the start of a group over a redirect to the end of that group
 _REDIRECTED_GROUP = "(?:^|, )(?:(?!, ).)* : (?:(?!, ).)*"
-_MAYBE_HUGE = r"[eE]|\d{13}"
 
 
-def split_contacts(text: Column) -> Column:
-    """Flat list of the entries of one upstream list."""
-    return F.split(text, _EITHER_SEPARATOR)
+def _list_of(entry: str) -> str:
+    return f"^(?:{entry})(?:{EITHER_SEPARATOR}(?:{entry}))*$"
 
 
-def servers_contacted(addresses: Column) -> Column:
-    """Number of address groups, whether or not the other lists are as long."""
-    return F.size(F.split(addresses, GROUP_SEPARATOR))
+_STATUSES = _list_of(rf"\s*{INTEGER_PATTERN}\s*|-")
+_PLAIN_TIMES = _list_of(rf"\s*{PLAIN_DECIMAL_PATTERN}\s*|-|")
+_TIMES = _list_of(rf"\s*{DECIMAL_PATTERN}\s*|-|")
 
 
-def internal_redirects(addresses: Column) -> Column:
-    """Number of address groups with at least one internal redirect."""
-    return F.regexp_count(addresses, F.lit(_REDIRECTED_GROUP))
+def split_contacts(text: str) -> str:
+    """Flat array of the entries of one upstream list."""
+    return f"split({text}, '{EITHER_SEPARATOR}')"
 
 
-def valid_statuses(text: Column, entries: Column, kept: Column) -> Column:
-    """True when the first ``kept`` statuses are whole numbers or ``-``."""
-    return _kept_text(text, entries, kept).rlike(_STATUS_LIST)
+def servers_contacted(addresses: str) -> str:
+    """Number of address groups, whether or not the other lists are as long."""
+    return f"size(split({addresses}, '{GROUP_SEPARATOR}'))"
+
+
+def internal_redirects(addresses: str) -> str:
+    """Number of address groups with at least one internal redirect."""
+    return f"regexp_count({addresses}, r'{_REDIRECTED_GROUP}')"
 
 
-def valid_times(text: Column, entries: Column, kept: Column) -> Column:
-    """True when the first ``kept`` times are decimals in range, ``-`` or empty."""
-    numbers = F.slice(entries, F.lit(1), kept).try_cast("array<double>")
-    in_range = F.coalesce(
-        (F.array_max(numbers) <= LARGEST_NUMBER) & (F.array_min(numbers) >= -LARGEST_NUMBER), F.lit(True)
-    )
-    kept_text = _kept_text(text, entries, kept)
-    return F.when(~kept_text.rlike(_TIME_LIST), False).when(kept_text.rlike(_MAYBE_HUGE), in_range).otherwise(True)
+def valid_statuses(text: str) -> str:
+    """True when all statuses of a list are whole numbers or ``-``."""
+    return f"{text} RLIKE r'{_STATUSES}'"
 
 
-def _kept_text(text: Column, entries: Column, kept: Column) -> Column:
-    shortened = F.array_join(F.slice(entries, F.lit(1), kept), GROUP_SEPARATOR)
-    return F.when(F.size(entries) == kept, text).otherwise(shortened)
+def valid_times(text: str) -> str:
+    """True when all times of a list are decimals in range, ``-`` or empty."""
+    numbers = f"try_cast(split({text}, '{EITHER_SEPARATOR}') AS ARRAY<DOUBLE>)"
+    in_range = f"array_max({numbers}) <= {LARGEST_NUMBER!r}D AND array_min({numbers}) >= -{LARGEST_NUMBER!r}D"
+    return f"CASE WHEN {text} RLIKE r'{_PLAIN_TIMES}' THEN true WHEN {text} RLIKE r'{_TIMES}' THEN {in_range} ELSE false END"
 
 
-def normal_status(text: Column) -> Column:
+def normal_status(text: str) -> str:
     """Status key of a valid status entry: ``-`` or the plain whole number."""
-    return F.when(text == NONE_MARKER, text).otherwise(text.try_cast("bigint").cast("string"))
+    return f"CASE WHEN {text} = '{NONE_MARKER}' THEN {text} ELSE string(try_cast({text} AS BIGINT)) END"
 
 
-def time_value(text: Column) -> Column:
+def time_value(text: str) -> str:
     """DOUBLE of a valid time entry; ``-`` and the empty text give NULL."""
-    return text.try_cast("double")
+    return f"CASE WHEN {text} NOT IN ('{NONE_MARKER}', '') THEN try_cast({text} AS DOUBLE) END"

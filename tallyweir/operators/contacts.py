@@ -8,76 +8,101 @@ worked out inside the row, so no shuffle is needed.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from tallyweir.functions import upstreams as U
 from tallyweir.functions.numbers import micros
 
 WEIGHTINGS = ("per_request", "per_contact")
+TIMES = ("response", "connect", "header")
 
+# Not the bare column: for that the optimizer adds a filter, which it moves below the parse
+# together with a copy of the parse.
+ALL_CONTACTS = "coalesce(contacts, array())"
+ACCEPTED_CONTACTS = "CASE WHEN reason IS NULL THEN contacts END"
 
-def weighted_contacts(weighting: str = "per_request") -> Column:
-    """Array of ``struct(contact, weight, status_hits)`` from the column ``contacts``."""
-    if weighting not in WEIGHTINGS:
-        raise ValueError(f"weighting must be one of {WEIGHTINGS}: {weighting!r}")
-    contacts = F.col("contacts")
+CONTACT_COLUMNS = ("upstream", "upstream_status", "weight", "status_hits", "response_us", "connect_us", "header_us")
 
-    def row(contact: Column, weight: Column, status_hits: Column) -> Column:
-        return F.struct(contact.alias("contact"), weight.alias("weight"), status_hits.alias("status_hits"))
 
-    if weighting == "per_contact":
-        return F.transform(contacts, lambda c: row(c, F.lit(1), F.lit(1)))
+def explode_contacts(
+    parsed: DataFrame,
+    keys: list[str],
+    weighting: str = "per_request",
+    rows: str = ACCEPTED_CONTACTS,
+    first: int = 1,
+) -> DataFrame:
+    """``keys``, ``at`` and ``CONTACT_COLUMNS``, one row per contact of accepted lines.
 
-    def repeated(c: Column, i: Column) -> Column:
-        same_server = F.filter(contacts, lambda o: o["server"] == c["server"])
-        weight = F.size(same_server)
-        seen = F.exists(
-            F.slice(contacts, F.lit(1), i),
-            lambda o: (o["server"] == c["server"])
-            & (U.normal_status(o["status"]) == U.normal_status(c["status"])),
-        )
-        hits = F.when(seen, 0).otherwise(weight)
-        return row(c, weight, hits)
-
-    single = F.array(row(F.get(contacts, F.lit(0)), F.lit(1), F.lit(1)))
-    return F.when(F.size(contacts) == 1, single).otherwise(F.transform(contacts, repeated))
+    ``rows`` is the array to explode and ``first`` the position of its first entry:
+    0 if the contacts follow one NULL entry that stands for the request itself.
+    """
+    if weighting not in WEIGHTINGS:
+        raise ValueError(f"weighting must be one of {WEIGHTINGS}: {weighting!r}")
+    repeated = "size(contacts) > 1 AND size(array_distinct(contacts.server)) < size(contacts)"
+    if weighting == "per_contact":
+        repeated = "false"
+    exploded = parsed.selectExpr(
+        *keys, f"CASE WHEN {repeated} THEN contacts END AS _repeated", f"posexplode({rows}) AS (_at, _contact)"
+    )
+    # Requests without a repeated server, nearly all, skip the walk over the other contacts.
+    same = f"c.server = _contact.server AND {U.normal_status('c.status')} = {U.normal_status('_contact.status')}"
+    weighted = exploded.selectExpr(
+        *keys,
+        f"_at + {first} AS at",
+        "_contact",
+        "CASE WHEN _repeated IS NULL THEN 1L "
+        "ELSE bigint(size(filter(_repeated, c -> c.server = _contact.server))) END AS weight",
+        f"_repeated IS NOT NULL AND exists(slice(_repeated, 1, greatest(_at + {first} - 1, 0)), c -> {same}) AS _seen",
+    )
+    return weighted.selectExpr(
+        *keys,
+        "at",
+        "_contact.server AS upstream",
+        f"{U.normal_status('_contact.status')} AS upstream_status",
+        "weight",
+        "CASE WHEN _seen THEN 0L ELSE weight END AS status_hits",
+        *[f"{micros(U.time_value(f'_contact.{t}'))} AS {t}_us" for t in TIMES],
+    )
 
 
 def contact_rows(requests: DataFrame, *keys: str) -> DataFrame:
     """One typed row per contact of each request, in list order from position 1."""
-    exploded = requests.select(*keys, F.posexplode("contacts").alias("_at", "_contact"))
-    return exploded.select(
+    exploded = requests.selectExpr(*keys, f"posexplode({ALL_CONTACTS}) AS (_at, _contact)")
+    return exploded.selectExpr(
         *keys,
-        (F.col("_at") + 1).alias("position"),
-        F.col("_contact.server").alias("server"),
-        U.normal_status(F.col("_contact.status")).alias("status"),
-        *[U.time_value(F.col(f"_contact.{t}")).alias(t) for t in ("response", "connect", "header")],
+        "_at + 1 AS position",
+        "_contact.server AS server",
+        f"{U.normal_status('_contact.status')} AS status",
+        *[f"{U.time_value(f'_contact.{t}')} AS {t}" for t in TIMES],
     )
 
 
-def request_summary() -> Column:
-    """Array with one struct per distinct server of the request.
+def request_summary(requests: DataFrame, *keys: str) -> DataFrame:
+    """One row per request and distinct server.
 
     Holds the contact count ``n``, for each time kind its sum in micro-units and
     its count, and the distinct statuses with how often each occurs.
     """
-    contacts = F.col("contacts")
-
-    def times_of(own: Column, kind: str) -> Column:
-        return F.filter(F.transform(own, lambda c: micros(U.time_value(c[kind]))), lambda t: t.isNotNull())
-
-    def of_server(server: Column) -> Column:
-        own = F.filter(contacts, lambda c: c["server"] == server)
-        statuses = F.transform(own, lambda c: U.normal_status(c["status"]))
-        parts = [server.alias("server"), F.size(own).alias("n")]
-        for kind in ("response", "connect", "header"):
-            times = times_of(own, kind)
-            total = F.aggregate(times, F.lit(0).cast("bigint"), lambda a, t: a + t)
-            parts += [total.alias(f"{kind}_us"), F.size(times).alias(f"{kind}_n")]
-        counted = F.transform(
-            F.array_sort(F.array_distinct(statuses)),
-            lambda s: F.struct(s.alias("status"), F.size(F.filter(statuses, lambda o: o == s)).alias("n")),
-        )
-        return F.struct(*parts, counted.alias("statuses"))
-
-    return F.transform(F.array_distinct(F.transform(contacts, lambda c: c["server"])), of_server)
+    own = "filter(contacts, c -> c.server = server)"
+    per_server = requests.selectExpr(*keys, "contacts", "explode(array_distinct(contacts.server)) AS server").selectExpr(
+        *keys, "server", f"{own} AS _own", f"transform({own}, c -> {U.normal_status('c.status')}) AS _statuses"
+    )
+    typed = per_server.selectExpr(
+        *keys,
+        "server",
+        "size(_own) AS n",
+        "_statuses",
+        *[
+            f"filter(transform(_own, c -> {micros(U.time_value(f'c.{t}'))}), t -> t IS NOT NULL) AS _{t}" for t in TIMES
+        ],
+    )
+    sums = [
+        part
+        for t in TIMES
+        for part in (f"aggregate(_{t}, 0L, (a, t) -> a + t) AS {t}_us", f"size(_{t}) AS {t}_n")
+    ]
+    statuses = (
+        "transform(array_sort(array_distinct(_statuses)), "
+        "s -> named_struct('status', s, 'n', size(filter(_statuses, o -> o = s)))) AS statuses"
+    )
+    return typed.selectExpr(*keys, "server", "n", *sums, statuses)

@@ -14,32 +14,23 @@ from tallyweir.functions.numbers import mean_from_micros, micros
 _REQUEST = ("request", "bucket", "upstream")
 
 
-def _per_status(contacts: DataFrame) -> DataFrame:
-    """Sums per request, server and status of ``request, bucket, upstream, status, response``."""
-    us = micros(F.col("response").cast("double"))
-    return contacts.groupBy(*_REQUEST, "status").agg(
-        F.count(F.lit(1)).alias("k"), F.sum(us).alias("us"), F.count(us).alias("c")
-    )
-
-
 def flat_contact_means(contacts: DataFrame) -> DataFrame:
-    """Hits and weighted mean response time per bucket and server."""
+    """Hits and weighted mean response time per bucket and server.
+
+    Takes rows of ``request``, ``bucket``, ``upstream`` and ``response`` in seconds.
+    """
     per_request = contacts.groupBy(*_REQUEST).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(micros(F.col("response").cast("double"))).alias("us"),
-        F.count("response").alias("c"),
+        F.expr("count(*) AS n"), F.expr(f"sum({micros('response')}) AS us"), F.expr("count(response) AS c")
     )
     sums = per_request.groupBy("bucket", "upstream").agg(
-        F.sum("n").alias("hits"), F.sum(F.col("n") * F.col("us")).alias("us"), F.sum(F.col("n") * F.col("c")).alias("c")
-    )
-    return sums.select(
-        "bucket", "upstream", "hits", mean_from_micros(F.col("us"), F.col("c")).alias("response_time_mean")
+        F.expr("sum(n) AS hits"), F.expr("sum(n * us) AS us"), F.expr("sum(n * c) AS c")
     )
+    return sums.selectExpr("bucket", "upstream", "hits", f"{mean_from_micros('us', 'c')} AS response_time_mean")
 
 
 def flat_contact_statuses(contacts: DataFrame) -> DataFrame:
     """Hits per bucket, server and status: each distinct status of a request counts all its contacts of the server."""
+    per_status = contacts.groupBy(*_REQUEST, "status").agg(F.expr("count(*) AS k"))
     # One row per distinct status is left of a request and server, so the window is small.
-    same_server = Window.partitionBy(*_REQUEST)
-    weighted = _per_status(contacts).withColumn("n", F.sum("k").over(same_server))
-    return weighted.groupBy("bucket", "upstream", "status").agg(F.sum("n").alias("hits"))
+    weighted = per_status.withColumn("n", F.sum("k").over(Window.partitionBy(*_REQUEST)))
+    return weighted.groupBy("bucket", "upstream", "status").agg(F.expr("sum(n) AS hits"))

@@ -11,7 +11,7 @@ for a closed bucket are late.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tallyweir.functions.buckets import bucket_of
 from tallyweir.functions.numbers import decimal_number
@@ -24,7 +24,9 @@ MARKS_SCHEMA = "source string, last_msec double, closed_through bigint"
 def marks_from_times(times: DataFrame, bucket_duration: int, lookback_factor: int) -> DataFrame:
     """Marks from rows of ``source`` and ``last_msec``; the highest time of a source wins."""
     highest = times.groupBy("source").agg(F.max("last_msec").alias("last_msec")).where("last_msec IS NOT NULL")
-    return highest.withColumn("closed_through", bucket_of(F.col("last_msec"), bucket_duration) - lookback_factor)
+    return highest.selectExpr(
+        "source", "last_msec", f"{bucket_of('last_msec', bucket_duration)} - {lookback_factor} AS closed_through"
+    )
 
 
 def advance_marks(
@@ -41,20 +43,21 @@ def baseline(lines: DataFrame, bucket_duration: int, lookback_factor: int, line:
 
     The mark is set so that the next run starts with the bucket after the last one seen.
     """
-    msec = decimal_number(F.get(F.split(F.col(line), FIELD_SEPARATOR, 3), F.lit(1)), LAST_SECOND)
+    msec = decimal_number(f"get(split(`{line}`, r'{FIELD_SEPARATOR}', 3), 1)")
     ends = (
         with_source(lines)
-        .select("source", msec.alias("msec"))
+        .selectExpr("source", f"{msec} AS msec")
         .groupBy("source")
-        .agg(F.count("*").alias("lines"), F.max("msec").alias("msec"))
+        .agg(F.expr("count(*) AS lines"), F.expr(f"max(msec) FILTER (WHERE msec <= {LAST_SECOND!r}D) AS msec"))
     )
-    bucket = F.coalesce(bucket_of(F.col("msec"), bucket_duration), F.lit(0))
-    return ends.select(
+    return ends.selectExpr(
+        "source", "lines", f"coalesce({bucket_of('msec', bucket_duration)}, 0) AS bucket"
+    ).selectExpr(
         "source",
         "lines",
-        bucket.alias("bucket"),
-        ((bucket + lookback_factor) * bucket_duration).cast("double").alias("last_msec"),
-        bucket.alias("closed_through"),
+        "bucket",
+        f"double((bucket + {lookback_factor}) * {bucket_duration}) AS last_msec",
+        "bucket AS closed_through",
     )
 
 
@@ -64,22 +67,20 @@ def label_late(partials: DataFrame, marks: DataFrame) -> DataFrame:
     Lateness is a property of source and bucket, so it is decided on the added-up rows.
     """
     joined = partials.join(marks.select("source", "closed_through"), "source", "left")
-    behind = F.coalesce(F.col("bucket") <= F.col("closed_through"), F.lit(False))
-    checked_first = (F.col("kind") == SKIP) & F.col("status").isin(*REASONS_BEFORE_LATE)
-    late = behind & ~checked_first
-
-    def unless_late(name: str) -> Column:
-        return F.when(~late, F.col(name)).alias(name)
-
-    kept = ("source", "bucket", "lines")
-    return joined.where(~(late & (F.col("kind") == CONTACT))).select(
-        "source",
-        F.when(late, SKIP).otherwise(F.col("kind")).alias("kind"),
-        "bucket",
-        F.when(late, "late").otherwise(F.col("status")).alias("status"),
-        "lines",
-        *[unless_late(name) for name in PARTIAL_COLUMNS if name not in (*kept, "kind", "status")],
-    ).select(*PARTIAL_COLUMNS)
+    checked_first = ", ".join(f"'{reason}'" for reason in REASONS_BEFORE_LATE)
+    late = f"coalesce(bucket <= closed_through, false) AND NOT (kind = '{SKIP}' AND status IN ({checked_first}))"
+    changed = {
+        "source": "source",
+        "bucket": "bucket",
+        "lines": "lines",
+        "kind": f"if(_late, '{SKIP}', kind)",
+        "status": "if(_late, 'late', status)",
+    }
+    return (
+        joined.selectExpr(*PARTIAL_COLUMNS, f"{late} AS _late")
+        .where(f"NOT (_late AND kind = '{CONTACT}')")
+        .selectExpr(*[f"{changed.get(c, f'if(_late, NULL, {c})')} AS {c}" for c in PARTIAL_COLUMNS])
+    )
 
 
 def _measured(partials: DataFrame, marks: DataFrame) -> DataFrame:

@@ -7,22 +7,21 @@ pruning drops the work of the others.  ``metrics_wide`` and the points (see
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from tallyweir.functions import upstreams as U
 from tallyweir.functions.numbers import mean_from_micros
-from tallyweir.operators.contacts import weighted_contacts
+from tallyweir.operators.contacts import explode_contacts
 from tallyweir.operators.partials import (
     CONTACT,
+    CONTACT_MEASURES,
     REQUEST,
+    REQUEST_MEASURES,
     REQUEST_SUMS,
     SUMS,
-    contact_measures,
     protocol_label,
-    request_measures,
+    sums_of,
     with_source,
 )
 from tallyweir.operators.requests import accepted, parse_lines
@@ -43,50 +42,43 @@ class Metric:
 
     grain: str
     needs: tuple[str, ...]
-    value: Callable[[], Column]
+    value: str
     whole: bool = True
     # zero rows are published only if the run has some other value for the source
     zero_if_any: bool = False
 
 
 def _sum(name: str, grain: str = "base") -> Metric:
-    return Metric(grain, (name,), lambda: F.col(name))
+    return Metric(grain, (name,), name)
 
 
 def _mean(total: str, count: str, grain: str = "base") -> Metric:
-    return Metric(grain, (total, count), lambda: mean_from_micros(F.col(total), F.col(count)), whole=False)
+    return Metric(grain, (total, count), mean_from_micros(total, count), whole=False)
 
 
 def _ratio(top: str, bottom: str) -> Metric:
-    return Metric(
-        "base", (top, bottom), lambda: F.when(F.col(bottom) > 0, F.col(top) / F.col(bottom)), whole=False
-    )
-
-
-def _positive(name: str, *, given: str | None = None) -> Metric:
-    needs = (name, given) if given else (name,)
-    return Metric("base", needs, lambda: F.when(F.col(given or name) > 0, F.col(name)))
+    return Metric("base", (top, bottom), f"CASE WHEN {bottom} > 0 THEN {top} / {bottom} END", whole=False)
 
 
 METRICS: dict[str, Metric] = {
     "hits": _sum("hits"),
-    "hits_with_upstream": _positive("hits_with_upstream"),
+    "hits_with_upstream": Metric("base", ("hits_with_upstream",), "nullif(hits_with_upstream, 0)"),
     "status": _sum("hits", "status"),
     "bytes_sent": _sum("bytes_sent"),
-    "gzip_count": Metric("base", ("gzip_n",), lambda: F.col("gzip_n"), zero_if_any=True),
+    "gzip_count": Metric("base", ("gzip_n",), "gzip_n", zero_if_any=True),
     "gzip_count_percent": _ratio("gzip_n", "hits"),
     "gzip_ratio_mean": _mean("gzip_us", "gzip_n"),
     # published as a whole number, cut and not rounded
-    "request_length_mean": Metric(
-        "base", ("request_length", "hits"), lambda: (F.col("request_length") / F.col("hits")).cast("bigint")
-    ),
+    "request_length_mean": Metric("base", ("request_length", "hits"), "bigint(request_length / hits)"),
     # a request without a time counts in no mean
     "request_time_mean": _mean("time_us", "time_n"),
     "upstreams_hits": _sum("contact_hits", "upstream"),
     "upstreams_status": _sum("status_hits", "upstream_status"),
     "upstreams_servers_contacted_per_hit": _ratio("servers_contacted", "hits_with_upstream"),
     "upstreams_internal_redirects_per_hit": _ratio("internal_redirects", "hits_with_upstream"),
-    "upstreams_servers": _positive("upstreams_servers", given="hits_with_upstream"),
+    "upstreams_servers": Metric(
+        "base", ("upstreams_servers", "hits_with_upstream"), "CASE WHEN hits_with_upstream > 0 THEN upstreams_servers END"
+    ),
     "upstreams_response_time_mean": _mean("response_us", "response_n", "upstream"),
     "upstreams_connect_time_mean": _mean("connect_us", "connect_n", "upstream"),
     "upstreams_header_time_mean": _mean("header_us", "header_n", "upstream"),
@@ -99,43 +91,35 @@ def metric(
     lines: DataFrame, name: str, bucket_duration: int = 60, weighting: str = "per_request", line: str = "value"
 ) -> DataFrame:
     """One metric straight from lines: source, bucket, its tags and ``value``."""
-    return metric_of_requests(accepted(parse_lines(with_source(lines), bucket_duration, line=line)), name, weighting)
+    return metric_of_parsed(parse_lines(with_source(lines), bucket_duration, line=line), name, weighting)
 
 
-def metric_of_requests(requests: DataFrame, name: str, weighting: str = "per_request") -> DataFrame:
+def metric_of_parsed(parsed: DataFrame, name: str, weighting: str = "per_request") -> DataFrame:
     spec = METRICS[name]
     tags = GRAIN_TAGS[spec.grain]
-    labelled = requests.withColumn("protocol", protocol_label(F.col("protocol")))
+    keys = ["source", "bucket", *BASE_TAGS]
     if "upstream" in tags:
-        rows = labelled.select("source", "bucket", *BASE_TAGS, F.explode(weighted_contacts(weighting)).alias("_row"))
-        row = F.col("_row")
-        measures = contact_measures(row)
-        rows = rows.select(
-            "source",
-            "bucket",
-            *BASE_TAGS,
-            row["contact"]["server"].alias("upstream"),
-            U.normal_status(row["contact"]["status"]).alias("status"),
-            *[measures[n].alias(n) for n in spec.needs],
-        )
+        rows = explode_contacts(parsed, keys, weighting).withColumnRenamed("upstream_status", "status")
+        own = {"upstream": "upstream", "status": "status"}
+        measures = CONTACT_MEASURES
     else:
-        measures = request_measures()
-        rows = labelled.select(
-            "source",
-            "bucket",
-            *BASE_TAGS,
-            F.col("status").cast("string").alias("status"),
-            *[measures[n].alias(n) for n in spec.needs],
-        )
-    sums = rows.groupBy("source", "bucket", *tags).agg(*[F.sum(n).alias(n) for n in spec.needs])
+        rows, own, measures = accepted(parsed), {"status": "string(status)"}, REQUEST_MEASURES
+    own["protocol"] = protocol_label("protocol")
+    rows = rows.selectExpr(
+        "source",
+        "bucket",
+        *[f"{own.get(tag, tag)} AS {tag}" for tag in tags],
+        *[f"{measures[n]} AS {n}" for n in spec.needs],
+    )
+    sums = rows.groupBy("source", "bucket", *tags).agg(*sums_of(*spec.needs))
     if spec.zero_if_any:
         sums = sums.join(_sources_with(sums, spec.needs[0]), "source", "left_semi")
-    return sums.select("source", "bucket", *tags, spec.value().alias("value")).where("value IS NOT NULL")
+    return sums.selectExpr("source", "bucket", *tags, f"{spec.value} AS value").where("value IS NOT NULL")
 
 
 def _sources_with(sums: DataFrame, name: str) -> DataFrame:
     # The same aggregate as the other side of the join, so its exchange is reused.
-    return sums.groupBy("source").agg(F.max(name).alias("_any")).where("_any > 0").select("source")
+    return sums.groupBy("source").agg(F.expr(f"max({name}) AS most")).where("most > 0").select("source")
 
 
 def metrics_wide(partials: DataFrame) -> DataFrame:
@@ -145,22 +129,22 @@ def metrics_wide(partials: DataFrame) -> DataFrame:
     for the run-wide presence of compression.
     """
     requests = partials.where(F.col("kind") == REQUEST)
-    sums = requests.groupBy("source", "bucket", *BASE_TAGS).agg(*[F.sum(n).alias(n) for n in REQUEST_SUMS])
-    marked = with_gzip_presence(sums, partials)
-    return marked.select(
-        "source", "bucket", *BASE_TAGS, *[base_value(name).alias(name) for name in BASE_METRICS]
+    sums = requests.groupBy("source", "bucket", *BASE_TAGS).agg(*sums_of(*REQUEST_SUMS))
+    return with_gzip_presence(sums, partials).selectExpr(
+        "source", "bucket", *BASE_TAGS, *[f"{published_value(name)} AS {name}" for name in BASE_METRICS]
     )
 
 
-def base_value(name: str) -> Column:
-    value = METRICS[name].value()
-    return F.when(F.col("any_gzip"), value) if METRICS[name].zero_if_any else value
+def published_value(name: str) -> str:
+    """Value of a metric over sums joined with ``any_gzip``."""
+    spec = METRICS[name]
+    return f"CASE WHEN any_gzip THEN {spec.value} END" if spec.zero_if_any else spec.value
 
 
 def with_gzip_presence(sums: DataFrame, partials: DataFrame) -> DataFrame:
     """Add ``any_gzip``: does the run have a compressed response for this source?"""
-    presence = partials.where(F.col("kind") == REQUEST).groupBy("source").agg(F.max("gzip_n").alias("_most"))
-    return sums.join(presence.select("source", (F.col("_most") > 0).alias("any_gzip")), "source")
+    requests = partials.where(F.col("kind") == REQUEST)
+    return sums.join(requests.groupBy("source").agg(F.expr("max(gzip_n) > 0 AS any_gzip")), "source")
 
 
 def rolled_up(partials: DataFrame) -> DataFrame:
@@ -170,20 +154,17 @@ def rolled_up(partials: DataFrame) -> DataFrame:
     upstream and upstream_status.  Partials are small next to the lines, so
     doubling and shuffling them once more costs little.
     """
-    fine = F.col("_fine")
-    is_contact = F.col("kind") == CONTACT
-    doubled = partials.where(F.col("kind").isin(REQUEST, CONTACT)).select(
-        "*", F.explode(F.array(F.lit(False), F.lit(True))).alias("_fine")
+    doubled = partials.where(F.col("kind").isin(REQUEST, CONTACT)).selectExpr(
+        "*", "explode(array(false, true)) AS _fine"
+    )
+    grain = (
+        f"CASE WHEN kind = '{CONTACT}' THEN if(_fine, 'upstream_status', 'upstream') "
+        "ELSE if(_fine, 'status', 'base') END AS grain"
     )
     return (
-        doubled.withColumn(
-            "grain",
-            F.when(is_contact & fine, "upstream_status")
-            .when(is_contact, "upstream")
-            .when(fine, "status")
-            .otherwise("base"),
+        doubled.selectExpr(
+            "source", grain, "bucket", *BASE_TAGS, "upstream", "CASE WHEN _fine THEN status END AS status", *SUMS
         )
-        .withColumn("status", F.when(fine, F.col("status")))
         .groupBy("source", "grain", "bucket", *BASE_TAGS, "upstream", "status")
-        .agg(*[F.sum(n).alias(n) for n in SUMS])
+        .agg(*sums_of(*SUMS))
     )

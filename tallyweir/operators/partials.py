@@ -14,48 +14,51 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyweir.functions import upstreams as U
 from tallyweir.functions.numbers import micros
-from tallyweir.operators.contacts import weighted_contacts
-from tallyweir.operators.requests import parse_lines
+from tallyweir.operators.contacts import explode_contacts
+from tallyweir.operators.requests import REQUEST_COLUMNS, parse_lines
 
 REQUEST, CONTACT, SKIP = "request", "contact", "skip"
 
 # status: of the request, of the contact, or the reason of the skip
 PARTIAL_KEYS = ("source", "kind", "bucket", "vhost", "protocol", "loctag", "upstream", "status")
 
-REQUEST_SUMS = (
-    "hits",
-    "bytes_sent",
-    "gzip_n",
-    "gzip_us",
-    "request_length",
-    "time_n",
-    "time_us",
-    "hits_with_upstream",
-    "servers_contacted",
-    "internal_redirects",
-    "upstreams_servers",
-)
-CONTACT_SUMS = (
-    "contact_hits",
-    "response_us",
-    "response_n",
-    "connect_us",
-    "connect_n",
-    "header_us",
-    "header_n",
-    "status_hits",
-)
+def protocol_label(protocol: str) -> str:
+    return f"CASE WHEN {protocol} = 's' THEN 'https' ELSE 'http' END"
+
+
+# Summable measures of one accepted request.
+REQUEST_MEASURES = {
+    "hits": "1L",
+    "bytes_sent": "bytes_sent",
+    "gzip_n": "bigint(gzip_ratio IS NOT NULL)",
+    "gzip_us": micros("gzip_ratio"),
+    "request_length": "request_length",
+    "time_n": "bigint(request_time IS NOT NULL)",
+    "time_us": micros("request_time"),
+    "hits_with_upstream": "bigint(servers_contacted IS NOT NULL)",
+    "servers_contacted": "bigint(servers_contacted)",
+    "internal_redirects": "bigint(internal_redirects)",
+    "upstreams_servers": "bigint(upstreams_servers)",
+}
+# Summable measures of one exploded contact.
+CONTACT_MEASURES = {
+    "contact_hits": "1L",
+    "response_us": "response_us * weight",
+    "response_n": "CASE WHEN response_us IS NOT NULL THEN weight END",
+    "connect_us": "connect_us * weight",
+    "connect_n": "CASE WHEN connect_us IS NOT NULL THEN weight END",
+    "header_us": "header_us * weight",
+    "header_n": "CASE WHEN header_us IS NOT NULL THEN weight END",
+    "status_hits": "status_hits",
+}
+REQUEST_SUMS = tuple(REQUEST_MEASURES)
+CONTACT_SUMS = tuple(CONTACT_MEASURES)
 SUMS = REQUEST_SUMS + CONTACT_SUMS
 # lines: how many lines this run read for the row; rows carried over from an earlier run hold 0
 PARTIAL_COLUMNS = (*PARTIAL_KEYS, "lines", *SUMS, "last_msec")
 
 
-def protocol_label(protocol: Column) -> Column:
-    return F.when(protocol == "s", "https").otherwise("http")
-
-
 def with_source(lines: DataFrame) -> DataFrame:
     """Every line belongs to a source; lines without that column share one."""
     return lines if "source" in lines.columns else lines.withColumn("source", F.lit(""))
@@ -68,75 +71,36 @@ def contributions(
     return contributions_of(parse_lines(with_source(lines), bucket_duration, line=line), weighting)
 
 
-def request_measures() -> dict[str, Column]:
-    """Summable measures of one accepted request, by name."""
-
-    def present(value: str) -> Column:
-        return F.when(F.col(value).isNotNull(), 1).otherwise(0)
-
-    return {
-        "hits": F.lit(1),
-        "bytes_sent": F.col("bytes_sent"),
-        "gzip_n": present("gzip_ratio"),
-        "gzip_us": micros(F.col("gzip_ratio")),
-        "request_length": F.col("request_length"),
-        "time_n": present("request_time"),
-        "time_us": micros(F.col("request_time")),
-        "hits_with_upstream": present("contacts"),
-        "servers_contacted": F.col("servers_contacted"),
-        "internal_redirects": F.col("internal_redirects"),
-        "upstreams_servers": F.col("upstreams_servers"),
-    }
-
-
-def contact_measures(row: Column) -> dict[str, Column]:
-    """Summable measures of one weighted contact, by name; all NULL for a NULL row."""
-    weight = row["weight"].cast("bigint")
-    measures = {"contact_hits": F.when(row.isNotNull(), 1)}
-    for kind in ("response", "connect", "header"):
-        us = micros(U.time_value(row["contact"][kind]))
-        measures[f"{kind}_us"] = us * weight
-        measures[f"{kind}_n"] = F.when(us.isNotNull(), weight)
-    measures["status_hits"] = row["status_hits"]
-    return measures
-
-
 def contributions_of(parsed: DataFrame, weighting: str = "per_request", skips: bool = True) -> DataFrame:
     """The same from parsed lines; without ``skips`` a rejected line gives no row."""
-    ok = F.col("reason").isNull()
-    contact_part = F.when(ok & F.col("contacts").isNotNull(), weighted_contacts(weighting))
-    line_and_contacts = F.concat(F.array(F.lit(None)), F.coalesce(contact_part, F.array()))
-    wanted = line_and_contacts if skips else F.when(ok, line_and_contacts)
-    rows = parsed.select("*", F.explode(wanted).alias("_row"))
-    row = F.col("_row")
-    is_contact = row.isNotNull()
-    is_request = ok & ~is_contact
-    return rows.select(
+    line_and_contacts = "CASE WHEN contacts IS NULL THEN array(NULL) ELSE array_prepend(contacts, NULL) END"
+    otherwise = "array(NULL)" if skips else "NULL"
+    rows = f"CASE WHEN reason IS NULL THEN {line_and_contacts} ELSE {otherwise} END"
+    passed = [*REQUEST_COLUMNS[:-1], "source", "reason"]
+    exploded = explode_contacts(parsed, passed, weighting, rows, first=0)
+    return exploded.selectExpr(
         "source",
-        F.when(~ok, SKIP).when(is_contact, CONTACT).otherwise(REQUEST).alias("kind"),
+        f"CASE WHEN reason IS NOT NULL THEN '{SKIP}' WHEN at > 0 THEN '{CONTACT}' ELSE '{REQUEST}' END AS kind",
         "bucket",
-        F.when(ok, F.col("vhost")).alias("vhost"),
-        F.when(ok, protocol_label(F.col("protocol"))).alias("protocol"),
-        F.when(ok, F.col("loctag")).alias("loctag"),
-        row["contact"]["server"].alias("upstream"),
-        F.when(is_contact, U.normal_status(row["contact"]["status"]))
-        .when(ok, F.col("status").cast("string"))
-        .otherwise(F.col("reason"))
-        .alias("status"),
-        F.when(is_contact, 0).otherwise(1).cast("bigint").alias("lines"),
-        *[F.when(is_request, value).cast("bigint").alias(name) for name, value in request_measures().items()],
-        *[value.cast("bigint").alias(name) for name, value in contact_measures(row).items()],
-        F.when(is_request, F.col("msec")).alias("last_msec"),
-    )
+        *[f"CASE WHEN reason IS NULL THEN {tag} END AS {tag}" for tag in ("vhost", "loctag")],
+        f"CASE WHEN reason IS NULL THEN {protocol_label('protocol')} END AS protocol",
+        "upstream",
+        "CASE WHEN reason IS NOT NULL THEN reason WHEN at > 0 THEN upstream_status ELSE string(status) END AS status",
+        "CASE WHEN at = 0 THEN 1L ELSE 0L END AS lines",
+        *[f"CASE WHEN at = 0 AND reason IS NULL THEN {m} END AS {name}" for name, m in REQUEST_MEASURES.items()],
+        *[f"CASE WHEN at > 0 THEN {m} END AS {name}" for name, m in CONTACT_MEASURES.items()],
+        "CASE WHEN at = 0 AND reason IS NULL THEN msec END AS last_msec",
+    ).select(*PARTIAL_COLUMNS)
 
 
 def add_up(rows: DataFrame) -> DataFrame:
     """Merge partial rows of equal keys; the only shuffle between lines and partials."""
-    return rows.groupBy(*PARTIAL_KEYS).agg(
-        F.sum("lines").alias("lines"),
-        *[F.sum(name).alias(name) for name in SUMS],
-        F.max("last_msec").alias("last_msec"),
-    )
+    sums = sums_of("lines", *SUMS)
+    return rows.groupBy(*PARTIAL_KEYS).agg(*sums, F.max("last_msec").alias("last_msec"))
+
+
+def sums_of(*names: str) -> list[Column]:
+    return [F.expr(f"sum({name}) AS {name}") for name in names]
 
 
 def partial_metrics(

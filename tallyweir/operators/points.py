@@ -5,15 +5,26 @@ from __future__ import annotations
 import warnings
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from tallyweir.functions.buckets import bucket_time, check_duration
-from tallyweir.functions.lineprotocol import field_text, float_field, integer_field, render_line, time_in_precision
-from tallyweir.operators.metrics import BASE_TAGS, METRICS, rolled_up, with_gzip_presence
+from tallyweir.functions.lineprotocol import (
+    field_text,
+    float_field,
+    integer_field,
+    literal,
+    render_line,
+    time_in_precision,
+)
+from tallyweir.operators.metrics import BASE_TAGS, METRICS, published_value, rolled_up, with_gzip_presence
 
 TAG_COLUMNS = (*BASE_TAGS, "upstream", "status")
 POINT_COLUMNS = ("source", "measurement", "bucket", "epoch", "time", *TAG_COLUMNS, "value_i", "value_d")
 
+# The value of a point as DOUBLE, whichever column holds it.
+POINT_VALUE = "coalesce(double(value_i), value_d)"
+NO_TAGS = "cast(map() AS MAP<STRING, STRING>)"
+
 
 def points_from_partials(partials: DataFrame, bucket_duration: int = 60) -> DataFrame:
     """All metrics of the given (written) partials in long form, ``POINT_COLUMNS``.
@@ -23,74 +34,62 @@ def points_from_partials(partials: DataFrame, bucket_duration: int = 60) -> Data
     """
     check_duration(bucket_duration)
     sums = with_gzip_presence(rolled_up(partials), partials)
-    candidates = F.array(*[_candidate(name) for name in METRICS])
-    long = sums.select(
-        "source", "bucket", *TAG_COLUMNS, F.inline(F.array_compact(candidates)).alias("measurement", "value_i", "value_d")
-    )
-    return long.select(
+    candidates = ", ".join(_candidate(name) for name in METRICS)
+    long = sums.selectExpr("source", "bucket", *TAG_COLUMNS, f"inline(array_compact(array({candidates})))")
+    return long.selectExpr(
         "source",
         "measurement",
         "bucket",
-        (F.col("bucket") * bucket_duration).alias("epoch"),
-        bucket_time(F.col("bucket"), bucket_duration).alias("time"),
+        f"bucket * {bucket_duration} AS epoch",
+        f"{bucket_time('bucket', bucket_duration)} AS time",
         *TAG_COLUMNS,
         "value_i",
         "value_d",
     )
 
 
-def _candidate(name: str) -> Column:
-    spec = METRICS[name]
-    value = spec.value()
-    wanted = (F.col("grain") == spec.grain) & value.isNotNull()
-    if spec.zero_if_any:
-        wanted &= F.col("any_gzip")
-    whole, fraction = (value, F.lit(None)) if spec.whole else (F.lit(None), value)
-    return F.when(
-        wanted,
-        F.struct(
-            F.lit(name).alias("measurement"),
-            whole.cast("bigint").alias("value_i"),
-            fraction.cast("double").alias("value_d"),
-        ),
-    )
-
-
-def point_value() -> Column:
-    """The value of a point as DOUBLE, whichever column holds it."""
-    return F.coalesce(F.col("value_i").cast("double"), F.col("value_d"))
+def _candidate(name: str) -> str:
+    spec, value = METRICS[name], published_value(name)
+    whole, fraction = (value, "double(NULL)") if spec.whole else ("bigint(NULL)", value)
+    point = f"named_struct('measurement', '{name}', 'value_i', {whole}, 'value_d', {fraction})"
+    return f"CASE WHEN grain = '{spec.grain}' AND ({value}) IS NOT NULL THEN {point} END"
 
 
-def point_tags() -> Column:
+def point_tags() -> str:
     """The point's own tags as a map; tags its grain lacks are left out."""
-    pairs = [part for name in TAG_COLUMNS for part in (F.lit(name), F.col(name))]
-    return F.map_filter(F.create_map(*pairs), lambda name, value: value.isNotNull())
+    pairs = ", ".join(f"'{name}', {name}" for name in TAG_COLUMNS)
+    return f"map_filter(map({pairs}), (name, value) -> value IS NOT NULL)"
 
 
-def static_tags(tags: Mapping[str, str | Column | None] | None = None, *, name_from_source: bool = True) -> Column:
-    """Tags shared by all points of a run: ``host``, ``name``, ``dc`` or others.
+def static_tags(tags: Mapping[str, str | None] | None = None, *, name_from_source: bool = True) -> str:
+    """Map of the tags shared by all points of a run, given as texts.
 
     ``name`` falls back to the source of the point.  Empty values are left out.
     """
-    given = dict(tags or {})
-    if name_from_source and not given.get("name"):
-        given["name"] = F.col("source")
-    columns = {n: v if isinstance(v, Column) else F.lit(v).cast("string") for n, v in given.items() if n}
+    given = {name: literal(value) for name, value in (tags or {}).items() if name and value}
+    if name_from_source:
+        given.setdefault("name", "source")
+    return tags_from(given)
+
+
+def tags_from(columns: Mapping[str, str]) -> str:
+    """Map of tags given as SQL expressions, for tags that depend on the source."""
     if not columns:
-        return F.create_map().cast("map<string,string>")
-    pairs = [part for n, v in columns.items() for part in (F.lit(n), v)]
-    return F.map_filter(F.create_map(*pairs), lambda name, value: F.coalesce(value, F.lit("")) != "")
+        return NO_TAGS
+    pairs = ", ".join(f"{literal(name)}, string({value})" for name, value in columns.items())
+    return f"map_filter(map({pairs}), (name, value) -> coalesce(value, '') <> '')"
 
 
-def merge_tags(shared: Column, own: Column) -> Column:
+def merge_tags(shared: str, own: str) -> str:
     """Both maps in one; where both have a name, ``own`` wins."""
-    return F.map_concat(F.map_filter(shared, lambda name, _: ~F.map_contains_key(own, name)), own)
+    return f"map_concat(map_filter({shared}, (name, value) -> NOT map_contains_key({own}, name)), {own})"
 
 
-def with_tags(points: DataFrame, shared: Column | None = None) -> DataFrame:
+def with_tags(points: DataFrame, shared: str = NO_TAGS) -> DataFrame:
     """Points with a ``tags`` map in place of the tag columns."""
-    own = points.withColumn("tags", point_tags()).drop(*TAG_COLUMNS)
-    return own if shared is None else own.withColumn("tags", merge_tags(shared, F.col("tags")))
+    other = [c for c in points.columns if c not in TAG_COLUMNS]
+    own = points.selectExpr(*other, f"{point_tags()} AS tags")
+    return own if shared == NO_TAGS else own.selectExpr(*other, f"{merge_tags(shared, 'tags')} AS tags")
 
 
 def check_precision(bucket_duration: int, precision: str) -> bool:
@@ -110,24 +109,23 @@ def to_lines(tagged: DataFrame, precision: str = "m", bucket_duration: int | Non
     """Render tagged points; other columns stay, the text is in ``line``."""
     if bucket_duration is not None:
         check_precision(bucket_duration, precision)
-    value = F.coalesce(integer_field(F.col("value_i")), float_field(F.col("value_d")))
-    line = render_line(
-        F.col("measurement"), F.col("tags"), {"value": value}, time_in_precision(F.col("epoch"), precision)
-    )
-    return tagged.withColumn("line", line)
+    value = f"coalesce({integer_field('value_i')}, {float_field('value_d')})"
+    line = render_line("measurement", "tags", {"value": value}, time_in_precision("epoch", precision))
+    return tagged.selectExpr("*", f"{line} AS line")
 
 
 def rows_to_lines(
     rows: DataFrame,
-    measurement: str | Column,
+    measurement: str,
     fields: list[str],
-    tags: Column | None = None,
-    epoch: Column | None = None,
+    tags: str = NO_TAGS,
+    epoch: str | None = None,
     precision: str | None = None,
 ) -> DataFrame:
-    """Render any rows, several fields each; field texts follow the column types."""
-    texts = {name: field_text(F.col(name), rows.schema[name].dataType) for name in fields}
-    name = measurement if isinstance(measurement, Column) else F.lit(measurement)
-    own = F.create_map().cast("map<string,string>") if tags is None else tags
+    """Render any rows, several fields each; field texts follow the column types.
+
+    ``measurement`` is a plain text, ``tags`` and ``epoch`` are SQL expressions.
+    """
+    texts = {name: field_text(f"`{name}`", rows.schema[name].dataType) for name in fields}
     time = None if epoch is None else time_in_precision(epoch, precision)
-    return rows.withColumn("line", render_line(name, own, texts, time))
+    return rows.selectExpr("*", f"{render_line(literal(measurement), tags, texts, time)} AS line")

@@ -11,7 +11,7 @@ the whole parse would run twice, once to test and once to project.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from tallyweir.functions import upstreams as U
 from tallyweir.functions.buckets import bucket_of
@@ -73,12 +73,14 @@ REQUEST_COLUMNS = (
     "contacts",
 )
 
-_LISTS = ("server", "status", "response", "connect", "header")
-_LIST_FIELDS = dict(zip(_LISTS, LINE_FIELDS[10:]))
+# The upstream lists: the name of an entry in a contact, and the field it comes from.
+_LISTS = dict(zip(("server", "status", "response", "connect", "header"), LINE_FIELDS[10:]))
+_TIMES = ("response", "connect", "header")
+_CHECKED = ("status", *_TIMES)
 
 
 def parse_lines(
-    lines: DataFrame, bucket_duration: int = 60, late_before: float | Column = 0.0, line: str = "value"
+    lines: DataFrame, bucket_duration: int = 60, late_before: float = 0.0, line: str = "value"
 ) -> DataFrame:
     """Parse the text column ``line``; other columns pass through.
 
@@ -86,97 +88,97 @@ def parse_lines(
     not strictly after ``late_before``.  ``contacts`` is NULL for a request
     without upstream, otherwise one struct of still textual entries per contact.
     """
-    kept = [F.col(c) for c in lines.columns]
-    fields = lines.select(*kept, F.split(F.col(line), FIELD_SEPARATOR).alias("_fields"))
-
-    typed = fields.select(*kept, *_typed_fields())
-    listed = typed.withColumns(
-        {f"_{name}_list": U.split_contacts(F.col(f"_{field}")) for name, field in _LIST_FIELDS.items()}
+    kept = [f"`{c}`" for c in lines.columns]
+    plain = ("vhost", "protocol", "loctag", "status", "bytes_sent", "gzip_ratio", "request_length", "request_time")
+    carried = [*kept, "_version", "_width", "msec", *plain, "_gzip_ratio", "_request_time"]
+    lists = [f"_{name}_list" for name in _LISTS]
+
+    return (
+        lines.selectExpr(*kept, rf"split(`{line}`, r'{FIELD_SEPARATOR}') AS _fields")
+        .selectExpr(*kept, *_typed_fields())
+        .selectExpr(
+            *[c for c in carried if c != "msec"],
+            f"CASE WHEN abs(_msec) <= {LAST_SECOND!r}D THEN _msec END AS msec",
+            "_server",
+            *[f"{U.split_contacts(f'_{name}')} AS _{name}_list" for name in _LISTS],
+        )
+        .selectExpr(*carried, "_server", *lists, f"least({', '.join(f'array_size({c})' for c in lists)}) AS _kept")
+        .selectExpr(*carried, "_server", f"{_zipped()} AS contacts")
+        .selectExpr(*carried, "_server", "contacts", *[f"array_join(contacts.{name}, ', ') AS _{name}" for name in _CHECKED])
+        .selectExpr(
+            *kept,
+            "msec",
+            f"{bucket_of('msec', bucket_duration)} AS bucket",
+            *plain,
+            f"CASE WHEN _server IS NOT NULL THEN {U.servers_contacted('_server')} END AS servers_contacted",
+            f"CASE WHEN _server IS NOT NULL THEN {U.internal_redirects('_server')} END AS internal_redirects",
+            "array_size(contacts) AS upstreams_servers",
+            "contacts",
+            f"{_reason(late_before)} AS reason",
+        )
     )
-    counted = listed.withColumn("upstreams_servers", F.least(*[F.size(f"_{n}_list") for n in _LISTS]))
-    return counted.select(
-        *kept,
-        *[F.col(c) for c in REQUEST_COLUMNS if c not in ("servers_contacted", "internal_redirects", "contacts")],
-        F.when(F.col("_upstream_addr").isNotNull(), U.servers_contacted(F.col("_upstream_addr"))).alias(
-            "servers_contacted"
-        ),
-        F.when(F.col("_upstream_addr").isNotNull(), U.internal_redirects(F.col("_upstream_addr"))).alias(
-            "internal_redirects"
-        ),
-        _contacts().alias("contacts"),
-        _reason(late_before).alias("reason"),
-    ).withColumn("bucket", bucket_of(F.col("msec"), bucket_duration))
-
-
-def _typed_fields() -> list[Column]:
-    text = {name: F.get("_fields", F.lit(i)) for i, name in enumerate(LINE_FIELDS)}
-    has_upstream = text["upstream_addr"] != U.NONE_MARKER
-    lists = dict(text, upstream_header_time=F.regexp_replace(text["upstream_header_time"], r"[\r\n]+$", ""))
-    return [
-        text["version"].alias("_version"),
-        F.size("_fields").alias("_width"),
-        decimal_number(text["msec"], LAST_SECOND).alias("msec"),
-        F.lit(None).cast("bigint").alias("bucket"),
-        text["vhost"].alias("vhost"),
-        text["protocol"].alias("protocol"),
-        text["loctag"].alias("loctag"),
-        integer(text["status"], "int").alias("status"),
-        integer(text["bytes_sent"]).alias("bytes_sent"),
-        decimal_number(text["gzip_ratio"]).alias("gzip_ratio"),
-        text["gzip_ratio"].alias("_gzip_ratio"),
-        integer(text["request_length"]).alias("request_length"),
-        decimal_number(text["request_time"]).alias("request_time"),
-        text["request_time"].alias("_request_time"),
-        *[F.when(has_upstream, lists[field]).alias(f"_{field}") for field in _LIST_FIELDS.values()],
-    ]
 
 
-def _contacts() -> Column:
-    kept = F.col("upstreams_servers")
-    return F.arrays_zip(*[F.slice(F.col(f"_{n}_list"), F.lit(1), kept).alias(n) for n in _LISTS])
+def _typed_fields() -> list[str]:
+    at = {name: f"get(_fields, {i})" for i, name in enumerate(LINE_FIELDS)}
+    # the last field keeps the line end where the reader leaves it
+    lists = {**at, "upstream_header_time": f"trim(TRAILING '\\r\\n' FROM {at['upstream_header_time']})"}
+    return [
+        f"{at['version']} AS _version",
+        "array_size(_fields) AS _width",
+        f"{decimal_number(at['msec'])} AS _msec",
+        *[f"{at[name]} AS {name}" for name in ("vhost", "protocol", "loctag")],
+        f"{integer(at['status'], 'INT')} AS status",
+        f"{integer(at['bytes_sent'])} AS bytes_sent",
+        f"{decimal_number(at['gzip_ratio'])} AS gzip_ratio",
+        f"{at['gzip_ratio']} AS _gzip_ratio",
+        f"{integer(at['request_length'])} AS request_length",
+        f"{decimal_number(at['request_time'])} AS request_time",
+        f"{at['request_time']} AS _request_time",
+        *[
+            f"CASE WHEN {at['upstream_addr']} <> '{U.NONE_MARKER}' THEN {lists[field]} END AS _{name}"
+            for name, field in _LISTS.items()
+        ],
+    ]
 
 
-def _reason(late_before: float | Column) -> Column:
-    col = F.col
-    kept = col("upstreams_servers")
+def _zipped() -> str:
+    # A lambda keeps this step out of whole-stage code generation, on purpose: the steps
+    # before and after it then compile to methods small enough for the JIT, which the
+    # whole parse in a single method is not.
+    entries = ", ".join(f"'{name}', get(_{name}_list, i)" for name in _LISTS)
+    return f"transform(slice(_server_list, 1, _kept), (server, i) -> named_struct({entries}))"
 
-    def bad_list(name: str, check) -> Column:
-        return ~check(col(f"_{_LIST_FIELDS[name]}"), col(f"_{name}_list"), kept)
 
-    bad_upstream = (
-        bad_list("status", U.valid_statuses)
-        | bad_list("response", U.valid_times)
-        | bad_list("connect", U.valid_times)
-        | bad_list("header", U.valid_times)
-    )
-    absent = F.lit(U.NONE_MARKER)
+def _reason(late_before: float) -> str:
+    valid_lists = " AND ".join([U.valid_statuses("_status"), *[f"({U.valid_times(f'_{t}')})" for t in _TIMES]])
     failed = {
-        "bad_version": col("_version") != LINE_VERSION,
-        "bad_msec": (col("_width") > 1) & col("msec").isNull(),
-        "late": col("msec") <= late_before,
-        "short_line": col("_width") < len(LINE_FIELDS),
-        "bad_status": col("status").isNull(),
-        "bad_bytes_sent": col("bytes_sent").isNull(),
-        "bad_request_length": col("request_length").isNull(),
-        "bad_gzip_ratio": col("gzip_ratio").isNull() & (col("_gzip_ratio") != absent),
-        "bad_request_time": col("request_time").isNull() & (col("_request_time") != absent),
-        "bad_upstream": col("_upstream_addr").isNotNull() & bad_upstream,
+        "bad_version": f"_version <> '{LINE_VERSION}'",
+        "bad_msec": "_width > 1 AND msec IS NULL",
+        "late": f"msec <= {float(late_before)!r}D",
+        "short_line": f"_width < {len(LINE_FIELDS)}",
+        "bad_status": "status IS NULL",
+        "bad_bytes_sent": "bytes_sent IS NULL",
+        "bad_request_length": "request_length IS NULL",
+        "bad_gzip_ratio": f"gzip_ratio IS NULL AND _gzip_ratio <> '{U.NONE_MARKER}'",
+        "bad_request_time": f"request_time IS NULL AND _request_time <> '{U.NONE_MARKER}'",
+        "bad_upstream": f"contacts IS NOT NULL AND NOT ({valid_lists})",
     }
-    return F.coalesce(*[F.when(failed[name], F.lit(name)) for name in REJECT_REASONS])
+    cases = " ".join(f"WHEN {failed[name]} THEN '{name}'" for name in REJECT_REASONS)
+    return f"CASE {cases} END"
 
 
-def keep_where(df: DataFrame, condition: Column) -> DataFrame:
+def keep_where(df: DataFrame, condition: str) -> DataFrame:
     """Rows where ``condition`` is true, without copying its inputs below the projections."""
-    once = F.explode(F.when(condition, F.array(F.lit(1)))).alias("_once")
-    return df.select("*", once).drop("_once")
+    return df.selectExpr("*", f"explode(CASE WHEN {condition} THEN array(1) END) AS _once").drop("_once")
 
 
 def accepted(parsed: DataFrame) -> DataFrame:
     """The requests: every line that passed all checks."""
-    return keep_where(parsed, F.col("reason").isNull()).drop("reason")
+    return keep_where(parsed, "reason IS NULL").drop("reason")
 
 
 def rejected(parsed: DataFrame, line: str = "value") -> DataFrame:
     """The skipped lines with their reason, the other columns passed through."""
     passed_through = [c for c in parsed.columns if c not in (*REQUEST_COLUMNS, "reason", line)]
-    return keep_where(parsed.select(*passed_through, line, "reason"), F.col("reason").isNotNull())
+    return keep_where(parsed.select(*passed_through, line, "reason"), "reason IS NOT NULL")

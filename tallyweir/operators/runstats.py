@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from dataclasses import asdict, dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from tallyweir.operators.points import rows_to_lines
+from tallyweir.operators.points import NO_TAGS, rows_to_lines
 
 MEASUREMENT = "run_stats"
 # The fields of the statistics point.
@@ -52,7 +52,7 @@ def stats_frame(spark: SparkSession, stats: RunStats) -> DataFrame:
     return spark.createDataFrame([asdict(stats)], STATS_SCHEMA)
 
 
-def stats_lines(stats: DataFrame, tags: Column | None = None, precision: str = "m") -> DataFrame:
+def stats_lines(stats: DataFrame, tags: str = NO_TAGS, precision: str = "m") -> DataFrame:
     """The statistics rendered as text in ``line``."""
     present = [f for f in STATS_FIELDS if f in stats.columns]
-    return rows_to_lines(stats, MEASUREMENT, present, tags, F.col("epoch"), precision)
+    return rows_to_lines(stats, MEASUREMENT, present, tags, "epoch", precision)

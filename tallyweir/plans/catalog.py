@@ -8,13 +8,13 @@ from functools import partial
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyweir.functions.buckets import bucket_time
-from tallyweir.operators.contacts import contact_rows, request_summary
+from tallyweir.operators.contacts import TIMES, contact_rows, request_summary
 from tallyweir.operators.flat_contacts import flat_contact_means, flat_contact_statuses
 from tallyweir.operators.increment import advance_marks, baseline, closed_partials, open_partials
 from tallyweir.operators.metrics import GRAIN_TAGS, METRICS, metric, metrics_wide
 from tallyweir.operators.outbox import replayed, retained
-from tallyweir.operators.partials import REQUEST, partial_metrics
-from tallyweir.operators.points import point_value, points_from_partials, static_tags, to_lines, with_tags
+from tallyweir.operators.partials import CONTACT_SUMS, REQUEST, partial_metrics, sums_of
+from tallyweir.operators.points import POINT_VALUE, points_from_partials, static_tags, tags_from, to_lines, with_tags
 from tallyweir.operators.requests import accepted, parse_lines, rejected
 from tallyweir.operators.runstats import stats_frame, stats_lines
 from tallyweir.options import RunOptions
@@ -25,6 +25,7 @@ from tallyweir.plans.inputs import (
     access_log_by_host,
     access_log_of,
     order_contacts,
+    spread,
     table,
 )
 from tallyweir.sources.logs import cap_lines, read_log
@@ -41,8 +42,12 @@ POINT_KEYS = ("vhost", "protocol", "loctag", "upstream", "status", "value_i", "v
 RUN_OPTIONS = RunOptions(bucket_duration=BUCKET_DURATION, lookback_factor=LOOKBACK, skip_to_end=False)
 
 
-def _time(bucket: str = "bucket") -> Column:
-    return bucket_time(F.col(bucket), BUCKET_DURATION).alias("time")
+def _time() -> Column:
+    return F.expr(f"{bucket_time('bucket', BUCKET_DURATION)} AS time")
+
+
+def _day() -> Column:
+    return F.expr(bucket_time("bucket", ORDER_BUCKET_DURATION))
 
 
 def _requests(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,9 +92,8 @@ def upstream_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def upstream_request_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    servers = _requests(spark, sf_dir).select("event_id", F.inline(request_summary()))
-    shown = F.transform("statuses", lambda s: F.concat(s["status"], F.lit("x"), s["n"].cast("string")))
-    return servers.withColumn("statuses", F.array_join(shown, " "))
+    shown = F.expr("array_join(transform(statuses, s -> concat(s.status, 'x', s.n)), ' ')")
+    return request_summary(_requests(spark, sf_dir), "event_id").withColumn("statuses", shown)
 
 
 def bucket_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,24 +164,20 @@ def per_contact_upstreams(spark: SparkSession, sf_dir: str) -> DataFrame:
     sums = (
         partials.where("kind = 'contact'")
         .groupBy("source", "bucket", *BASE_KEYS, "upstream")
-        .agg(*[F.sum(n).alias(n) for n in ("contact_hits", *METRIC_SUMS)])
+        .agg(*sums_of(*CONTACT_SUMS))
     )
-    means = [METRICS[f"upstreams_{k}_time_mean"].value().alias(f"{k}_time_mean") for k in KINDS]
+    means = [F.expr(f"{METRICS[f'upstreams_{t}_time_mean'].value} AS {t}_time_mean") for t in TIMES]
     return sums.select(_time(), *BASE_KEYS, "upstream", F.col("contact_hits").alias("contacts"), *means)
 
 
-KINDS = ("response", "connect", "header")
-METRIC_SUMS = tuple(f"{kind}_{part}" for kind in KINDS for part in ("us", "n"))
-
-
 def order_contacts_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     means = flat_contact_means(order_contacts(spark, sf_dir))
-    return means.withColumn("time", bucket_time(F.col("bucket"), ORDER_BUCKET_DURATION)).drop("bucket")
+    return means.withColumn("time", _day()).drop("bucket")
 
 
 def order_contacts_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = flat_contact_statuses(order_contacts(spark, sf_dir))
-    return hits.withColumn("time", bucket_time(F.col("bucket"), ORDER_BUCKET_DURATION)).drop("bucket")
+    return hits.withColumn("time", _day()).drop("bucket")
 
 
 # -- points and text ---------------------------------------------------------
@@ -187,14 +187,14 @@ def points_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _points(access_log(spark, sf_dir)).select("measurement", "time", *POINT_KEYS)
 
 
-def _host_tags() -> Column:
-    return static_tags({"host": F.split_part("source", F.lit("/"), F.lit(1)), "dc": ""})
+def _host_tags() -> str:
+    return tags_from({"host": "split_part(source, '/', 1)", "name": "source", "dc": "''"})
 
 
 def points_static_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     tagged = with_tags(_points(access_log_by_host(spark, sf_dir)), _host_tags())
-    pairs = F.transform(F.array_sort(F.map_entries("tags")), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
-    return tagged.select("measurement", "time", F.array_join(pairs, ",").alias("tags"), point_value().alias("value"))
+    pairs = "array_join(transform(array_sort(map_entries(tags)), e -> concat(e.key, '=', e.value)), ',')"
+    return tagged.selectExpr("measurement", "time", f"{pairs} AS tags", f"{POINT_VALUE} AS value")
 
 
 def line_protocol(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -258,7 +258,7 @@ def _published(points: DataFrame) -> DataFrame:
 
 def increment_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All lines in two runs, before and from 2024-01-16; open buckets go over into the second."""
-    events = table(spark, sf_dir, "events")
+    events = spread(table(spark, sf_dir, "events"))
     runs = MetricsRuns(spark, shared_folder(spark, "runs"), RUN_OPTIONS)
     runs.run(access_log_of(events.where("ts < TIMESTAMP_NTZ '2024-01-16 00:30:00'")))
     runs.run(access_log_of(events.where("ts >= TIMESTAMP_NTZ '2024-01-16 00:30:00'")))

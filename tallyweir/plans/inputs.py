@@ -8,97 +8,95 @@ from integer and string expressions, so other engines print the same lines.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from tallyweir.session import tune
 
 BUCKET_DURATION = 3600
 ORDER_BUCKET_DURATION = 86_400
 LOG_SOURCE = "access.log"
+EVENT_COLUMNS = ("event_id", "ts", "user_id", "event_type", "value")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     # the zone-less times of the tables are read as UTC
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    tune(spark).conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a table of fewer splits than cores; larger tables are left as they are, unshuffled."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``event_id``, ``user_id``, ``source`` and the log line as ``value``."""
-    return access_log_of(table(spark, sf_dir, "events"))
+    return access_log_of(spread(table(spark, sf_dir, "events").select(*EVENT_COLUMNS)))
 
 
 def access_log_of(events: DataFrame) -> DataFrame:
-    return events.select("event_id", "user_id", F.lit(LOG_SOURCE).alias("source"), _line().alias("value"))
+    return events.selectExpr("event_id", "user_id", f"'{LOG_SOURCE}' AS source", f"{_line()} AS value")
 
 
 def access_log_by_host(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same lines as the logs of three hosts."""
-    host = F.concat(F.lit("web"), (F.col("user_id") % 3).cast("string"))
-    return access_log(spark, sf_dir).withColumn("source", F.concat(host, F.lit("/access.log")))
-
+    return access_log(spark, sf_dir).withColumn("source", F.expr("concat('web', user_id % 3, '/access.log')"))
 
-def _every(n: int) -> Column:
-    return F.col("event_id") % n == 0
 
+def _padded(number: str) -> str:
+    return f"lpad(string({number}), 3, '0')"
 
-def _padded(number: Column) -> Column:
-    return F.lpad(number.cast("string"), 3, "0")
 
+def _line() -> str:
+    us = "unix_micros(cast(ts AS TIMESTAMP))"
+    a, b = "concat('10.0.0.', user_id % 4, ':80')", "concat('10.0.1.', user_id % 3, ':81')"
+    t = f"concat('0.', {_padded('event_id * 13 % 1000')})"
 
-def _line() -> Column:
-    event, user, case = F.col("event_id"), F.col("user_id"), F.col("event_id") % 5
-    kind = F.col("event_type")
-    t = F.concat(F.lit("0."), _padded(event * 13 % 1000))
-    a = F.concat(F.lit("10.0.0."), (user % 4).cast("string"), F.lit(":80"))
-    b = F.concat(F.lit("10.0.1."), (user % 3).cast("string"), F.lit(":81"))
-
-    seconds = F.expr("unix_micros(cast(ts AS timestamp)) div 1000000")
-    millis = F.expr("unix_micros(cast(ts AS timestamp)) % 1000000 div 1000")
-    hour = F.expr("unix_micros(cast(ts AS timestamp)) div 3600000000 * 3600")
-
-    def by_case(none: str, one, two, three, four) -> Column:
-        return F.when(case == 0, none).when(case == 1, one).when(case == 2, two).when(case == 3, three).otherwise(four)
-
-    def joined(*parts) -> Column:
-        return F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
+    def by_case(none: str, one: str, two: str, three: str, four: str) -> str:
+        return (
+            f"CASE event_id % 5 WHEN 0 THEN {none} WHEN 1 THEN {one} WHEN 2 THEN {two} "
+            f"WHEN 3 THEN {three} ELSE {four} END"
+        )
 
     fields = [
-        F.when(_every(97), "2").otherwise("1"),
-        F.when(_every(101), "xxx")
-        .when(_every(107), joined(hour.cast("string"), ".000"))
-        .otherwise(joined(seconds.cast("string"), ".", _padded(millis))),
-        joined("site", (user % 7).cast("string"), ".example"),
-        F.when(user % 2 == 0, "s").otherwise("-"),
-        F.when(kind.isin("view", "click"), kind).otherwise("-"),
-        F.when(_every(127), "abc")
-        .when(kind == "view", "200")
-        .when(kind == "click", "302")
-        .when(kind == "purchase", "201")
-        .when(kind == "signup", "404")
-        .otherwise("502"),
-        F.when(_every(131), "12.5").otherwise(F.round(F.col("value") * 100).cast("bigint").cast("string")),
-        F.when(_every(137), "1.5d").when(_every(3), joined("1.", (event % 10).cast("string"))).otherwise("-"),
-        (event % 900 + 100).cast("string"),
-        F.when(_every(109), "-").otherwise(joined("0.", _padded(event * 7 % 1000))),
-        by_case("-", a, joined(a, ", ", b), joined(a, " : ", b), joined(a, ", ", a)),
-        by_case("-", "200", "502, 200", "200 : 200", "502, 200"),
-        F.when(_every(103), "x0.1").otherwise(
-            by_case("-", t, joined(t, ", 0.010"), joined(t, " : 0.010"), joined(t, ", 0.020"))
-        ),
-        by_case("-", "0.001", "0.001, -", "0.001 : 0.002", "0.001, -"),
-        F.when(_every(4), "-").otherwise(by_case("-", t, "-, 0.008", joined(t, " : 0.009"), "-, 0.008")),
+        "CASE WHEN event_id % 97 = 0 THEN '2' ELSE '1' END",
+        f"CASE WHEN event_id % 101 = 0 THEN 'xxx' "
+        f"WHEN event_id % 107 = 0 THEN concat({us} div 3600000000 * 3600, '.000') "
+        f"ELSE concat({us} div 1000000, '.', {_padded(f'{us} % 1000000 div 1000')}) END",
+        "concat('site', user_id % 7, '.example')",
+        "CASE WHEN user_id % 2 = 0 THEN 's' ELSE '-' END",
+        "CASE WHEN event_type IN ('view', 'click') THEN event_type ELSE '-' END",
+        "CASE WHEN event_id % 127 = 0 THEN 'abc' ELSE CASE event_type WHEN 'view' THEN '200' WHEN 'click' THEN '302' "
+        "WHEN 'purchase' THEN '201' WHEN 'signup' THEN '404' ELSE '502' END END",
+        "CASE WHEN event_id % 131 = 0 THEN '12.5' ELSE string(bigint(round(value * 100))) END",
+        "CASE WHEN event_id % 137 = 0 THEN '1.5d' WHEN event_id % 3 = 0 THEN concat('1.', event_id % 10) ELSE '-' END",
+        "string(100 + event_id % 900)",
+        f"CASE WHEN event_id % 109 = 0 THEN '-' ELSE concat('0.', {_padded('event_id * 7 % 1000')}) END",
+        by_case("'-'", a, f"concat({a}, ', ', {b})", f"concat({a}, ' : ', {b})", f"concat({a}, ', ', {a})"),
+        by_case("'-'", "'200'", "'502, 200'", "'200 : 200'", "'502, 200'"),
+        "CASE WHEN event_id % 103 = 0 THEN 'x0.1' ELSE "
+        + by_case("'-'", t, f"concat({t}, ', 0.010')", f"concat({t}, ' : 0.010')", f"concat({t}, ', 0.020')")
+        + " END",
+        by_case("'-'", "'0.001'", "'0.001, -'", "'0.001 : 0.002'", "'0.001, -'"),
+        "CASE WHEN event_id % 4 = 0 THEN '-' ELSE "
+        + by_case("'-'", t, "'-, 0.008'", f"concat({t}, ' : 0.009')", "'-, 0.008'")
+        + " END",
     ]
-    return F.when(_every(113), "1|1704067432.824|short").otherwise(F.concat_ws("|", *fields))
+    return (
+        "CASE WHEN event_id % 113 = 0 THEN '1|1704067432.824|short' "
+        f"ELSE concat_ws('|', {', '.join(fields)}) END"
+    )
 
 
 def order_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contacts of requests in relational form: request, bucket, upstream, status, response seconds."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_returnflag", "l_quantity")
-    seconds = F.unix_seconds(F.col("o_orderdate").cast("timestamp"))
-    return items.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        F.col("l_orderkey").alias("request"),
-        F.ceil(seconds / F.lit(ORDER_BUCKET_DURATION)).alias("bucket"),
-        F.col("l_suppkey").cast("string").alias("upstream"),
-        F.col("l_returnflag").alias("status"),
-        (F.col("l_quantity") / 1000).alias("response"),
+    return items.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).selectExpr(
+        "l_orderkey AS request",
+        f"ceil(unix_seconds(cast(o_orderdate AS TIMESTAMP)) / {ORDER_BUCKET_DURATION}) AS bucket",
+        "string(l_suppkey) AS upstream",
+        "l_returnflag AS status",
+        "l_quantity / 1000 AS response",
     )

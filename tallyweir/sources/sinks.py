@@ -7,6 +7,8 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tallyweir.operators.points import POINT_VALUE
+
 DEFAULT_BATCH_SIZE = 500
 
 
@@ -18,9 +20,8 @@ def write_points(points: DataFrame, path: str, mode: str = "overwrite") -> None:
 def register_measurements(spark: SparkSession, path: str, measurements: list[str], prefix: str = "") -> None:
     """One view per measurement over a points table, to be queried by name; each reads its own folder only."""
     points = spark.read.parquet(path)
-    value = F.coalesce(F.col("value_i").cast("double"), F.col("value_d")).alias("value")
     for name in measurements:
-        view = points.where(F.col("measurement") == name).select("*", value).drop("value_i", "value_d")
+        view = points.where(F.col("measurement") == name).selectExpr("*", f"{POINT_VALUE} AS value")
         view.createOrReplaceTempView(prefix + name)
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyweir.functions.buckets import bucket_end
-from tallyweir.operators.partials import PARTIAL_KEYS, SUMS, contributions_of, with_source
+from tallyweir.operators.partials import PARTIAL_KEYS, SUMS, contributions_of, sums_of, with_source
 from tallyweir.operators.points import points_from_partials
 from tallyweir.operators.requests import parse_lines
 from tallyweir.options import RunOptions
@@ -43,11 +43,11 @@ def closed_bucket_stream(lines: DataFrame, options: RunOptions) -> DataFrame:
     delay = f"{options.lookback_factor * options.bucket_duration} seconds"
     keys = [name for name in PARTIAL_KEYS if name != "bucket"]
     return (
-        rows.withColumn("bucket_end", bucket_end(F.col("bucket"), options.bucket_duration))
+        rows.selectExpr("*", f"{bucket_end('bucket', options.bucket_duration)} AS bucket_end")
         .withWatermark("bucket_end", delay)
         .groupBy("bucket_end", *keys)
-        .agg(*[F.sum(name).alias(name) for name in SUMS])
-        .withColumn("bucket", (F.unix_seconds("bucket_end") / options.bucket_duration).cast("bigint"))
+        .agg(*sums_of(*SUMS))
+        .selectExpr("*", f"unix_seconds(bucket_end) div {options.bucket_duration} AS bucket")
     )
 
 
