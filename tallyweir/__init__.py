@@ -2,14 +2,14 @@
 
 from tallyweir.operators.metrics import METRICS, metric, metrics_wide
 from tallyweir.operators.partials import line_counts, partial_metrics, skip_counts
-from tallyweir.operators.points import points_from_partials, static_tags, to_lines, with_tags
+from tallyweir.operators.points import points_from_partials, static_tags, tagged_to_lines, to_lines, with_tags
 from tallyweir.operators.requests import accepted, parse_lines, rejected
 from tallyweir.options import OptionMismatch, RunOptions
 from tallyweir.session import tune
 from tallyweir.sources.logs import cap_lines, read_log, stream_log
 from tallyweir.sources.scratch import written
 from tallyweir.streaming.runs import MetricsRuns, stream_runs
-from tallyweir.streaming.watermarked import start_closed_buckets
+from tallyweir.streaming.watermarked import closed_bucket_points, start_closed_buckets
 
 __all__ = [
     "METRICS",
@@ -18,6 +18,7 @@ __all__ = [
     "RunOptions",
     "accepted",
     "cap_lines",
+    "closed_bucket_points",
     "line_counts",
     "metric",
     "metrics_wide",
@@ -31,6 +32,7 @@ __all__ = [
     "static_tags",
     "stream_log",
     "stream_runs",
+    "tagged_to_lines",
     "to_lines",
     "tune",
     "with_tags",

@@ -13,6 +13,9 @@ from pyspark.sql import types as T
 UNITS_PER_SECOND = {"n": 1_000_000_000, "u": 1_000_000, "ms": 1_000, "s": 1}
 SECONDS_PER_UNIT = {"m": 60, "h": 3_600}
 
+_SPECIAL = r"([\\ ,=])"
+_MARKED = r"\\$1"
+
 
 def literal(text: str) -> str:
     """SQL literal of any text."""
@@ -21,11 +24,9 @@ def literal(text: str) -> str:
 
 
 def escape_name(text: str) -> str:
-    """Escape a measurement, tag name or field name; the backslash goes first."""
-    for special in ("\\", " ", ",", "=", "\n"):
-        shown = "\\n" if special == "\n" else "\\" + special
-        text = f"replace({text}, {literal(special)}, {literal(shown)})"
-    return text
+    """Escape a measurement, tag name or field name: backslash, blank, comma, equals sign, newline."""
+    marked = f"regexp_replace({text}, {literal(_SPECIAL)}, {literal(_MARKED)})"
+    return f"replace({marked}, {literal(chr(10))}, {literal(chr(92) + 'n')})"
 
 
 def escape_tag_value(text: str) -> str:
@@ -74,6 +75,17 @@ def tag_part(tags: str) -> str:
     return f"array_join(transform({shown}, e -> {part}), '')"
 
 
+def known_tag_part(tags: Mapping[str, str]) -> str:
+    """The same for tags whose names are known beforehand, each given as a text expression."""
+    parts = [
+        f"CASE WHEN {value} <> '' THEN concat(',', {escape_name(literal(name))}, '=', {escape_tag_value(value)}) "
+        "ELSE '' END"
+        for name, value in sorted(tags.items())
+        if name
+    ]
+    return f"concat({', '.join(parts)})" if parts else "''"
+
+
 def field_part(fields: Mapping[str, str]) -> str:
     """`` name=text,...`` in name order from ready field texts; empty when all are absent."""
     named = [f"concat({escape_name(literal(name))}, '=', {text})" for name, text in sorted(fields.items()) if name]
@@ -82,8 +94,8 @@ def field_part(fields: Mapping[str, str]) -> str:
 
 
 def render_line(measurement: str, tags: str, fields: Mapping[str, str], time: str | None = None) -> str:
-    """One line: measurement and tags, fields, and a time already in the wanted precision."""
-    parts = [escape_name(measurement), tag_part(tags), field_part(fields)]
+    """One line: measurement, a ready tag part, fields, and a time already in the wanted precision."""
+    parts = [escape_name(measurement), tags, field_part(fields)]
     if time is not None:
         parts.append(f"coalesce(concat(' ', string(bigint({time}))), '')")
     return f"concat({', '.join(parts)})"

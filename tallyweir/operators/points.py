@@ -12,14 +12,20 @@ from tallyweir.functions.lineprotocol import (
     field_text,
     float_field,
     integer_field,
+    known_tag_part,
     literal,
     render_line,
+    tag_part,
     time_in_precision,
 )
 from tallyweir.operators.metrics import BASE_TAGS, METRICS, published_value, rolled_up, with_gzip_presence
 
 TAG_COLUMNS = (*BASE_TAGS, "upstream", "status")
 POINT_COLUMNS = ("source", "measurement", "bucket", "epoch", "time", *TAG_COLUMNS, "value_i", "value_d")
+POINT_SCHEMA = (
+    "source string, bucket bigint, epoch bigint, time string, vhost string, protocol string, loctag string, "
+    "upstream string, status string, value_i bigint, value_d double, measurement string"
+)
 
 # The value of a point as DOUBLE, whichever column holds it.
 POINT_VALUE = "coalesce(double(value_i), value_d)"
@@ -105,13 +111,32 @@ def check_precision(bucket_duration: int, precision: str) -> bool:
     return True
 
 
-def to_lines(tagged: DataFrame, precision: str = "m", bucket_duration: int | None = None) -> DataFrame:
-    """Render tagged points; other columns stay, the text is in ``line``."""
+def to_lines(
+    points: DataFrame,
+    shared: Mapping[str, str] | None = None,
+    precision: str = "m",
+    bucket_duration: int | None = None,
+) -> DataFrame:
+    """Render points; other columns stay, the text is in ``line``.
+
+    ``shared`` holds more tags as SQL expressions; the point's own tags win over them.
+    As all names are known, no map is built.
+    """
+    own = {**(shared or {}), **{name: name for name in TAG_COLUMNS}}
+    return _rendered(points, known_tag_part(own), precision, bucket_duration)
+
+
+def tagged_to_lines(tagged: DataFrame, precision: str = "m", bucket_duration: int | None = None) -> DataFrame:
+    """Render points whose tags are in the map column ``tags``."""
+    return _rendered(tagged, tag_part("tags"), precision, bucket_duration)
+
+
+def _rendered(points: DataFrame, tags: str, precision: str, bucket_duration: int | None) -> DataFrame:
     if bucket_duration is not None:
         check_precision(bucket_duration, precision)
     value = f"coalesce({integer_field('value_i')}, {float_field('value_d')})"
-    line = render_line("measurement", "tags", {"value": value}, time_in_precision("epoch", precision))
-    return tagged.selectExpr("*", f"{line} AS line")
+    line = render_line("measurement", tags, {"value": value}, time_in_precision("epoch", precision))
+    return points.selectExpr("*", f"{line} AS line")
 
 
 def rows_to_lines(
@@ -128,4 +153,4 @@ def rows_to_lines(
     """
     texts = {name: field_text(f"`{name}`", rows.schema[name].dataType) for name in fields}
     time = None if epoch is None else time_in_precision(epoch, precision)
-    return rows.selectExpr("*", f"{render_line(literal(measurement), tags, texts, time)} AS line")
+    return rows.selectExpr("*", f"{render_line(literal(measurement), tag_part(tags), texts, time)} AS line")

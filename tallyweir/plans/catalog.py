@@ -32,7 +32,7 @@ from tallyweir.sources.logs import cap_lines, read_log
 from tallyweir.sources.scratch import shared_folder, written
 from tallyweir.sources.sinks import batch_bodies, register_measurements, write_points
 from tallyweir.streaming.runs import MetricsRuns, stream_runs
-from tallyweir.streaming.watermarked import start_closed_buckets
+from tallyweir.streaming.watermarked import closed_bucket_points, start_closed_buckets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -187,19 +187,18 @@ def points_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _points(access_log(spark, sf_dir)).select("measurement", "time", *POINT_KEYS)
 
 
-def _host_tags() -> str:
-    return tags_from({"host": "split_part(source, '/', 1)", "name": "source", "dc": "''"})
+HOST_TAGS = {"host": "split_part(source, '/', 1)", "name": "source", "dc": "''"}
 
 
 def points_static_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tagged = with_tags(_points(access_log_by_host(spark, sf_dir)), _host_tags())
+    tagged = with_tags(_points(access_log_by_host(spark, sf_dir)), tags_from(HOST_TAGS))
     pairs = "array_join(transform(array_sort(map_entries(tags)), e -> concat(e.key, '=', e.value)), ',')"
     return tagged.selectExpr("measurement", "time", f"{pairs} AS tags", f"{POINT_VALUE} AS value")
 
 
 def line_protocol(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tagged = with_tags(_points(access_log_by_host(spark, sf_dir)), _host_tags())
-    return to_lines(tagged, "m", BUCKET_DURATION).select("line")
+    points = _points(access_log_by_host(spark, sf_dir))
+    return to_lines(points, HOST_TAGS, "m", BUCKET_DURATION).select("line")
 
 
 def line_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -275,7 +274,7 @@ def stream_closed_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Points of the buckets that the watermark closes."""
     folder = shared_folder(spark, "stream")
     start_closed_buckets(_event_stream(spark, sf_dir), folder, RUN_OPTIONS).awaitTermination()
-    return _published(spark.read.parquet(f"{folder}/points/batch=*"))
+    return _published(closed_bucket_points(spark, folder))
 
 
 def streamed_runs(spark: SparkSession, sf_dir: str) -> DataFrame:

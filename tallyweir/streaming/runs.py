@@ -26,7 +26,7 @@ from tallyweir.operators.increment import (
     open_partials,
 )
 from tallyweir.operators.partials import SUMS, add_up, contributions, line_counts
-from tallyweir.operators.points import points_from_partials
+from tallyweir.operators.points import POINT_SCHEMA, points_from_partials
 from tallyweir.operators.runstats import RunStats
 from tallyweir.options import RunOptions
 from tallyweir.sources.logs import cap_lines
@@ -37,11 +37,6 @@ PARTIALS_SCHEMA = (
     "source string, kind string, bucket bigint, vhost string, protocol string, loctag string, upstream string, "
     "status string, lines bigint, " + ", ".join(f"{name} bigint" for name in SUMS) + ", last_msec double"
 )
-POINTS_SCHEMA = (
-    "source string, bucket bigint, epoch bigint, time string, vhost string, protocol string, loctag string, "
-    "upstream string, status string, value_i bigint, value_d double, run bigint, measurement string"
-)
-
 # Gets the points of one delivery; raising means that they were not delivered.
 PointSink = Callable[[DataFrame], None]
 
@@ -110,8 +105,7 @@ class MetricsRuns:
 
     def points(self, *run_ids: int) -> DataFrame:
         """Published points of the given runs, or of all."""
-        # without the committed runs' folders there is nothing to read
-        points = self.spark.read.schema(POINTS_SCHEMA).parquet(f"{self.folder}/points")
+        points = self.spark.read.schema(f"{POINT_SCHEMA}, run bigint").parquet(f"{self.folder}/points")
         return points.where(F.col("run").isin(list(run_ids))) if run_ids else points
 
     # -- runs ----------------------------------------------------------------

@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tallyweir.functions.buckets import bucket_end
 from tallyweir.operators.partials import PARTIAL_KEYS, SUMS, contributions_of, sums_of, with_source
-from tallyweir.operators.points import points_from_partials
+from tallyweir.operators.points import POINT_SCHEMA, points_from_partials
 from tallyweir.operators.requests import parse_lines
 from tallyweir.options import RunOptions
 from tallyweir.sources.sinks import write_points
@@ -76,7 +76,7 @@ def start_closed_buckets(
         target = f"{folder}/points/batch={batch_id}"
         write_points(points, target)
         if sink is not None:
-            sink(batch.sparkSession.read.schema(points.schema).parquet(target), batch_id)
+            sink(batch.sparkSession.read.schema(POINT_SCHEMA).parquet(target), batch_id)
 
     writer = (
         closed_bucket_stream(lines, options)
@@ -89,6 +89,11 @@ def start_closed_buckets(
         return writer.start()
 
 
+def closed_bucket_points(spark: SparkSession, folder: str) -> DataFrame:
+    """All points published to ``folder`` so far, with the number of their ``batch``."""
+    return spark.read.schema(f"{POINT_SCHEMA}, batch bigint").parquet(f"{folder.rstrip('/')}/points")
+
+
 @contextmanager
 def _state_on_disk(spark: SparkSession) -> Iterator[None]:
     """Start a query with the state store that spills to disk, unless the session chose one."""
