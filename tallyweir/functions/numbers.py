@@ -11,7 +11,7 @@ from __future__ import annotations
 INTEGER_PATTERN = r"[+-]?\d{1,18}"
 DECIMAL_PATTERN = r"[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?"
 # Decimals as logs write them, surely below LARGEST_NUMBER.
-PLAIN_DECIMAL_PATTERN = r"[+-]?(?:\d{1,12}\.?\d*|\.\d+)"
+PLAIN_DECIMAL_PATTERN = r"[+-]?(?:\d{1,12}(?:\.\d*)?|\.\d+)"
 
 # Above this, a value in micro-units no longer fits a BIGINT.
 LARGEST_NUMBER = 9.0e12

@@ -124,6 +124,8 @@ def test_null_markers(lines_of):
         (line(gzip_ratio=""), "bad_gzip_ratio"),
         (line(request_time="xxx"), "bad_request_time"),
         (line(request_time="1e15"), "bad_request_time"),
+        (line(request_time="9999999999999"), "bad_request_time"),
+        (line(msec="253402300800"), "bad_msec"),
         (upstream_line("A", status="xxx"), "bad_upstream"),
         (upstream_line("A", status=""), "bad_upstream"),
         (upstream_line("A", status="20x"), "bad_upstream"),
