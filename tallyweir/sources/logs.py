@@ -55,6 +55,9 @@ def cap_lines(lines: DataFrame, max_lines: int) -> DataFrame:
     """
     if not max_lines:
         return lines
+    missing = {"source", "file", "block", "seq"} - set(lines.columns)
+    if missing:
+        raise ValueError(f"a cap needs the place of each line, as read_log gives it; missing: {sorted(missing)}")
     block_keys = ["source", "file", "block"]
     counts = lines.groupBy(*block_keys).agg(F.count("*").alias("_n"))
     in_order = Window.partitionBy("source").orderBy("file", "block")

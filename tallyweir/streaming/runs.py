@@ -9,6 +9,7 @@ sent again, but are never lost.
 
 from __future__ import annotations
 
+import logging
 import time
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -32,6 +33,8 @@ from tallyweir.options import RunOptions
 from tallyweir.sources.logs import cap_lines
 from tallyweir.sources.sinks import write_points
 
+log = logging.getLogger(__name__)
+
 COMMIT_SCHEMA = "run_id bigint, slot int, bucket_duration int, lookback_factor int, undelivered array<bigint>"
 PARTIALS_SCHEMA = (
     "source string, kind string, bucket bigint, vhost string, protocol string, loctag string, upstream string, "
@@ -121,9 +124,9 @@ class MetricsRuns:
             return None
         if last is not None:
             self._check_options(last)
-        slot = 0 if last is None else 1 - last.slot
-        if last is None and newest is not None:
-            slot = 1 - self._newest_commit_row()["slot"]
+        # the slot of the newest commit stays untouched until this run commits
+        current = self._newest_commit_row()
+        slot = 0 if current is None else 1 - current["slot"]
 
         capped = cap_lines(lines, options.max_lines)
         if last is None and options.skip_to_end:
@@ -203,7 +206,7 @@ class MetricsRuns:
         try:
             self.sink(points)
         except Exception as error:  # whatever the caller's sink raises, the points stay
-            print(f"points not delivered, kept for a later run: {error}")
+            log.warning("points not delivered, kept for a later run: %s", error)
             return False
         return True
 

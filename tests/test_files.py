@@ -52,6 +52,11 @@ def test_cap_inside_a_block(spark):
         assert got["often"] == [i for i in range(100) if i % 3][:cap]
 
 
+def test_cap_needs_the_place_of_lines(spark):
+    with pytest.raises(ValueError, match="block"):
+        cap_lines(spark.sql("SELECT 'a' AS source, 'b' AS value"), 5)
+
+
 def twelve_lines(spark, partitions=1):
     return spark.range(0, 12, 1, partitions).selectExpr("concat('l', id) AS line")
 
