@@ -8,11 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyweir.llm.bpe import encode_decode
+from tallyweir.llm.langid import held_out, identify
 from tallyweir.llm.packing import pack
 from tallyweir.llm.shared import table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 END_ID = 2
 
 
@@ -28,9 +30,15 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return identify(docs, PIECE_VOCABULARY).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op6_bpe": op6_bpe,
+    "op9_langid": op9_langid,
 }
 
 
