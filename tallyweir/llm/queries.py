@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyweir.llm.bpe import encode_decode
 from tallyweir.llm.langid import held_out, identify
+from tallyweir.llm.minhash import near_duplicates
 from tallyweir.llm.packing import pack
 from tallyweir.llm.shared import table
 
@@ -24,6 +25,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "group_id", "kept")
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents"), BYTE_TOKENIZER).selectExpr(
         "doc_id", "n_tokens", "sha2(ids, 256) AS ids_sha256", "sha2(decoded, 256) AS decoded_sha256"
@@ -37,6 +42,7 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op4_minhash": op4_minhash,
     "op6_bpe": op6_bpe,
     "op9_langid": op9_langid,
 }

@@ -36,11 +36,11 @@ def stored(frame: DataFrame, purpose: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
-def slices(texts: list[str], limit: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
-    """Ranges of whole texts of about ``limit`` characters, so that a task's memory does not follow its batch."""
+def slices(texts: list[str], limit: int = SLICE_CHARS, most: int = 4096) -> Iterator[tuple[int, int]]:
+    """Ranges of whole texts, ``most`` of about ``limit`` characters, so that a task's memory does not follow its batch."""
     start = size = 0
     for i, text in enumerate(texts):
-        if size and size + len(text) > limit:
+        if i > start and (size + len(text) > limit or i - start == most):
             yield start, i
             start, size = i, 0
         size += len(text)
