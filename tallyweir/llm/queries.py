@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyweir.llm.bpe import encode_decode
+from tallyweir.llm.forest import vector_groups
 from tallyweir.llm.langid import held_out, identify
 from tallyweir.llm.minhash import near_duplicates
 from tallyweir.llm.packing import pack
@@ -40,11 +41,16 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, PIECE_VOCABULARY).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op10_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_groups(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op4_minhash": op4_minhash,
     "op6_bpe": op6_bpe,
     "op9_langid": op9_langid,
+    "op10_forest": op10_forest,
 }
 
 
