@@ -11,6 +11,7 @@ from tallyweir.llm.bpe import encode_decode
 from tallyweir.llm.forest import vector_groups
 from tallyweir.llm.langid import held_out, identify
 from tallyweir.llm.minhash import near_duplicates
+from tallyweir.llm.neighbours import nearest
 from tallyweir.llm.packing import pack
 from tallyweir.llm.shared import table
 
@@ -26,6 +27,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0")
+
+
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "group_id", "kept")
 
@@ -47,6 +52,7 @@ def op10_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_neighbours": op2_neighbours,
     "op4_minhash": op4_minhash,
     "op6_bpe": op6_bpe,
     "op9_langid": op9_langid,
