@@ -16,10 +16,13 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from tallyweir.llm.bpe import byte_letters
 from tallyweir.llm.shared import slices
 
 MAX_LENGTH = 4096
-KNOWN_CHUNKS = 300_000
+KNOWN_CHUNKS = 900_000
+# The tokenizer's pattern.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 # Characters that Python takes for white space and the tokenizer does not, and what may start a special token.
 _APART = re.compile("[\x1c-\x1f]|<\\|")
 # Sequence ids of one task start at the number of its partition times this.
@@ -27,39 +30,57 @@ _TASK_IDS = 1 << 40
 
 
 class ChunkEncoder:
-    """Token ids of texts for a tokenizer that drops white space.
+    """Token ids of texts for a lower-casing tokenizer that drops white space.
 
-    Its pieces never span white space, so a text is encoded chunk by chunk and chunks are remembered,
-    ``known`` of them at most.  Texts with special tokens or unusual separators go to the tokenizer whole.
+    Its pieces never span white space, so a text is encoded chunk by chunk, and chunks and the words in them
+    are remembered, ``known`` of them at most.  In chunks of plain Latin letters the words are found here and
+    given to the tokenizer's merges alone; other chunks go through the whole tokenizer, and so do texts with
+    special tokens or unusual separators.
     """
 
     def __init__(self, path: str, known: int = KNOWN_CHUNKS):
+        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.known, self.limit = {}, known
+        self.merges = self.tokenizer.model.tokenize
+        self.words = regex.compile(WORD_PATTERN)
+        self.letters = str.maketrans({chr(b): c for b, c in enumerate(byte_letters())})
+        self.known, self.limit = Known(self._chunk), known
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids as little-endian unsigned 32-bit integers."""
-        apart = [bool(_APART.search(text)) for text in texts]
-        chunks = [[] if a else text.split() for a, text in zip(apart, texts)]
         if len(self.known) > self.limit:
             self.known.clear()
-        new = list({c for own in chunks for c in own if c not in self.known})
-        for i in range(0, len(new), 20_000):
-            some = new[i : i + 20_000]
-            self.known.update(zip(some, map(_packed, self.tokenizer.encode_batch_fast(some, add_special_tokens=False))))
-        known = self.known.__getitem__
-        return [
-            _packed(self.tokenizer.encode(text, add_special_tokens=False)) if a else b"".join(map(known, own))
-            for a, text, own in zip(apart, texts, chunks)
-        ]
-
-
-def _packed(encoding) -> bytes:
-    return np.array(encoding.ids, dtype="<u4").tobytes()
+        look = self.known.__getitem__
+        return [b"".join(map(look, text.split())) if not _APART.search(text) else self._whole(text) for text in texts]
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _chunk(self, chunk: str) -> bytes:
+        # Below this, letters are composed already and each has its own lower case.
+        if max(chunk) >= "\u0180" or "\u0130" in chunk:
+            return self._whole(chunk)
+        lowered = chunk.lower()
+        words = self.words.findall(lowered)
+        if words != [chunk]:
+            return b"".join(map(self.known.__getitem__, words))
+        word = chunk if chunk.isascii() and chunk.isalpha() else chunk.encode().decode("latin-1").translate(self.letters)
+        return np.array([t.id for t in self.merges(word)], dtype="<u4").tobytes()
+
+
+class Known(dict):
+    """Remembers what ``make`` gives for a key."""
+
+    def __init__(self, make):
+        self.make = make
+
+    def __missing__(self, key):
+        value = self[key] = self.make(key)
+        return value
 
 
 @lru_cache(maxsize=2)
