@@ -14,6 +14,7 @@ from tallyweir.llm.minhash import near_duplicates
 from tallyweir.llm.neighbours import nearest
 from tallyweir.llm.packing import pack
 from tallyweir.llm.shared import table
+from tallyweir.llm.tokencounts import token_counts
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -35,6 +36,10 @@ def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "group_id", "kept")
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), PIECE_VOCABULARY)
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents"), BYTE_TOKENIZER).selectExpr(
         "doc_id", "n_tokens", "sha2(ids, 256) AS ids_sha256", "sha2(decoded, 256) AS decoded_sha256"
@@ -54,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_neighbours": op2_neighbours,
     "op4_minhash": op4_minhash,
+    "op5_token_counts": op5_token_counts,
     "op6_bpe": op6_bpe,
     "op9_langid": op9_langid,
     "op10_forest": op10_forest,
