@@ -13,6 +13,7 @@ from tallyweir.llm.langid import held_out, identify
 from tallyweir.llm.minhash import near_duplicates
 from tallyweir.llm.neighbours import nearest
 from tallyweir.llm.packing import pack
+from tallyweir.llm.pii import pseudonymised
 from tallyweir.llm.shared import table
 from tallyweir.llm.tokencounts import token_counts
 
@@ -20,6 +21,8 @@ WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 END_ID = 2
+# The queries run under a fixed key, so that results can be compared; a user passes a secret one.
+PSEUDONYM_KEY = b"key of the registered queries"
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,6 +49,11 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pseudonymised(docs, PSEUDONYM_KEY, details=True).selectExpr("doc_id", "text", "bigint(size(found)) AS n_found")
+
+
 def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return identify(docs, PIECE_VOCABULARY).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
@@ -61,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_minhash": op4_minhash,
     "op5_token_counts": op5_token_counts,
     "op6_bpe": op6_bpe,
+    "op8_pii": op8_pii,
     "op9_langid": op9_langid,
     "op10_forest": op10_forest,
 }

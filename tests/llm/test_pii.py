@@ -1,0 +1,114 @@
+from __future__ import annotations
+
+import datetime as dt
+import random
+import re
+
+import pytest
+
+from tallyweir.llm.pii import Pseudonyms, iban_rest, luhn, pseudonymised, valid_ssn
+from tallyweir.llm.queries import PSEUDONYM_KEY, op8_pii
+
+P = Pseudonyms(b"k")
+
+
+@pytest.mark.parametrize("size", [2, 3, 10, 97, 1000, 4097])
+def test_feistel_permutes_and_can_be_undone(size):
+    moved = [P.permuted(v, size, "t") for v in range(size)]
+    assert sorted(moved) == list(range(size))
+    assert [P.restored(v, size, "t") for v in moved] == list(range(size))
+    if size > 90:
+        assert moved != [P.permuted(v, size, "u") for v in range(size)] != [Pseudonyms(b"l").permuted(v, size, "u") for v in range(size)]
+
+
+def with_check(head):
+    return next(head + d for d in "0123456789" if luhn(head + d) == 0)
+
+
+VALUES = {
+    "email": ["anna.b34@mail7.example.com", "ñandú+x_9@sub.example.org", "A.B@EXAMPLE.COM"],
+    "secret": ["9233a8ecf7c5b09fe5949719b6b82bc439e9329b", "9233A8ECF7C5B09FE5949719B6B82BC439E9329B"],
+    "iban": ["DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432"],
+    "ip": ["141.73.119.60", "8.8.8.8"],
+    "date": ["2024-02-29", "31.12.1999", "1/2/2003", "12/31/2003", "2001/1/5"],
+    "ssn": ["123-45-6789"],
+    "phone": ["+1 (017) 555-7713", "+49 30 1234567", "(212) 555-0199", "212-555-0199", "+4915112345678"],
+    "card": ["4111 1111 1111 1111", "3782-822463-10005"],
+    "number": ["9807915762804490", with_check("555555555555444"), "123456789"],
+}
+
+
+@pytest.mark.parametrize("kind", VALUES)
+def test_pseudonyms_keep_format_and_validity(kind):
+    for value in VALUES[kind]:
+        for text in (f"see {value}, twice {value}!! é", f"{value}", f"({value})###"):
+            out, found = P.replaced(text)
+            assert {f.kind for f in found} == {kind} and value not in out, (text, out)
+            new = found[0].pseudonym
+            assert {f.pseudonym for f in found} == {new} and out == text.replace(value, new)
+            shape = lambda s: re.sub(r"[A-Z]", "A", re.sub(r"[^\W\dA-Z_]", "a", re.sub(r"\d", "9", s)))
+            if kind not in ("ip", "secret", "date"):
+                assert shape(new) == shape(value)
+            # the pseudonym is a value of the same kind
+            assert [f.kind for f in P.replaced(new)[1]] == [kind]
+        if kind == "iban":
+            assert iban_rest(new.replace(" ", "")) == 1
+        if kind == "card":
+            assert luhn(re.sub(r"\D", "", new)) == 0
+        if kind == "ssn":
+            assert valid_ssn(new.replace("-", ""))
+    assert luhn(P.replaced(VALUES["number"][1])[1][0].pseudonym) == 0
+    assert P.replaced("A.B@EXAMPLE.COM")[0] == P.replaced("a.b@example.com")[0].upper()
+
+
+def test_dates_are_permuted():
+    days = [dt.date(1990, 1, 1) + dt.timedelta(i) for i in range(3000)]
+    for form in ("%Y-%m-%d", "%d.%m.%Y", "%m/%d/%Y"):
+        new = [P.replaced(d.strftime(form))[0] for d in days]
+        assert len(set(new)) == len(days)
+        assert all(dt.datetime.strptime(n, form).strftime(form) == n for n in new)
+
+
+@pytest.mark.parametrize(
+    "text", ["", "no values", "version 3.14, 42 and 2024", "999.1.1.1", "2023-02-30", "4111 1111 1111 1112", "DE00 3704 0044 0532 0130 00", "000-12-3456", "x@y", "12345678", "١٢٣٤٥٦٧٨٩٠"]
+)
+def test_other_text_stays(text):
+    assert P.replaced(text) == (text, [])
+
+
+def test_values_beside_invalid_ones():
+    out, found = P.replaced("4845168114407329 12 AB12 3456 2353820953013749 4550997810720808")
+    assert [f.kind for f in found].count("number") >= 2 and "4845168114407329" not in out and "4550997810720808" not in out
+
+
+def test_rows(spark):
+    rows = [(1, None, "a"), (2, "", "b"), (None, "mail a.b@c.de", "c"), (3, "mail a.b@c.de", "d"), (3, "mail a.b@c.de", "d"), (4, "w " * 60_000 + "8.8.8.8", "e")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, found string")
+    got = pseudonymised(docs, b"k").collect()
+    assert sorted(map(str, ((r.doc_id, r.text, r.found) for r in got))) == sorted(str((i, t and P.replaced(t)[0], f)) for i, t, f in rows)
+    detailed = pseudonymised(docs, b"k", details=True).collect()
+    assert sorted(len(r.found) for r in detailed) == [0, 0, 1, 1, 1, 1]
+    assert detailed[0].asDict().keys() == {"doc_id", "text", "found"}
+    for r in detailed:
+        for f in r.found:
+            assert f.pseudonym in r.text and f.end > f.start
+    assert pseudonymised(docs.limit(0), b"k").count() == 0
+
+
+def test_query_leaves_no_value_and_other_text_alone(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    private = re.compile(r"[\w.+-]+@[\w.-]+\w|\b[0-9]{16}\b|\+1 \([0-9]{3}\) [0-9]{3}-[0-9]{4}|\b[0-9]{1,3}(?:\.[0-9]{1,3}){3}\b")
+    hidden = random.Random(1)
+    pseudonyms = Pseudonyms(PSEUDONYM_KEY)
+    touched = 0
+    for r in op8_pii(spark, sf_dir).collect():
+        text = docs.pop(r.doc_id)
+        values = private.findall(text)
+        assert not any(re.search(rf"(?<!\w){re.escape(v)}(?!\w)", r.text) for v in values)
+        touched += bool(values)
+        if not re.search(r"[0-9@]", text):
+            assert r.text == text and r.n_found == 0
+        if hidden.random() < 0.2:
+            assert r.text == pseudonyms.replaced(text)[0]
+    assert not docs and touched > 20
