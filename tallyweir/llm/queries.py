@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyweir.llm.bpe import encode_decode
 from tallyweir.llm.forest import vector_groups
+from tallyweir.llm import html
 from tallyweir.llm.langid import held_out, identify
 from tallyweir.llm.minhash import near_duplicates
 from tallyweir.llm.neighbours import nearest
@@ -49,6 +50,11 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html.extract(pages, html.fit(pages))
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return pseudonymised(docs, PSEUDONYM_KEY, details=True).selectExpr("doc_id", "text", "bigint(size(found)) AS n_found")
@@ -69,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_minhash": op4_minhash,
     "op5_token_counts": op5_token_counts,
     "op6_bpe": op6_bpe,
+    "op7_html": op7_html,
     "op8_pii": op8_pii,
     "op9_langid": op9_langid,
     "op10_forest": op10_forest,
