@@ -8,7 +8,7 @@ looks beyond; what else there is of white space is cut so that this holds.
 
 from __future__ import annotations
 
-import heapq
+import contextlib
 import json
 import re
 from collections import Counter
@@ -21,85 +21,51 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from tallyweir.llm.automaton import Automaton, compiled
-from tallyweir.llm.shared import slices
+from tallyweir.llm.shared import slices, stored
 
 LEXICON_WORDS = 65_536
 LONGEST_LEXICON_WORD = 64
-KNOWN_WORDS = 200_000
+KNOWN_WORDS = 600_000
 # The tokenizer's pattern.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # A space between characters that are no white space: no match of the pattern spans the place before it.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-# What ``str.split(" ")`` would cut elsewhere, and separators that only Python takes for white space.
-_IRREGULAR = re.compile("^ | $| \\s|\\s |[\x1c-\x1f]")
 
 
 def cut(text: str) -> list[str]:
     """The words of a text; all but the first have lost the space before them."""
-    if not text:
-        return []
-    return _CUT.split(text) if _IRREGULAR.search(text) else text.split(" ")
+    return _CUT.split(text) if text else []
+
+
+def regular(word: str) -> bool:
+    """Whether cutting at every space has cut a word where ``cut`` does."""
+    return bool(word) and not word[0].isspace() and not word[-1].isspace()
 
 
 class Merger:
-    """Exact merges by the ranks of a tokenizer file, and exact decoding."""
+    """Exact merges of words by the tokenizer, and exact decoding."""
 
     def __init__(self, path: str):
         import regex
+        from tokenizers import Tokenizer
 
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
         with open(path, encoding="utf-8") as file:
             content = json.load(file)
-        self.vocabulary = content["model"]["vocab"]
-        self.ranks = {tuple(m.split(" ") if isinstance(m, str) else m): i for i, m in enumerate(content["model"]["merges"])}
-        self.special = {t["content"]: t["id"] for t in content["added_tokens"]}
+        self.special = [t["content"] for t in content["added_tokens"]]
         self.pattern = regex.compile(PATTERN)
-        self.letters = byte_letters()
-        back = {letter: byte for byte, letter in enumerate(self.letters)}
-        self.pieces = {i: bytes(back[c] for c in piece) for piece, i in self.vocabulary.items()}
-        self.pieces.update((i, t.encode("utf-8")) for t, i in self.special.items())
+        letters = byte_letters()
+        self.letters = str.maketrans({chr(b): c for b, c in enumerate(letters)})
+        back = {letter: byte for byte, letter in enumerate(letters)}
+        self.pieces = {i: bytes(back[c] for c in piece) for piece, i in content["model"]["vocab"].items()}
+        self.pieces.update((t["id"], t["content"].encode("utf-8")) for t in content["added_tokens"])
 
     def ids(self, text: str) -> list[int]:
         """Ids of a text without special tokens."""
-        out: list[int] = []
-        for token in self.pattern.findall(text):
-            out += self.merged("".join(self.letters[b] for b in token.encode("utf-8")))
-        return out
-
-    def merged(self, token: str) -> list[int]:
-        own = self.vocabulary.get(token)
-        if own is not None and len(token) == 1:
-            return [own]
-        parts = list(token)
-        return [self.vocabulary[p] for p in (self._short(parts) if len(parts) <= 32 else self._long(parts))]
-
-    def _short(self, parts: list[str]) -> list[str]:
-        ranks = self.ranks
-        while len(parts) > 1:
-            best, at = min((ranks.get(pair, 1 << 30), i) for i, pair in enumerate(zip(parts, parts[1:])))
-            if best == 1 << 30:
-                break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return parts
-
-    def _long(self, parts: list[str]) -> list[str]:
-        """The same merges for tokens of any length, with a heap of pairs over a linked list."""
-        ranks, n = self.ranks, len(parts)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        queue = [(ranks[p], i, *p) for i, p in enumerate(zip(parts, parts[1:])) if p in ranks]
-        heapq.heapify(queue)
-        while queue:
-            _, i, left, right = heapq.heappop(queue)
-            j = after[i]
-            if parts[i] != left or j >= n or parts[j] != right:
-                continue
-            parts[i], parts[j] = left + right, ""
-            after[i] = after[j]
-            if after[i] < n:
-                before[after[i]] = i
-            for a, b in ((before[i], i), (i, after[i])):
-                if a >= 0 and b < n and (parts[a], parts[b]) in ranks:
-                    heapq.heappush(queue, (ranks[parts[a], parts[b]], a, parts[a], parts[b]))
-        return [p for p in parts if p]
+        merge = self.tokenizer.model.tokenize
+        return [t.id for token in self.pattern.findall(text) for t in merge(token.encode("utf-8").decode("latin-1").translate(self.letters))]
 
 
 def byte_letters() -> list[str]:
@@ -113,40 +79,39 @@ def byte_letters() -> list[str]:
 
 
 class Encoder:
-    """Encodes texts with the lexicon and, for other words, with a merger; remembers some merged words."""
+    """Encodes texts with the lexicon and, for other words, with a merger; remembers ``known`` words at most."""
 
     def __init__(self, path: str, lexicon: bytes, known: int = KNOWN_WORDS):
         self.merger = _merger(path)
         self.lexicon = Automaton.mapped(lexicon)
         self.known, self.limit = {}, known
-        special = sorted(self.merger.special, key=len, reverse=True)
-        self.special = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
+        self.special = re.compile("|".join(map(re.escape, self.merger.special)) or "(?!)")
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids as little-endian unsigned 32-bit integers; special tokens in a text become their ids."""
-        cuts = [cut(text) if not (self.special and self.special.search(text)) else None for text in texts]
-        table = self._table(list(set(chain.from_iterable(c[1:] for c in cuts if c))))
-        look = table.__getitem__
-        out = []
-        for text, own in zip(texts, cuts):
-            if own is None:
-                ids = chain.from_iterable([self.merger.special[t]] if t in self.merger.special else self.merger.ids(t) for t in self.special.split(text))
-                out.append(_packed(list(ids)))
-            else:
-                out.append(_packed(self.merger.ids(own[0])) + b"".join(map(look, own[1:])) if own else b"")
-        return out
-
-    def _table(self, words: list[str]) -> dict[str, bytes]:
-        places = self.lexicon.places([(" " + w).encode("utf-8") for w in words])
         if len(self.known) > self.limit:
             self.known.clear()
-        table = {}
-        for word, place in zip(words, places.tolist()):
-            ids = self.lexicon.output(place) if place >= 0 else self.known.get(word)
-            if ids is None:
-                ids = self.known[word] = _packed(self.merger.ids(" " + word))
-            table[word] = ids
-        return table
+        words = [text.split(" ") for text in texts]
+        self._learn(set(chain.from_iterable(words)).difference(self.known))
+        return [self._encoded(text, own) for text, own in zip(texts, words)]
+
+    def _encoded(self, text: str, words: list[str]) -> bytes:
+        if self.special.search(text):
+            return _packed(self.merger.tokenizer.encode(text, add_special_tokens=False).ids)
+        known = self.known.__getitem__
+        if regular(words[0]):
+            with contextlib.suppress(TypeError):  # words that are cut otherwise have no ids
+                return _packed(self.merger.ids(words[0])) + b"".join(map(known, words[1:]))
+        words = cut(text)
+        self._learn(set(words[1:]).difference(self.known))
+        ids = [known(w) if regular(w) else _packed(self.merger.ids(" " + w)) for w in words[1:]]
+        return _packed(self.merger.ids(words[0])) + b"".join(ids) if words else b""
+
+    def _learn(self, words: set[str]) -> None:
+        new = list(words)
+        ids, output = self.merger.ids, self.lexicon.output
+        for word, place in zip(new, self.lexicon.places([(" " + w).encode("utf-8") for w in new]).tolist()):
+            self.known[word] = output(place) if place >= 0 else _packed(ids(" " + word)) if regular(word) else None
 
     def decode(self, ids: bytes) -> str:
         return b"".join(map(self.merger.pieces.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
@@ -161,31 +126,38 @@ def _merger(path: str) -> Merger:
     return Merger(path)
 
 
-def frequent_words(docs: DataFrame, size: int = LEXICON_WORDS, longest: int = LONGEST_LEXICON_WORD) -> DataFrame:
-    """The most frequent words of all texts, ties in the order of the words; counted in the tasks before the shuffle."""
+def word_counts(docs: DataFrame) -> DataFrame:
+    """``word``, ``n`` of the words of all texts that follow a single space, counted in the tasks before the shuffle."""
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts: Counter = Counter()
         for batch in batches:
             for text in batch["text"]:
-                counts.update(w for w in cut(text)[1:] if len(w) <= longest) if text else None
+                counts.update(text.split(" ")[1:] if text else ())
                 if len(counts) > 500_000:
                     yield _counts(counts)
                     counts = Counter()
         yield _counts(counts)
 
-    return (
-        docs.select("text")
-        .mapInPandas(counted, "word string, n bigint")
-        .groupBy("word")
-        .agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "word")
-        .limit(size)
-    )
+    return docs.select("text").mapInPandas(counted, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def _counts(counts: Counter) -> pd.DataFrame:
-    return pd.DataFrame({"word": list(counts), "n": list(counts.values())}, columns=["word", "n"]).astype({"word": object, "n": "int64"})
+    rows = [(word, n) for word, n in counts.items() if regular(word)]
+    return pd.DataFrame(rows, columns=["word", "n"]).astype({"word": object, "n": "int64"})
+
+
+def frequent_words(docs: DataFrame, size: int = LEXICON_WORDS, longest: int = LONGEST_LEXICON_WORD) -> list[str]:
+    """The words of all texts, none over ``longest`` characters, that occur oftenest: as many as fit into
+    ``size`` without telling apart words that occur equally often."""
+    counts = stored(word_counts(docs).where(f"char_length(word) <= {longest}"), "words")
+    fit, least = 0, 1
+    for n, words in sorted(counts.groupBy("n").count().collect(), reverse=True):
+        fit += words
+        if fit > size:
+            least = n + 1
+            break
+    return [r.word for r in counts.where(f"n >= {least}").select("word").collect()]
 
 
 def lexicon_of(words: list[str], tokenizer: str) -> bytes:
@@ -202,7 +174,7 @@ def encode_decode(docs: DataFrame, tokenizer: str, size: int = LEXICON_WORDS) ->
     rows.  The lexicon, at most ``size`` words of bounded length, is the only thing that passes the driver.
     """
     spark = docs.sparkSession
-    lexicon = spark.sparkContext.broadcast(lexicon_of([r.word for r in frequent_words(docs, size).collect()], tokenizer))
+    lexicon = spark.sparkContext.broadcast(lexicon_of(frequent_words(docs, size), tokenizer))
 
     def encoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = Encoder(tokenizer, lexicon.value)

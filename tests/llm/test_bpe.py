@@ -7,7 +7,7 @@ import numpy as np
 from tokenizers import Tokenizer
 
 from tallyweir.llm.automaton import Automaton, compiled
-from tallyweir.llm.bpe import Encoder, Merger, cut, encode_decode, frequent_words, lexicon_of
+from tallyweir.llm.bpe import Encoder, Merger, cut, encode_decode, frequent_words, lexicon_of, word_counts
 from tallyweir.llm.queries import BYTE_TOKENIZER, op6_bpe
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -60,14 +60,6 @@ def test_merges_and_cuts_equal_the_library():
         assert encoder.decode(ids) == tokenizer.decode(want, skip_special_tokens=False)
 
 
-def test_long_and_short_merges_agree():
-    random.seed(2)
-    merger = Merger(BYTE_TOKENIZER)
-    for _ in range(300):
-        token = "".join(random.choice("thean Ġsio") for _ in range(random.randint(1, 32))).replace(" ", "")
-        assert merger._short(list(token)) == merger._long(list(token))
-
-
 def test_rows(spark):
     rows = [(i, t, 1) for i, t in enumerate(TEXTS)] + [(None, "x y", 2), (4, "x y", 2), (4, "x y", 2), (5, None, 3)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, ids int")
@@ -82,8 +74,10 @@ def test_rows(spark):
 
 
 def test_frequent_words(spark):
-    docs = spark.createDataFrame([("a b b c c",), ("z c b",), (None,)], "text string")
-    assert [(r.word, r.n) for r in frequent_words(docs, 2).collect()] == [("b", 3), ("c", 3)]
+    docs = spark.createDataFrame([("a b b c c",), ("z c b x",), (None,)], "text string")
+    assert {r.word: r.n for r in word_counts(docs).collect()} == {"b": 3, "c": 3, "x": 1}
+    assert sorted(frequent_words(docs, 2)) == ["b", "c"] and frequent_words(docs, 1) == []
+    assert frequent_words(docs, 2, longest=0) == []
 
 
 def test_query(spark):
