@@ -17,6 +17,7 @@ from tallyweir.llm.packing import pack
 from tallyweir.llm.pii import pseudonymised
 from tallyweir.llm.shared import table
 from tallyweir.llm.tokencounts import token_counts
+from tallyweir.llm.urlfilter import derived_captures, derived_changes, intervals, judged
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -36,6 +37,12 @@ def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0")
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    found = judged(derived_captures(pages), intervals(derived_changes(pages)))
+    return found.withColumn("fetched", found["fetched"].cast("string"))
+
+
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "group_id", "kept")
 
@@ -72,6 +79,7 @@ def op10_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_neighbours": op2_neighbours,
+    "op3_url_filter": op3_url_filter,
     "op4_minhash": op4_minhash,
     "op5_token_counts": op5_token_counts,
     "op6_bpe": op6_bpe,
@@ -82,5 +90,50 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+_HOST = "^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
+_PATH = "^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*(/[^?#]*)?"
+
+# Written from the definitions: each capture against every entry, as DuckDB sees the dated changes.
+_URL_FILTER = f"""
+WITH captures AS (
+  SELECT page_id, url, DATE '2024-01-01' + CAST(coalesce((page_id * 7 % 366 + 366) % 366, 0) AS INTEGER) AS fetched,
+         rtrim(lower(regexp_extract(url, '{_HOST}', 1)), '.') AS host,
+         coalesce(nullif(regexp_extract(url, '{_PATH}', 1), ''), '/') AS path
+  FROM pages
+),
+hosts AS (SELECT DISTINCT host AS pattern FROM captures WHERE host <> ''),
+domains AS (SELECT DISTINCT regexp_extract(host, '([^.]*[.])?([^.]*[.])?[^.]*$') AS pattern FROM captures WHERE host <> ''),
+folders AS (
+  SELECT DISTINCT host || '/' || split_part(path, '/', 2) || '/' AS pattern
+  FROM captures WHERE host <> '' AND regexp_matches(path, '^/[^/]+/.')
+),
+numbered AS (
+  SELECT kind, pattern, CAST('0x' || substr(md5(pattern), 1, 7) AS BIGINT) AS n
+  FROM (SELECT 'host' AS kind, pattern FROM hosts UNION ALL SELECT 'domain', pattern FROM domains UNION ALL SELECT 'path', pattern FROM folders)
+),
+rules(list, verdict, kind, divisor, plus, listed) AS (
+  VALUES ('hosts', 'block', 'host', 3, 0, true), ('hosts', 'block', 'host', 6, 60, false), ('hosts', 'block', 'host', 12, 120, true),
+         ('domains', 'block', 'domain', 5, 30, true), ('trusted', 'allow', 'host', 7, 90, true), ('folders', 'block', 'path', 4, 45, true)
+),
+changes AS (
+  SELECT list, verdict, kind, pattern, DATE '2023-12-01' + CAST(n % 300 + plus AS INTEGER) AS day, listed
+  FROM numbered JOIN rules USING (kind) WHERE n % divisor = 0
+),
+valid AS (
+  SELECT *, lead(day) OVER (PARTITION BY list, verdict, kind, pattern ORDER BY day) AS until FROM changes
+),
+ranked AS (
+  SELECT c.page_id, v.verdict, v.list, v.kind, v.pattern,
+         row_number() OVER (PARTITION BY c.page_id ORDER BY v.verdict = 'allow' DESC,
+           CASE v.kind WHEN 'host' THEN 3 WHEN 'path' THEN 2 ELSE 1 END DESC, length(v.pattern) DESC, v.list, v.pattern) AS place
+  FROM captures c JOIN valid v ON v.listed AND v.day <= c.fetched AND (v.until IS NULL OR c.fetched < v.until)
+   AND CASE v.kind WHEN 'host' THEN v.pattern = c.host WHEN 'domain' THEN c.host = v.pattern OR ends_with(c.host, '.' || v.pattern)
+       ELSE c.host || c.path = v.pattern OR (ends_with(v.pattern, '/') AND starts_with(c.host || c.path, v.pattern)) END
+)
+SELECT c.page_id, c.url, CAST(c.fetched AS VARCHAR) AS fetched, coalesce(r.verdict, 'none') AS verdict, r.list, r.kind, r.pattern
+FROM captures c LEFT JOIN ranked r ON r.page_id = c.page_id AND r.place = 1
+"""
+
+
 def oracle_statements() -> dict[str, str]:
-    return {}
+    return {"op3_url_filter": _URL_FILTER}
