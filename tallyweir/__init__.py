@@ -4,7 +4,7 @@ from tallyweir.operators.metrics import METRICS, metric, metrics_wide
 from tallyweir.operators.partials import line_counts, partial_metrics, skip_counts
 from tallyweir.operators.points import points_from_partials, static_tags, tagged_to_lines, to_lines, with_tags
 from tallyweir.operators.requests import accepted, parse_lines, rejected
-from tallyweir.options import OptionMismatch, RunOptions
+from tallyweir.options import OptionMismatch, RunOptions, StateMismatch
 from tallyweir.session import tune
 from tallyweir.sources.logs import cap_lines, read_log, stream_log
 from tallyweir.sources.scratch import written
@@ -16,6 +16,7 @@ __all__ = [
     "MetricsRuns",
     "OptionMismatch",
     "RunOptions",
+    "StateMismatch",
     "accepted",
     "cap_lines",
     "closed_bucket_points",

@@ -108,4 +108,4 @@ def time_in_precision(epoch_seconds: str, precision: str | None = None) -> str:
         return f"bigint(floor({epoch_seconds} * {UNITS_PER_SECOND[precision]}))"
     if precision in SECONDS_PER_UNIT:
         return f"bigint(floor({epoch_seconds} / {SECONDS_PER_UNIT[precision]}))"
-    raise ValueError(f"Invalid precision: {precision}")
+    raise ValueError(f"a time precision is one of {sorted([*UNITS_PER_SECOND, *SECONDS_PER_UNIT])}, not {precision!r}")

@@ -16,21 +16,15 @@ from tallyweir.functions.numbers import (
 
 NONE_MARKER = "-"
 GROUP_SEPARATOR = ", "
+REDIRECT_SEPARATOR = " : "
 
 # Cutting at either separator in one left-to-right scan equals cutting at groups
 # first and at redirects second: where the two overlap, the comma comes first.
 EITHER_SEPARATOR = "(?:, | : )"
-# from the start of a group over a redirect to the end of that group
-_REDIRECTED_GROUP = "(?:^|, )(?:(?!, ).)* : (?:(?!, ).)*"
-
-
-def _list_of(entry: str) -> str:
-    return f"^(?:{entry})(?:{EITHER_SEPARATOR}(?:{entry}))*$"
-
-
-_STATUSES = _list_of(rf"\s*{INTEGER_PATTERN}\s*|-")
-_PLAIN_TIMES = _list_of(rf"\s*{PLAIN_DECIMAL_PATTERN}\s*|-|")
-_TIMES = _list_of(rf"\s*{DECIMAL_PATTERN}\s*|-|")
+# One entry each: lists are checked entry by entry, as a pattern over a whole list would nest with its length.
+_STATUS = rf"^(?:\s*{INTEGER_PATTERN}\s*|-)$"
+_PLAIN_TIME = rf"^(?:\s*{PLAIN_DECIMAL_PATTERN}\s*|-|)$"
+_TIME = rf"^\s*{DECIMAL_PATTERN}\s*$"
 
 
 def split_contacts(text: str) -> str:
@@ -45,19 +39,18 @@ def servers_contacted(addresses: str) -> str:
 
 def internal_redirects(addresses: str) -> str:
     """Number of address groups with at least one internal redirect."""
-    return f"regexp_count({addresses}, r'{_REDIRECTED_GROUP}')"
+    return f"size(filter(split({addresses}, '{GROUP_SEPARATOR}'), g -> contains(g, '{REDIRECT_SEPARATOR}')))"
 
 
-def valid_statuses(text: str) -> str:
-    """True when all statuses of a list are whole numbers or ``-``."""
-    return f"{text} RLIKE r'{_STATUSES}'"
+def valid_statuses(entries: str) -> str:
+    """True when all statuses of an array are whole numbers or ``-``."""
+    return f"forall({entries}, e -> e RLIKE r'{_STATUS}')"
 
 
-def valid_times(text: str) -> str:
-    """True when all times of a list are decimals in range, ``-`` or empty."""
-    numbers = f"try_cast(split({text}, '{EITHER_SEPARATOR}') AS ARRAY<DOUBLE>)"
-    in_range = f"array_max({numbers}) <= {LARGEST_NUMBER!r}D AND array_min({numbers}) >= -{LARGEST_NUMBER!r}D"
-    return f"CASE WHEN {text} RLIKE r'{_PLAIN_TIMES}' THEN true WHEN {text} RLIKE r'{_TIMES}' THEN {in_range} ELSE false END"
+def valid_times(entries: str) -> str:
+    """True when all times of an array are decimals in range, ``-`` or empty."""
+    number = f"abs(try_cast(e AS DOUBLE)) <= {LARGEST_NUMBER!r}D"
+    return f"forall({entries}, e -> e RLIKE r'{_PLAIN_TIME}' OR (e RLIKE r'{_TIME}' AND {number}))"
 
 
 def normal_status(text: str) -> str:

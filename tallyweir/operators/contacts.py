@@ -38,30 +38,32 @@ def explode_contacts(
     """
     if weighting not in WEIGHTINGS:
         raise ValueError(f"weighting must be one of {WEIGHTINGS}: {weighting!r}")
-    repeated = "size(contacts) > 1 AND size(array_distinct(contacts.server)) < size(contacts)"
+    servers = "contacts.server"
+    repeated = f"size(contacts) > 1 AND size(array_distinct({servers})) < size(contacts)"
     if weighting == "per_contact":
         repeated = "false"
-    exploded = parsed.selectExpr(
-        *keys, f"CASE WHEN {repeated} THEN contacts END AS _repeated", f"posexplode({rows}) AS (_at, _contact)"
+    # Worked out before the contacts become rows, which then carry two numbers and not each other.
+    # Requests without a repeated server, nearly all, skip the counts.
+    counted = f"transform(array_distinct({servers}), s -> size(filter({servers}, o -> o = s)))"
+    known = parsed.selectExpr(
+        "*",
+        f"CASE WHEN {repeated} THEN map_from_arrays(array_distinct({servers}), {counted}) END AS _met",
+        f"CASE WHEN {repeated} THEN transform(contacts, c -> concat(c.server, '|', {U.normal_status('c.status')})) END AS _pairs",
     )
-    # Requests without a repeated server, nearly all, skip the walk over the other contacts.
-    same = f"c.server = _contact.server AND {U.normal_status('c.status')} = {U.normal_status('_contact.status')}"
-    weighted = exploded.selectExpr(
-        *keys,
-        f"_at + {first} AS at",
-        "_contact",
-        "CASE WHEN _repeated IS NULL THEN 1L "
-        "ELSE bigint(size(filter(_repeated, c -> c.server = _contact.server))) END AS weight",
-        f"_repeated IS NOT NULL AND exists(slice(_repeated, 1, greatest(_at + {first} - 1, 0)), c -> {same}) AS _seen",
+    kept = [f"`{c}`" for c in parsed.columns if c != "contacts"]
+    numbered = (
+        "transform(contacts, (c, i) -> named_struct('entry', c, 'weight', bigint(coalesce(_met[c.server], 1)), "
+        "'again', coalesce(array_position(_pairs, _pairs[i]) <= i, false)))"
     )
-    return weighted.selectExpr(
+    exploded = known.selectExpr(*kept, f"{numbered} AS contacts").selectExpr(*keys, f"posexplode({rows}) AS (_at, _contact)")
+    return exploded.selectExpr(
         *keys,
-        "at",
-        "_contact.server AS upstream",
-        f"{U.normal_status('_contact.status')} AS upstream_status",
-        "weight",
-        "CASE WHEN _seen THEN 0L ELSE weight END AS status_hits",
-        *[f"{micros(U.time_value(f'_contact.{t}'))} AS {t}_us" for t in TIMES],
+        f"_at + {first} AS at",
+        "_contact.entry.server AS upstream",
+        f"{U.normal_status('_contact.entry.status')} AS upstream_status",
+        "_contact.weight AS weight",
+        "CASE WHEN _contact.again THEN 0L ELSE _contact.weight END AS status_hits",
+        *[f"{micros(U.time_value(f'_contact.entry.{t}'))} AS {t}_us" for t in TIMES],
     )
 
 

@@ -18,6 +18,8 @@ from tallyweir.functions.numbers import decimal_number
 from tallyweir.operators.partials import CONTACT, PARTIAL_COLUMNS, REQUEST, SKIP, with_source
 from tallyweir.operators.requests import FIELD_SEPARATOR, LAST_SECOND, REASONS_BEFORE_LATE
 
+# Reason of the lines of a source that the first run has only noted.
+BASELINE = "baseline"
 MARKS_SCHEMA = "source string, last_msec double, closed_through bigint"
 
 
@@ -61,25 +63,44 @@ def baseline(lines: DataFrame, bucket_duration: int, lookback_factor: int, line:
     )
 
 
-def label_late(partials: DataFrame, marks: DataFrame) -> DataFrame:
-    """Turn rows of closed buckets into skips with the reason ``late``.
+def label_skips(
+    partials: DataFrame, marks: DataFrame, last_bucket: int | None = None, skip_new_sources: bool = False
+) -> DataFrame:
+    """Turn rows into skips: ``late`` ones of closed buckets, ``future`` ones beyond ``last_bucket``, and with
+    ``skip_new_sources`` all others of sources without a mark, as ``baseline``.
 
-    Lateness is a property of source and bucket, so it is decided on the added-up rows.
+    All this is a property of source and bucket, so it is decided on the added-up rows.
     """
-    joined = partials.join(marks.select("source", "closed_through"), "source", "left")
+    joined = partials.join(marks.selectExpr("source", "closed_through", "true AS _known"), "source", "left")
     checked_first = ", ".join(f"'{reason}'" for reason in REASONS_BEFORE_LATE)
-    late = f"coalesce(bucket <= closed_through, false) AND NOT (kind = '{SKIP}' AND status IN ({checked_first}))"
+    unreadable = f"kind = '{SKIP}' AND status IN ({checked_first})"
+    reason = (
+        f"CASE WHEN {unreadable} AND (_known OR {not skip_new_sources}) THEN NULL "
+        f"WHEN bucket > {last_bucket if last_bucket is not None else 'NULL'} THEN 'future' "
+        f"WHEN _known IS NULL AND {skip_new_sources} THEN '{BASELINE}' "
+        "WHEN bucket <= closed_through THEN 'late' END"
+    )
     changed = {
         "source": "source",
         "bucket": "bucket",
         "lines": "lines",
-        "kind": f"if(_late, '{SKIP}', kind)",
-        "status": "if(_late, 'late', status)",
+        "kind": f"if(_reason IS NOT NULL, '{SKIP}', kind)",
+        "status": "coalesce(_reason, status)",
     }
     return (
-        joined.selectExpr(*PARTIAL_COLUMNS, f"{late} AS _late")
-        .where(f"NOT (_late AND kind = '{CONTACT}')")
-        .selectExpr(*[f"{changed.get(c, f'if(_late, NULL, {c})')} AS {c}" for c in PARTIAL_COLUMNS])
+        joined.selectExpr(*PARTIAL_COLUMNS, f"{reason} AS _reason")
+        .where(f"NOT (_reason IS NOT NULL AND kind = '{CONTACT}')")
+        .selectExpr(*[f"{changed.get(c, f'if(_reason IS NOT NULL, NULL, {c})')} AS {c}" for c in PARTIAL_COLUMNS])
+    )
+
+
+def baseline_marks(partials: DataFrame, bucket_duration: int, lookback_factor: int) -> DataFrame:
+    """Marks of the sources that a run has only noted: the next run starts with the bucket after the last one seen."""
+    ends = partials.where(f"kind = '{SKIP}' AND status = '{BASELINE}'").groupBy("source").agg(F.max("bucket").alias("bucket"))
+    return ends.selectExpr("source", "coalesce(bucket, 0) AS bucket").selectExpr(
+        "source",
+        f"double((bucket + {lookback_factor}) * {bucket_duration}) AS last_msec",
+        "bucket AS closed_through",
     )
 
 

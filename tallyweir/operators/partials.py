@@ -60,8 +60,9 @@ PARTIAL_COLUMNS = (*PARTIAL_KEYS, "lines", *SUMS, "last_msec")
 
 
 def with_source(lines: DataFrame) -> DataFrame:
-    """Every line belongs to a source; lines without that column share one."""
-    return lines if "source" in lines.columns else lines.withColumn("source", F.lit(""))
+    """Every line belongs to a source; lines without that column, or with a null in it, share the empty one."""
+    named = F.coalesce("source", F.lit("")) if "source" in lines.columns else F.lit("")
+    return lines.withColumn("source", named)
 
 
 def contributions(

@@ -13,7 +13,7 @@ from tallyweir.operators.flat_contacts import flat_contact_means, flat_contact_s
 from tallyweir.operators.increment import advance_marks, baseline, closed_partials, open_partials
 from tallyweir.operators.metrics import GRAIN_TAGS, METRICS, metric, metrics_wide
 from tallyweir.operators.outbox import replayed, retained
-from tallyweir.operators.partials import CONTACT_SUMS, REQUEST, partial_metrics, sums_of
+from tallyweir.operators.partials import CONTACT_SUMS, REQUEST, partial_metrics, skip_counts, sums_of
 from tallyweir.operators.points import POINT_VALUE, points_from_partials, static_tags, tags_from, to_lines, with_tags
 from tallyweir.operators.requests import accepted, parse_lines, rejected
 from tallyweir.operators.runstats import stats_frame, stats_lines
@@ -25,7 +25,7 @@ from tallyweir.plans.inputs import (
     access_log_by_host,
     access_log_of,
     order_contacts,
-    spread,
+    supplier_log,
     table,
 )
 from tallyweir.sources.logs import cap_lines, read_log
@@ -124,14 +124,18 @@ def first_run_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def input_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first 2,500 lines of each of three logs, in blocks of 1,024 events."""
-    lines = access_log_by_host(spark, sf_dir).select(
+    return _outcomes(parse_lines(cap_lines(_placed(access_log_by_host(spark, sf_dir)), 2500), BUCKET_DURATION), "source")
+
+
+def _placed(log: DataFrame) -> DataFrame:
+    """Lines with a place: one file in blocks of 1,024 events."""
+    return log.select(
         "source",
         "value",
         F.lit("events").alias("file"),
         F.floor(F.col("event_id") / 1024).alias("block"),
         F.col("event_id").alias("seq"),
     )
-    return _outcomes(parse_lines(cap_lines(lines, 2500), BUCKET_DURATION), "source")
 
 
 def log_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,6 +174,20 @@ def per_contact_upstreams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sums.select(_time(), *BASE_KEYS, "upstream", F.col("contact_hits").alias("contacts"), *means)
 
 
+def long_upstream_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three upstream metrics of lines with some hundred contacts each."""
+    lines = supplier_log(spark, sf_dir)
+    names = ("upstreams_hits", "upstreams_status", "upstreams_response_time_mean")
+    parts = [
+        metric(lines, name, ORDER_BUCKET_DURATION).selectExpr(
+            f"'{name}' AS measurement", "vhost", "upstream",
+            "status" if name == "upstreams_status" else "string(NULL) AS status", "double(value) AS value",
+        )
+        for name in names
+    ]
+    return parts[0].union(parts[1]).union(parts[2])
+
+
 def order_contacts_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     means = flat_contact_means(order_contacts(spark, sf_dir))
     return means.withColumn("time", _day()).drop("bucket")
@@ -257,13 +275,51 @@ def _published(points: DataFrame) -> DataFrame:
 
 def increment_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All lines in two runs, before and from 2024-01-16; open buckets go over into the second."""
-    events = spread(table(spark, sf_dir, "events"))
+    events = table(spark, sf_dir, "events")
     runs = MetricsRuns(spark, shared_folder(spark, "runs"), RUN_OPTIONS)
     runs.run(access_log_of(events.where("ts < TIMESTAMP_NTZ '2024-01-16 00:30:00'")))
     runs.run(access_log_of(events.where("ts >= TIMESTAMP_NTZ '2024-01-16 00:30:00'")))
     return _published(runs.points())
 
 
+def capped_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log read by four runs over the same table, a third of the lines of each source at most: all lines once."""
+    lines = _placed(access_log_by_host(spark, sf_dir))
+    most = lines.groupBy("source").count().agg(F.max("count")).first()[0]
+    options = RunOptions(BUCKET_DURATION, lookback_factor=1_000_000, skip_to_end=False, max_lines=-(-most // 3))
+    runs = MetricsRuns(spark, shared_folder(spark, "runs"), options)
+    for _ in range(4):
+        runs.run(lines)
+    return _hits(runs.leftover())
+
+
+def run_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rejected lines that a run keeps."""
+    options = RunOptions(BUCKET_DURATION, LOOKBACK, skip_to_end=False, keep_rejects=True)
+    runs = MetricsRuns(spark, shared_folder(spark, "runs"), options)
+    runs.run(access_log(spark, sf_dir))
+    return runs.rejects().select("source", F.col("value").alias("line"), "reason")
+
+
+def increment_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Skipped lines per reason of a second run that gets lines of closed buckets, and of a source met late."""
+    events = table(spark, sf_dir, "events")
+    runs = MetricsRuns(spark, shared_folder(spark, "runs"), RunOptions(BUCKET_DURATION, LOOKBACK, skip_to_end=True))
+    first = access_log_of(events.where("ts < TIMESTAMP_NTZ '2024-01-20 00:30:00'"))
+    second = access_log_of(events.where("ts >= TIMESTAMP_NTZ '2024-01-16 00:30:00'"))
+    runs.run(first)
+    runs.run(second.union(second.where("user_id % 5 = 0").withColumn("source", F.lit("met.late"))))
+    return skip_counts(runs.partials(runs.last_commit().slot))
+
+
+def start_over_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points of the runs after a start over, which knows nothing of the runs before."""
+    folder = shared_folder(spark, "runs")
+    MetricsRuns(spark, folder, RUN_OPTIONS).run(access_log_by_host(spark, sf_dir))
+    MetricsRuns(spark, folder, RUN_OPTIONS, start_over=True).run(access_log(spark, sf_dir))
+    return _published(MetricsRuns(spark, folder, RUN_OPTIONS).points())
+
+
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = table(spark, sf_dir, "events").schema
     # a pattern, because a stream takes a plain path for a folder and the table may be one file
@@ -339,6 +395,7 @@ QUERIES: dict[str, Query] = {
     **{name: partial(single_metric, name) for name in METRICS},
     "metrics_wide": all_base_metrics,
     "per_contact_upstreams": per_contact_upstreams,
+    "long_upstream_lists": long_upstream_lists,
     "order_contacts_means": order_contacts_means,
     "order_contacts_status": order_contacts_status,
     "points_long": points_long,
@@ -350,6 +407,10 @@ QUERIES: dict[str, Query] = {
     "increment_closed_by_source": increment_closed_by_source,
     "increment_leftover": increment_leftover,
     "increment_two_runs": increment_two_runs,
+    "increment_late": increment_late,
+    "capped_runs": capped_runs,
+    "run_rejects": run_rejects,
+    "start_over_runs": start_over_runs,
     "stream_closed_buckets": stream_closed_buckets,
     "stream_runs": streamed_runs,
     "outbox_retain": outbox_retain,

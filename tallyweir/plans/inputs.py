@@ -24,15 +24,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a table of fewer splits than cores; larger tables are left as they are, unshuffled."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``event_id``, ``user_id``, ``source`` and the log line as ``value``."""
-    return access_log_of(spread(table(spark, sf_dir, "events").select(*EVENT_COLUMNS)))
+    return access_log_of(table(spark, sf_dir, "events").select(*EVENT_COLUMNS))
 
 
 def access_log_of(events: DataFrame) -> DataFrame:
@@ -100,3 +94,21 @@ def order_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_returnflag AS status",
         "l_quantity / 1000 AS response",
     )
+
+
+def supplier_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One line per supplier whose upstream lists hold a contact per line item: some hundreds, servers repeated."""
+    contact = (
+        "struct(l_orderkey, l_linenumber, concat('10.0.', l_partkey % 7, '.1:80') AS server, "
+        "CASE l_returnflag WHEN 'A' THEN '200' WHEN 'R' THEN '404' ELSE '502' END AS status, "
+        f"concat('0.', {_padded('int(l_quantity)')}) AS response)"
+    )
+    lists = (
+        table(spark, sf_dir, "lineitem")
+        .selectExpr("l_suppkey", f"{contact} AS contact")
+        .groupBy("l_suppkey")
+        .agg(F.sort_array(F.collect_list("contact")).alias("c"))
+    )
+    head = "concat('1|', 1704067200 + l_suppkey, '|s', l_suppkey, '|s|-|200|10|-|20|0.5|')"
+    fields = ["array_join(c.server, ', ')", "array_join(c.status, ', ')", *["array_join(c.response, ', ')"] * 3]
+    return lists.selectExpr("'suppliers' AS source", f"concat({head}, concat_ws('|', {', '.join(fields)})) AS value")

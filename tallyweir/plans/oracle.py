@@ -287,6 +287,38 @@ sums AS (
 )"""
 
 
+_SUPPLIER_LISTS = f"""
+WITH contacts AS (
+  SELECT 's' || l_suppkey AS vhost, '10.0.' || (l_partkey % 7) || '.1:80' AS upstream,
+    CASE l_returnflag WHEN 'A' THEN '200' WHEN 'R' THEN '404' ELSE '502' END AS status,
+    {_us("CAST(trunc(l_quantity) AS INTEGER) / 1000")} AS us
+  FROM lineitem
+),
+met AS (SELECT vhost, upstream, count(*) AS n, CAST(sum(us) AS BIGINT) AS us FROM contacts GROUP BY vhost, upstream)
+SELECT 'upstreams_hits' AS measurement, vhost, upstream, NULL AS status, CAST(n AS DOUBLE) AS value FROM met
+UNION ALL
+SELECT 'upstreams_status', vhost, upstream, status, CAST(n AS DOUBLE)
+FROM (SELECT DISTINCT vhost, upstream, status FROM contacts) JOIN met USING (vhost, upstream)
+UNION ALL
+SELECT 'upstreams_response_time_mean', vhost, upstream, NULL, CAST(n * us AS DOUBLE) / CAST(n * n * 1000000 AS DOUBLE) FROM met
+"""
+
+# The second run's lines twice, once as those of a source that only this run meets.
+_LATE = f"""
+seen AS (SELECT p.*, e.ts, e.user_id AS u, CAST(ceil(p.msec / {_DURATION}) AS BIGINT) AS b FROM parsed p JOIN events e USING (event_id)),
+noted AS (SELECT max(b) AS b FROM seen WHERE ts < TIMESTAMP '2024-01-20 00:30:00'),
+second AS (SELECT * FROM seen WHERE ts >= TIMESTAMP '2024-01-16 00:30:00')
+"""
+_LATE_COUNTS = """
+SELECT source, reason, CAST(count(*) AS BIGINT) AS lines FROM (
+  SELECT source, CASE WHEN reason IN ('bad_version', 'bad_msec') THEN reason
+    WHEN b <= (SELECT b FROM noted) THEN 'late' ELSE reason END AS reason FROM second
+  UNION ALL
+  SELECT 'met.late' AS source, 'baseline' AS reason FROM second WHERE u % 5 = 0
+) WHERE reason IS NOT NULL GROUP BY source, reason
+"""
+
+
 def oracle_statements() -> dict[str, str]:
     hour = time_text("bucket")
     statements = {name: metric_sql(name) for name in METRIC_SQL}
@@ -384,6 +416,7 @@ def oracle_statements() -> dict[str, str]:
         where=f"bucket <= (SELECT max(bucket) - {_LOOKBACK} FROM requests)",
     )
     statements["increment_two_runs"] = closed_points
+    statements["start_over_runs"] = closed_points
     statements["stream_closed_buckets"] = closed_points
     statements["stream_runs"] = closed_points
 
@@ -409,6 +442,12 @@ def oracle_statements() -> dict[str, str]:
         f"|| (SELECT max(bucket) * {_DURATION} // 60 FROM requests) AS line FROM points",
         where=f"bucket <= (SELECT max(bucket) - {_LOOKBACK} FROM requests)",
     )
+    statements["capped_runs"] = with_log(
+        f"SELECT source, {hour} AS time, vhost, protocol, loctag, {hits} FROM requests GROUP BY {_BASE}", source=BY_HOST
+    )
+    statements["run_rejects"] = with_log("SELECT source, value AS line, reason FROM parsed WHERE reason IS NOT NULL")
+    statements["increment_late"] = with_log(_LATE_COUNTS, more=_LATE)
+    statements["long_upstream_lists"] = _SUPPLIER_LISTS
     statements["log_scan"] = with_log(
         "SELECT source, count(*) AS lines, CAST(sum(length(value)) AS BIGINT) AS characters FROM log GROUP BY source"
     )

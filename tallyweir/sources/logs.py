@@ -16,18 +16,28 @@ def source_name(pattern: str | None = None) -> Column:
     return path if pattern is None else F.regexp_extract(path, pattern, 1)
 
 
-def read_log(spark: SparkSession, paths: str | list[str], source_pattern: str | None = None) -> DataFrame:
-    """``source``, ``value`` and the place of the line: ``file``, ``block``, ``seq``.
+PLACE = ("file", "block", "seq")
+POSITIONS_SCHEMA = "source string, file string, done bigint"
 
-    ``block`` is the offset of the file split, ``seq`` grows with the lines inside it.
+
+def read_log(
+    spark: SparkSession, paths: str | list[str], source_pattern: str | None = None, rotation: str | None = None
+) -> DataFrame:
+    """``source``, ``value`` and the place of the line: ``file``, ``age``, ``block``, ``seq``.
+
+    ``block`` is the offset of the file split, ``seq`` grows with the lines inside it.  ``rotation`` is a
+    pattern whose group 1 is the number of a rotated file, as ``\\.log\\.(\\d+)$``; the highest is the oldest.
     """
+    age = F.lit(0) if rotation is None else F.expr("coalesce(try_cast(_number AS INT), 0)")
+    number = F.lit("") if rotation is None else F.regexp_extract(F.col("_metadata.file_path"), rotation, 1)
     return spark.read.option("lineSep", "\n").text(paths).select(
         source_name(source_pattern).alias("source"),
         "value",
         F.col("_metadata.file_path").alias("file"),
+        number.alias("_number"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("seq"),
-    )
+    ).select("source", "value", "file", age.alias("age"), "block", "seq")
 
 
 def stream_log(
@@ -46,26 +56,57 @@ def stream_log(
     return reader.text(path).select(source_name(source_pattern).alias("source"), "value")
 
 
-def cap_lines(lines: DataFrame, max_lines: int) -> DataFrame:
-    """The first ``max_lines`` lines of each source in the order ``file``, ``block``, ``seq``; 0 for all.
+def has_place(lines: DataFrame) -> bool:
+    return {"source", *PLACE} <= set(lines.columns)
 
-    Blocks are counted first.  Blocks wholly below the cap pass as they are; only
-    the one block per source that the cap cuts is numbered line by line, so no
-    sort or task ever holds more than a block.
+
+def next_blocks(lines: DataFrame, max_lines: int = 0, positions: DataFrame | None = None) -> DataFrame:
+    """Which lines of each block come next: ``source``, ``file``, ``block``, ``n``, and the range ``low`` to ``high``.
+
+    ``positions`` tells how many lines of each file are done, which stays true while a file grows, however
+    Spark splits it.  Of the others, the first ``max_lines`` of each source come next, older files first and
+    equally old ones by name (``age``, if there is such a column, tells how often a file was rotated); 0 for all.
     """
-    if not max_lines:
-        return lines
-    missing = {"source", "file", "block", "seq"} - set(lines.columns)
+    missing = {"source", *PLACE} - set(lines.columns)
     if missing:
-        raise ValueError(f"a cap needs the place of each line, as read_log gives it; missing: {sorted(missing)}")
-    block_keys = ["source", "file", "block"]
-    counts = lines.groupBy(*block_keys).agg(F.count("*").alias("_n"))
-    in_order = Window.partitionBy("source").orderBy("file", "block")
-    upto = F.sum("_n").over(in_order.rowsBetween(Window.unboundedPreceding, 0))
-    placed = counts.withColumn("_room", F.lit(max_lines) - (upto - F.col("_n"))).where("_room > 0")
-
-    whole = lines.join(placed.where("_room >= _n").select(*block_keys), block_keys, "left_semi")
-    cut = lines.join(placed.where("_room < _n").select(*block_keys, "_room"), block_keys)
-    number = F.row_number().over(Window.partitionBy(*block_keys).orderBy("seq"))
-    head = cut.withColumn("_number", number).where("_number <= _room").select(*lines.columns)
-    return whole.select(*lines.columns).unionByName(head)
+        raise ValueError(f"this needs the place of each line, as read_log gives it; missing: {sorted(missing)}")
+    age = "age" if "age" in lines.columns else "0"
+    counts = lines.selectExpr("source", "file", f"{age} AS age", "block").groupBy("source", "file", "age", "block").agg(F.count("*").alias("n"))
+    so_far = Window.partitionBy("source", "file").orderBy("block").rowsBetween(Window.unboundedPreceding, 0)
+    placed = counts.withColumn("start", F.sum("n").over(so_far) - F.col("n"))
+    if positions is None:
+        placed = placed.withColumn("low", F.lit(0).cast("bigint"))
+    else:
+        placed = placed.join(positions, ["source", "file"], "left").withColumn(
+            "low", F.expr("least(n, greatest(0L, coalesce(done, 0L) - start))")
+        )
+    in_order = Window.partitionBy("source").orderBy(F.desc("age"), "file", "block").rowsBetween(Window.unboundedPreceding, 0)
+    room = F.lit(max_lines) - (F.sum(F.expr("n - low")).over(in_order) - F.expr("n - low")) if max_lines else F.col("n")
+    return placed.withColumn("high", F.expr("low") + F.least(F.expr("n - low"), F.greatest(room, F.lit(0)))).select(
+        "source", "file", "block", "n", "low", "high"
+    )
+
+
+def advanced(positions: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Positions after the lines of ``next_blocks`` are done."""
+    taken = blocks.groupBy("source", "file").agg(F.sum(F.expr("high - low")).alias("done"))
+    return positions.unionByName(taken).groupBy("source", "file").agg(F.sum("done").alias("done"))
+
+
+def take_blocks(lines: DataFrame, blocks: DataFrame) -> DataFrame:
+    """The lines in the ranges of ``next_blocks``.
+
+    Blocks taken whole pass as they are; only those that a range cuts are numbered line by line, so no sort
+    or task ever holds more than a block.  A compressed log is one block.
+    """
+    keys = ["source", "file", "block"]
+    whole = lines.join(blocks.where("low = 0 AND high = n").select(*keys), keys, "left_semi")
+    cut = lines.join(blocks.where("low < high AND high - low < n").select(*keys, "low", "high"), keys)
+    number = F.row_number().over(Window.partitionBy(*keys).orderBy("seq"))
+    part = cut.withColumn("_number", number).where("_number > low AND _number <= high").select(*lines.columns)
+    return whole.select(*lines.columns).unionByName(part)
+
+
+def cap_lines(lines: DataFrame, max_lines: int) -> DataFrame:
+    """The first ``max_lines`` lines of each source in the order of their places; 0 for all."""
+    return take_blocks(lines, next_blocks(lines, max_lines)) if max_lines else lines

@@ -1,16 +1,17 @@
 """Incremental runs with durable state, callable in batch or from a stream.
 
-State lives in one folder in two slots.  A run writes its partials and marks
-into the slot that the last commit does not use and commits by writing one
-small file there, so a run that dies half-way changes nothing and is repeated
-under the same number.  Points are delivered before the commit: they may be
-sent again, but are never lost.
+State lives in one folder in two slots.  A run writes its partials, marks and read positions into the slot
+that the last commit does not use and commits by writing one small file there, so a run that dies half-way
+changes nothing and is repeated under the same number.  Points are delivered before the commit: they may be
+sent again, but are never lost.  Starting over begins a new epoch in the same folder; run numbers, points and
+rejects belong to an epoch.
 """
 
 from __future__ import annotations
 
 import logging
 import time
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -20,22 +21,27 @@ from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from tallyweir.operators.increment import (
     MARKS_SCHEMA,
     advance_marks,
-    baseline,
+    baseline_marks,
     closed_partials,
-    label_late,
+    label_skips,
     marks_from_times,
     open_partials,
 )
-from tallyweir.operators.partials import SUMS, add_up, contributions, line_counts
+from tallyweir.operators.partials import SUMS, add_up, contributions, line_counts, with_source
 from tallyweir.operators.points import POINT_SCHEMA, points_from_partials
-from tallyweir.operators.runstats import RunStats
-from tallyweir.options import RunOptions
-from tallyweir.sources.logs import cap_lines
+from tallyweir.operators.requests import REASONS_BEFORE_LATE, parse_lines
+from tallyweir.operators.runstats import RunStats, stats_frame
+from tallyweir.options import RunOptions, StateMismatch
+from tallyweir.sources.logs import POSITIONS_SCHEMA, advanced, has_place, next_blocks, take_blocks
 from tallyweir.sources.sinks import write_points
 
 log = logging.getLogger(__name__)
 
-COMMIT_SCHEMA = "run_id bigint, slot int, bucket_duration int, lookback_factor int, undelivered array<bigint>"
+COMMIT_SCHEMA = (
+    "epoch bigint, run_id bigint, slot int, bucket_duration int, lookback_factor int, weighting string, "
+    "checkpoint string, undelivered array<string>"
+)
+REJECTS_SCHEMA = "source string, value string, reason string, run bigint"
 PARTIALS_SCHEMA = (
     "source string, kind string, bucket bigint, vhost string, protocol string, loctag string, upstream string, "
     "status string, lines bigint, " + ", ".join(f"{name} bigint" for name in SUMS) + ", last_msec double"
@@ -46,11 +52,16 @@ PointSink = Callable[[DataFrame], None]
 
 @dataclass(frozen=True)
 class Commit:
+    """``undelivered`` holds the folders of points that are still to be sent, ``checkpoint`` the stream's mark."""
+
+    epoch: int
     run_id: int
     slot: int
     bucket_duration: int
     lookback_factor: int
-    undelivered: list[int]
+    weighting: str
+    checkpoint: str | None
+    undelivered: list[str]
 
 
 class MetricsRuns:
@@ -63,27 +74,28 @@ class MetricsRuns:
         options: RunOptions | None = None,
         sink: PointSink | None = None,
         start_over: bool = False,
+        stats_sink: PointSink | None = None,
     ) -> None:
-        """Without a ``sink`` runs are dry: points are kept in the folder and the state moves on."""
+        """Without a ``sink`` runs are dry: points are kept in the folder and the state moves on.
+
+        ``stats_sink`` gets the statistics of each run as a frame of one row.
+        """
         self.spark = spark
         self.folder = folder.rstrip("/")
         self.options = options or RunOptions()
         self.sink = sink
-        self._forget_up_to = self._committed_id() if start_over else None
+        self.stats_sink = stats_sink
+        self.checkpoint: str | None = None
+        newest = self._newest_commit()
+        self.epoch = 0 if newest is None else newest.epoch + start_over
 
     # -- state ---------------------------------------------------------------
 
     def last_commit(self) -> Commit | None:
-        row = self._newest_commit_row()
-        if row is None or (self._forget_up_to is not None and row["run_id"] <= self._forget_up_to):
-            return None
-        return Commit(**row.asDict())
-
-    def _committed_id(self) -> int | None:
-        row = self._newest_commit_row()
-        return None if row is None else row["run_id"]
+        newest = self._newest_commit()
+        return newest if newest is not None and newest.epoch == self.epoch else None
 
-    def _newest_commit_row(self) -> Row | None:
+    def _newest_commit(self) -> Commit | None:
         # at most two files of one row each
         try:
             rows = self.spark.read.schema(COMMIT_SCHEMA).json(f"{self.folder}/slot*/commit").collect()
@@ -91,7 +103,28 @@ class MetricsRuns:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return None
-        return max(rows, key=lambda r: r["run_id"], default=None)
+        newest = max(rows, key=lambda r: (r["epoch"], r["run_id"]), default=None)
+        return None if newest is None else Commit(**newest.asDict())
+
+    def pair_with(self, checkpoint: str) -> None:
+        """Tie the state to a stream's checkpoint by a mark in both; refuse one that belongs to another state."""
+        path = f"{checkpoint.rstrip('/')}/state-mark"
+        last = self.last_commit()
+        try:
+            mark = self.spark.read.text(path).head()["value"]
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            if last is not None:
+                raise StateMismatch(
+                    f"{self.folder} has committed runs, but {checkpoint} is new: its run numbers would begin again; "
+                    "use the old checkpoint or start over"
+                ) from None
+            mark = uuid.uuid4().hex
+            self.spark.createDataFrame([(mark,)], "value string").coalesce(1).write.text(path)
+        if last is not None and last.checkpoint != mark:
+            raise StateMismatch(f"{checkpoint} belongs to another state than {self.folder}; start over to use it")
+        self.checkpoint = mark
 
     def partials(self, slot: int) -> DataFrame:
         return self.spark.read.schema(PARTIALS_SCHEMA).parquet(f"{self.folder}/slot{slot}/partials")
@@ -106,107 +139,162 @@ class MetricsRuns:
             return self.spark.createDataFrame([], PARTIALS_SCHEMA)
         return open_partials(self.partials(last.slot), self.marks(last.slot))
 
+    def positions(self, slot: int) -> DataFrame:
+        return self.spark.read.schema(POSITIONS_SCHEMA).parquet(f"{self.folder}/slot{slot}/positions")
+
     def points(self, *run_ids: int) -> DataFrame:
-        """Published points of the given runs, or of all."""
-        points = self.spark.read.schema(f"{POINT_SCHEMA}, run bigint").parquet(f"{self.folder}/points")
-        return points.where(F.col("run").isin(list(run_ids))) if run_ids else points
+        """Published points of the given runs of this epoch, or of all of them."""
+        return self._points_in([f"state={self.epoch}/run={i}" for i in run_ids] or [f"state={self.epoch}"])
+
+    def _points_in(self, folders: list[str]) -> DataFrame:
+        # only these folders are listed, however many runs there have been
+        root = f"{self.folder}/points"
+        reader = self.spark.read.schema(f"{POINT_SCHEMA}, state bigint, run bigint").option("basePath", root)
+        return reader.parquet(*[f"{root}/{name}" for name in folders]).drop("state")
+
+    def rejects(self, *run_ids: int) -> DataFrame:
+        """Rejected lines of the given runs of this epoch, or of all, if the options keep them."""
+        root = f"{self.folder}/rejects"
+        folders = [f"state={self.epoch}/run={i}" for i in run_ids] or [f"state={self.epoch}"]
+        reader = self.spark.read.schema(REJECTS_SCHEMA).option("basePath", f"{root}/state={self.epoch}")
+        return reader.parquet(*[f"{root}/{name}" for name in folders])
 
     # -- runs ----------------------------------------------------------------
 
-    def run(self, lines: DataFrame, run_id: int | None = None) -> RunStats | None:
-        """Process new lines; None if the run of this number is already committed."""
+    def run(self, lines: DataFrame, run_id: int | None = None, now: float | None = None) -> RunStats | None:
+        """Process new lines; None if the run of this number is already committed.
+
+        Of lines with a place, as ``read_log`` gives it, only those after the last run's are read, so the same
+        files can be passed again and again.  ``now`` is the clock that ``max_ahead`` refers to.
+        """
         started = time.time()
-        options, last = self.options, self.last_commit()
-        newest = self._committed_id()
+        options, last, newest = self.options, self.last_commit(), self._newest_commit()
         if run_id is None:
-            run_id = 0 if newest is None else newest + 1
+            run_id = 0 if last is None else last.run_id + 1
         elif last is not None and run_id <= last.run_id:
             return None
         if last is not None:
             self._check_options(last)
         # the slot of the newest commit stays untouched until this run commits
-        current = self._newest_commit_row()
-        slot = 0 if current is None else 1 - current["slot"]
-
-        capped = cap_lines(lines, options.max_lines)
-        if last is None and options.skip_to_end:
-            parsed, skipped = self._note_end(capped, slot)
-        else:
-            parsed, skipped = self._aggregate(capped, slot, last)
+        slot = 0 if newest is None else 1 - newest.slot
+
+        lines = self._next_lines(with_source(lines), slot, last)
+        before = self._marks_before(last)
+        horizon = options.last_bucket(started if now is None else now)
+        parsed, skipped = self._aggregate(lines, slot, last, before, horizon)
+        if options.keep_rejects:
+            self._write_rejects(lines, before, horizon, run_id)
         parse_duration = time.time() - started
 
         closed = closed_partials(self.partials(slot), self.marks(slot))
         points = points_from_partials(closed, options.bucket_duration)
-        write_points(points, f"{self.folder}/points/run={run_id}")
-
-        undelivered = list(last.undelivered) if last is not None else []
-        sent, resent, undelivered = self._deliver(run_id, undelivered)
-        self._commit(Commit(run_id, slot, options.bucket_duration, options.lookback_factor, undelivered))
-        return RunStats.measured(
+        write_points(points, f"{self.folder}/points/state={self.epoch}/run={run_id}")
+
+        # what an earlier epoch could not deliver is still owed
+        undelivered = [] if newest is None else list(newest.undelivered)
+        sent, resent, undelivered = self._deliver(f"state={self.epoch}/run={run_id}", undelivered)
+        self._commit(
+            Commit(
+                self.epoch, run_id, slot, options.bucket_duration, options.lookback_factor, options.weighting,
+                self.checkpoint, undelivered,
+            )
+        )
+        stats = RunStats.measured(
             run_id, time.time(), time.time() - started, parse_duration, parsed, skipped, sent, resent
         )
+        if self.stats_sink is not None:
+            self._send(stats_frame(self.spark, stats), self.stats_sink)
+        return stats
 
     def _check_options(self, last: Commit) -> None:
-        if (last.bucket_duration, last.lookback_factor) != (
-            self.options.bucket_duration,
-            self.options.lookback_factor,
-        ) and not self.leftover().isEmpty():
-            self.options.check_against(last.bucket_duration, last.lookback_factor)
+        mine = (self.options.bucket_duration, self.options.lookback_factor, self.options.weighting)
+        theirs = (last.bucket_duration, last.lookback_factor, last.weighting)
+        if mine != theirs and not self.leftover().isEmpty():
+            self.options.check_against(*theirs)
+
+    def _next_lines(self, lines: DataFrame, slot: int, last: Commit | None) -> DataFrame:
+        """The lines after the last run's, if they have a place; their positions go into the slot."""
+        empty = self.spark.createDataFrame([], POSITIONS_SCHEMA)
+        before = empty if last is None else self.positions(last.slot)
+        path = f"{self.folder}/slot{slot}"
+        if not has_place(lines):
+            if self.options.max_lines:
+                raise ValueError("a cap needs the place of each line, as read_log gives it")
+            before.write.mode("overwrite").parquet(f"{path}/positions")
+            return lines
+        next_blocks(lines, self.options.max_lines, before).write.mode("overwrite").parquet(f"{path}/blocks")
+        blocks = self.spark.read.parquet(f"{path}/blocks")
+        advanced(before, blocks).write.mode("overwrite").parquet(f"{path}/positions")
+        return take_blocks(lines, blocks)
+
+    def _marks_before(self, last: Commit | None) -> DataFrame:
+        if last is None:
+            return self.spark.createDataFrame([], MARKS_SCHEMA)
+        # closed_through is in buckets of the last run's width, which may differ if none is open
+        return marks_from_times(self.marks(last.slot), self.options.bucket_duration, self.options.lookback_factor)
 
-    def _note_end(self, lines: DataFrame, slot: int) -> tuple[int, int]:
-        options = self.options
-        ends = baseline(lines, options.bucket_duration, options.lookback_factor)
-        path = f"{self.folder}/slot{slot}/marks"
-        ends.write.mode("overwrite").parquet(path)
-        self._write_partials(self.spark.createDataFrame([], PARTIALS_SCHEMA), slot)
-        counted = self.spark.read.parquet(path).agg(F.coalesce(F.sum("lines"), F.lit(0))).head()[0]
-        return counted, counted
-
-    def _aggregate(self, lines: DataFrame, slot: int, last: Commit | None) -> tuple[int, int]:
+    def _aggregate(
+        self, lines: DataFrame, slot: int, last: Commit | None, before: DataFrame, horizon: int | None
+    ) -> tuple[int, int]:
         options = self.options
         rows = contributions(lines, options.bucket_duration, options.weighting)
-        if last is None:
-            before = self.spark.createDataFrame([], MARKS_SCHEMA)
-            added = add_up(rows)
-        else:
-            # closed_through is in buckets of the last run's width, which may differ if none is open
-            before = marks_from_times(self.marks(last.slot), options.bucket_duration, options.lookback_factor)
-            added = label_late(add_up(rows.unionByName(self.leftover())), before)
-        self._write_partials(added, slot)
+        added = add_up(rows if last is None else rows.unionByName(self.leftover()))
+        self._write_partials(label_skips(added, before, horizon, options.skip_to_end), slot)
         partials = self.partials(slot)
-        marks = advance_marks(before, partials, options.bucket_duration, options.lookback_factor)
+        noted = baseline_marks(partials, options.bucket_duration, options.lookback_factor)
+        known = before.unionByName(noted.select(*before.columns))
+        marks = advance_marks(known, partials, options.bucket_duration, options.lookback_factor)
         marks.write.mode("overwrite").parquet(f"{self.folder}/slot{slot}/marks")
         counts = line_counts(partials).agg(F.sum("parsed_lines"), F.sum("skipped_lines")).head()
         return counts[0] or 0, counts[1] or 0
 
+    def _write_rejects(self, lines: DataFrame, before: DataFrame, horizon: int | None, run_id: int) -> None:
+        """The rejected lines themselves; those of a source that is only noted are not listed one by one."""
+        parsed = parse_lines(lines, self.options.bucket_duration).select("source", "value", "bucket", "reason")
+        known = before.selectExpr("source", "closed_through", "true AS _known")
+        joined = parsed.join(known, "source", "left")
+        unreadable = ", ".join(f"'{r}'" for r in REASONS_BEFORE_LATE)
+        reason = (
+            f"CASE WHEN reason IN ({unreadable}) THEN reason "
+            f"WHEN bucket > {horizon if horizon is not None else 'NULL'} THEN 'future' "
+            "WHEN bucket <= closed_through THEN 'late' ELSE reason END"
+        )
+        listed = joined.where("_known" if self.options.skip_to_end else "true").selectExpr("source", "value", f"{reason} AS reason")
+        path = f"{self.folder}/rejects/state={self.epoch}/run={run_id}"
+        listed.where("reason IS NOT NULL").write.mode("overwrite").parquet(path)
+
     def _write_partials(self, partials: DataFrame, slot: int) -> None:
         partials.write.mode("overwrite").parquet(f"{self.folder}/slot{slot}/partials")
 
-    def _deliver(self, run_id: int, undelivered: list[int]) -> tuple[int, int, list[int]]:
+    def _deliver(self, own: str, undelivered: list[str]) -> tuple[int, int, list[str]]:
         """Saved points first, then the new ones; a failed send is kept whole for a later run."""
         sent = resent = 0
         if undelivered:
-            saved = self.points(*undelivered)
-            if self._send(saved):
+            saved = self._points_in(undelivered)
+            if self._send(saved, self.sink):
                 resent = saved.count()
                 # a dry run sends nothing, so the saved points stay saved
                 undelivered = undelivered if self.sink is None else []
-        new = self.points(run_id)
+        new = self._points_in([own])
         count = new.count()
-        if count and self._send(new):
+        if count and self._send(new, self.sink):
             sent = count
         elif count:
-            kept = [*undelivered, run_id]
-            undelivered = kept[max(len(kept) - self.options.outbox_limit, 0) :]
+            undelivered = [*undelivered, own]
+            limit = self.options.outbox_limit
+            if limit is not None and len(undelivered) > limit:
+                dropped = undelivered[: len(undelivered) - limit]
+                log.warning("outbox is full, %d sends will not be delivered: %s", len(dropped), ", ".join(dropped))
+                undelivered = undelivered[len(dropped) :]
         return sent, resent, undelivered
 
-    def _send(self, points: DataFrame) -> bool:
-        if self.sink is None:
+    def _send(self, frame: DataFrame, sink: PointSink | None) -> bool:
+        if sink is None:
             return True
         try:
-            self.sink(points)
+            sink(frame)
         except Exception as error:  # whatever the caller's sink raises, the points stay
-            log.warning("points not delivered, kept for a later run: %s", error)
+            log.warning("not delivered: %s", error)
             return False
         return True
 
@@ -221,8 +309,10 @@ def stream_runs(
 ):
     """Start a stream whose micro-batches are runs; each file is read once, each run committed once.
 
-    Without ``every`` (``"60 seconds"``) the stream takes what is there and ends.
+    Without ``every`` (``"60 seconds"``) the stream takes what is there and ends.  State and checkpoint belong
+    together; either of them with another partner is refused.
     """
+    runs.pair_with(checkpoint)
 
     def one_run(batch: DataFrame, batch_id: int) -> None:
         runs.run(batch, run_id=batch_id)

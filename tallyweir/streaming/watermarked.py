@@ -34,6 +34,10 @@ def closed_bucket_stream(lines: DataFrame, options: RunOptions) -> DataFrame:
     raise them, so they inform but do not bill.
     """
     parsed = parse_lines(with_source(lines), options.bucket_duration)
+    if options.max_ahead is not None:
+        # one clock that is wrong must not close the buckets of all
+        ahead = f"msec > unix_seconds(current_timestamp()) + {options.max_ahead}"
+        parsed = parsed.withColumn("reason", F.expr(f"CASE WHEN reason IS NULL AND {ahead} THEN 'future' ELSE reason END"))
     observed = parsed.observe(
         "lines",
         F.count(F.lit(1)).alias("parsed_lines"),
@@ -62,7 +66,11 @@ def start_closed_buckets(
 
     A micro-batch is written under its own number, so a repeated batch replaces
     its first attempt.  Without ``every`` the stream takes what is there and ends.
+    Options that only ``MetricsRuns`` knows are refused.
     """
+    other = {"skip_to_end": options.skip_to_end, "max_lines": options.max_lines, "keep_rejects": options.keep_rejects, "outbox_limit": options.outbox_limit is not None}
+    if any(other.values()):
+        raise ValueError(f"not for this form of stream: {', '.join(name for name, used in other.items() if used)}")
     spark = lines.sparkSession
     folder = folder.rstrip("/")
     _pin_options(spark, f"{folder}/options", options)
@@ -118,7 +126,11 @@ def _pin_options(spark: SparkSession, path: str, options: RunOptions) -> None:
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        mine = {"bucket_duration": options.bucket_duration, "lookback_factor": options.lookback_factor}
+        mine = {
+            "bucket_duration": options.bucket_duration,
+            "lookback_factor": options.lookback_factor,
+            "weighting": options.weighting,
+        }
         spark.createDataFrame([(json.dumps(mine),)], "value string").coalesce(1).write.text(path)
         return
-    options.check_against(pinned["bucket_duration"], pinned["lookback_factor"])
+    options.check_against(pinned["bucket_duration"], pinned["lookback_factor"], pinned["weighting"])

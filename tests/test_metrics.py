@@ -91,45 +91,33 @@ def test_protocols_group_by_their_label(lines_of):
     assert values(metric(lines, "hits"), "protocol") == {"https": 1, "http": 2}
 
 
-def twenty_lines():
-    start, out = 1568962563.374, []
-    for i in range(20):
-        changed = {"msec": str(start), "upstream_response_time": "0.027", "upstream_connect_time": "0.057"}
-        if i == 3:
-            changed["upstream_header_time"] = "-"
-        elif i == 6:
-            changed["upstream_header_time"] = "x"
-        elif 11 <= i <= 13:
-            changed.update(
-                upstream_addr="10.2.2.31:65412, 10.2.2.32:65412",
-                upstream_status="500, 500",
-                upstream_response_time="0.000, 0.000",
-                upstream_connect_time="0.000, 0.000",
-                upstream_header_time="-, -",
-            )
-        if i % 2:
-            changed["status"] = "302"
-        out.append(line(**changed))
-        start += 5 / 3.0
-    return out
-
-
-def test_twenty_lines(lines_of):
-    lines = lines_of(*twenty_lines())
-    hits = values(metric(lines, "hits", 5), "bucket")
-    assert hits == dict(zip(range(313792513, 313792521), [1, 3, 2, 3, 3, 3, 3, 1]))
-    sent = values(metric(lines, "bytes_sent", 5), "bucket")
-    assert [sent[b] for b in range(313792513, 313792517)] == [2799, 2799 * 3, 2799 * 2, 2799 * 3]
-    status = values(metric(lines, "status", 5), "bucket", "status")
-    assert sum(v for k, v in status.items() if k[1] == "200") == 9
-    assert sum(v for k, v in status.items() if k[1] == "302") == 10
-    partials = partial_metrics(lines, 5).where("kind = 'contact' AND upstream = '10.2.2.31:65412'")
-    header = {r.bucket: (r.header_us, r.header_n) for r in partials.collect()}
-    assert [header[b] for b in (313792514, 313792515, 313792516)] == [(48000, 2), (48000, 2), (72000, 3)]
-    points = points_of(lines, 5)
-    means = {k[1] for k in points if k[0] == "upstreams_header_time_mean"}
-    # the bucket whose header times are all absent has no mean
-    assert 313792517 not in means or points[("upstreams_hits", 313792517, *next(iter(points))[2:5], "10.2.2.31:65412", None)] > 0
+def quarter_hour():
+    """Lines at hand-picked seconds, in buckets of 30 s: three servers, one that never tells a header time."""
+    told = [  # second, status, server, header time
+        (3, "200", "east", "0.010"),
+        (29, "404", "east", "0.020"),
+        (30, "200", "west", "0.005"),
+        (31, "200", "mute", "-"),
+        (59, "500", "mute", "-"),
+        (60, "200", "east", "0.030"),
+        (61, "200", "mute", "-"),
+        (61, "200", "west", "bad"),
+        (89, "404", "west", "0.001"),
+    ]
+    return [upstream_line(server, header=header, msec=f"{second}.0").replace("|ws|200|", f"|ws|{status}|") for second, status, server, header in told]
+
+
+def test_a_few_buckets_by_hand(lines_of):
+    lines = lines_of(*quarter_hour())
+    assert values(metric(lines, "hits", 30), "bucket") == {1: 3, 2: 3, 3: 2}
+    assert values(metric(lines, "bytes_sent", 30), "bucket") == {b: 2799 * n for b, n in ((1, 3), (2, 3), (3, 2))}
+    status = values(metric(lines, "status", 30), "bucket", "status")
+    assert status == {(1, "200"): 2, (1, "404"): 1, (2, "200"): 2, (2, "500"): 1, (3, "200"): 1, (3, "404"): 1}
+    header = values(metric(lines, "upstreams_header_time_mean", 30), "bucket", "upstream")
+    # the server whose header times are all absent has no mean, though it has hits
+    assert header == {(1, "east"): 0.015, (1, "west"): 0.005, (2, "east"): 0.03, (3, "west"): 0.001}
+    hits = values(metric(lines, "upstreams_hits", 30), "bucket", "upstream")
+    assert hits == {(1, "east"): 2, (1, "west"): 1, (2, "east"): 1, (2, "mute"): 2, (3, "mute"): 1, (3, "west"): 1}
 
 
 def random_lines(seed, n=300):

@@ -187,3 +187,18 @@ def test_same_results_without_ansi_mode(spark, lines_of):
         assert sorted(map(str, parse_lines(lines_of(*lines)).collect())) == want
     finally:
         spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+def test_upstream_lists_of_any_length(spark, lines_of):
+    from tallyweir import metric
+
+    n = 10_000
+    servers = [f"10.0.0.{i % 50}:80" for i in range(n)]
+    long = upstream_line(*[", ".join(x) for x in (servers, ["200"] * n, ["0.1"] * n, ["-"] * n, ["0.3"] * n)])
+    bad = upstream_line(", ".join(servers), ", ".join(["200"] * (n - 1) + ["x"]), *[", ".join(["0.1"] * n)] * 3)
+    parsed = parse_lines(lines_of(long, bad)).collect()
+    assert sorted((r.reason or "", r.upstreams_servers) for r in parsed) == [("", n), ("bad_upstream", n)]
+    hits = {r.upstream: r.value for r in metric(lines_of(long, bad), "upstreams_hits").collect()}
+    assert hits == {f"10.0.0.{i}:80": n // 50 for i in range(50)}
+    statuses = {(r.upstream, r.status): r.value for r in metric(lines_of(long, bad), "upstreams_status").collect()}
+    assert statuses == {(f"10.0.0.{i}:80", "200"): n // 50 for i in range(50)}

@@ -6,10 +6,11 @@ import compare
 import pytest
 
 import __spark_entry__ as registered
+from tallyweir.plans.catalog import QUERIES
+from tallyweir.plans.oracle import oracle_statements
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = registered.queries()
-SQL = registered.oracle_sql()
+SQL = oracle_statements()
 
 
 @pytest.fixture(scope="module")
@@ -19,6 +20,7 @@ def tables():
 
 def test_every_query_has_its_sql():
     assert QUERIES.keys() == SQL.keys()
+    assert QUERIES.items() <= registered.queries().items() and SQL.items() <= registered.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

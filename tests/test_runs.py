@@ -6,7 +6,7 @@ import pytest
 from samples import bare_line, line
 from test_metrics import random_lines
 
-from tallyweir import MetricsRuns, OptionMismatch, RunOptions, stream_log, stream_runs
+from tallyweir import MetricsRuns, OptionMismatch, RunOptions, StateMismatch, read_log, stream_log, stream_runs
 from tallyweir.operators.increment import baseline
 from tallyweir.operators.points import POINT_COLUMNS
 from tallyweir.streaming.watermarked import closed_bucket_points, start_closed_buckets
@@ -108,11 +108,12 @@ def test_options_may_not_change_under_open_buckets(spark, lines_of, folder):
     for changed in (
         RunOptions(bucket_duration=30, skip_to_end=False),
         RunOptions(bucket_duration=60, lookback_factor=3, skip_to_end=False),
+        RunOptions(bucket_duration=60, weighting="per_contact", skip_to_end=False),
     ):
         with pytest.raises(OptionMismatch):
             MetricsRuns(spark, folder, changed).run(lines_of(*at(3)))
     again = MetricsRuns(spark, folder, RunOptions(bucket_duration=30, skip_to_end=False), start_over=True)
-    assert again.run(lines_of(*at(3))).run_id == 1
+    assert again.run(lines_of(*at(3))).run_id == 0
     assert {r.bucket for r in again.leftover().collect()} == {5}
 
 
@@ -129,7 +130,7 @@ def test_failed_sends_are_kept_and_replayed(spark, lines_of, folder):
     store.broken = True
     for minute in (1, 2, 3):
         assert runs.run(lines_of(*at(minute))).sent_points == 0
-    assert runs.last_commit().undelivered == [1, 2]
+    assert runs.last_commit().undelivered == ["state=0/run=1", "state=0/run=2"]
     store.broken = False
     stats = runs.run(lines_of(*at(4)))
     assert stats.sent_points > 0 and stats.resent_points == 2 * stats.sent_points
@@ -166,14 +167,105 @@ def test_a_run_that_died_is_repeated(spark, lines_of, folder, monkeypatch):
     assert runs.run(lines_of(*at(3, 4)), run_id=1) is None
 
 
-def test_max_lines_per_run(spark, tmp_path, folder):
-    log = tmp_path / "access.log"
-    log.write_text("\n".join(at(*range(1, 9))) + "\n")
-    from tallyweir import read_log
-
+def test_capped_runs_read_each_line_once(spark, tmp_path, folder):
+    log = tmp_path / "logs" / "access.log"
+    log.parent.mkdir()
+    text = at(*range(3, 11))
+    log.write_text("\n".join(text) + "\n")
+    old = tmp_path / "logs" / "access.log.2"
+    older = tmp_path / "logs" / "access.log.10"
+    old.write_text("\n".join(at(2, 2)) + "\n")
+    older.write_text("\n".join(at(1)) + "\n")
     runs = MetricsRuns(spark, folder, RunOptions(skip_to_end=False, max_lines=5))
-    assert runs.run(read_log(spark, str(log))).parsed_lines == 5
-    assert hits(runs) == [(1, 1), (2, 1), (3, 1)]
+    read = lambda: read_log(spark, str(log.parent), r"/(access)[^/]*$", r"\.log\.(\d+)$")
+    assert runs.run(read()).parsed_lines == 5
+    # the oldest file first, so nothing is late: buckets 1 and 2 close when the line of bucket 4 is read
+    assert hits(runs) == [(1, 1), (2, 2)]
+    log.write_text("\n".join([*text, *at(11)]) + "\n")  # it has grown meanwhile
+    assert [runs.run(read()).parsed_lines for _ in range(3)] == [5, 2, 0]
+    one = MetricsRuns(spark, str(tmp_path / "one"), RunOptions(skip_to_end=False))
+    assert one.run(read()).parsed_lines == 12 and hits(one) == hits(runs)
+    assert one.run(read()).parsed_lines == 0
+    with pytest.raises(ValueError):
+        runs.run(spark.createDataFrame([("1|1",)], "value string"))
+
+
+def test_lines_without_source_are_kept(spark, folder):
+    lines = spark.createDataFrame([(None, t) for t in at(1, 2)] + [("a", t) for t in at(1, 5)] + [(None, "x")], "source string, value string")
+    runs = MetricsRuns(spark, folder, RunOptions(skip_to_end=False, lookback_factor=0))
+    stats = runs.run(lines)
+    published = runs.points().where("measurement = 'hits'").agg({"value_i": "sum"}).first()[0]
+    assert published + stats.skipped_lines == stats.parsed_lines == 5
+
+
+def test_a_source_met_late_is_only_noted(spark, lines_of, folder):
+    runs = MetricsRuns(spark, folder, RunOptions(bucket_duration=60, lookback_factor=0))
+    runs.run(lines_of(*[("a", t) for t in at(1)]))
+    stats = runs.run(lines_of(*[("a", t) for t in at(2)], *[("b", t) for t in at(1, 2)], ("b", "x")))
+    assert stats.skipped_lines == 3
+    runs.run(lines_of(*[("b", t) for t in at(2, 3)]))
+    published = runs.points().where("measurement = 'hits'").collect()
+    assert sorted((r.source, r.bucket) for r in published) == [("a", 2), ("b", 3)]
+
+
+def test_a_clock_ahead_costs_only_its_line(spark, lines_of, folder):
+    runs = MetricsRuns(spark, folder, RunOptions(skip_to_end=False, lookback_factor=0, max_ahead=3600))
+    assert runs.run(lines_of(*at(1, 2), bare_line("250000000000")), now=600.0).skipped_lines == 1
+    assert runs.run(lines_of(*at(3, 4)), now=700.0).skipped_lines == 0
+    assert hits(runs) == [(b, 1) for b in (1, 2, 3, 4)]
+
+
+def test_rejects_and_statistics_of_a_run(spark, lines_of, folder):
+    seen = []
+    options = RunOptions(skip_to_end=False, lookback_factor=0, keep_rejects=True)
+    runs = MetricsRuns(spark, folder, options, stats_sink=lambda stats: seen.append(stats.first()))
+    runs.run(lines_of(*at(5), "junk"))
+    runs.run(lines_of(*at(4, 6), line(status="x", msec="599")))
+    got = sorted((r.run, r.reason) for r in runs.rejects().collect())
+    assert got == [(0, "bad_version"), (1, "bad_status"), (1, "late")]
+    assert [(s.run_id, s.parsed_lines, s.skipped_lines) for s in seen] == [(0, 2, 1), (1, 3, 2)]
+
+
+def test_start_over_is_a_new_epoch(spark, lines_of, folder):
+    store = Store()
+    first = MetricsRuns(spark, folder, OPTIONS, store)
+    store.broken = True
+    first.run(lines_of(*at(1, 2, 3)))
+    store.broken = False
+    again = MetricsRuns(spark, folder, OPTIONS, store, start_over=True)
+    for i, minutes in enumerate(((11, 12), (13,), (14,))):
+        assert again.run(lines_of(*at(*minutes)), run_id=i).run_id == i
+    assert hits(again) == [(11, 1), (12, 1)]
+    # what the first epoch owed is sent by the second
+    assert {p[2] for p in store.sends[0]} == {1}
+    assert MetricsRuns(spark, folder, OPTIONS).last_commit().run_id == 2
+
+
+def test_state_and_checkpoint_belong_together(spark, tmp_path, folder):
+    logs = tmp_path / "logs"
+    logs.mkdir()
+    (logs / "1.log").write_text("\n".join(at(1, 2, 3)) + "\n")
+
+    def go(checkpoint, state=folder, **kw):
+        runs = MetricsRuns(spark, state, OPTIONS, **kw)
+        stream_runs(stream_log(spark, str(logs), "(never)"), runs, str(tmp_path / checkpoint)).awaitTermination()
+        return runs
+
+    go("cp1")
+    with pytest.raises(StateMismatch):
+        go("cp2")
+    go("cp3", state=str(tmp_path / "other"))
+    with pytest.raises(StateMismatch):
+        go("cp3")
+    assert hits(go("cp2", start_over=True)) == [(1, 1)]
+    assert hits(go("cp2")) == [(1, 1)]
+
+
+def test_a_run_lists_only_its_own_points(spark, lines_of, folder):
+    runs = MetricsRuns(spark, folder, RunOptions(skip_to_end=False, lookback_factor=0))
+    for minute in range(4):
+        runs.run(lines_of(*at(minute)))
+    assert all("/state=0/run=2/" in f for f in runs.points(2).inputFiles())
 
 
 def ordered_lines(seed, n=240):
@@ -248,6 +340,8 @@ def test_watermark_closes_the_same_buckets(spark, lines_of, tmp_path):
     assert sum(o.parsed_lines for o in observed) == 120
     with pytest.raises(OptionMismatch):
         go(RunOptions(bucket_duration=30, skip_to_end=False))
+    with pytest.raises(ValueError):
+        go(RunOptions(skip_to_end=True))
 
 
 def test_watermark_is_inclusive(spark, tmp_path):
