@@ -24,7 +24,7 @@ UNDETERMINED = "und"
 PER_LANGUAGE = 1000
 ROUNDS = 3
 LONGEST_WORD = 32
-KNOWN_WORDS = 300_000
+KNOWN_CHUNKS = 600_000
 # Added to the expected count of every piece, and the probability of a character that no piece covers.
 PIECE_PRIOR = 0.01
 UNKNOWN_CHARACTER = 1e-9
@@ -51,19 +51,32 @@ class Lattice(NamedTuple):
     ends: np.ndarray
 
 
+class Pieces(NamedTuple):
+    """Numbers of the pieces, an automaton that finds them, and the characters that are pieces."""
+
+    numbers: dict[str, int]
+    matches: object
+    single: frozenset[str]
+
+
 @lru_cache(maxsize=2)
-def pieces_of(vocabulary: str) -> tuple[dict[str, int], int]:
-    """Pieces of letters in a vocabulary file with their numbers, and the longest length."""
+def pieces_of(vocabulary: str) -> Pieces:
+    """The pieces of lower-case letters in a vocabulary file."""
+    import ahocorasick
     import sentencepiece
 
     processor = sentencepiece.SentencePieceProcessor(model_file=vocabulary)
-    pieces = {}
+    numbers: dict[str, int] = {}
     for i in range(processor.get_piece_size()):
         piece = processor.id_to_piece(i)
         letters = piece.removeprefix(WORD_START)
         if not processor.is_control(i) and not processor.is_byte(i) and piece and (not letters or letters == letters.lower() and letters.isalpha()):
-            pieces.setdefault(piece, len(pieces))
-    return pieces, max(map(len, pieces))
+            numbers.setdefault(piece, len(numbers))
+    matches = ahocorasick.Automaton()
+    for piece, i in numbers.items():
+        matches.add_word(piece, (len(piece), i))
+    matches.make_automaton()
+    return Pieces(numbers, matches, frozenset(p for p in numbers if len(p) == 1))
 
 
 def words_of(text: str) -> list[str]:
@@ -72,19 +85,16 @@ def words_of(text: str) -> list[str]:
 
 
 def lattice(words: list[str], vocabulary: str) -> Lattice:
-    pieces, longest = pieces_of(vocabulary)
-    look = pieces.get
-    rows = []
+    pieces = pieces_of(vocabulary)
+    rows: list[int] = []
     for w, word in enumerate(words):
         word = WORD_START + word
-        n = len(word)
-        for i in range(n):
-            for j in range(i + 1, min(n, i + longest) + 1):
-                piece = look(word[i:j])
-                if piece is not None:
-                    rows.append((w, i, j, piece))
-                elif j == i + 1:
-                    rows.append((w, i, j, len(pieces)))
+        for end, (length, piece) in pieces.matches.iter(word):
+            rows += (w, end + 1 - length, end + 1, piece)
+        if not pieces.single.issuperset(word):
+            for i, c in enumerate(word):
+                if c not in pieces.single:
+                    rows += (w, i, i + 1, len(pieces.numbers))
     arcs = np.array(rows, dtype=np.int64).reshape(-1, 4)
     arcs = arcs[np.lexsort((arcs[:, 0], arcs[:, 2]))]
     most = int(arcs[-1, 2]) if len(arcs) else 0
@@ -156,7 +166,7 @@ def fit(docs: DataFrame, vocabulary: str, per_language: int = PER_LANGUAGE, roun
     sizes = {r.lang: r.n for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     languages = sorted(sizes)
     number = {lang: i for i, lang in enumerate(languages)}
-    pieces, _ = pieces_of(vocabulary)
+    pieces = pieces_of(vocabulary).numbers
     model = Model(vocabulary, languages, np.full((len(pieces) + 1, len(languages)), 1 / len(pieces)))
     model.probabilities[-1] = UNKNOWN_CHARACTER
     if not languages:
@@ -209,34 +219,47 @@ def _expecting(shared):
 
 
 class Scorer:
-    """Predicts texts; remembers the scores of some words."""
+    """Predicts texts; remembers the scores of ``known`` chunks between white space at most."""
 
-    def __init__(self, model: Model, known: int = KNOWN_WORDS):
+    def __init__(self, model: Model, known: int = KNOWN_CHUNKS):
         self.model, self.limit = model, known
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.scores = np.empty((1024, len(self.model.languages)))
+        # the first row is for chunks without letters
+        self.known: dict[str, int] = {"": 0}
+        self.scores = np.zeros((1, len(self.model.languages)))
 
     def predict(self, texts: list[str]) -> list[tuple[str, float]]:
-        words = [words_of(text) for text in texts]
-        if not self.model.languages:
-            return [(UNDETERMINED, 0.0)] * len(texts)
+        chunks = [text.lower().split() for text in texts]
         if len(self.known) > self.limit:
             self._forget()
-        new = list({w for own in words for w in own if w not in self.known})
-        at = len(self.known)
-        self.known.update(zip(new, range(at, at + len(new))))
-        while len(self.scores) < len(self.known):
-            self.scores = np.concatenate((self.scores, np.empty_like(self.scores)))
-        self.scores[at : at + len(new)] = log_probabilities(new, self.model)
-        return [self._best(own) for own in words]
+        self._learn(set().union(*chunks).difference(self.known))
+        return [self._best(np.array(list(map(self.known.__getitem__, own)), dtype=np.int64)) for own in chunks]
 
-    def _best(self, words: list[str]) -> tuple[str, float]:
-        if not words:
+    def _learn(self, chunks: set[str]) -> None:
+        words = {chunk: words_of(chunk) for chunk in chunks}
+        new = list(set().union(*words.values()).difference(self.known))
+        at = len(self.scores)
+        self.known.update(zip(new, range(at, at + len(new))))
+        added = [self.scores, log_probabilities(new, self.model)] if new else [self.scores]
+        self.scores = np.concatenate(added)
+        sums = []
+        for chunk, own in words.items():
+            if len(own) == 1:
+                self.known[chunk] = self.known[own[0]]
+            elif not own:
+                self.known[chunk] = 0
+            else:
+                self.known[chunk] = len(self.scores) + len(sums)
+                sums.append(self.scores[[self.known[w] for w in own]].sum(axis=0))
+        if sums:
+            self.scores = np.concatenate((self.scores, np.array(sums)))
+
+    def _best(self, rows: np.ndarray) -> tuple[str, float]:
+        if not rows.any() or not self.model.languages:
             return UNDETERMINED, 0.0
-        total = self.scores[list(map(self.known.__getitem__, words))].sum(axis=0)
+        total = self.scores[rows].sum(axis=0)
         best = int(total.argmax())
         return self.model.languages[best], float(1 / np.exp(total - total[best]).sum())
 
