@@ -40,4 +40,4 @@ def micros(number: str) -> str:
 
 def mean_from_micros(total: str, count: str) -> str:
     """Mean in natural units from a sum of micro-units; NULL when the count is 0."""
-    return f"CASE WHEN {count} > 0 THEN {total} / ({count} * 1000000D) END"
+    return f"CASE WHEN {count} > 0 THEN double({total}) / ({count} * 1000000D) END"

@@ -101,7 +101,7 @@ def request_summary(requests: DataFrame, *keys: str) -> DataFrame:
     sums = [
         part
         for t in TIMES
-        for part in (f"aggregate(_{t}, 0L, (a, t) -> a + t) AS {t}_us", f"size(_{t}) AS {t}_n")
+        for part in (f"aggregate(_{t}, CAST(0 AS DECIMAL(38, 0)), (a, t) -> CAST(a + t AS DECIMAL(38, 0))) AS {t}_us", f"size(_{t}) AS {t}_n")
     ]
     statuses = (
         "transform(array_sort(array_distinct(_statuses)), "

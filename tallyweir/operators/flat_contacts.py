@@ -20,7 +20,7 @@ def flat_contact_means(contacts: DataFrame) -> DataFrame:
     Takes rows of ``request``, ``bucket``, ``upstream`` and ``response`` in seconds.
     """
     per_request = contacts.groupBy(*_REQUEST).agg(
-        F.expr("count(*) AS n"), F.expr(f"sum({micros('response')}) AS us"), F.expr("count(response) AS c")
+        F.expr("count(*) AS n"), F.expr(f"sum(CAST({micros('response')} AS DECIMAL(38, 0))) AS us"), F.expr("count(response) AS c")
     )
     sums = per_request.groupBy("bucket", "upstream").agg(
         F.expr("sum(n) AS hits"), F.expr("sum(n * us) AS us"), F.expr("sum(n * c) AS c")
@@ -30,7 +30,8 @@ def flat_contact_means(contacts: DataFrame) -> DataFrame:
 
 def flat_contact_statuses(contacts: DataFrame) -> DataFrame:
     """Hits per bucket, server and status: each distinct status of a request counts all its contacts of the server."""
-    per_status = contacts.groupBy(*_REQUEST, "status").agg(F.expr("count(*) AS k"))
+    # Dealt by request once: the counts and the window over them use the same exchange.
+    per_status = contacts.groupBy(*_REQUEST, "status").agg(F.expr("count(*) AS k")).repartition(*_REQUEST)
     # One row per distinct status is left of a request and server, so the window is small.
     weighted = per_status.withColumn("n", F.sum("k").over(Window.partitionBy(*_REQUEST)))
     return weighted.groupBy("bucket", "upstream", "status").agg(F.expr("sum(n) AS hits"))

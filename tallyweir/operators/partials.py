@@ -23,19 +23,34 @@ REQUEST, CONTACT, SKIP = "request", "contact", "skip"
 # status: of the request, of the contact, or the reason of the skip
 PARTIAL_KEYS = ("source", "kind", "bucket", "vhost", "protocol", "loctag", "upstream", "status")
 
+# Counts fit 64 bits; sums of what lines say need not.
+WIDE = "DECIMAL(38, 0)"
+
+
+def wide(number: str) -> str:
+    return f"CAST({number} AS {WIDE})"
+
+
+def weighted(number: str) -> str:
+    return wide(f"CAST({number} AS DECIMAL(20, 0)) * CAST(weight AS DECIMAL(10, 0))")
+
+
 def protocol_label(protocol: str) -> str:
     return f"CASE WHEN {protocol} = 's' THEN 'https' ELSE 'http' END"
 
 
+# These are wide from the first addition.
+WIDE_SUMS = ("bytes_sent", "gzip_us", "request_length", "time_us", "response_us", "connect_us", "header_us")
+
 # Summable measures of one accepted request.
 REQUEST_MEASURES = {
     "hits": "1L",
-    "bytes_sent": "bytes_sent",
+    "bytes_sent": wide("bytes_sent"),
     "gzip_n": "bigint(gzip_ratio IS NOT NULL)",
-    "gzip_us": micros("gzip_ratio"),
-    "request_length": "request_length",
+    "gzip_us": wide(micros("gzip_ratio")),
+    "request_length": wide("request_length"),
     "time_n": "bigint(request_time IS NOT NULL)",
-    "time_us": micros("request_time"),
+    "time_us": wide(micros("request_time")),
     "hits_with_upstream": "bigint(servers_contacted IS NOT NULL)",
     "servers_contacted": "bigint(servers_contacted)",
     "internal_redirects": "bigint(internal_redirects)",
@@ -44,11 +59,11 @@ REQUEST_MEASURES = {
 # Summable measures of one exploded contact.
 CONTACT_MEASURES = {
     "contact_hits": "1L",
-    "response_us": "response_us * weight",
+    "response_us": weighted("response_us"),
     "response_n": "CASE WHEN response_us IS NOT NULL THEN weight END",
-    "connect_us": "connect_us * weight",
+    "connect_us": weighted("connect_us"),
     "connect_n": "CASE WHEN connect_us IS NOT NULL THEN weight END",
-    "header_us": "header_us * weight",
+    "header_us": weighted("header_us"),
     "header_n": "CASE WHEN header_us IS NOT NULL THEN weight END",
     "status_hits": "status_hits",
 }

@@ -56,7 +56,10 @@ def points_from_partials(partials: DataFrame, bucket_duration: int = 60) -> Data
 
 def _candidate(name: str) -> str:
     spec, value = METRICS[name], published_value(name)
-    whole, fraction = (value, "double(NULL)") if spec.whole else ("bigint(NULL)", value)
+    # whole values beyond 64 bits are published as fractions
+    whole, fraction = "bigint(NULL)", value
+    if spec.whole:
+        whole, fraction = f"try_cast({value} AS BIGINT)", f"CASE WHEN try_cast({value} AS BIGINT) IS NULL THEN double({value}) END"
     point = f"named_struct('measurement', '{name}', 'value_i', {whole}, 'value_d', {fraction})"
     return f"CASE WHEN grain = '{spec.grain}' AND ({value}) IS NOT NULL THEN {point} END"
 

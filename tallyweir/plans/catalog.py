@@ -93,7 +93,8 @@ def upstream_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def upstream_request_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     shown = F.expr("array_join(transform(statuses, s -> concat(s.status, 'x', s.n)), ' ')")
-    return request_summary(_requests(spark, sf_dir), "event_id").withColumn("statuses", shown)
+    summary = request_summary(_requests(spark, sf_dir), "event_id").withColumn("statuses", shown)
+    return summary.withColumns({f"{t}_us": F.col(f"{t}_us").cast("bigint") for t in TIMES})
 
 
 def bucket_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,12 +155,13 @@ def log_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def single_metric(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     values = metric(access_log(spark, sf_dir), name, BUCKET_DURATION)
-    return values.select(_time(), *GRAIN_TAGS[METRICS[name].grain], "value")
+    kind = "bigint" if METRICS[name].whole else "double"
+    return values.select(_time(), *GRAIN_TAGS[METRICS[name].grain], F.col("value").cast(kind).alias("value"))
 
 
 def all_base_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = metrics_wide(_partials(access_log(spark, sf_dir)))
-    return wide.withColumn("time", _time()).drop("source", "bucket")
+    return wide.withColumn("time", _time()).withColumn("bytes_sent", F.col("bytes_sent").cast("bigint")).drop("source", "bucket")
 
 
 def per_contact_upstreams(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,6 +176,15 @@ def per_contact_upstreams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sums.select(_time(), *BASE_KEYS, "upstream", F.col("contact_hits").alias("contacts"), *means)
 
 
+def large_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums of values near the largest 64-bit number, many in each bucket, as text and as points."""
+    numbers = "9223372036854775000 - event_id % 1000, '|-|', 9000000000000 - event_id % 7"
+    line = "concat('1|', unix_seconds(CAST(ts AS TIMESTAMP)), '|big|s|-|200|', " + numbers.replace("'|-|', ", "'|-|10|', ") + ", '|-|-|-|-|-')"
+    lines = table(spark, sf_dir, "events").selectExpr("'big' AS source", f"{line} AS value")
+    points = _points(lines).where("measurement IN ('bytes_sent', 'request_time_mean')")
+    return points.select("measurement", "time", "value_i", F.round(F.col("value_d") / 1e9, 0).cast("bigint").alias("billions"))
+
+
 def long_upstream_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three upstream metrics of lines with some hundred contacts each."""
     lines = supplier_log(spark, sf_dir)
@@ -249,7 +260,7 @@ def _hits(partials: DataFrame) -> DataFrame:
     return (
         partials.where(F.col("kind") == REQUEST)
         .groupBy("source", "bucket", *BASE_KEYS)
-        .agg(F.sum("hits").alias("hits"), F.sum("bytes_sent").alias("bytes_sent"))
+        .agg(F.sum("hits").alias("hits"), F.sum("bytes_sent").cast("bigint").alias("bytes_sent"))
         .select("source", _time(), *BASE_KEYS, "hits", "bytes_sent")
     )
 
@@ -395,6 +406,7 @@ QUERIES: dict[str, Query] = {
     **{name: partial(single_metric, name) for name in METRICS},
     "metrics_wide": all_base_metrics,
     "per_contact_upstreams": per_contact_upstreams,
+    "large_sums": large_sums,
     "long_upstream_lists": long_upstream_lists,
     "order_contacts_means": order_contacts_means,
     "order_contacts_status": order_contacts_status,

@@ -303,6 +303,20 @@ UNION ALL
 SELECT 'upstreams_response_time_mean', vhost, upstream, NULL, CAST(n * us AS DOUBLE) / CAST(n * n * 1000000 AS DOUBLE) FROM met
 """
 
+_LARGE_SUMS = f"""
+WITH lines AS (
+  SELECT CAST(ceil(epoch_us(ts) // 1000000 / {_DURATION}) AS BIGINT) AS bucket,
+    CAST(9223372036854775000 - event_id % 1000 AS HUGEINT) AS bytes, 9000000000000 - event_id % 7 AS seconds
+  FROM events
+),
+sums AS (SELECT bucket, sum(bytes) AS bytes, sum(seconds * CAST(1000000 AS HUGEINT)) AS us, count(*) AS n FROM lines GROUP BY bucket)
+SELECT 'bytes_sent' AS measurement, {time_text("bucket")} AS time,
+  CASE WHEN bytes <= 9223372036854775807 THEN CAST(bytes AS BIGINT) END AS value_i,
+  CASE WHEN bytes > 9223372036854775807 THEN CAST(round(CAST(bytes AS DOUBLE) / 1e9, 0) AS BIGINT) END AS billions FROM sums
+UNION ALL
+SELECT 'request_time_mean', {time_text("bucket")}, NULL, CAST(round(CAST(us AS DOUBLE) / (n * 1000000) / 1e9, 0) AS BIGINT) FROM sums
+"""
+
 # The second run's lines twice, once as those of a source that only this run meets.
 _LATE = f"""
 seen AS (SELECT p.*, e.ts, e.user_id AS u, CAST(ceil(p.msec / {_DURATION}) AS BIGINT) AS b FROM parsed p JOIN events e USING (event_id)),
@@ -447,6 +461,7 @@ def oracle_statements() -> dict[str, str]:
     )
     statements["run_rejects"] = with_log("SELECT source, value AS line, reason FROM parsed WHERE reason IS NOT NULL")
     statements["increment_late"] = with_log(_LATE_COUNTS, more=_LATE)
+    statements["large_sums"] = _LARGE_SUMS
     statements["long_upstream_lists"] = _SUPPLIER_LISTS
     statements["log_scan"] = with_log(
         "SELECT source, count(*) AS lines, CAST(sum(length(value)) AS BIGINT) AS characters FROM log GROUP BY source"

@@ -27,7 +27,7 @@ from tallyweir.operators.increment import (
     marks_from_times,
     open_partials,
 )
-from tallyweir.operators.partials import SUMS, add_up, contributions, line_counts, with_source
+from tallyweir.operators.partials import SUMS, WIDE, WIDE_SUMS, add_up, contributions, line_counts, with_source
 from tallyweir.operators.points import POINT_SCHEMA, points_from_partials
 from tallyweir.operators.requests import REASONS_BEFORE_LATE, parse_lines
 from tallyweir.operators.runstats import RunStats, stats_frame
@@ -44,7 +44,7 @@ COMMIT_SCHEMA = (
 REJECTS_SCHEMA = "source string, value string, reason string, run bigint"
 PARTIALS_SCHEMA = (
     "source string, kind string, bucket bigint, vhost string, protocol string, loctag string, upstream string, "
-    "status string, lines bigint, " + ", ".join(f"{name} bigint" for name in SUMS) + ", last_msec double"
+    "status string, lines bigint, " + ", ".join(f"{name} {WIDE if name in WIDE_SUMS else 'bigint'}" for name in SUMS) + ", last_msec double"
 )
 # Gets the points of one delivery; raising means that they were not delivered.
 PointSink = Callable[[DataFrame], None]

@@ -288,3 +288,21 @@ def test_the_parse_runs_once(spark, lines_of):
     assert "partial_sum" in plan.split("Exchange")[1]
     assert "Python" not in plan
     assert parse_lines(lines_of(line()))._jdf.queryExecution().executedPlan().toString().count("Exchange") == 0
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_sums_neither_stop_nor_wrap(spark, lines_of, ansi):
+    most = 2**63 - 1
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        lines = lines_of(
+            *[upstream_line("A, A", "200, 200", "9e12, 9e12", "-, -", "-, -", msec="50", bytes_sent=str(most), request_time="9e12")] * 3,
+            bare_line("500", bytes_sent="7"),
+        )
+        points = points_of(lines, 60)
+        of = lambda name, bucket: next(v for k, v in points.items() if k[0] == name and k[1] == bucket)
+        assert of("bytes_sent", 1) == 3.0 * most and of("bytes_sent", 9) == 7
+        assert of("request_time_mean", 1) == 9e12 and of("upstreams_response_time_mean", 1) == 9e12
+        assert int(metric(lines, "bytes_sent").where("bucket = 1").first()["value"]) == 3 * most
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
