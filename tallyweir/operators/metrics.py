@@ -84,6 +84,7 @@ METRICS: dict[str, Metric] = {
     "upstreams_header_time_mean": _mean("header_us", "header_n", "upstream"),
 }
 
+ZERO_IF_ANY = tuple(name for name, m in METRICS.items() if m.zero_if_any)
 BASE_METRICS = tuple(name for name, m in METRICS.items() if m.grain == "base")
 
 
@@ -113,11 +114,11 @@ def metric_of_parsed(parsed: DataFrame, name: str, weighting: str = "per_request
     )
     sums = rows.groupBy("source", "bucket", *tags).agg(*sums_of(*spec.needs))
     if spec.zero_if_any:
-        sums = sums.join(_sources_with(sums, spec.needs[0]), "source", "left_semi")
+        sums = sums.join(sources_with(sums, spec.needs[0]), "source", "left_semi")
     return sums.selectExpr("source", "bucket", *tags, f"{spec.value} AS value").where("value IS NOT NULL")
 
 
-def _sources_with(sums: DataFrame, name: str) -> DataFrame:
+def sources_with(sums: DataFrame, name: str) -> DataFrame:
     # The same aggregate as the other side of the join, so its exchange is reused.
     return sums.groupBy("source").agg(F.expr(f"max({name}) AS most")).where("most > 0").select("source")
 
@@ -128,13 +129,16 @@ def metrics_wide(partials: DataFrame) -> DataFrame:
     Expects written partials (see ``tallyweir.sources.scratch``): they are read twice, once
     for the run-wide presence of compression.
     """
-    requests = partials.where(F.col("kind") == REQUEST)
-    sums = requests.groupBy("source", "bucket", *BASE_TAGS).agg(*sums_of(*REQUEST_SUMS))
-    return with_gzip_presence(sums, partials).selectExpr(
+    return with_gzip_presence(base_sums(partials, REQUEST_SUMS), partials).selectExpr(
         "source", "bucket", *BASE_TAGS, *[f"{published_value(name)} AS {name}" for name in BASE_METRICS]
     )
 
 
+def base_sums(partials: DataFrame, names: tuple[str, ...]) -> DataFrame:
+    """Sums of the requests at the base grain."""
+    return partials.where(F.col("kind") == REQUEST).groupBy("source", "bucket", *BASE_TAGS).agg(*sums_of(*names))
+
+
 def published_value(name: str) -> str:
     """Value of a metric over sums joined with ``any_gzip``."""
     spec = METRICS[name]

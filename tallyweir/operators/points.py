@@ -18,7 +18,7 @@ from tallyweir.functions.lineprotocol import (
     tag_part,
     time_in_precision,
 )
-from tallyweir.operators.metrics import BASE_TAGS, METRICS, published_value, rolled_up, with_gzip_presence
+from tallyweir.operators.metrics import BASE_TAGS, METRICS, ZERO_IF_ANY, base_sums, rolled_up, sources_with
 
 TAG_COLUMNS = (*BASE_TAGS, "upstream", "status")
 POINT_COLUMNS = ("source", "measurement", "bucket", "epoch", "time", *TAG_COLUMNS, "value_i", "value_d")
@@ -39,9 +39,10 @@ def points_from_partials(partials: DataFrame, bucket_duration: int = 60) -> Data
     and ``time`` are the right edge of the bucket.
     """
     check_duration(bucket_duration)
-    sums = with_gzip_presence(rolled_up(partials), partials)
     candidates = ", ".join(_candidate(name) for name in METRICS)
-    long = sums.selectExpr("source", "bucket", *TAG_COLUMNS, f"inline(array_compact(array({candidates})))")
+    long = rolled_up(partials).selectExpr("source", "bucket", *TAG_COLUMNS, f"inline(array_compact(array({candidates})))")
+    for name in ZERO_IF_ANY:
+        long = long.unionByName(_zero_points(partials, name))
     return long.selectExpr(
         "source",
         "measurement",
@@ -54,8 +55,19 @@ def points_from_partials(partials: DataFrame, bucket_duration: int = 60) -> Data
     )
 
 
+def _zero_points(partials: DataFrame, name: str) -> DataFrame:
+    """Points of value 0 for sources that have others; no other point needs to know what else its source has."""
+    sums = base_sums(partials, METRICS[name].needs)
+    tags = [tag if tag in BASE_TAGS else f"string(NULL) AS {tag}" for tag in TAG_COLUMNS]
+    zeros = sums.where(f"{METRICS[name].value} = 0").join(sources_with(sums, METRICS[name].needs[0]), "source", "left_semi")
+    return zeros.selectExpr(
+        "source", "bucket", *tags, f"'{name}' AS measurement", "0L AS value_i", "double(NULL) AS value_d"
+    )
+
+
 def _candidate(name: str) -> str:
-    spec, value = METRICS[name], published_value(name)
+    spec = METRICS[name]
+    value = f"nullif({spec.value}, 0)" if spec.zero_if_any else spec.value
     # whole values beyond 64 bits are published as fractions
     whole, fraction = "bigint(NULL)", value
     if spec.whole:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -31,16 +32,15 @@ def write_lines(lines: DataFrame, path: str, batch_size: int = DEFAULT_BATCH_SIZ
 
 
 def batch_bodies(lines: DataFrame, batch_size: int = DEFAULT_BATCH_SIZE) -> DataFrame:
-    """Bodies of at most ``batch_size`` ended lines with their line count, filled within each partition.
-
-    With a size of 0 or less a partition makes one body.
-    """
+    """Bodies of at most ``batch_size`` ended lines with their line count, filled within each partition."""
+    if batch_size < 1:
+        raise ValueError(f"a body holds one line at least: {batch_size}")
 
     def fill(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         waiting: list[str] = []
         for frame in frames:
             waiting.extend(frame["line"])
-            whole = len(waiting) - len(waiting) % batch_size if batch_size > 0 else 0
+            whole = len(waiting) - len(waiting) % batch_size
             if whole:
                 starts = range(0, whole, batch_size)
                 yield _bodies([waiting[i : i + batch_size] for i in starts])
@@ -59,9 +59,11 @@ def _bodies(batches: list[list[str]]) -> pd.DataFrame:
 
 def send_lines(lines: DataFrame, send: Callable[[str], None], batch_size: int = DEFAULT_BATCH_SIZE) -> None:
     """Call ``send(body)`` on the executors for each batch; a failing call fails its task, and Spark retries it."""
+    if batch_size < 1:
+        raise ValueError(f"a body holds one line at least: {batch_size}")
 
     def send_all(rows: Iterator) -> None:
-        for row in rows:
-            send(row["body"])
+        while some := [row["line"] for row in islice(rows, batch_size)]:
+            send("\n".join(some) + "\n")
 
-    batch_bodies(lines, batch_size).select("body").foreachPartition(send_all)
+    lines.select("line").foreachPartition(send_all)

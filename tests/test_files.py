@@ -72,7 +72,9 @@ def test_batches_fill_across_arrow_batches(spark):
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
     try:
         assert sorted(b.points for b in batch_bodies(twelve_lines(spark), 5).collect()) == [2, 5, 5]
-        assert [b.points for b in batch_bodies(twelve_lines(spark), 0).collect()] == [12]
+        for wrong in (batch_bodies, lambda lines, size: send_lines(lines, print, size)):
+            with pytest.raises(ValueError):
+                wrong(twelve_lines(spark), 0)
         assert max(b.points for b in batch_bodies(twelve_lines(spark, 3), 5).collect()) <= 5
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
