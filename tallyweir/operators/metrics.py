@@ -60,6 +60,7 @@ def _ratio(top: str, bottom: str) -> Metric:
     return Metric("base", (top, bottom), f"CASE WHEN {bottom} > 0 THEN {top} / {bottom} END", whole=False)
 
 
+# The published names, in their order.
 METRICS: dict[str, Metric] = {
     "hits": _sum("hits"),
     "hits_with_upstream": Metric("base", ("hits_with_upstream",), "nullif(hits_with_upstream, 0)"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-# one field per name, in line order
+# A line in the published format, one field per name, in line order.
 FIELDS = {
     "version": "1",
     "msec": "1568962563.374",
@@ -14,7 +14,7 @@ FIELDS = {
     "gzip_ratio": "2.5",
     "request_length": "289",
     "request_time": "0.026",
-    "upstream_addr": "10.2.2.31:65412",
+    "upstream_addr": "192.0.2.31:8080",
     "upstream_status": "200",
     "upstream_response_time": "0.024",
     "upstream_connect_time": "0.000",
