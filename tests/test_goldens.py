@@ -37,7 +37,7 @@ def test_grains(partials):
         for r in sums.groupBy("grain")
         .agg(
             F.count("*").alias("groups"),
-            *[F.sum(c).alias(c) for c in sums.columns if sums.schema[c].dataType.typeName() == "long"],
+            *[F.sum(c).alias(c) for c in sums.columns if sums.schema[c].dataType.typeName() in ("long", "decimal")],
             F.expr("count_if(gzip_n > 0)").alias("with_gzip"),
             F.expr("count_if(hits_with_upstream > 0)").alias("with_upstream"),
             F.expr("count_if(connect_n > 0)").alias("with_connect"),
