@@ -16,25 +16,31 @@ from tallyweir.llm.minhash import deduplicated
 from tallyweir.llm.packing import pack
 from tallyweir.llm.pii import pseudonymised
 from tallyweir.llm.queries import END_ID, PIECE_VOCABULARY, PSEUDONYM_KEY, WORD_TOKENIZER
-from tallyweir.llm.shared import stored, table
+from tallyweir.llm.shared import small_batches, stored, table
+
+#: What a worker may remember in one stage: it serves all stages in turn, and memory once taken is slow to come back.
+KNOWN_CHUNKS = 100_000
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; ``lang`` stays as labelled, only the text decides."""
-    found = predicted(docs.withColumnsRenamed({"lang_pred": "_pred", "score": "_score"}), fit(docs, PIECE_VOCABULARY))
+    small_batches(spark)
+    found = predicted(docs.withColumnsRenamed({"lang_pred": "_pred", "score": "_score"}), fit(docs, PIECE_VOCABULARY), KNOWN_CHUNKS)
     kept = found.where(found["lang_pred"] != UNDETERMINED).drop("lang_pred", "score")
     return kept.withColumnsRenamed({"_pred": "lang_pred", "_score": "score"})
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
+    small_batches(spark)
     return deduplicated(docs)
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data replaced by pseudonyms; ``n_chars`` is that of the new text."""
+    small_batches(spark)
     out = pseudonymised(docs, PSEUDONYM_KEY)
     if "n_chars" in out.columns:
         out = out.selectExpr(*[f"CAST(char_length(text) AS {docs.schema['n_chars'].dataType.simpleString()}) AS n_chars" if c == "n_chars" else f"`{c}`" for c in out.columns])
@@ -43,7 +49,8 @@ def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of power-of-two lengths, each of one document."""
-    return pack(docs, WORD_TOKENIZER, END_ID)
+    small_batches(spark)
+    return pack(docs, WORD_TOKENIZER, END_ID, known=KNOWN_CHUNKS)
 
 
 STAGES: list[tuple[str, Stage]] = [("language_id", language_id), ("near_dedup", near_dedup), ("pii", pii), ("packing", packing)]

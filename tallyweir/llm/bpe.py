@@ -11,6 +11,7 @@ from __future__ import annotations
 import contextlib
 import json
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -21,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from tallyweir.llm.automaton import Automaton, compiled
-from tallyweir.llm.shared import slices, stored
+from tallyweir.llm.shared import kept, slices, stored
 
 LEXICON_WORDS = 65_536
 LONGEST_LEXICON_WORD = 64
@@ -176,8 +177,10 @@ def encode_decode(docs: DataFrame, tokenizer: str, size: int = LEXICON_WORDS) ->
     spark = docs.sparkSession
     lexicon = spark.sparkContext.broadcast(lexicon_of(frequent_words(docs, size), tokenizer))
 
+    key = ("bpe", uuid.uuid4().hex)
+
     def encoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(tokenizer, lexicon.value)
+        encoder = kept(key, lambda: Encoder(tokenizer, lexicon.value))
         for batch in batches:
             texts = ["" if t is None else t for t in batch["text"]]
             for low, high in slices(texts):

@@ -8,6 +8,7 @@ pieces, by the forward algorithm.  A text gets the language under which its word
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -18,13 +19,13 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyweir.llm.shared import slices
+from tallyweir.llm.shared import kept, slices
 
 UNDETERMINED = "und"
 PER_LANGUAGE = 1000
 ROUNDS = 3
 LONGEST_WORD = 32
-KNOWN_CHUNKS = 600_000
+KNOWN_CHUNKS = 400_000
 # Added to the expected count of every piece, and the probability of a character that no piece covers.
 PIECE_PRIOR = 0.01
 UNKNOWN_CHARACTER = 1e-9
@@ -264,18 +265,20 @@ class Scorer:
         return self.model.languages[best], float(1 / np.exp(total - total[best]).sum())
 
 
-def predicted(docs: DataFrame, model: Model) -> DataFrame:
+def predicted(docs: DataFrame, model: Model, known: int = KNOWN_CHUNKS) -> DataFrame:
     """Add ``lang_pred`` and ``score``, the probability of that language among the learned ones.
 
     Only ``text`` is looked at; it is read whole.  A text that is null or has no letter, or any text if no
     language was learned, is ``und`` with score 0; ties go to the first language by name.  All columns and
-    rows stay; columns named ``lang_pred`` or ``score`` are replaced.  Nothing is shuffled.
+    rows stay; columns named ``lang_pred`` or ``score`` are replaced.  Nothing is shuffled.  A worker remembers
+    the scores of ``known`` chunks at most.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    key = ("langid", uuid.uuid4().hex)
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        scorer = Scorer(shared.value)
+        scorer = kept(key, lambda: Scorer(shared.value, known))
         for batch in batches:
             texts = ["" if t is None else t for t in batch]
             rows = chain.from_iterable(scorer.predict(texts[low:high]) for low, high in slices(texts))

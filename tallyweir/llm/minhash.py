@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from tallyweir.llm.components import components
-from tallyweir.llm.shared import mixed, ranges, shingle_hashes, slices, stored, unit
+from tallyweir.llm.shared import kept, mixed, ranges, shingle_hashes, slices, stored, unit
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -95,7 +95,7 @@ def _sets(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    k = BANDS * BAND_COORDINATES
+    k = kept("minhash", lambda: BANDS * BAND_COORDINATES)
     for batch in batches:
         texts = ["" if t is None else t for t in batch["text"]]
         for low, high in slices(texts, most=256):

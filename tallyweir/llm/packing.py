@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -17,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from tallyweir.llm.bpe import byte_letters
-from tallyweir.llm.shared import slices
+from tallyweir.llm.shared import kept, slices
 
 MAX_LENGTH = 4096
 KNOWN_CHUNKS = 900_000
@@ -83,30 +82,25 @@ class Known(dict):
         return value
 
 
-@lru_cache(maxsize=2)
-def _encoder(path: str) -> ChunkEncoder:
-    return ChunkEncoder(path)
-
-
 def piece_lengths(n: int, longest: int) -> list[int]:
     """Powers of two that add up to ``n``, none over ``longest``, in falling order."""
     return [longest] * (n // longest) + [1 << b for b in range(longest.bit_length() - 2, -1, -1) if n % longest >> b & 1]
 
 
-def pack(docs: DataFrame, tokenizer: str, end_id: int, max_length: int = MAX_LENGTH) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, end_id: int, max_length: int = MAX_LENGTH, known: int = KNOWN_CHUNKS) -> DataFrame:
     """Sequences of the texts of ``docs`` (``doc_id``, ``text``), one row per piece.
 
     ``start`` counts the document's ids before the piece, ``ids`` holds its ids as little-endian unsigned
     32-bit integers, ``doc_tokens`` the document's ids with the final ``end_id``, ``bucket`` the sequence's
     length.  ``max_length`` is a power of two.  A null or empty text is one piece with ``end_id`` alone; a
     null or repeated ``doc_id`` is kept, every row is packed for itself; other columns are ignored; an empty
-    table gives no rows.  Nothing is shuffled: ids of sequences are numbered within the read partitions.
+    table gives no rows.  A worker remembers ``known`` chunks at most.  Nothing is shuffled: ids of sequences are numbered within the read partitions.
     """
     if max_length < 1 or max_length & max_length - 1:
         raise ValueError("max_length must be a power of two")
 
     def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = _encoder(tokenizer)
+        encoder = kept(("packing", tokenizer, known), lambda: ChunkEncoder(tokenizer, known))
         end = np.array([end_id], dtype="<u4").tobytes()
         next_id = TaskContext.get().partitionId() * _TASK_IDS
         for batch in batches:

@@ -19,6 +19,8 @@ from typing import NamedTuple
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from tallyweir.llm.shared import kept
+
 ROUNDS = 8
 FIRST_DAY, LAST_DAY = dt.date(1900, 1, 1).toordinal(), dt.date(2099, 12, 31).toordinal()
 DIGITS = "0123456789"
@@ -290,7 +292,7 @@ def pseudonymised(docs: DataFrame, key: bytes, details: bool = False) -> DataFra
     kinds = "array<struct<kind: string, start: int, end: int, pseudonym: string>>"
 
     def replaced(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        pseudonyms = Pseudonyms(key)
+        pseudonyms = kept(("pii", key), lambda: Pseudonyms(key))
         for batch in batches:
             rows = [(None, []) if t is None else pseudonyms.replaced(t) for t in batch]
             yield pd.DataFrame({"text": [t for t, _ in rows], "found": [[f._asdict() for f in found] for _, found in rows]}, dtype=object)

@@ -4,18 +4,31 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import cache
+from typing import TypeVar
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
 SLICE_CHARS = 1_000_000
 _WORD_BASE = np.uint64(0x9E3779B97F4A7C15)
 _WORD_BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
+#: Rows that Python workers get at once; documents may be long.
+ROWS_AT_ONCE = 1000
+
+
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Let a session hand rows to Python workers in small batches, so that they need little memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_AT_ONCE))
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return small_batches(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def shared_path(spark: SparkSession, purpose: str) -> str:
@@ -24,11 +37,16 @@ def shared_path(spark: SparkSession, purpose: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-        root = tempfile.mkdtemp(prefix="run-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_folder()
     return f"{root.rstrip('/')}/llm/{purpose}-{uuid.uuid4().hex}"
 
 
+@cache
+def _local_folder() -> str:
+    """For sessions on one machine that name no shared folder, as in tests."""
+    return tempfile.mkdtemp(prefix="run-")
+
+
 def stored(frame: DataFrame, purpose: str) -> DataFrame:
     """Write once and read back: cuts lineage, survives lost executors, and is not computed twice."""
     path = shared_path(frame.sparkSession, purpose)
@@ -36,6 +54,20 @@ def stored(frame: DataFrame, purpose: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+_kept: dict = {}
+
+
+def kept(key: object, make: Callable[[], T]) -> T:
+    """What ``make`` gives, kept for the next tasks of this worker until another operator keeps something.
+
+    Workers outlive tasks and serve all operators in turn, so only one of them may hold what it remembers.
+    """
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
 def slices(texts: list[str], limit: int = SLICE_CHARS, most: int = 4096) -> Iterator[tuple[int, int]]:
     """Ranges of whole texts, ``most`` of about ``limit`` characters, so that a task's memory does not follow its batch."""
     start = size = 0

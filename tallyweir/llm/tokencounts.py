@@ -9,13 +9,12 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from tallyweir.llm.shared import slices
+from tallyweir.llm.shared import kept, slices
 
 KNOWN_WORDS = 600_000
 WORD_START = "▁"
@@ -76,11 +75,6 @@ class Counter:
         return [sum(map(look, own)) for own in words]
 
 
-@lru_cache(maxsize=2)
-def _counter(path: str) -> Counter:
-    return Counter(vocabulary_of(path))
-
-
 def token_counts(docs: DataFrame, vocabulary: str) -> DataFrame:
     """``doc_id`` and ``n_tokens`` of every whole text of ``docs`` (``doc_id``, ``text``) under a unigram vocabulary file.
 
@@ -90,7 +84,7 @@ def token_counts(docs: DataFrame, vocabulary: str) -> DataFrame:
     """
 
     def counted(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        counter = _counter(vocabulary)
+        counter = kept(("tokencounts", vocabulary), lambda: Counter(vocabulary_of(vocabulary)))
         for batch in batches:
             texts = ["" if t is None else t for t in batch]
             yield pd.Series([n for low, high in slices(texts) for n in counter.texts(texts[low:high])], dtype=np.int64)
