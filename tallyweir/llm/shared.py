@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
+import sys
 import tempfile
+import unicodedata
 import uuid
 from collections.abc import Callable, Iterator
 from functools import cache
@@ -111,13 +114,26 @@ _IS_WORD[128:] = True
 _IS_WORD[[*range(48, 58), *range(97, 123)]] = True
 
 
+def _marks() -> str:
+    """All combining marks as ranges of a character class; ``\\w`` has letters and digits, but not these."""
+    codes = [c for c in range(128, sys.maxunicode + 1) if unicodedata.category(chr(c))[0] == "M"]
+    firsts = [c for c, before in zip(codes, [-1, *codes]) if c != before + 1]
+    lasts = [c for c, after in zip(codes, [*codes[1:], -1]) if c != after - 1]
+    return "".join(f"{chr(a)}-{chr(b)}" for a, b in zip(firsts, lasts))
+
+
+# Spaces, punctuation and symbols that are not ASCII.
+_BETWEEN = re.compile(rf"[^\x00-\x7f\w{_marks()}]+")
+
+
 def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of the texts in order, and how many each text has.
 
-    A word is a run of ASCII letters, digits and non-ASCII characters of the lower-cased text.
-    Words are found and hashed over the bytes of all texts at once.
+    A word is a run of letters, combining marks and digits, of any script, of the lower-cased text.  In scripts
+    that are written without spaces it is what stands between two punctuation marks.  Words are found and hashed
+    over the bytes of all texts at once.
     """
-    lowered = [text.lower().encode("utf-8", "replace") for text in texts]
+    lowered = [_separated(text.lower()).encode("utf-8", "replace") for text in texts]
     data = np.frombuffer(b"\n" + b"\n".join(lowered) + b"\n", dtype=np.uint8)
     inside = _IS_WORD[data]
     edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
@@ -131,6 +147,11 @@ def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return hashes, counts
 
 
+def _separated(text: str) -> str:
+    """The text with a space for all that is no word character and not ASCII, as bytes tell only ASCII apart."""
+    return text if text.isascii() else _BETWEEN.sub(" ", text)
+
+
 def shingle_hashes(texts: list[str], width: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the runs of ``width`` words of each text, and how many each has.
 

@@ -9,7 +9,7 @@ import pytest
 from tallyweir.llm.components import components
 from tallyweir.llm.minhash import SIMILARITY, dart_signatures, deduplicated, near_duplicates
 from tallyweir.llm.queries import op4_minhash
-from tallyweir.llm.shared import mixed
+from tallyweir.llm.shared import mixed, word_hashes
 
 
 def shingles(text):
@@ -93,6 +93,48 @@ def test_groups_equal_brute_force(spark, seed):
     assert got == {i: (g, i == g) for i, g in enumerate(want)}
 
 
+def word_shingles(text):
+    words = re.findall(r"[^\W_]+", text.lower())
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def typographic_texts():
+    rng = random.Random(7)
+    words = [f"w{rng.randrange(5000)}" for _ in range(400)]
+    texts = []
+    for left, right, space, dash in (('"', '"', " ", " - "), ("«\u00a0", "\u00a0»", "\u00a0", "\u2009—\u2009"), ("„", "“", "\u202f", "…"), ("‘", "’", "\u3000", "–")):
+        texts.append("".join(f"{left}{w}{right}{space}" if i % 7 == 0 else w + (dash if i % 5 == 0 else space) for i, w in enumerate(words)))
+    clause = lambda: "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(rng.randrange(6, 14)))
+    for stop in ("，", "。", "、", "！"):
+        clauses = [clause() for _ in range(300)]
+        changed = list(clauses)
+        changed[rng.randrange(300)] = clause()
+        texts += [stop.join(clauses), stop.join(changed), "；".join(clauses), "？".join(edited(clauses, 60, rng))]
+    return [*texts, "…", "«\u00a0»", "。，", "été à Genève… « où »", "Été — à Genève, (où)"]
+
+
+def test_unicode_marks_and_spaces_part_words(spark):
+    texts = typographic_texts()
+    sets = [word_shingles(t) for t in texts]
+    group = list(range(len(texts)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a and sets[j] and len(a & sets[j]) >= SIMILARITY * len(a | sets[j]):
+                group = [min(group[i], group[j]) if g in (group[i], group[j]) else g for g in group]
+    assert len(set(group)) < len(texts) - 10
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    assert {r.doc_id: r.group_id for r in near_duplicates(docs).collect()} == dict(enumerate(group))
+    assert [r.doc_id for r in deduplicated(docs).orderBy("doc_id").collect()] == [i for i, g in enumerate(group) if i == g]
+
+
+def test_words_of_any_script():
+    counts = lambda *texts: word_hashes(list(texts))[1].tolist()
+    # marks belong to words, whether or not they are composed with a letter
+    assert counts("हिन्दी में", "e\u0301te\u0301 où", "a_b", "٣٤ x²", "\ud800 a", "𝒳y 🙂 z", "İstanbul’da") == [2, 2, 2, 2, 1, 2, 2]
+    a, b = (word_hashes([t])[0].tolist() for t in ("Où\u00a0« est »…", "où est"))
+    assert a == b
+
+
 def test_odd_rows(spark):
     rows = [(1, "a b c d e f", "x"), (1, "a b c d e f", "x"), (1, "other words here", "x"), (None, "a b c d e f", "y"),
             (None, "only here", "y"), (None, "only here", "y"), (None, "Only, here", "z"), (2, None, "y"), (3, "", None), (3, "", None), (None, None, None)]
