@@ -38,6 +38,8 @@ ASIDE_WORDS = frozenset(
 )
 APART_WORDS = frozenset("comment comments commentlist discussion disqus replies respond reader related recommended recommendations trending".split())
 HEADER_WORDS = frozenset("header masthead topbar".split())
+# with one of these a name tells how a page is laid out, not what a block is for
+STATE_WORDS = frozenset("has have no not non with without open opened closed enabled disabled allowed collapsed expanded".split())
 CONTENT_WORDS = frozenset("article articlebody content main post entry story".split())
 # an element of the one kind ends those of the other that are still open in the same block
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -64,6 +66,9 @@ class Open(NamedTuple):
     content: bool
 
 
+NOTHING = Open("", frozenset(), False, False, False)
+
+
 class Piece(NamedTuple):
     """A run of text or a tag.  ``block`` numbers the block of a text; ``keys`` says what encloses it."""
 
@@ -75,41 +80,131 @@ class Piece(NamedTuple):
     tag: str
 
 
+class Element(NamedTuple):
+    """A start tag: the number of the element that encloses it, whether it encloses others, and the words of its
+    names (class, id, role): all, those that are a whole name, and those of compound names.
+    """
+
+    parent: int
+    tag: str
+    holds: bool
+    words: frozenset[str]
+    whole: frozenset[str]
+    compound: frozenset[str]
+
+
 def pieces(html: str) -> list[Piece]:
-    """The page as texts and tags.  Elements left open end with what encloses them."""
+    """The page as texts and tags.  Elements left open end with what encloses them.
+
+    A name of one word, as ``sidebar``, tells what an element is for.  One of several, as ``sidebar-right``, may
+    also tell that of a wrapper around the content, so it does not hold for an element with most of the content.
+    """
+    tokens, elements = _read(html)
+    opened = _all_opened(elements, frozenset())
+    doubtful = [i for i, e in enumerate(elements) if e.compound & (ASIDE_WORDS | APART_WORDS | HEADER_WORDS)]
+    if doubtful:
+        opened = _all_opened(elements, frozenset(doubtful) - _wrappers(tokens, elements, opened, doubtful))
     out: list[Piece] = []
-    stack: list[Open] = []
+    for text, tag, block, top, element in tokens:
+        around = opened[top]
+        if element is None:
+            out.append(Piece(text, block, around.keys if text is not None else frozenset((tag,)), around.aside or around.apart, around.content, tag))
+            continue
+        own, parent = opened[element], opened[elements[element].parent]
+        keys = own.keys - (parent.keys if elements[element].holds else frozenset())
+        out.append(Piece(None, block, keys | {tag}, own.aside or own.apart, own.content, tag))
+    return out
+
+
+def _read(html: str) -> tuple[list[tuple[str | None, str, int, int, int | None]], list[Element]]:
+    """Texts and tags (text, tag, block, number of what encloses it, number of the element if it starts one) and all elements.
+
+    The number of what nothing encloses is -1.
+    """
+    out: list[tuple[str | None, str, int, int, int | None]] = []
+    elements: list[Element] = []
+    stack: list[Element] = []
+    numbers: list[int] = []
     block = 0
-    nothing = Open("", frozenset(), False, False, False)
     for token in _TOKEN.finditer(html):
-        top = stack[-1] if stack else nothing
+        top = numbers[-1] if numbers else -1
         text, tag = token["text"], token["tag"]
         if text is not None:
-            out.append(Piece(text, block, top.keys, top.aside or top.apart, top.content, ""))
+            out.append((text, "", block, top, None))
             continue
         if tag is None:
             continue
         tag = tag.lower()
         block += tag in BLOCK
         if tag == "br":
-            out.append(Piece(" ", block, top.keys, top.aside or top.apart, top.content, ""))
+            out.append((" ", "", block, top, None))
         if token["end"]:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i].tag == tag:
-                    del stack[i:]
+                    del stack[i:], numbers[i:]
                     break
-            out.append(Piece(None, block, frozenset((tag,)), top.aside or top.apart, top.content, tag))
+            out.append((None, tag, block, top, None))
             continue
         _end_open(stack, tag)
-        element = _opened(stack[-1] if stack else nothing, tag, token["attributes"] or "")
-        if tag not in VOID and not (token["attributes"] or "").endswith("/"):
+        del numbers[len(stack) :]
+        attributes = token["attributes"] or ""
+        element = _element(numbers[-1] if numbers else -1, tag, tag not in VOID and not attributes.endswith("/"), attributes)
+        out.append((None, tag, block, top, len(elements)))
+        if element.holds:
             stack.append(element)
-        own = element.keys - (stack[-2].keys if len(stack) > 1 and stack[-1] is element else frozenset())
-        out.append(Piece(None, block, own | {tag}, element.aside or element.apart, element.content, tag))
-    return out
-
-
-def _end_open(stack: list[Open], tag: str) -> None:
+            numbers.append(len(elements))
+        elements.append(element)
+    return out, elements
+
+
+def _element(parent: int, tag: str, holds: bool, attributes: str) -> Element:
+    words: set[str] = set()
+    whole: set[str] = set()
+    compound: set[str] = set()
+    if tag not in ("html", "body"):
+        for named in _NAMED.finditer(attributes):
+            for name in (named[2] or named[3] or named[4] or "").split():
+                parts = {p.lower() for p in _PARTS.findall(name) if not p.isdigit()}
+                words |= parts
+                if len(parts) == 1:
+                    whole |= parts
+                elif not parts & STATE_WORDS:
+                    compound |= parts
+    if tag == "main":
+        whole, compound = set(), set()
+    if tag == "article":
+        # an article is content by its tag; a name as a whole may still tell that it is a comment or an advert
+        whole, compound = set(), set() if whole & CONTENT_WORDS else whole
+    return Element(parent, tag, holds, frozenset(words), frozenset(whole), frozenset(compound))
+
+
+def _all_opened(elements: list[Element], doubtful: frozenset[int]) -> list[Open]:
+    """All elements as open ones, those of ``doubtful`` with their compound names, and at the end, as number -1, that outside of all."""
+    out: list[Open] = []
+    for i, element in enumerate(elements):
+        out.append(_opened(out[element.parent] if element.parent >= 0 else NOTHING, element, i in doubtful))
+    return [*out, NOTHING]
+
+
+def _wrappers(tokens: list, elements: list[Element], opened: list[Open], doubtful: list[int]) -> frozenset[int]:
+    """Doubtful elements that hold more than half of the words of labelled content, or of all words if nothing is labelled.
+
+    Texts that are aside without the doubtful names do not count.
+    """
+    for labelled in (True, False):
+        held = [0] * (len(elements) + 1)
+        for text, _, _, top, _ in tokens:
+            around = opened[top]
+            if text is not None and not around.aside and not around.apart and (around.content or not labelled):
+                held[top] += len(text.split())
+        for i in range(len(elements) - 1, -1, -1):
+            held[elements[i].parent] += held[i]
+        if held[-1]:
+            return frozenset(i for i in doubtful if 2 * held[i] > held[-1])
+    return frozenset()
+
+
+def _end_open(stack: list[Element], tag: str) -> None:
     """Elements that the start of another one ends: paragraphs before blocks, and rows of their own kind."""
     if tag in BLOCK:
         for i in range(len(stack) - 1, -1, -1):
@@ -128,14 +223,17 @@ def _end_open(stack: list[Open], tag: str) -> None:
                 break
 
 
-def _opened(parent: Open, tag: str, attributes: str) -> Open:
-    words = {p.lower() for named in _NAMED.finditer(attributes) for p in _PARTS.findall(named[2] or named[3] or named[4] or "")}
-    content = parent.content or tag in CONTENT or (tag in BLOCK and bool(words & CONTENT_WORDS) and not words & (ASIDE_WORDS | APART_WORDS))
-    apart = parent.apart or bool(words & APART_WORDS)
+def _opened(parent: Open, element: Element, doubtful: bool) -> Open:
+    tag = element.tag
+    marks = element.whole | element.compound if doubtful else element.whole
+    content = parent.content or tag in CONTENT or (tag in BLOCK and bool(element.words & CONTENT_WORDS) and not marks & (ASIDE_WORDS | APART_WORDS))
+    apart = parent.apart or bool(marks & APART_WORDS)
     # the page's own headers are aside, an article's are not; an article does not belong to a menu left open
-    header = (tag == "header" or bool(words & HEADER_WORDS)) and not content
-    aside = (parent.aside and tag not in CONTENT) or tag in ASIDE or bool(words & ASIDE_WORDS) or header
-    return Open(tag, parent.keys | {tag} | {f".{w}" for w in words if not w.isdigit()}, aside, apart, content)
+    header = (tag == "header" or bool(marks & HEADER_WORDS)) and not content
+    aside = (parent.aside and tag not in CONTENT) or tag in ASIDE or bool(marks & ASIDE_WORDS) or header
+    # what a name does not mark does not speak against the element either; of an article the learned scores decide
+    shown = element.words if tag == "article" else element.words - ((ASIDE_WORDS | APART_WORDS | HEADER_WORDS) - marks)
+    return Open(tag, parent.keys | {tag} | {f".{w}" for w in shown}, aside, apart, content)
 
 
 class Weights(NamedTuple):

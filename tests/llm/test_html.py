@@ -45,6 +45,34 @@ def test_templates(name):
     assert main_text(page(TEMPLATES[name]), PRIOR) == WANT
 
 
+BODY_CLASSES = ["has-sidebar", "no-sidebar", "nav-closed", "modal-open", "fixed-header", "comments-open", "home sidebar-right", "search", "noSidebar related"]
+ENTRY = f"<div class='entry-content'><h1>The head line</h1>{PS}</div>"
+OTHERS = f"<div class='sidebar-right'><p>{WORDS * 9}</p></div><div class='comments-area'><div class='text'><p>{WORDS * 5}</p></div></div>"
+
+
+@pytest.mark.parametrize("classes", BODY_CLASSES)
+def test_names_of_body_and_wrappers_do_not_lose_the_article(classes):
+    for inner in (ENTRY, f"<article class='post related-topic'>{ENTRY}</article>", f"<article><h1>The head line</h1>{PS}</article>"):
+        for html in (
+            page(f"{MENU}{inner}{OTHERS}").replace("<body>", f"<body class='{classes}'>").replace("<html>", f"<html class='{classes}'>"),
+            page(f"{MENU}<main class='{classes} content-with-sidebar'>{inner}</main>{OTHERS}"),
+            page(f"<div class='page {classes}'>{MENU}{inner}{OTHERS}</div>") if "-" in classes else "",
+        ):
+            assert not html or main_text(html, PRIOR) == WANT, html
+            # learned weights that speak against a word of the names do not matter either
+            weights = PRIOR._replace(words=PRIOR.words | dict.fromkeys((".sidebar", ".nav", ".modal", ".header", ".comments", ".related"), -2.0))
+            assert not html or main_text(html, weights) == WANT, html
+
+
+def test_wrappers_of_unlabelled_and_of_several_articles():
+    assert main_text(page(f"<div class='layout sidebar-left'><div class=t><h1>The head line</h1>{PS}</div></div>"), PRIOR) == WANT
+    posts = "".join(f"<div class='row comments-open'>{ENTRY}</div>" for _ in range(3))
+    assert main_text(page(posts), PRIOR).count("The head line") == 3
+    teasers = "".join(f"<article class=teaser><p>{WORDS * 2}</p></article>" for _ in range(3))
+    assert main_text(page(f"<article><h1>The head line</h1>{PS}</article><div class='related-posts'>{teasers}</div>"), PRIOR) == WANT
+    assert main_text(page(f"<article><h1>The head line</h1>{PS}</article><article class=comment><p>{WORDS * 4}</p></article>"), PRIOR) == WANT
+
+
 def test_text_is_decoded_and_spaced():
     html = "<article><p> caf&eacute;&nbsp;&amp;\n tea &lt;b&gt; &#x41;&#66; 1 < 2 </p><p></p><ul><li>one two three four<li>five six</ul></article>"
     assert main_text(html, PRIOR) == "café & tea <b> AB 1 < 2\n\none two three four\n\nfive six"
