@@ -27,6 +27,22 @@ DIGITS = "0123456789"
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 HEX = "0123456789abcdef"
 
+# Groups of national telephone numbers, whose first digit is part of the form.
+_GAP = "[ \u00a0\u202f.-]"
+_SPACE = "[ \u00a0\u202f]"
+_NATIONAL = "|".join((
+    rf"0[0-9](?P<s5>{_GAP})[0-9]{{2}}(?:(?P=s5)[0-9]{{2}}){{3}}",  # 01 23 45 67 89
+    rf"[6-9][0-9](?P<s6>{_GAP})[0-9]{{3}}(?P=s6)[0-9]{{2}}(?P=s6)[0-9]{{2}}",  # 91 123 45 67
+    rf"[6-9][0-9]{{2}}(?P<s7>{_GAP})[0-9]{{2}}(?P=s7)[0-9]{{2}}(?P=s7)[0-9]{{2}}",  # 912 34 56 78
+    # 612 345 678, but no amount as 650 000 000 or part of one
+    rf"(?<![0-9]{_SPACE})(?P<thirds>[6-9][0-9]{{2}}{_SPACE}[0-9]{{3}}{_SPACE}(?!000)[0-9]{{3}})(?!{_SPACE}[0-9]{{3}})",
+    rf"0[0-9](?P<s8>{_GAP})[0-9]{{4}}(?P=s8)[0-9]{{4}}",  # 02 1234 5678
+    rf"0[0-9]{{2}}(?P<s9>{_GAP})[0-9]{{4}}(?P=s9)[0-9]{{4}}",  # 020 7946 0958
+    rf"0[0-9]{{3}}(?P<s10>{_GAP})[0-9]{{3}}(?P=s10)[0-9]{{3,4}}",  # 0161 496 0000
+    rf"\(0[0-9]{{1,4}}\){_GAP}?[0-9]{{2,4}}(?:{_GAP}?[0-9]{{2,4}}){{1,3}}",  # (020) 7946 0958
+    rf"0[0-9]{{1,4}}(?:{_SPACE}?/{_SPACE}?|{_GAP})[0-9]{{3,8}}(?:{_GAP}[0-9]{{2,5}}){{0,2}}",  # 030/1234567
+    r"[2-9][0-9]{2}-[0-9]{4}",  # 555-0199
+))
 # Forms of personal data.
 FORMS = {
     "email": r"(?<![\w.+-])[\w.+-]*\w@[\w-]+(?:\.[\w-]+)+",
@@ -36,7 +52,8 @@ FORMS = {
     "date": r"(?<![0-9./-])(?:[0-9]{4}(?P<s1>[-/.])[0-9]{1,2}(?P=s1)[0-9]{1,2}|[0-9]{1,2}(?P<s2>[-/.])[0-9]{1,2}(?P=s2)[0-9]{4})(?![0-9]|[./-][0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])",
     "phone": r"(?<![\w+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}"
-    r"|\([0-9]{3}\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}|[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4})(?![0-9])",
+    r"|\([0-9]{3}\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}|[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}"
+    rf"|(?<![0-9][.,/-])(?<![0-9]{{3}}{_SPACE})(?P<national>{_NATIONAL})(?![./-][0-9]))(?![0-9])",
     "card": r"(?<!\w)[0-9]{4}(?:(?P<s3>[ -])[0-9]{4}(?P=s3)[0-9]{4}(?P=s3)[0-9]{1,7}|(?P<s4>[ -])[0-9]{6}(?P=s4)[0-9]{4,5})(?![0-9])",
     "number": r"(?<!\w)[0-9]{9,19}(?![0-9])",
 }
@@ -210,6 +227,13 @@ class Pseudonyms:
         digits = re.sub(r"\D", "", text)
         if not 7 <= len(digits) <= 15:
             return None
+        if match["national"]:
+            if len(digits) > 11 or len(digits) == 7 and text[3] != "-":
+                return None
+            # what is no amount does not become one
+            rule = (lambda v: v % 1000 > 0) if match["thirds"] else (lambda _: True)
+            moved = self.other(int(digits[1:]), 10 ** (len(digits) - 1), f"phone|national|{digits[0]}|{len(digits)}", rule)
+            return fill(text, f"{digits[0]}{moved:0{len(digits) - 1}d}")
         code = re.match(r"\+(\d{1,3})", text) if text.startswith("+") else None
         # a country's code stays where it stands apart; of digits that run on, the first does
         kept = code[1] if code and len(code[0]) < len(text) and not text[len(code[0])].isdigit() else digits[: bool(code)]

@@ -61,6 +61,28 @@ def test_pseudonyms_keep_format_and_validity(kind):
     assert P.replaced("A.B@EXAMPLE.COM")[0] == P.replaced("a.b@example.com")[0].upper()
 
 
+NATIONAL = ["01 23 45 67 89", "01.23.45.67.89", "01\u00a023\u00a045\u00a067\u00a089", "91 123 45 67", "912 34 56 78", "612 345 678", "02 1234 5678", "020 7946 0958", "0161 496 0000",
+            "(020) 7946 0958", "(0161) 496-0000", "030/1234567", "030 / 123 45 67", "030-1234567", "01632 960123", "0171 1234567", "555-0199"]
+
+
+@pytest.mark.parametrize("value", NATIONAL)
+def test_national_numbers_keep_their_groups(value):
+    for text in (f"call {value}, or {value}.", f"Tel.:{value}", f"<{value}>", f"{value} 2 times"):
+        out, found = P.replaced(text)
+        new = found[0].pseudonym
+        assert {(f.kind, f.pseudonym) for f in found} == {("phone", new)} and out == text.replace(value, new), (text, out)
+        assert re.sub(r"[0-9]", "9", new) == re.sub(r"[0-9]", "9", value) and new != value
+    for i in range(200):
+        other = "".join(str((int(c) + i * 7 + k) % 10) if c.isdigit() and k > 1 else c for k, c in enumerate(value))
+        found = P.replaced(other)[1]
+        assert not found or [f.kind for f in P.replaced(found[0].pseudonym)[1]] == [found[0].kind], other
+
+
+@pytest.mark.parametrize("text", ["650 000 000 people", "1 650 123 456 people", "12 34 56 78 90", "01/2024", "pages 12-1999", "0.12 3456", "1999 2000", "2024/2025", "7 5 3", "08:15 10"])
+def test_other_grouped_numbers_stay(text):
+    assert P.replaced(text) == (text, [])
+
+
 def test_dates_are_permuted():
     days = [dt.date(1990, 1, 1) + dt.timedelta(i) for i in range(3000)]
     for form in ("%Y-%m-%d", "%d.%m.%Y", "%m/%d/%Y"):
