@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyweir.llm.bpe import encode_decode
+from tallyweir.llm.collocations import collocations
 from tallyweir.llm.forest import vector_groups
 from tallyweir.llm import html
 from tallyweir.llm.langid import held_out, identify
@@ -76,6 +77,10 @@ def op10_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_groups(table(spark, sf_dir, "embeddings"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_neighbours": op2_neighbours,
@@ -87,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_langid": op9_langid,
     "op10_forest": op10_forest,
+    "op13_collocations": op13_collocations,
 }
 
 
@@ -135,5 +141,50 @@ FROM captures c LEFT JOIN ranked r ON r.page_id = c.page_id AND r.place = 1
 """
 
 
+# Written from the definitions: every phrase is counted, nothing is abandoned.
+_COLLOCATIONS = r"""
+WITH texts AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS pieces
+  FROM documents
+),
+pieces AS (SELECT lang, unnest(pieces) AS piece FROM texts),
+split AS (SELECT lang, [w FOR w IN string_split_regex(piece, '[ \t]') IF w <> ''] AS words FROM pieces),
+totals AS (SELECT lang, sum(len(words)) AS n FROM split GROUP BY lang),
+places AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM split WHERE len(words) > 0),
+counted AS (
+  SELECT lang, array_to_string(words[i:i + size - 1], ' ') AS phrase, size, count(*) AS f
+  FROM places, (VALUES (1), (2), (3), (4)) AS sizes(size)
+  WHERE i + size - 1 <= len(words)
+  GROUP BY ALL HAVING count(*) >= 30
+),
+candidates AS (SELECT lang, phrase, size, f AS a, string_split(phrase, ' ') AS w FROM counted WHERE size > 1),
+cuts AS (
+  SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:], ' ') AS rest
+  FROM candidates, (VALUES (1), (2), (3)) AS places(k) WHERE k < size
+),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, c.k, x.f AS l, y.f AS r, CAST(2000000 AS HUGEINT) * c.a // (CAST(x.f AS HUGEINT) + y.f) AS score
+  FROM cuts c JOIN counted x ON x.lang = c.lang AND x.phrase = c.head JOIN counted y ON y.lang = c.lang AND y.phrase = c.rest
+),
+lowest AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS place FROM scored
+),
+inside AS (
+  SELECT lang, array_to_string(w[i:i + part - 1], ' ') AS phrase, max(a) AS most
+  FROM candidates, (VALUES (1), (2), (3)) AS firsts(i), (VALUES (2), (3)) AS parts(part)
+  WHERE part < size AND i + part - 1 <= size
+  GROUP BY ALL
+),
+ranked AS (
+  SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY s.score DESC, s.a DESC, s.phrase) AS rank, s.phrase, s.a, s.l, s.r, s.score
+  FROM lowest s LEFT JOIN inside i ON i.lang = s.lang AND i.phrase = s.phrase
+  WHERE s.place = 1 AND (i.most IS NULL OR CAST(100 AS HUGEINT) * i.most < CAST(80 AS HUGEINT) * s.a)
+)
+SELECT r.lang, r.rank, r.phrase, r.a, r.l, r.r, CAST(t.n AS BIGINT) AS n, CAST(r.score AS BIGINT) AS score
+FROM ranked r JOIN totals t ON t.lang = r.lang WHERE r.rank <= 2000
+"""
+
+
 def oracle_statements() -> dict[str, str]:
-    return {"op3_url_filter": _URL_FILTER}
+    return {"op3_url_filter": _URL_FILTER, "op13_collocations": _COLLOCATIONS}
