@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyweir.llm.alignment import aligned_scores
 from tallyweir.llm.bpe import encode_decode
 from tallyweir.llm.collocations import collocations
 from tallyweir.llm.forest import vector_groups
@@ -77,6 +78,10 @@ def op10_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_groups(table(spark, sf_dir, "embeddings"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aligned_scores(table(spark, sf_dir, "documents"), BYTE_TOKENIZER, PIECE_VOCABULARY)
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"))
 
@@ -92,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_langid": op9_langid,
     "op10_forest": op10_forest,
+    "op11_alignment": op11_alignment,
     "op13_collocations": op13_collocations,
 }
 

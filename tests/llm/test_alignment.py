@@ -1,0 +1,130 @@
+"""The alignment of two tokenizers against its definition, pair by pair."""
+
+import hashlib
+import json
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+import sentencepiece
+from tokenizers import Tokenizer
+
+from tallyweir.llm import alignment, bitmaps
+from tallyweir.llm.alignment import aligned_scores
+from tallyweir.llm.bpe import byte_letters
+from tallyweir.llm.queries import BYTE_TOKENIZER, PIECE_VOCABULARY, op11_alignment
+
+COLUMNS = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+SF_DIR = "/root/testdata/sf0.001"
+LARGE = 2**53 + 1
+TEXTS = [
+    (1, "The quick brown fox"), (2, "the quick  brown\tfox\n\njumps "), (3, None), (4, ""), (5, " "), (6, "  starts with two spaces"),
+    (7, "<|endoftext|> and <s> <0x0A> stay text"), (8, "a ▁ mark"), (9, "naïve Zürich 東京タワー 😀😀 é"), (None, "without an id"),
+    (None, "without an id"), (LARGE, "an id beyond floats"), (LARGE, "an id beyond floats"), (-(2**63), "the quick brown fox"), (10, "nul \x00 in it"),
+    (11, "ab" * 3000), (12, "the " * 5000), (13, "　x y"), (14, "x\r\n\r\n  y   z"), (15, "don't won't it's 12345 1999-01-02"),
+]
+
+
+class ByDefinition:
+    def __init__(self):
+        self.a = Tokenizer.from_file(BYTE_TOKENIZER)
+        self.a.encode_special_tokens = True
+        back = {letter: byte for byte, letter in enumerate(byte_letters())}
+        vocabulary = json.load(open(BYTE_TOKENIZER, encoding="utf-8"))["model"]["vocab"]
+        self.a_bytes = {i: bytes(back[c] for c in piece) for piece, i in vocabulary.items()}
+        self.b = sentencepiece.SentencePieceProcessor(model_file=PIECE_VOCABULARY)
+
+    def tokens(self, text):
+        a = self.a.encode(" " + text, add_special_tokens=False).ids
+        b = self.b.encode(text)
+        a_bytes = [self.a_bytes[i] for i in a]
+        pieces = [self.b.id_to_piece(i) for i in b]
+        b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in zip(b, pieces)]
+        if not text or not b"".join(a_bytes) == b"".join(b_bytes) == (" " + text).encode():
+            return [], [], []
+        a_ends, b_ends = np.cumsum([len(x) for x in a_bytes]).tolist(), np.cumsum([len(x) for x in b_bytes]).tolist()
+        groups, start = [], 0
+        for end in sorted({*a_ends} & {*b_ends}):
+            groups.append(([i for i, e in zip(a, a_ends) if start < e <= end], [i for i, e in zip(b, b_ends) if start < e <= end]))
+            start = end
+        return a, b, groups
+
+    def rows(self, docs):
+        found = [(doc_id, *self.tokens(text or "")) for doc_id, text in docs]
+        links = [Counter((x, y) for xs, ys in groups for x in xs for y in ys) for _, _, _, groups in found]
+        counts = Counter(pair for own in links for pair in own)
+        most = defaultdict(int)
+        for (x, _), n in counts.items():
+            most[x] = max(most[x], n)
+        return [
+            (
+                doc_id, len(a), len(b), len(groups), sum(own.values()),
+                sum(n for pair, n in own.items() if counts[pair] == most[pair[0]]),
+                sum(n * counts[pair] for pair, n in own.items()),
+                hashlib.sha256(";".join(f"{','.join(map(str, xs))}|{','.join(map(str, ys))}" for xs, ys in groups).encode()).hexdigest() if groups else "",
+            )
+            for (doc_id, a, b, groups), own in zip(found, links)
+        ]
+
+
+def ordered(rows):
+    return sorted((tuple(r) for r in rows), key=lambda r: (r[0] is None, r[0] or 0, r[1:]))
+
+
+def test_any_text(spark):
+    docs = spark.createDataFrame(TEXTS, "doc_id bigint, text string").repartition(3)
+    assert ordered(aligned_scores(docs, BYTE_TOKENIZER, PIECE_VOCABULARY).select(COLUMNS).collect()) == ordered(ByDefinition().rows(TEXTS))
+
+
+def test_small_blocks_and_little_memory(spark, monkeypatch):
+    monkeypatch.setattr(alignment, "BLOCK_POSTINGS", 5)
+    docs = spark.createDataFrame(TEXTS, "doc_id bigint, text string").repartition(2)
+    assert ordered(aligned_scores(docs, BYTE_TOKENIZER, PIECE_VOCABULARY, known=3).collect()) == ordered(ByDefinition().rows(TEXTS))
+
+
+def test_the_query(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()
+    mine = op11_alignment(spark, SF_DIR)
+    assert mine.columns == COLUMNS
+    assert ordered(mine.collect()) == ordered(ByDefinition().rows([tuple(r) for r in docs]))
+
+
+def test_empty_table_and_clashing_names(spark):
+    docs = spark.createDataFrame([(1, "a b", 5, "x", 9)], "doc_id bigint, text string, block int, planes string, count int")
+    assert aligned_scores(docs.where("false"), BYTE_TOKENIZER, PIECE_VOCABULARY).collect() == []
+    assert ordered(aligned_scores(docs, BYTE_TOKENIZER, PIECE_VOCABULARY).collect()) == ordered(ByDefinition().rows([(1, "a b")]))
+
+
+@pytest.mark.parametrize("most", [1, 3, 2**40])
+def test_planes_give_their_postings_back(most):
+    rng = np.random.default_rng(7)
+    keys = np.unique(np.append(rng.integers(0, 30 * bitmaps.BLOCK_DOCS, 3000), np.arange(2 * bitmaps.BLOCK_DOCS, 3 * bitmaps.BLOCK_DOCS)))
+    pairs, docs, times = keys // bitmaps.BLOCK_DOCS, keys % bitmaps.BLOCK_DOCS, rng.integers(1, most + 1, len(keys))
+    own, held, sets = bitmaps.planes(pairs, docs, times)
+    digits = np.diff(sets.offsets.to_numpy())
+    container, doc = bitmaps.members(sets.flatten())
+    digit = np.concatenate([np.arange(n) for n in digits])
+    back = bitmaps.added_up(np.repeat(own, digits)[container] * bitmaps.BLOCK_DOCS + doc, np.int64(1) << digit[container])
+    assert back[0].tolist() == keys.tolist() and back[1].tolist() == times.tolist()
+    assert held.sum() == len(keys)
+
+
+def test_no_postings():
+    own, held, sets = bitmaps.planes(*(np.zeros(0, dtype=np.int64),) * 3)
+    assert len(own) == len(held) == len(sets) == 0
+    assert [len(x) for x in bitmaps.members(pa.array([], pa.binary()))] == [0, 0]
+
+
+def test_many_links_in_a_group_are_multiplied_out(monkeypatch):
+    aligner = alignment.Aligner(BYTE_TOKENIZER, PIECE_VOCABULARY)
+    a, b = np.array([5, 5, 6, 7]), np.array([1, 1, 2, 3])
+    args = (a, np.array([0, 0, 0, 1]), b, np.array([0, 0, 0, 1]), np.array([3, 1]), np.array([3, 1]))
+
+    def found():
+        pairs, times, of = aligner._links(*args)
+        return Counter({(p, g): int(times[(pairs == p) & (of == g)].sum()) for p, g in set(zip(pairs.tolist(), of.tolist()))})
+
+    listed = found()
+    monkeypatch.setattr(alignment, "LISTED_LINKS", 2)
+    assert found() == listed and listed[5 << 32 | 1, 0] == 4
