@@ -11,6 +11,7 @@ from tallyweir.llm.alignment import aligned_scores
 from tallyweir.llm.bpe import encode_decode
 from tallyweir.llm.collocations import collocations
 from tallyweir.llm.forest import vector_groups
+from tallyweir.llm.guesscost import digest, secrets
 from tallyweir.llm import html
 from tallyweir.llm.langid import held_out, identify
 from tallyweir.llm.minhash import near_duplicates
@@ -82,6 +83,10 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aligned_scores(table(spark, sf_dir, "documents"), BYTE_TOKENIZER, PIECE_VOCABULARY)
 
 
+def op12_guess_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest(secrets(table(spark, sf_dir, "documents"), WORD_TOKENIZER))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"))
 
@@ -98,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_langid": op9_langid,
     "op10_forest": op10_forest,
     "op11_alignment": op11_alignment,
+    "op12_guess_cost": op12_guess_cost,
     "op13_collocations": op13_collocations,
 }
 
