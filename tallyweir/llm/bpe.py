@@ -19,6 +19,7 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tallyweir.llm.automaton import Automaton, compiled
@@ -27,6 +28,7 @@ from tallyweir.llm.shared import kept, slices, stored
 LEXICON_WORDS = 65_536
 LONGEST_LEXICON_WORD = 64
 KNOWN_WORDS = 600_000
+_ENCODED = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary()), ("decoded", pa.string())])
 # The tokenizer's pattern.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # A space between characters that are no white space: no match of the pattern spans the place before it.
@@ -152,13 +154,9 @@ def frequent_words(docs: DataFrame, size: int = LEXICON_WORDS, longest: int = LO
     """The words of all texts, none over ``longest`` characters, that occur oftenest: as many as fit into
     ``size`` without telling apart words that occur equally often."""
     counts = stored(word_counts(docs).where(f"char_length(word) <= {longest}"), "words")
-    fit, least = 0, 1
-    for n, words in sorted(counts.groupBy("n").count().collect(), reverse=True):
-        fit += words
-        if fit > size:
-            least = n + 1
-            break
-    return [r.word for r in counts.where(f"n >= {least}").select("word").collect()]
+    first = counts.orderBy(F.desc("n")).limit(size + 1).collect()
+    least = first[-1].n + 1 if len(first) > size else 1
+    return [r.word for r in first if r.n >= least]
 
 
 def lexicon_of(words: list[str], tokenizer: str) -> bytes:
@@ -179,21 +177,13 @@ def encode_decode(docs: DataFrame, tokenizer: str, size: int = LEXICON_WORDS) ->
 
     key = ("bpe", uuid.uuid4().hex)
 
-    def encoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = kept(key, lambda: Encoder(tokenizer, lexicon.value))
         for batch in batches:
-            texts = ["" if t is None else t for t in batch["text"]]
+            texts = ["" if t is None else t for t in batch.column(1).to_pylist()]
             for low, high in slices(texts):
                 ids = encoder.encode(texts[low:high])
-                yield pd.DataFrame(
-                    {
-                        "doc_id": batch["doc_id"].iloc[low:high].astype("Int64").to_numpy(dtype=object, na_value=None),
-                        "n_tokens": [len(i) // 4 for i in ids],
-                        "ids": ids,
-                        "decoded": [encoder.decode(i) for i in ids],
-                    }
-                )
-
-    return docs.selectExpr("bigint(doc_id) AS doc_id", "text").mapInPandas(
-        encoded, "doc_id bigint, n_tokens bigint, ids binary, decoded string"
-    )
+                columns = [len(i) // 4 for i in ids], ids, [encoder.decode(i) for i in ids]
+                yield pa.RecordBatch.from_arrays([batch.column(0)[low:high], *(pa.array(c, f.type) for c, f in zip(columns, list(_ENCODED)[1:]))], schema=_ENCODED)
+
+    return docs.selectExpr("bigint(doc_id) AS doc_id", "text").mapInArrow(encoded, "doc_id bigint, n_tokens bigint, ids binary, decoded string")

@@ -19,7 +19,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyweir.llm.shared import kept, slices
+from tallyweir.llm.shared import kept, passed, slices
 
 UNDETERMINED = "und"
 PER_LANGUAGE = 1000
@@ -270,7 +270,8 @@ def predicted(docs: DataFrame, model: Model, known: int = KNOWN_CHUNKS) -> DataF
 
     Only ``text`` is looked at; it is read whole.  A text that is null or has no letter, or any text if no
     language was learned, is ``und`` with score 0; ties go to the first language by name.  All columns and
-    rows stay; columns named ``lang_pred`` or ``score`` are replaced.  Nothing is shuffled.  A worker remembers
+    rows stay; columns named ``lang_pred`` or ``score``, in any case of
+    letters, are replaced.  Nothing is shuffled.  A worker remembers
     the scores of ``known`` chunks at most.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -284,10 +285,7 @@ def predicted(docs: DataFrame, model: Model, known: int = KNOWN_CHUNKS) -> DataF
             rows = chain.from_iterable(scorer.predict(texts[low:high]) for low, high in slices(texts))
             yield pd.DataFrame(list(rows), columns=["lang_pred", "score"])
 
-    names = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    return docs.select(*[F.col(f"`{c}`") for c in names], predict("text").alias("_prediction")).select(
-        *[F.col(f"`{c}`") for c in names], "_prediction.lang_pred", "_prediction.score"
-    )
+    return docs.select(passed(docs, ("lang_pred", "score")), predict("text").alias("prediction")).select("row.*", "prediction.lang_pred", "prediction.score")
 
 
 def identify(docs: DataFrame, vocabulary: str, per_language: int = PER_LANGUAGE) -> DataFrame:

@@ -12,10 +12,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tallyweir.llm.components import components
-from tallyweir.llm.shared import kept, mixed, ranges, shingle_hashes, slices, stored, unit
+from tallyweir.llm.shared import kept, mixed, passed, ranges, shingle_hashes, slices, stored, unit
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -94,10 +95,10 @@ def _sets(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return *distinct_elements(hashes, counts), np.stack(keys, axis=1).view(np.int64)
 
 
-def _signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     k = kept("minhash", lambda: BANDS * BAND_COORDINATES)
     for batch in batches:
-        texts = ["" if t is None else t for t in batch["text"]]
+        texts = ["" if t is None else t for t in batch.column(1).to_pylist()]
         for low, high in slices(texts, most=256):
             elements, counts, keys = _sets(texts[low:high])
             signature = dart_signatures(elements, np.ones(len(elements)), counts, k).reshape(-1, BANDS, BAND_COORDINATES)
@@ -105,14 +106,10 @@ def _signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 band = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), signature.shape[:2])
                 for i in range(BAND_COORDINATES):
                     band = mixed(band * np.uint64(0xD6E8FEB86659FD93) + signature[:, :, i])
-            yield pd.DataFrame(
-                {
-                    "doc_id": batch["doc_id"].iloc[low:high].to_numpy(dtype=object, na_value=None),
-                    "k1": keys[:, 0],
-                    "k2": keys[:, 1],
-                    "size": counts,
-                    "bands": list(band.view(np.int64)),
-                }
+            bands = pa.ListArray.from_arrays(pa.array(np.arange(0, band.size + 1, BANDS, dtype=np.int32)), pa.array(band.view(np.int64).ravel()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0)[low:high], pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array(counts.astype(np.int32)), bands],
+                ["doc_id", "k1", "k2", "size", "bands"],
             )
 
 
@@ -142,7 +139,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     compared in tasks that return links only.
     """
     rows = stored(
-        docs.selectExpr("bigint(doc_id) AS doc_id", "text").mapInPandas(
+        docs.selectExpr("bigint(doc_id) AS doc_id", "text").mapInArrow(
             _signed, "doc_id bigint, k1 bigint, k2 bigint, size int, bands array<bigint>"
         ),
         "signatures",
@@ -172,13 +169,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     group = nodes.join(stars, "node", "left").selectExpr("k1", "k2", "doc_id", "coalesce(component, node) AS component")
     first = group.groupBy("component").agg(F.min(F.expr("struct(doc_id IS NULL AS unnamed, doc_id, k1, k2)")).alias("first"))
     named = group.join(first, "component").select("k1", "k2", "first")
-    return rows.join(named, ["k1", "k2"], "left").selectExpr(
-        "doc_id",
-        "k1",
-        "k2",
-        "CASE WHEN size = 0 THEN doc_id ELSE first.doc_id END AS group_id",
-        "size = 0 OR doc_id <=> first.doc_id AND k1 = first.k1 AND k2 = first.k2 AS kept",
-    )
+    without = rows.where("size = 0").selectExpr("doc_id", "k1", "k2", "doc_id AS group_id", "true AS kept")
+    return rows.where("size > 0").join(named, ["k1", "k2"]).selectExpr(
+        "doc_id", "k1", "k2", "first.doc_id AS group_id", "doc_id <=> first.doc_id AND k1 = first.k1 AND k2 = first.k2 AS kept"
+    ).union(without)
 
 
 def _sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -255,15 +249,18 @@ def _block_links(group: pd.DataFrame) -> pd.DataFrame:
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """The documents that ``near_duplicates`` keeps, with all their columns; rows that repeat id and text are one."""
+    """The documents that ``near_duplicates`` keeps, with all their columns, whatever their names.
+
+    Rows that repeat id and text are one, unless the text has no words: those are all kept.
+    """
     found = near_duplicates(docs).where("kept")
-    kept = stored(found.groupBy("doc_id", "k1", "k2").agg(F.count("*").alias("rows")), "kept").toDF("_d", "_k1", "_k2", "_rows")
-    names = [F.col(f"`{c}`") for c in docs.columns]
-    keyed = docs.select(*names, F.pandas_udf(_text_keys, "k1 bigint, k2 bigint")("text").alias("_key"))
-    same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_key.k1") == F.col("_k1")) & (F.col("_key.k2") == F.col("_k2"))
-    once = keyed.join(kept.where("_rows = 1 OR _k1 = 0 AND _k2 = 0"), same, "left_semi").select(*names)
-    repeated = keyed.join(kept.where("_rows > 1 AND NOT (_k1 = 0 AND _k2 = 0)"), same, "left_semi")
-    return once.unionByName(repeated.dropDuplicates(["doc_id", "_key"]).select(*names))
+    kept = stored(found.groupBy("doc_id", "k1", "k2").agg(F.count("*").alias("rows")), "kept").toDF("d", "x", "y", "rows")
+    key = F.pandas_udf(_text_keys, "k1 bigint, k2 bigint")
+    keyed = docs.select(passed(docs), F.col("doc_id").cast("bigint").alias("doc_id"), key("text").alias("key"))
+    same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("key.k1") == F.col("x")) & (F.col("key.k2") == F.col("y"))
+    once = keyed.join(kept.where("rows = 1 OR x = 0 AND y = 0"), same, "left_semi").select("row.*")
+    repeated = keyed.join(kept.where("rows > 1 AND NOT (x = 0 AND y = 0)"), same, "left_semi")
+    return once.union(repeated.dropDuplicates(["doc_id", "key"]).select("row.*"))
 
 
 def _text_keys(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

@@ -11,7 +11,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
@@ -26,6 +26,7 @@ WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _APART = re.compile("[\x1c-\x1f]|<\\|")
 # Sequence ids of one task start at the number of its partition times this.
 _TASK_IDS = 1 << 40
+_PIECES = pa.schema([(n, pa.binary() if n == "ids" else pa.int64()) for n in ("doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset", "bucket")])
 
 
 class ChunkEncoder:
@@ -99,25 +100,25 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, max_length: int = MAX_LEN
     if max_length < 1 or max_length & max_length - 1:
         raise ValueError("max_length must be a power of two")
 
-    def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = kept(("packing", tokenizer, known), lambda: ChunkEncoder(tokenizer, known))
         end = np.array([end_id], dtype="<u4").tobytes()
         next_id = TaskContext.get().partitionId() * _TASK_IDS
         for batch in batches:
-            texts = ["" if t is None else t for t in batch["text"]]
+            texts = ["" if t is None else t for t in batch.column(1).to_pylist()]
             for low, high in slices(texts):
                 rows = []
-                for doc_id, ids in zip(batch["doc_id"].iloc[low:high], encoder.encode(texts[low:high])):
+                for row, ids in enumerate(encoder.encode(texts[low:high]), low):
                     ids += end
                     n, start = len(ids) // 4, 0
                     for length in piece_lengths(n, max_length):
-                        rows.append((doc_id, start, length, ids[4 * start : 4 * (start + length)], n, next_id, 0, length))
+                        rows.append((row, start, length, ids[4 * start : 4 * (start + length)], n, next_id, 0, length))
                         start += length
                         next_id += 1
-                frame = pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset", "bucket"])
-                yield frame.astype({"doc_id": "Int64"})
+                row, *columns = zip(*rows)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), *(pa.array(c, f.type) for c, f in zip(columns, list(_PIECES)[1:]))], schema=_PIECES)
 
-    return docs.selectExpr("bigint(doc_id) AS doc_id", "text").mapInPandas(
+    return docs.selectExpr("bigint(doc_id) AS doc_id", "text").mapInArrow(
         packed,
         "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint, bucket bigint",
     )

@@ -19,7 +19,7 @@ from typing import NamedTuple
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from tallyweir.llm.shared import kept
+from tallyweir.llm.shared import kept, passed
 
 ROUNDS = 8
 FIRST_DAY, LAST_DAY = dt.date(1900, 1, 1).toordinal(), dt.date(2099, 12, 31).toordinal()
@@ -309,9 +309,10 @@ def pseudonymised(docs: DataFrame, key: bytes, details: bool = False) -> DataFra
     """``docs`` with personal data in ``text`` replaced; with ``details`` also ``found``, an array of
     (``kind``, ``start``, ``end``, ``pseudonym``), ``start`` and ``end`` in the original text.
 
-    Texts are read whole; a null text stays null and has an empty ``found``.  All rows and columns stay as
-    they are; a column named ``found`` is replaced if details are asked for.  Nothing is shuffled.  Values of
-    a kind that fail its check, as dates that do not exist, stay.
+    Texts are read whole; a null or empty text stays so and has an empty ``found``.  All rows stay, repeated
+    ones too, and all columns, whatever their names; a column named ``found``, in any case of letters, is
+    replaced if details are asked for.  An empty table gives no rows.  Nothing is shuffled.  Values of a kind
+    that fail its check, as dates that do not exist, stay.
     """
     kinds = "array<struct<kind: string, start: int, end: int, pseudonym: string>>"
 
@@ -321,6 +322,7 @@ def pseudonymised(docs: DataFrame, key: bytes, details: bool = False) -> DataFra
             rows = [(None, []) if t is None else pseudonyms.replaced(t) for t in batch]
             yield pd.DataFrame({"text": [t for t, _ in rows], "found": [[f._asdict() for f in found] for _, found in rows]}, dtype=object)
 
-    names = [c for c in docs.columns if not (details and c == "found")]
-    done = docs.select(*[F.col(f"`{c}`") for c in names], F.pandas_udf(replaced, f"text string, found {kinds}")("text").alias("_replaced"))
-    return done.select(*[F.col("_replaced.text") if c == "text" else F.col(f"`{c}`") for c in names], *(["_replaced.found"] if details else []))
+    done = docs.select(passed(docs, ("found",) if details else ()), F.pandas_udf(replaced, f"text string, found {kinds}")("text").alias("new"))
+    names = [c for c in docs.columns if not (details and c.lower() == "found")]
+    own = [F.col("new.text").alias(c) if c.lower() == "text" else F.col("row").getField(c).alias(c) for c in names]
+    return done.select(*own, *(["new.found"] if details else []))

@@ -12,7 +12,7 @@ from functools import cache
 from typing import TypeVar
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 T = TypeVar("T")
 SLICE_CHARS = 1_000_000
@@ -57,6 +57,11 @@ def stored(frame: DataFrame, purpose: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def passed(frame: DataFrame, but: tuple[str, ...] = ()) -> Column:
+    """All columns as one, ``row``, so that their names meet no others; ``but`` in any case of letters are left out."""
+    return F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in frame.columns if c.lower() not in but]).alias("row")
+
+
 _kept: dict = {}
 
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tallyweir.llm.shared import passed
+
 HOST, DOMAIN, PATH = "host", "domain", "path"
 ALLOW, BLOCK, NONE = "allow", "block", "none"
 
@@ -49,7 +51,8 @@ def judged(captures: DataFrame, valid: DataFrame) -> DataFrame:
     An allowing entry outweighs blocking ones; among those of one verdict a host outweighs a path and a path
     a domain, longer patterns shorter ones, then the list's name decides.  Without an active entry, without a
     host in the URL, or with a null ``url`` or ``fetched``, the verdict is ``none`` and the rest null.  All
-    rows and columns stay; columns named like the results are replaced.
+    rows and columns stay; columns named like the results, in any case of letters, are replaced.
+    No captures or no entries are no error.
 
     Captures are made distinct before the join, so that a host with very many of them meets its entries once
     per URL and day; the joins are plain equi-joins, which Spark splits where a key is frequent.
@@ -73,16 +76,10 @@ def judged(captures: DataFrame, valid: DataFrame) -> DataFrame:
     rank = f"struct(verdict = '{ALLOW}' AS a, CASE kind WHEN '{HOST}' THEN 3 WHEN '{PATH}' THEN 2 ELSE 1 END AS b, char_length(pattern) AS c)"
     deciding = active.groupBy("url", "fetched").agg(
         F.min(F.expr(f"struct(-int({rank}.a) AS a, -{rank}.b AS b, -{rank}.c AS c, list, pattern, kind, verdict)")).alias("entry")
-    ).selectExpr("url AS _url", "fetched AS _fetched", "entry")
-    names = [c for c in captures.columns if c not in ("verdict", "list", "kind", "pattern")]
-    joined = captures.join(deciding, (F.col("url") == F.col("_url")) & (F.col("fetched") == F.col("_fetched")), "left")
-    return joined.select(
-        *[captures[f"`{c}`"] for c in names],
-        F.coalesce("entry.verdict", F.lit(NONE)).alias("verdict"),
-        "entry.list",
-        "entry.kind",
-        "entry.pattern",
-    )
+    ).selectExpr("url AS at_url", "fetched AS at", "entry")
+    passing = captures.select(passed(captures, ("verdict", "list", "kind", "pattern")), F.col("url").alias("own_url"), F.col("fetched").alias("own"))
+    joined = passing.join(deciding, (F.col("own_url") == F.col("at_url")) & (F.col("own") == F.col("at")), "left")
+    return joined.select("row.*", F.coalesce("entry.verdict", F.lit(NONE)).alias("verdict"), "entry.list", "entry.kind", "entry.pattern")
 
 
 def _number(text: str) -> str:
