@@ -16,7 +16,7 @@ from tallyweir.llm.minhash import deduplicated
 from tallyweir.llm.packing import pack
 from tallyweir.llm.pii import pseudonymised
 from tallyweir.llm.queries import END_ID, PIECE_VOCABULARY, PSEUDONYM_KEY, WORD_TOKENIZER
-from tallyweir.llm.shared import small_batches, stored, table
+from tallyweir.llm.shared import passed, small_batches, stored, table
 
 #: What a worker may remember in one stage: it serves all stages in turn, and memory once taken is slow to come back.
 KNOWN_CHUNKS = 100_000
@@ -27,9 +27,9 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; ``lang`` stays as labelled, only the text decides."""
     small_batches(spark)
-    found = predicted(docs.withColumnsRenamed({"lang_pred": "_pred", "score": "_score"}), fit(docs, PIECE_VOCABULARY), KNOWN_CHUNKS)
-    kept = found.where(found["lang_pred"] != UNDETERMINED).drop("lang_pred", "score")
-    return kept.withColumnsRenamed({"_pred": "lang_pred", "_score": "score"})
+    whole = docs.select(passed(docs), "text")
+    found = predicted(whole, fit(docs, PIECE_VOCABULARY), KNOWN_CHUNKS)
+    return found.where(found["lang_pred"] != UNDETERMINED).select("row.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
