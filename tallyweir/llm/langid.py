@@ -8,6 +8,7 @@ pieces, by the forward algorithm.  A text gets the language under which its word
 from __future__ import annotations
 
 import re
+import unicodedata
 import uuid
 from collections import Counter
 from collections.abc import Iterator
@@ -19,19 +20,26 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyweir.llm.shared import kept, passed, slices
+from tallyweir.llm.shared import MARKS, kept, passed, slices
 
 UNDETERMINED = "und"
 PER_LANGUAGE = 1000
 ROUNDS = 3
-LONGEST_WORD = 32
 KNOWN_CHUNKS = 400_000
+#: Characters of remembered chunks at most, as chunks may be long.
+KNOWN_CHARS = 16_000_000
+#: Words up to here are summed side by side, longer ones one by one; training takes the latter in parts of this length.
+SIDE_BY_SIDE = 1024
 # Added to the expected count of every piece, and the probability of a character that no piece covers.
 PIECE_PRIOR = 0.01
 UNKNOWN_CHARACTER = 1e-9
 WORD_START = "▁"
-_LETTERS = re.compile(rf"[^\W\d_]{{1,{LONGEST_WORD}}}")
-_CHUNK = 4096
+# A word begins with a letter and goes on with letters and combining marks.
+_WORD = re.compile(rf"[^\W\d_](?:[^\W\d_]|[{MARKS}])*")
+_ASCII_WORD = re.compile("[a-z]+")
+# Words times positions that are summed side by side, and positions after which sums are scaled.
+_CELLS = 1 << 17
+_SCALED = 32
 
 
 class Model(NamedTuple):
@@ -62,7 +70,7 @@ class Pieces(NamedTuple):
 
 @lru_cache(maxsize=2)
 def pieces_of(vocabulary: str) -> Pieces:
-    """The pieces of lower-case letters in a vocabulary file."""
+    """The pieces of lower-case letters and combining marks in a vocabulary file."""
     import ahocorasick
     import sentencepiece
 
@@ -71,7 +79,8 @@ def pieces_of(vocabulary: str) -> Pieces:
     for i in range(processor.get_piece_size()):
         piece = processor.id_to_piece(i)
         letters = piece.removeprefix(WORD_START)
-        if not processor.is_control(i) and not processor.is_byte(i) and piece and (not letters or letters == letters.lower() and letters.isalpha()):
+        plain = not letters or letters == letters.lower() and all(c.isalpha() or unicodedata.category(c)[0] == "M" for c in letters)
+        if not processor.is_control(i) and not processor.is_byte(i) and piece and plain:
             numbers.setdefault(piece, len(numbers))
     matches = ahocorasick.Automaton()
     for piece, i in numbers.items():
@@ -81,8 +90,9 @@ def pieces_of(vocabulary: str) -> Pieces:
 
 
 def words_of(text: str) -> list[str]:
-    """Runs of letters of the lower-cased text; those over ``LONGEST_WORD`` letters are cut there."""
-    return _LETTERS.findall(text.lower())
+    """Runs of letters and combining marks of the lower-cased text, of any length, each beginning with a letter."""
+    lowered = text.lower()
+    return (_ASCII_WORD if lowered.isascii() else _WORD).findall(lowered)
 
 
 def lattice(words: list[str], vocabulary: str) -> Lattice:
@@ -102,52 +112,119 @@ def lattice(words: list[str], vocabulary: str) -> Lattice:
     return Lattice(*arcs.T, np.searchsorted(arcs[:, 2], np.arange(1, most + 2)))
 
 
-def forward(own: Lattice, n_words: int, probabilities: np.ndarray) -> np.ndarray:
-    """``[word, position, language]``: the probability of all segmentations up to the position."""
+def forward(own: Lattice, n_words: int, probabilities: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``[word, position, language]``: the probability of all segmentations up to the position, scaled, and the logarithm of the scale."""
     alpha = np.zeros((n_words, len(own.ends), probabilities.shape[1]))
+    scale = np.zeros_like(alpha)
     alpha[:, 0] = 1
     for e in range(1, len(own.ends)):
         part = slice(own.ends[e - 1], own.ends[e])
-        word = own.word[part]
+        word, start = own.word[part], own.start[part]
         first = np.flatnonzero(np.diff(word, prepend=-1))
-        values = alpha[word, own.start[part]] * probabilities[own.piece[part]]
-        alpha[word[first], e] = np.add.reduceat(values, first)
-    return alpha
+        values = alpha[word, start] * probabilities[own.piece[part]]
+        if e <= _SCALED:
+            alpha[word[first], e] = np.add.reduceat(values, first)
+            continue
+        before = scale[word, e - 1]
+        sums = np.add.reduceat(values * np.exp(scale[word, start] - before), first)
+        alpha[word[first], e], scale[word[first], e] = 1.0, before[first] + np.log(sums)
+    return alpha, scale
+
+
+def backward(own: Lattice, whole: np.ndarray, probabilities: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same from the position to the end of the word, which is at ``whole``."""
+    beta = np.zeros((len(whole), len(own.ends), probabilities.shape[1]))
+    scale = np.zeros_like(beta)
+    beta[np.arange(len(whole)), whole] = 1
+    back = np.lexsort((own.word, own.start))
+    starts = own.start[back]
+    for i in range(len(own.ends) - 2, -1, -1):
+        part = back[np.searchsorted(starts, i) : np.searchsorted(starts, i + 1)]
+        word, end = own.word[part], own.end[part]
+        if not len(word):
+            continue
+        first = np.flatnonzero(np.diff(word, prepend=-1))
+        after = scale[word, i + 1]
+        sums = np.add.reduceat(beta[word, end] * probabilities[own.piece[part]] * np.exp(scale[word, end] - after), first)
+        beta[word[first], i], scale[word[first], i] = 1.0, after[first] + np.log(sums)
+    return beta, scale
+
+
+def _alike(words: list[str]) -> Iterator[list[int]]:
+    """Places of words of similar length, no more than are summed side by side."""
+    part: list[int] = []
+    for i in sorted(range(len(words)), key=lambda i: len(words[i])):
+        if part and (len(part) + 1) * (len(words[i]) + 2) > _CELLS:
+            yield part
+            part = []
+        part.append(i)
+    if part:
+        yield part
 
 
 def log_probabilities(words: list[str], model: Model) -> np.ndarray:
     """``[word, language]``, each word summed over all its segmentations."""
     out = np.empty((len(words), len(model.languages)))
-    order = sorted(range(len(words)), key=lambda i: len(words[i]))
-    for low in range(0, len(order), _CHUNK):
-        part = order[low : low + _CHUNK]
+    short = [i for i, w in enumerate(words) if len(w) <= SIDE_BY_SIDE]
+    for i in set(range(len(words))).difference(short):
+        out[i] = _one_long(words[i], model)
+    for places in _alike([words[i] for i in short]):
+        part = [short[i] for i in places]
         some = [words[i] for i in part]
-        alpha = forward(lattice(some, model.vocabulary), len(some), model.probabilities)
-        out[part] = np.log(alpha[np.arange(len(some)), [len(w) + 1 for w in some]])
+        alpha, scale = forward(lattice(some, model.vocabulary), len(some), model.probabilities)
+        at = np.arange(len(some)), [len(w) + 1 for w in some]
+        out[part] = np.log(alpha[at]) + scale[at]
     return out
 
 
+def _one_long(word: str, model: Model) -> np.ndarray:
+    """The same for one word of any length, in memory of the longest piece."""
+    pieces = pieces_of(model.vocabulary)
+    word = WORD_START + word
+    longest = max(map(len, pieces.numbers))
+    ring = np.zeros((longest + 1, len(model.languages)))
+    ring[0], scale, at = 1.0, np.zeros(len(model.languages)), 0
+    unknown = model.probabilities[len(pieces.numbers)]
+
+    def close(end: int) -> None:
+        # all pieces that end here have been added
+        nonlocal ring, scale
+        if word[end - 1] not in pieces.single:
+            ring[end % len(ring)] += ring[(end - 1) % len(ring)] * unknown
+        if end % 8 == 0:
+            norm = ring[end % len(ring)].copy()
+            ring /= norm
+            scale += np.log(norm)
+        ring[(end + 1) % len(ring)] = 0.0
+
+    ring[1] = 0.0
+    for last, (length, piece) in pieces.matches.iter(word):
+        while at < last:
+            at += 1
+            close(at)
+        ring[(last + 1) % len(ring)] += ring[(last + 1 - length) % len(ring)] * model.probabilities[piece]
+    while at < len(word):
+        at += 1
+        close(at)
+    return np.log(ring[len(word) % len(ring)]) + scale
+
+
 def expected_pieces(words: list[str], counts: np.ndarray, model: Model) -> np.ndarray:
     """How often every piece is expected, per language, in words that were seen ``counts[word, language]`` times."""
     out = np.zeros_like(model.probabilities)
-    order = sorted(range(len(words)), key=lambda i: len(words[i]))
-    for low in range(0, len(order), _CHUNK):
-        part = order[low : low + _CHUNK]
+    logs = np.log(model.probabilities)
+    for part in _alike(words):
         some = [words[i] for i in part]
         own = lattice(some, model.vocabulary)
-        alpha = forward(own, len(some), model.probabilities)
         whole = np.array([len(w) + 1 for w in some])
-        total = alpha[np.arange(len(some)), whole]
-        beta = np.zeros_like(alpha)
-        beta[np.arange(len(some)), whole] = 1
-        back = np.lexsort((own.word, own.start))
-        for i in range(len(own.ends) - 2, -1, -1):
-            part_i = back[np.searchsorted(own.start[back], i) : np.searchsorted(own.start[back], i + 1)]
-            word = own.word[part_i]
-            first = np.flatnonzero(np.diff(word, prepend=-1))
-            values = beta[word, own.end[part_i]] * model.probabilities[own.piece[part_i]]
-            beta[word[first], i] += np.add.reduceat(values, first)
-        share = alpha[own.word, own.start] * model.probabilities[own.piece] * beta[own.word, own.end] / total[own.word]
+        at = np.arange(len(some)), whole
+        alpha, a_scale = forward(own, len(some), model.probabilities)
+        beta, b_scale = backward(own, whole, model.probabilities)
+        with np.errstate(divide="ignore"):
+            total = np.log(alpha[at]) + a_scale[at]
+            before = np.log(alpha[own.word, own.start]) + a_scale[own.word, own.start]
+            after = np.log(beta[own.word, own.end]) + b_scale[own.word, own.end]
+        share = np.exp(before + logs[own.piece] + after - total[own.word])
         np.add.at(out, own.piece, share * counts[part][own.word])
     return out
 
@@ -180,7 +257,7 @@ def fit(docs: DataFrame, vocabulary: str, per_language: int = PER_LANGUAGE, roun
         for batch in batches:
             counts: Counter = Counter()
             for lang, text in zip(batch["lang"], batch["text"]):
-                counts.update((number[lang], word) for word in words_of(text))
+                counts.update((number[lang], word[i : i + SIDE_BY_SIDE]) for word in words_of(text) for i in range(0, len(word), SIDE_BY_SIDE))
             rows = [(lang, word, n) for (lang, word), n in counts.items()]
             yield pd.DataFrame(rows, columns=["lang", "word", "n"])
 
@@ -229,17 +306,19 @@ class Scorer:
     def _forget(self) -> None:
         # the first row is for chunks without letters
         self.known: dict[str, int] = {"": 0}
+        self.chars = 0
         self.scores = np.zeros((1, len(self.model.languages)))
 
     def predict(self, texts: list[str]) -> list[tuple[str, float]]:
         chunks = [text.lower().split() for text in texts]
-        if len(self.known) > self.limit:
+        if len(self.known) > self.limit or self.chars > KNOWN_CHARS:
             self._forget()
         self._learn(set().union(*chunks).difference(self.known))
         return [self._best(np.array(list(map(self.known.__getitem__, own)), dtype=np.int64)) for own in chunks]
 
     def _learn(self, chunks: set[str]) -> None:
         words = {chunk: words_of(chunk) for chunk in chunks}
+        self.chars += 2 * sum(map(len, words))
         new = list(set().union(*words.values()).difference(self.known))
         at = len(self.scores)
         self.known.update(zip(new, range(at, at + len(new))))

@@ -127,8 +127,10 @@ def _marks() -> str:
     return "".join(f"{chr(a)}-{chr(b)}" for a, b in zip(firsts, lasts))
 
 
+#: Ranges of all combining marks, for character classes.
+MARKS = _marks()
 # Spaces, punctuation and symbols that are not ASCII.
-_BETWEEN = re.compile(rf"[^\x00-\x7f\w{_marks()}]+")
+_BETWEEN = re.compile(rf"[^\x00-\x7f\w{MARKS}]+")
 
 
 def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:

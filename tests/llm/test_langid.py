@@ -38,20 +38,6 @@ def some_model():
     return Model(PIECE_VOCABULARY, ["x", "y"], p)
 
 
-def by_hand(word, model):
-    """Probability of every segmentation, and expected pieces."""
-    pieces = pieces_of(PIECE_VOCABULARY).numbers
-    total, counts = np.zeros(2), np.zeros_like(model.probabilities)
-    for parts in segmentations(WORD_START + word):
-        numbers = [pieces.get(p, len(pieces) if len(p) == 1 else None) for p in parts]
-        if None not in numbers:
-            p = np.prod(model.probabilities[numbers], axis=0)
-            total += p
-            for i in numbers:
-                counts[i] += p
-    return total, counts / total
-
-
 def test_forward_sums_all_segmentations():
     model, words = some_model(), ["the", "mañana", "x", "鿋b", "strasse"]
     counts = np.array([[1, 0], [2, 5], [0, 1], [1, 1], [3, 0]])
@@ -60,14 +46,102 @@ def test_forward_sums_all_segmentations():
     assert np.allclose(expected_pieces(words, counts, model), sum(c * n for (_, c), n in zip(want, counts)))
 
 
+def test_words_keep_marks_and_length():
+    assert words_of("A" * 70) == ["a" * 70]
+    assert words_of("हिन्दी में, café déjà 3x x3y") == ["हिन्दी", "में", "café", "déjà", "x", "x", "y"]
+    assert words_of("ภาษาไทยไม่มีช่องว่าง العَرَبِيَّة ́ 漢字かな") == ["ภาษาไทยไม่มีช่องว่าง", "العَرَبِيَّة", "漢字かな"]
+
+
+def plain_log(word, model):
+    """All segmentations by logarithms, position by position."""
+    pieces, word = pieces_of(PIECE_VOCABULARY).numbers, WORD_START + word
+    longest, logs = max(map(len, pieces)), np.log(model.probabilities)
+    best = [np.zeros(len(model.languages))]
+    for end in range(1, len(word) + 1):
+        parts = [best[start] + logs[pieces[word[start:end]]] for start in range(max(0, end - longest), end) if word[start:end] in pieces]
+        if word[end - 1] not in pieces:
+            parts.append(best[end - 1] + logs[len(pieces)])
+        best.append(np.logaddexp.reduce(parts))
+    return best[-1]
+
+
+def test_long_words_are_summed_whole(monkeypatch):
+    model, rng = some_model(), np.random.default_rng(5)
+    words = ["".join(rng.choice(list("abthe鿋éक्षि漢"), n)) for n in (1, 31, 32, 33, 40, 200, 700, 1023, 1024, 1025, 3000)]
+    assert np.allclose(log_probabilities(words, model), [plain_log(w, model) for w in words], rtol=1e-10)
+    counts = np.array(rng.integers(0, 3, (5, 2)), dtype=float)
+    counts[:, 0] += 1
+    share = expected_pieces(words[:5], counts, model)
+    monkeypatch.setattr("tallyweir.llm.langid._SCALED", 0)
+    assert np.allclose(share, expected_pieces(words[:5], counts, model))
+    # every character of a word lies in one expected piece
+    sizes = np.array([len(p) for p in pieces_of(PIECE_VOCABULARY).numbers] + [1])
+    assert np.allclose(sizes @ share, [(len(w) + 1) for w in words[:5]] @ counts)
+
+
 def test_long_words_and_forgetting():
     model = some_model()
-    assert [len(w) for w in words_of("A" * 70)] == [32, 32, 6]
     texts = ["the the of", "x" * 5000, "", "12 _ 3", "of the", "The.of, (the)"]
     assert Scorer(model, known=1).predict(texts) == [Scorer(model).predict([t])[0] for t in texts]
     assert [p[0] for p in Scorer(model).predict(texts)][2:4] == ["und", "und"]
 
 
+def fitted_by_hand(rows, rounds):
+    """Expectation maximisation over all segmentations of all words of the learned documents."""
+    pieces = pieces_of(PIECE_VOCABULARY).numbers
+    learned = [(text, lang) for i, text, lang in rows if zlib.crc32(str(i).encode()) % 5]
+    languages = sorted({lang for _, lang in learned})
+    model = Model(PIECE_VOCABULARY, languages, np.full((len(pieces) + 1, len(languages)), 1 / len(pieces)))
+    model.probabilities[-1] = UNKNOWN_CHARACTER
+    for _ in range(rounds):
+        counts = np.full((len(pieces), len(languages)), PIECE_PRIOR)
+        for text, lang in learned:
+            for word in text.lower().split():
+                own = by_hand(word, model)[1][:-1, languages.index(lang)]
+                counts[:, languages.index(lang)] += own
+        model.probabilities[:-1] = counts / counts.sum(axis=0)
+    return model
+
+
+def by_hand(word, model):
+    """Probability of every segmentation, and expected pieces."""
+    pieces = pieces_of(PIECE_VOCABULARY).numbers
+    k = len(model.languages)
+    total, counts = np.zeros(k), np.zeros_like(model.probabilities)
+    for parts in segmentations(WORD_START + word):
+        numbers = [pieces.get(p, len(pieces) if len(p) == 1 else None) for p in parts]
+        if None not in numbers:
+            p = np.prod(model.probabilities[numbers], axis=0)
+            total += p
+            for i in numbers:
+                counts[i] += p
+    return total, counts / total
+
+
+HINDI = ["यह एक घर है", "में हूँ और तुम", "वह घर में है", "हम और तुम एक हैं", "यह है और वह", "तुम घर में हो"]
+MARATHI = ["हे एक घर आहे", "मी आणि तू", "तो घरात आहे", "आम्ही आणि तू", "हे आहे आणि ते", "तू घरात आहेस"]
+
+
+def test_the_query_equals_brute_force(spark, tmp_path):
+    rows = [(i, t, lang) for i, (t, lang) in enumerate([(t, "hi") for t in HINDI] + [(t, "mr") for t in MARATHI])]
+    rows += [(100 + i, t, None) for i, t in enumerate(["में घर", "आहे घर", "12 ! ?", "", "x"])]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    model = fitted_by_hand([r for r in rows if r[2]], 3)
+    got = {r.doc_id: r for r in op9_langid(spark, str(tmp_path)).collect()}
+    assert len(got) == len(rows)
+    for i, text, _ in rows:
+        assert got[i].held_out == (zlib.crc32(str(i).encode()) % 5 == 0)
+        words = words_of(text)
+        if not words:
+            assert (got[i].lang_pred, got[i].score) == ("und", 0.0)
+            continue
+        logs = sum(np.log(by_hand(w, model)[0]) for w in words)
+        best = int(logs.argmax())
+        assert got[i].lang_pred == model.languages[best]
+        assert got[i].score == pytest.approx(1 / np.exp(logs - logs[best]).sum())
+    assert {got[100].lang_pred, got[101].lang_pred} == {"hi", "mr"}
+
+
 def test_rows(spark):
     rows = [(i, t, l, "kept") for i, (t, l) in enumerate([("the cat and the dog", "en"), ("der hund und die katze", "de")] * 20)]
     odd = [(None, "the dog", None, "a"), (0, "the dog", "de", "b"), (0, "the dog", "de", "b"), (7, None, "en", "c"), (8, "1 2", "en", "d"), (9, "", None, "e"), (99, "DIE KATZE! " * 9000, None, "f")]
