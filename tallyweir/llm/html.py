@@ -2,8 +2,9 @@
 
 A page is a sequence of words and tags.  Words score by what encloses them, positive unless it speaks
 against them, tags cost something; how much is learned from labelled pages.  A linear scan finds the
-contiguous region with the largest sum.  Its text is the article, without the blocks in it that hold menus,
-adverts, forms, comments and the like.
+contiguous region with the largest sum.  Its text is the article, without the blocks in it whose purpose is
+another one.  Tags and names are evidence of a purpose that adds up from the outside in, with weights that begin as
+weak guesses and are learned, too; no name alone cuts a block that other evidence speaks for.
 """
 
 from __future__ import annotations
@@ -29,18 +30,32 @@ BLOCK = frozenset(
     " h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead title tr ul".split()
 )
 CONTENT = frozenset(("article", "main"))
-ASIDE = frozenset("nav aside footer form button select dialog head title svg object audio video canvas template datalist".split())
+# what is never text of a page
+HARD = frozenset("nav button dialog head title svg object audio video canvas template datalist select".split())
 # words in class, id and role that tell what a block is for
 ASIDE_WORDS = frozenset(
-    "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert"
-    " popup modal overlay menu menus nav navbar navigation navi breadcrumb breadcrumbs sidebar sidebars aside footer share sharing social"
-    " newsletter subscribe signup login search widget widgets toolbar pagination pager skip complementary contentinfo".split()
+    "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion cookie cookies consent gdpr notice notices"
+    " popup modal overlay menu menus nav navbar navigation navi breadcrumb breadcrumbs sidebar sidebars aside footer share sharing"
+    " newsletter subscribe signup login pagination pager skip complementary contentinfo".split()
 )
+# the same, of blocks that may as well hold the text
+MIXED_WORDS = frozenset("alert banner search social toolbar widget widgets".split())
 APART_WORDS = frozenset("comment comments commentlist discussion disqus replies respond reader related recommended recommendations trending".split())
 HEADER_WORDS = frozenset("header masthead topbar".split())
 # with one of these a name tells how a page is laid out, not what a block is for
 STATE_WORDS = frozenset("has have no not non with without open opened closed enabled disabled allowed collapsed expanded".split())
 CONTENT_WORDS = frozenset("article articlebody content main post entry story".split())
+MARKS = ASIDE_WORDS | MIXED_WORDS | APART_WORDS | HEADER_WORDS
+# evidence of tags and names before any page is seen, for (positive) and against
+PURPOSE = {
+    **dict.fromkeys((f".{w}" for w in ASIDE_WORDS), -6.0), **dict.fromkeys((f".{w}" for w in MIXED_WORDS), -3.0),
+    **dict.fromkeys((f".{w}" for w in APART_WORDS), -12.0), **dict.fromkeys((f".{w}" for w in (*HEADER_WORDS, "post", "entry", "story", "content")), 2.0),
+    **dict.fromkeys((f".{w}" for w in HEADER_WORDS), -4.0), "header": -4.0, "aside": -8.0, "footer": -7.0, "form": -8.0,
+    "article": 4.0, "main": 4.0, ".article": 4.0, ".articlebody": 4.0, ".main": 2.0,
+}
+# How much of the evidence against what encloses it holds for an element that is labelled as content.
+_THROUGH = 0.25
+_MOST, _LEAST = 6.0, -20.0
 # an element of the one kind ends those of the other that are still open in the same block
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
@@ -57,16 +72,23 @@ _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 
 class Open(NamedTuple):
-    """An open element: its keys for scoring, whether what it holds is aside from the content, apart even from content in it, or content."""
+    """An open element: its keys for scoring, whether what it holds is no text, the evidence for it as content, that
+    against even content in it, and whether it is labelled as content.
+    """
 
     tag: str
     keys: frozenset[str]
-    aside: bool
-    apart: bool
+    hard: bool
+    purpose: float
+    apart: float
     content: bool
 
+    @property
+    def aside(self) -> bool:
+        return self.hard or 1.0 + self.purpose + self.apart < 0
 
-NOTHING = Open("", frozenset(), False, False, False)
+
+NOTHING = Open("", frozenset(), False, 0.0, 0.0, False)
 
 
 class Piece(NamedTuple):
@@ -93,26 +115,29 @@ class Element(NamedTuple):
     compound: frozenset[str]
 
 
-def pieces(html: str) -> list[Piece]:
+def pieces(html: str, weights: Weights | None = None) -> list[Piece]:
     """The page as texts and tags.  Elements left open end with what encloses them.
 
-    A name of one word, as ``sidebar``, tells what an element is for.  One of several, as ``sidebar-right``, may
-    also tell that of a wrapper around the content, so it does not hold for an element with most of the content.
+    A name of one word, as ``sidebar``, tells what an element is for.  One of several, as ``sidebar-right``, a mixed
+    one, as ``widget``, and a form may also be those of a wrapper around the content, so they do not count for an
+    element with most of the content.
     """
+    weights = weights or learned({})
     tokens, elements = _read(html)
-    opened = _all_opened(elements, frozenset())
-    doubtful = [i for i, e in enumerate(elements) if e.compound & (ASIDE_WORDS | APART_WORDS | HEADER_WORDS)]
+    opened = _all_opened(elements, frozenset(), frozenset(), weights)
+    doubtful = [i for i, e in enumerate(elements) if e.tag == "form" or e.compound & MARKS or e.whole & MIXED_WORDS]
     if doubtful:
-        opened = _all_opened(elements, frozenset(doubtful) - _wrappers(tokens, elements, opened, doubtful))
+        wrappers, linked = _wrappers(tokens, elements, opened, doubtful)
+        opened = _all_opened(elements, frozenset(doubtful) - wrappers, linked, weights)
     out: list[Piece] = []
     for text, tag, block, top, element in tokens:
         around = opened[top]
         if element is None:
-            out.append(Piece(text, block, around.keys if text is not None else frozenset((tag,)), around.aside or around.apart, around.content, tag))
+            out.append(Piece(text, block, around.keys if text is not None else frozenset((tag,)), around.aside, around.content, tag))
             continue
         own, parent = opened[element], opened[elements[element].parent]
         keys = own.keys - (parent.keys if elements[element].holds else frozenset())
-        out.append(Piece(None, block, keys | {tag}, own.aside or own.apart, own.content, tag))
+        out.append(Piece(None, block, keys | {tag}, own.aside, own.content, tag))
     return out
 
 
@@ -178,30 +203,39 @@ def _element(parent: int, tag: str, holds: bool, attributes: str) -> Element:
     return Element(parent, tag, holds, frozenset(words), frozenset(whole), frozenset(compound))
 
 
-def _all_opened(elements: list[Element], doubtful: frozenset[int]) -> list[Open]:
-    """All elements as open ones, those of ``doubtful`` with their compound names, and at the end, as number -1, that outside of all."""
+def _all_opened(elements: list[Element], sure: frozenset[int], linked: frozenset[int], weights: Weights) -> list[Open]:
+    """All elements as open ones, those that are ``sure`` with all their evidence, and at the end, as number -1, that outside of all."""
     out: list[Open] = []
     for i, element in enumerate(elements):
-        out.append(_opened(out[element.parent] if element.parent >= 0 else NOTHING, element, i in doubtful))
+        out.append(_opened(out[element.parent] if element.parent >= 0 else NOTHING, element, i in sure, i in linked, weights))
     return [*out, NOTHING]
 
 
-def _wrappers(tokens: list, elements: list[Element], opened: list[Open], doubtful: list[int]) -> frozenset[int]:
-    """Doubtful elements that hold more than half of the words of labelled content, or of all words if nothing is labelled.
+def _wrappers(tokens: list, elements: list[Element], opened: list[Open], doubtful: list[int]) -> tuple[frozenset[int], frozenset[int]]:
+    """Doubtful elements that hold more than half of the words of labelled content, or of all words if nothing is
+    labelled, and those whose words are mostly those of links.
 
-    Texts that are aside without the doubtful names do not count.
+    Texts that are aside without the doubtful evidence do not count.
     """
+    words, links = [0] * (len(elements) + 1), [0] * (len(elements) + 1)
+    for text, _, _, top, _ in tokens:
+        if text is not None:
+            n = len(text.split())
+            words[top] += n
+            if "a" in opened[top].keys:
+                links[top] += n
+    wrappers: frozenset[int] = frozenset()
     for labelled in (True, False):
-        held = [0] * (len(elements) + 1)
-        for text, _, _, top, _ in tokens:
-            around = opened[top]
-            if text is not None and not around.aside and not around.apart and (around.content or not labelled):
-                held[top] += len(text.split())
+        held = [n if not o.aside and (o.content or not labelled) else 0 for n, o in zip(words, opened)]
         for i in range(len(elements) - 1, -1, -1):
             held[elements[i].parent] += held[i]
         if held[-1]:
-            return frozenset(i for i in doubtful if 2 * held[i] > held[-1])
-    return frozenset()
+            wrappers = frozenset(i for i in doubtful if 2 * held[i] > held[-1])
+            break
+    for i in range(len(elements) - 1, -1, -1):
+        words[elements[i].parent] += words[i]
+        links[elements[i].parent] += links[i]
+    return wrappers, frozenset(i for i in doubtful if 2 * links[i] >= words[i])
 
 
 def _end_open(stack: list[Element], tag: str) -> None:
@@ -223,24 +257,39 @@ def _end_open(stack: list[Element], tag: str) -> None:
                 break
 
 
-def _opened(parent: Open, element: Element, doubtful: bool) -> Open:
-    tag = element.tag
-    marks = element.whole | element.compound if doubtful else element.whole
-    content = parent.content or tag in CONTENT or (tag in BLOCK and bool(element.words & CONTENT_WORDS) and not marks & (ASIDE_WORDS | APART_WORDS))
-    apart = parent.apart or bool(marks & APART_WORDS)
-    # the page's own headers are aside, an article's are not; an article does not belong to a menu left open
-    header = (tag == "header" or bool(marks & HEADER_WORDS)) and not content
-    aside = (parent.aside and tag not in CONTENT) or tag in ASIDE or bool(marks & ASIDE_WORDS) or header
+def _opened(parent: Open, element: Element, sure: bool, linked: bool, weights: Weights) -> Open:
+    tag, words = element.tag, element.words
+    # the evidence of other marks is void for a wrapper
+    marks = (element.whole - MIXED_WORDS | (element.whole | element.compound if sure else frozenset())) & MARKS
+    if parent.content:
+        # the page's own headers are aside, an article's are not
+        marks -= HEADER_WORDS
+    labels = words & CONTENT_WORDS if tag in BLOCK else frozenset()
+    strong = tag in CONTENT or (len(labels) > 1 or bool(labels & {"article", "articlebody"})) and not marks
+    content = parent.content or tag in CONTENT or bool(labels) and not marks
+    purpose, apart = parent.purpose, parent.apart
+    if strong and purpose < 0:
+        purpose *= _THROUGH
+    names = [f".{w}" for w in (words - MARKS - (CONTENT_WORDS - labels)) | marks]
+    void = "form" if not sure else "header" if parent.content else ""
+    own = [weights.purpose.get(key, 0.0) for key in (tag, *names) if key != void]
+    if linked:
+        # a block of links is what a mixed name says, rather than text
+        own += [-3.0 for w in marks & MIXED_WORDS]
+    apart += sum(weights.purpose.get(f".{w}", 0.0) for w in marks & APART_WORDS)
+    purpose += sum(own) - sum(weights.purpose.get(f".{w}", 0.0) for w in marks & APART_WORDS)
+    hard = (parent.hard and tag not in CONTENT) or tag in HARD
     # what a name does not mark does not speak against the element either; of an article the learned scores decide
-    shown = element.words if tag == "article" else element.words - ((ASIDE_WORDS | APART_WORDS | HEADER_WORDS) - marks)
-    return Open(tag, parent.keys | {tag} | {f".{w}" for w in shown}, aside, apart, content)
+    shown = words if tag == "article" else words - (MARKS - marks)
+    return Open(tag, parent.keys | {tag} | {f".{w}" for w in shown}, hard, max(_LEAST, min(_MOST, purpose)), apart, content)
 
 
 class Weights(NamedTuple):
-    """Evidence of the keys that enclose a word, and costs of tags."""
+    """Evidence of the keys that enclose a word, costs of tags, and evidence of what elements are for."""
 
     words: dict[str, float]
     tags: dict[str, float]
+    purpose: dict[str, float] = PURPOSE
 
     def word(self, keys: frozenset[str]) -> float:
         return max(-4.0, min(4.0, 1.0 + sum(self.words.get(k, 0.0) for k in keys)))
@@ -251,11 +300,13 @@ class Weights(NamedTuple):
 
 # Weights before any page is seen.
 _PRIOR_WORDS = {"p": 1.0, "article": 4.0, "main": 4.0, ".articlebody": 4.0, "h1": 1.0, "blockquote": 1.0, "pre": 1.0, "a": -2.0, "li": -1.0, "header": -1.0}
+#: Words after which what was seen of a name counts as much as what was guessed.
+GUESS_WORDS = 200
 
 
 def learned(counts: dict[tuple[str, str, bool], int]) -> Weights:
     """Weights from how often each key encloses words, and each tag stands, inside and outside of labelled content."""
-    words, tags = dict(_PRIOR_WORDS), {}
+    words, tags, purpose = dict(_PRIOR_WORDS), {}, dict(PURPOSE)
     for kind, weights in (("word", words), ("tag", tags)):
         inside, outside = (sum(n for (k, _, i), n in counts.items() if k == kind and i is side) for side in (True, False))
         for key in {k for t, k, _ in counts if t == kind}:
@@ -267,7 +318,12 @@ def learned(counts: dict[tuple[str, str, bool], int]) -> Weights:
                 weights[key] = max(-8.0, min(-0.1, odds - 0.5))
             elif key not in CONTENT:
                 weights[key] = max(-2.0, min(2.0, odds))
-    return Weights(words, tags)
+                if key.startswith("."):
+                    # adverts and the like also stand within an article, so that speaks little for them
+                    guess = PURPOSE.get(key, 0.0)
+                    seen = max(-8.0, min(2.0 if guess <= -6 else 8.0, odds))
+                    purpose[key] = guess + seen * (a + b) / (a + b + GUESS_WORDS)
+    return Weights(words, tags, purpose)
 
 
 def labels_of(html: str) -> Counter:
@@ -276,7 +332,7 @@ def labels_of(html: str) -> Counter:
     if len(re.findall(r"<(?:article|main)\b", html, re.IGNORECASE)) != 1:
         return out
     for piece in pieces(html):
-        inside = not CONTENT.isdisjoint(piece.keys) and not piece.aside if piece.text is not None else piece.content and not piece.aside
+        inside = not CONTENT.isdisjoint(piece.keys) if piece.text is not None else piece.content and not piece.aside
         if piece.text is None:
             out.update(("tag", k, inside) for k in piece.keys)
         else:
@@ -308,7 +364,7 @@ def fit(pages: DataFrame, sample: int = LABELLED_PAGES) -> Weights:
 
 def main_text(html: str, weights: Weights) -> str:
     """The text of the best region: blocks in page order, joined by an empty line."""
-    parts = pieces(html)
+    parts = pieces(html, weights)
     best, first, last = 0.0, 0, 0
     total, start = 0.0, 0
     known: dict[frozenset[str], float] = {}

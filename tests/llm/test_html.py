@@ -3,6 +3,7 @@ from __future__ import annotations
 import itertools
 import random
 import re
+from collections import Counter
 from html import unescape
 
 import pytest
@@ -73,6 +74,40 @@ def test_wrappers_of_unlabelled_and_of_several_articles():
     assert main_text(page(f"<article><h1>The head line</h1>{PS}</article><article class=comment><p>{WORDS * 4}</p></article>"), PRIOR) == WANT
 
 
+HEAD = "<h1>The head line</h1>"
+BLOCKS = [HEAD, *(f"<p>{p}</p>" for p in paragraphs(4))]
+MIXED = {
+    "page within a form": f"<form id=aspnetForm>{MENU}<div id=x>{HEAD}{PS}</div></form>",
+    "article within a form": f"<form id=aspnetForm>{MENU}<article>{HEAD}{PS}</article></form>",
+    "widgets of a page builder in main": f"{MENU}<main>{''.join(f'<div class=elementor-widget-text>{b}</div>' for b in BLOCKS)}</main>",
+    "widget of a page builder": f"{MENU}<div class='elementor-widget elementor-widget-theme-post-content'>{HEAD}{PS}</div>",
+    "blog in a widget": f"{MENU}<div class='widget Blog'><div class='post-body entry-content'>{HEAD}{PS}</div></div><div class=sidebar><div class=widget><p>{WORDS}</p></div></div>",
+    "search result": f"{MENU}<div class='search results'><div class='article'>{HEAD}{PS}</div></div>",
+    "section on social matters": f"<article>{HEAD}<section class=social>{PS}</section></article>",
+    "lead marked as alert": f"<article>{HEAD}{PS.replace('<p>', '<p class=alert>', 1)}</article>",
+    "head line in a banner": f"<article><div class=banner>{HEAD}</div>{PS}</article>",
+    "links to share": f"<article>{HEAD}{PS}<div class=social><a href=x>Tweet this</a> <a href=y>Share it on</a></div></article>",
+    "content of a sidebar": f"{MENU}<div id=content>{HEAD}{PS}</div><div class=sidebar><div class=content><p>{WORDS * 5}</p></div></div>",
+}
+
+
+@pytest.mark.parametrize("name", MIXED)
+def test_names_and_forms_are_evidence_and_no_cut(name):
+    assert main_text(page(MIXED[name]), PRIOR) == WANT
+
+
+def test_only_learned_weights_find_the_region():
+    def own(label):
+        return page(f"<div class=zork><p>{WORDS * 12}</p></div><{label}><div class=flim>{HEAD}{PS}</div></{label}><div class=zork><p>{WORDS * 12}</p></div>")
+
+    counts = sum((labels_of(own("article")) for _ in range(30)), labels_of(""))
+    assert main_text(own("div"), PRIOR) != WANT
+    assert main_text(own("div"), learned(counts)) == WANT
+    # a guess gives way to what was seen
+    swapped = Counter({(k, key.replace("flim", "banner"), i): n for (k, key, i), n in counts.items()})
+    assert learned(swapped).purpose[".banner"] > 0 > PRIOR.purpose[".banner"]
+
+
 def test_text_is_decoded_and_spaced():
     html = "<article><p> caf&eacute;&nbsp;&amp;\n tea &lt;b&gt; &#x41;&#66; 1 < 2 </p><p></p><ul><li>one two three four<li>five six</ul></article>"
     assert main_text(html, PRIOR) == "café & tea <b> AB 1 < 2\n\none two three four\n\nfive six"
