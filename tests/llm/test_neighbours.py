@@ -71,6 +71,17 @@ def test_cells_and_chunks(spark, monkeypatch):
     assert recall(sure, want) == 1
 
 
+def test_equal_vectors_have_equal_scores(spark):
+    rng = np.random.default_rng(12)
+    base = rng.standard_normal((30, 65))
+    rows = [(i, base[i % 30].tolist()) for i in range(360)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(5)
+    scores = {i: np.array(v) for i, v in rows}
+    for q, own in by_query(nearest(frame, "vec_id % 20 = 0", certainty=0.9999999).collect()).items():
+        exact = sorted((-float(np.add.accumulate(scores[q] * v)[-1]), i) for i, v in scores.items() if i != q)[:20]
+        assert own == [(i, -s) for s, i in exact]
+
+
 def test_query(spark):
     sf_dir = "/root/testdata/sf0.1"
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()]
