@@ -6,6 +6,7 @@ from tallyweir.operators.points import points_from_partials, static_tags, tagged
 from tallyweir.operators.requests import accepted, parse_lines, rejected
 from tallyweir.options import OptionMismatch, RunOptions, StateMismatch
 from tallyweir.session import tune
+from tallyweir.sources.follow import LogFiles
 from tallyweir.sources.logs import cap_lines, read_log, stream_log
 from tallyweir.sources.scratch import written
 from tallyweir.streaming.runs import MetricsRuns, stream_runs
@@ -13,6 +14,7 @@ from tallyweir.streaming.watermarked import closed_bucket_points, start_closed_b
 
 __all__ = [
     "METRICS",
+    "LogFiles",
     "MetricsRuns",
     "OptionMismatch",
     "RunOptions",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tallyweir.functions.buckets import bucket_time
 from tallyweir.operators.contacts import TIMES, contact_rows, request_summary
@@ -24,10 +24,14 @@ from tallyweir.plans.inputs import (
     access_log,
     access_log_by_host,
     access_log_of,
+    host_lines,
     order_contacts,
+    rename_logs,
     supplier_log,
     table,
+    write_logs,
 )
+from tallyweir.sources.follow import LogFiles
 from tallyweir.sources.logs import cap_lines, read_log
 from tallyweir.sources.scratch import shared_folder, written
 from tallyweir.sources.sinks import batch_bodies, register_measurements, write_points
@@ -304,6 +308,64 @@ def capped_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _hits(runs.leftover())
 
 
+# A lookback that closes nothing, so that the runs' open buckets hold all lines.
+_ALL_OPEN = RunOptions(BUCKET_DURATION, lookback_factor=1_000_000, skip_to_end=False)
+
+
+def _following(spark: SparkSession) -> tuple[str, LogFiles, MetricsRuns]:
+    folder = shared_folder(spark, "hosts")
+    logs = LogFiles(f"{folder}/*/access.log*", r"/([^/]+)/access[.]log[^/]*$", r"[.]log[.](\d+)$")
+    return folder, logs, MetricsRuns(spark, shared_folder(spark, "runs"), _ALL_OPEN)
+
+
+def _share(lines: DataFrame, high: float, low: float = 0.0) -> DataFrame:
+    """The lines between two parts of the event ids."""
+    last = lines.agg(F.max("event_id")).first()[0] or 0
+    return lines.where((F.col("event_id") <= last * high) & ((F.col("event_id") > last * low) | F.lit(low == 0)))
+
+
+def rotated_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lines once, by runs between which logs are renamed, and then copied and truncated while lines come in."""
+    folder, logs, runs = _following(spark)
+    lines = host_lines(spark, sf_dir)
+    write_logs(_share(lines, 0.3), folder)
+    runs.run(logs)
+    rename_logs(spark, folder, "access.log", "access.log.1")
+    write_logs(_share(lines, 0.6, 0.3), folder)
+    runs.run(logs)
+    rename_logs(spark, folder, "access.log.1", "access.log.2")
+    write_logs(_share(lines, 0.8, 0.3), folder, "access.log.1")
+    write_logs(_share(lines, 1.0, 0.8), folder)
+    runs.run(logs)
+    return _hits(runs.leftover())
+
+
+def growing_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lines once, by runs over logs that grow, and one over logs that did not."""
+    folder, logs, runs = _following(spark)
+    lines = host_lines(spark, sf_dir)
+    for part in (0.2, 0.5, 0.5, 1.0):
+        write_logs(_share(lines, part), folder)
+        runs.run(logs)
+    runs.run(logs)
+    return _hits(runs.leftover())
+
+
+def torn_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lines once, by runs over logs whose last line is still being written: what there is of it is not read."""
+    folder, logs, runs = _following(spark)
+    lines = host_lines(spark, sf_dir).withColumn("value", F.expr("concat('1', substr(value, 2))"))
+    # each line end is written with the first character of the next line, which all begin alike
+    begun = F.row_number().over(Window.partitionBy("source").orderBy("event_id")) > 1
+    torn = lines.withColumn("value", F.when(begun, F.expr("substr(value, 2)")).otherwise(F.col("value")))
+    for part in (0.3, 0.7):
+        write_logs(_share(torn, part), folder, end="\n1")
+        runs.run(logs)
+    write_logs(lines, folder)
+    runs.run(logs)
+    return _hits(runs.leftover())
+
+
 def run_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rejected lines that a run keeps."""
     options = RunOptions(BUCKET_DURATION, LOOKBACK, skip_to_end=False, keep_rejects=True)
@@ -319,7 +381,7 @@ def increment_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = access_log_of(events.where("ts < TIMESTAMP_NTZ '2024-01-20 00:30:00'"))
     second = access_log_of(events.where("ts >= TIMESTAMP_NTZ '2024-01-16 00:30:00'"))
     runs.run(first)
-    runs.run(second.union(second.where("user_id % 5 = 0").withColumn("source", F.lit("met.late"))))
+    runs.run(second.union(second.withColumn("source", F.lit("met.late"))))
     return skip_counts(runs.partials(runs.last_commit().slot))
 
 
@@ -421,6 +483,9 @@ QUERIES: dict[str, Query] = {
     "increment_two_runs": increment_two_runs,
     "increment_late": increment_late,
     "capped_runs": capped_runs,
+    "rotated_runs": rotated_runs,
+    "growing_log": growing_log,
+    "torn_lines": torn_lines,
     "run_rejects": run_rejects,
     "start_over_runs": start_over_runs,
     "stream_closed_buckets": stream_closed_buckets,

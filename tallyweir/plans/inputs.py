@@ -8,6 +8,8 @@ from integer and string expressions, so other engines print the same lines.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyweir.session import tune
@@ -38,6 +40,37 @@ def access_log_by_host(spark: SparkSession, sf_dir: str) -> DataFrame:
     return access_log(spark, sf_dir).withColumn("source", F.expr("concat('web', user_id % 3, '/access.log')"))
 
 
+HOSTS = 12
+
+
+def host_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same lines as the logs of more hosts, in the order of ``event_id``."""
+    return access_log(spark, sf_dir).withColumn("source", F.expr(f"concat('web', user_id % {HOSTS})"))
+
+
+def write_logs(lines: DataFrame, folder: str, name: str = "access.log", end: str = "\n") -> None:
+    """Write the log of each source into ``folder``/source/``name``, replacing it; ``end`` follows every line."""
+    spark = lines.sparkSession
+    scratch = f"{folder}-{uuid.uuid4().hex}"
+    ordered = lines.repartition("source").sortWithinPartitions("source", "event_id").select("source", "value")
+    ordered.write.partitionBy("source").option("lineSep", end).text(scratch)
+    paths = spark._jvm.org.apache.hadoop.fs
+    files = paths.Path(scratch).getFileSystem(spark._jsc.hadoopConfiguration())
+    for found in files.globStatus(paths.Path(f"{scratch}/source=*/part-*")):
+        source = found.getPath().getParent().getName().removeprefix("source=")
+        files.mkdirs(paths.Path(f"{folder}/{source}"))
+        files.delete(paths.Path(f"{folder}/{source}/{name}"), False)
+        files.rename(found.getPath(), paths.Path(f"{folder}/{source}/{name}"))
+
+
+def rename_logs(spark: SparkSession, folder: str, old: str, new: str) -> None:
+    """Rename the log files of all sources, as a rotation does."""
+    paths = spark._jvm.org.apache.hadoop.fs
+    files = paths.Path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    for found in files.globStatus(paths.Path(f"{folder}/*/{old}")):
+        files.rename(found.getPath(), paths.Path(found.getPath().getParent(), new))
+
+
 def _padded(number: str) -> str:
     return f"lpad(string({number}), 3, '0')"
 

@@ -319,7 +319,7 @@ SELECT 'request_time_mean', {time_text("bucket")}, NULL, CAST(round(CAST(us AS D
 
 # The second run's lines twice, once as those of a source that only this run meets.
 _LATE = f"""
-seen AS (SELECT p.*, e.ts, e.user_id AS u, CAST(ceil(p.msec / {_DURATION}) AS BIGINT) AS b FROM parsed p JOIN events e USING (event_id)),
+seen AS (SELECT p.*, e.ts, CAST(ceil(p.msec / {_DURATION}) AS BIGINT) AS b FROM parsed p JOIN events e USING (event_id)),
 noted AS (SELECT max(b) AS b FROM seen WHERE ts < TIMESTAMP '2024-01-20 00:30:00'),
 second AS (SELECT * FROM seen WHERE ts >= TIMESTAMP '2024-01-16 00:30:00')
 """
@@ -328,7 +328,7 @@ SELECT source, reason, CAST(count(*) AS BIGINT) AS lines FROM (
   SELECT source, CASE WHEN reason IN ('bad_version', 'bad_msec') THEN reason
     WHEN b <= (SELECT b FROM noted) THEN 'late' ELSE reason END AS reason FROM second
   UNION ALL
-  SELECT 'met.late' AS source, 'baseline' AS reason FROM second WHERE u % 5 = 0
+  SELECT 'met.late' AS source, 'baseline' AS reason FROM second
 ) WHERE reason IS NOT NULL GROUP BY source, reason
 """
 
@@ -459,6 +459,11 @@ def oracle_statements() -> dict[str, str]:
     statements["capped_runs"] = with_log(
         f"SELECT source, {hour} AS time, vhost, protocol, loctag, {hits} FROM requests GROUP BY {_BASE}", source=BY_HOST
     )
+    by_host = with_log(
+        f"SELECT source, {hour} AS time, vhost, protocol, loctag, {hits} FROM requests GROUP BY {_BASE}", source="'web' || (user_id % 12)"
+    )
+    statements["rotated_runs"] = statements["growing_log"] = by_host
+    statements["torn_lines"] = by_host.replace("CASE WHEN event_id % 97 = 0 THEN '2' ELSE '1' END,", "'1',")
     statements["run_rejects"] = with_log("SELECT source, value AS line, reason FROM parsed WHERE reason IS NOT NULL")
     statements["increment_late"] = with_log(_LATE_COUNTS, more=_LATE)
     statements["large_sums"] = _LARGE_SUMS

@@ -28,16 +28,23 @@ def read_log(
     ``block`` is the offset of the file split, ``seq`` grows with the lines inside it.  ``rotation`` is a
     pattern whose group 1 is the number of a rotated file, as ``\\.log\\.(\\d+)$``; the highest is the oldest.
     """
+    return placed_lines(spark.read.option("lineSep", "\n").text(paths), source_pattern, rotation)
+
+
+def placed_lines(text: DataFrame, source_pattern: str | None = None, rotation: str | None = None, *more: Column) -> DataFrame:
+    """Lines of a text table with their source, their place and ``more`` columns about their file."""
     age = F.lit(0) if rotation is None else F.expr("coalesce(try_cast(_number AS INT), 0)")
     number = F.lit("") if rotation is None else F.regexp_extract(F.col("_metadata.file_path"), rotation, 1)
-    return spark.read.option("lineSep", "\n").text(paths).select(
+    placed = text.select(
         source_name(source_pattern).alias("source"),
         "value",
         F.col("_metadata.file_path").alias("file"),
         number.alias("_number"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("seq"),
-    ).select("source", "value", "file", age.alias("age"), "block", "seq")
+        *more,
+    )
+    return placed.withColumn("age", age).drop("_number")
 
 
 def stream_log(

@@ -32,6 +32,7 @@ from tallyweir.operators.points import POINT_SCHEMA, points_from_partials
 from tallyweir.operators.requests import REASONS_BEFORE_LATE, parse_lines
 from tallyweir.operators.runstats import RunStats, stats_frame
 from tallyweir.options import RunOptions, StateMismatch
+from tallyweir.sources.follow import FILES_SCHEMA, LogFiles, follow
 from tallyweir.sources.logs import POSITIONS_SCHEMA, advanced, has_place, next_blocks, take_blocks
 from tallyweir.sources.sinks import write_points
 
@@ -142,6 +143,10 @@ class MetricsRuns:
     def positions(self, slot: int) -> DataFrame:
         return self.spark.read.schema(POSITIONS_SCHEMA).parquet(f"{self.folder}/slot{slot}/positions")
 
+    def files(self, slot: int) -> DataFrame:
+        """The followed files after the run of the slot."""
+        return self.spark.read.schema(FILES_SCHEMA).parquet(f"{self.folder}/slot{slot}/files")
+
     def points(self, *run_ids: int) -> DataFrame:
         """Published points of the given runs of this epoch, or of all of them."""
         return self._points_in([f"state={self.epoch}/run={i}" for i in run_ids] or [f"state={self.epoch}"])
@@ -161,11 +166,12 @@ class MetricsRuns:
 
     # -- runs ----------------------------------------------------------------
 
-    def run(self, lines: DataFrame, run_id: int | None = None, now: float | None = None) -> RunStats | None:
+    def run(self, lines: DataFrame | LogFiles, run_id: int | None = None, now: float | None = None) -> RunStats | None:
         """Process new lines; None if the run of this number is already committed.
 
-        Of lines with a place, as ``read_log`` gives it, only those after the last run's are read, so the same
-        files can be passed again and again.  ``now`` is the clock that ``max_ahead`` refers to.
+        Log files are followed: each run opens those that changed and goes on after the last line done, also after
+        a rotation.  Of lines with a place, as ``read_log`` gives it, those after the last run's are taken, by path.
+        All other lines are new ones.  ``now`` is the clock that ``max_ahead`` refers to.
         """
         started = time.time()
         options, last, newest = self.options, self.last_commit(), self._newest_commit()
@@ -178,7 +184,7 @@ class MetricsRuns:
         # the slot of the newest commit stays untouched until this run commits
         slot = 0 if newest is None else 1 - newest.slot
 
-        lines = self._next_lines(with_source(lines), slot, last)
+        lines = self._next_lines(lines, slot, last)
         before = self._marks_before(last)
         horizon = options.last_bucket(started if now is None else now)
         parsed, skipped = self._aggregate(lines, slot, last, before, horizon)
@@ -212,11 +218,16 @@ class MetricsRuns:
         if mine != theirs and not self.leftover().isEmpty():
             self.options.check_against(*theirs)
 
-    def _next_lines(self, lines: DataFrame, slot: int, last: Commit | None) -> DataFrame:
-        """The lines after the last run's, if they have a place; their positions go into the slot."""
-        empty = self.spark.createDataFrame([], POSITIONS_SCHEMA)
-        before = empty if last is None else self.positions(last.slot)
+    def _next_lines(self, lines: DataFrame | LogFiles, slot: int, last: Commit | None) -> DataFrame:
+        """The lines after the last run's, if their files or places are known; where they end goes into the slot."""
         path = f"{self.folder}/slot{slot}"
+        files = self.spark.createDataFrame([], FILES_SCHEMA) if last is None else self.files(last.slot)
+        before = self.spark.createDataFrame([], POSITIONS_SCHEMA) if last is None else self.positions(last.slot)
+        if isinstance(lines, LogFiles):
+            before.write.mode("overwrite").parquet(f"{path}/positions")
+            return with_source(follow(self.spark, lines, files, path, self.options.max_lines))
+        files.write.mode("overwrite").parquet(f"{path}/files")
+        lines = with_source(lines)
         if not has_place(lines):
             if self.options.max_lines:
                 raise ValueError("a cap needs the place of each line, as read_log gives it")
