@@ -39,11 +39,59 @@ def integer_field(value: str) -> str:
     return f"concat(string(bigint({value})), 'i')"
 
 
-def float_field(value: str, digits: int = 6) -> str:
-    """Plain decimal text, at most ``digits`` places, at least one, no exponent."""
-    fixed = f"string(cast(round({value}, {digits}) AS DECIMAL(38, {digits})))"
-    # all zeros at the end but the one right after the point
-    return f"regexp_replace({fixed}, r'(\\.\\d+?)0+$', '$1')"
+# From which power of ten on, and up to which, a number is written without exponent.
+_LEAST_PLAIN, _MOST_PLAIN = -4, 15
+
+
+def float_field(value: str) -> str:
+    """The shortest text that reads back as the same DOUBLE; NULL for what is no finite number.
+
+    Numbers from 0.0001 to 10^16 are written out with at least one place, others as ``1.5e-07``.
+    """
+    number = f"double({value})"
+    # up to 15 digits Spark's own text is the shortest; between these bounds it is written out
+    common = f"abs({number}) >= 0.001D AND abs({number}) < 10000000D AND char_length(string({number})) <= 16"
+    sign = f"CASE WHEN startswith(string({number}), '-') THEN '-' ELSE '' END"
+    finite = f"abs({number}) < double('infinity')"
+    return (
+        f"CASE WHEN {common} THEN string({number}) WHEN {number} = 0 THEN concat({sign}, '0.0') "
+        f"WHEN {finite} THEN concat({sign}, {_shortest(f'abs({number})')}) END"
+    )
+
+
+def _bound(value: str, name: str, body: str) -> str:
+    """``body`` with ``name`` standing for ``value``, which is worked out once."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
+
+
+def _shortest(number: str) -> str:
+    """Text of a positive number from its digits and the place of its point."""
+    # Spark writes 0.00123, 123.4 or 1.234E10, sometimes with a digit or two more than needed
+    mantissa, exponent = "split_part(t, 'E', 1)", "coalesce(try_cast(split_part(t, 'E', 2) AS INT), 0)"
+    whole = f"replace({mantissa}, '.', '')"
+    lead = f"(char_length({whole}) - char_length(ltrim('0', {whole})))"
+    digits = f"trim(BOTH '0' FROM {whole})"
+    point = f"locate('.', t) - 1 + {exponent} - {lead}"
+    parts = f"named_struct('d', {digits}, 'p', int({point}), 'x', double(t))"
+    # the fewest digits, rounded or cut or one more, that still read as the number
+    tries = ", ".join(
+        f"CASE WHEN char_length(n.d) > {k} THEN named_struct('c', string((bigint(n.d) + {add}) div {10**k}), 'k', {k}) END"
+        for k in (2, 1) for add in (5 * 10 ** (k - 1), 0, 10**k)
+    )
+    place = "n.p + char_length(e.c) - (char_length(n.d) - e.k)"
+    same = f"e.c <> '0' AND double(concat('0.', e.c, 'E', {place})) = n.x"
+    cut = f"named_struct('d', trim(TRAILING '0' FROM e.c), 'p', {place})"
+    found = f"coalesce(get(transform(filter(array_compact(array({tries})), e -> {same}), e -> {cut}), 0), named_struct('d', n.d, 'p', n.p))"
+    size = "char_length(m.d)"
+    plain = (
+        f"CASE WHEN m.p <= 0 THEN concat('0.', repeat('0', -m.p), m.d) "
+        f"WHEN m.p >= {size} THEN concat(m.d, repeat('0', m.p - {size}), '.0') "
+        "ELSE concat(substr(m.d, 1, m.p), '.', substr(m.d, m.p + 1)) END"
+    )
+    power = "lpad(string(abs(m.p - 1)), greatest(2, char_length(string(abs(m.p - 1)))), '0')"
+    powered = f"concat(substr(m.d, 1, 1), CASE WHEN {size} > 1 THEN concat('.', substr(m.d, 2)) ELSE '' END, 'e', CASE WHEN m.p > 0 THEN '+' ELSE '-' END, {power})"
+    shown = f"CASE WHEN m.p - 1 BETWEEN {_LEAST_PLAIN} AND {_MOST_PLAIN} THEN {plain} ELSE {powered} END"
+    return _bound(f"string({number})", "t", _bound(parts, "n", _bound(found, "m", shown)))
 
 
 def boolean_field(value: str) -> str:

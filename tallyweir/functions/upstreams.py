@@ -12,6 +12,7 @@ from tallyweir.functions.numbers import (
     INTEGER_PATTERN,
     LARGEST_NUMBER,
     PLAIN_DECIMAL_PATTERN,
+    integer_text,
 )
 
 NONE_MARKER = "-"
@@ -55,7 +56,7 @@ def valid_times(entries: str) -> str:
 
 def normal_status(text: str) -> str:
     """Status key of a valid status entry: ``-`` or the plain whole number."""
-    return f"CASE WHEN {text} = '{NONE_MARKER}' THEN {text} ELSE string(try_cast({text} AS BIGINT)) END"
+    return f"CASE WHEN {text} = '{NONE_MARKER}' THEN {text} ELSE {integer_text(text)} END"
 
 
 def time_value(text: str) -> str:

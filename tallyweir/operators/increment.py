@@ -87,10 +87,11 @@ def label_skips(
         "kind": f"if(_reason IS NOT NULL, '{SKIP}', kind)",
         "status": "coalesce(_reason, status)",
     }
+    more = [c for c in partials.columns if c not in PARTIAL_COLUMNS]
     return (
-        joined.selectExpr(*PARTIAL_COLUMNS, f"{reason} AS _reason")
+        joined.selectExpr(*PARTIAL_COLUMNS, *more, f"{reason} AS _reason")
         .where(f"NOT (_reason IS NOT NULL AND kind = '{CONTACT}')")
-        .selectExpr(*[f"{changed.get(c, f'if(_reason IS NOT NULL, NULL, {c})')} AS {c}" for c in PARTIAL_COLUMNS])
+        .selectExpr(*[f"{changed.get(c, f'if(_reason IS NOT NULL, NULL, {c})')} AS {c}" for c in PARTIAL_COLUMNS], *more)
     )
 
 

@@ -70,7 +70,7 @@ METRICS: dict[str, Metric] = {
     "gzip_count_percent": _ratio("gzip_n", "hits"),
     "gzip_ratio_mean": _mean("gzip_us", "gzip_n"),
     # published as a whole number, cut and not rounded
-    "request_length_mean": Metric("base", ("request_length", "hits"), "bigint(double(request_length) / hits)"),
+    "request_length_mean": Metric("base", ("request_length", "hits"), "CAST(double(request_length) / hits - double(request_length) / hits % 1 AS DECIMAL(38, 0))"),
     # a request without a time counts in no mean
     "request_time_mean": _mean("time_us", "time_n"),
     "upstreams_hits": _sum("contact_hits", "upstream"),

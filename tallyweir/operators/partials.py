@@ -32,7 +32,7 @@ def wide(number: str) -> str:
 
 
 def weighted(number: str) -> str:
-    return wide(f"CAST({number} AS DECIMAL(20, 0)) * CAST(weight AS DECIMAL(10, 0))")
+    return wide(f"CAST({number} AS DECIMAL(31, 0)) * CAST(weight AS DECIMAL(8, 0))")
 
 
 def protocol_label(protocol: str) -> str:
@@ -87,12 +87,15 @@ def contributions(
     return contributions_of(parse_lines(with_source(lines), bucket_duration, line=line), weighting)
 
 
-def contributions_of(parsed: DataFrame, weighting: str = "per_request", skips: bool = True) -> DataFrame:
-    """The same from parsed lines; without ``skips`` a rejected line gives no row."""
+def contributions_of(parsed: DataFrame, weighting: str = "per_request", skips: bool = True, line: str | None = None) -> DataFrame:
+    """The same from parsed lines; without ``skips`` a rejected line gives no row.
+
+    ``line`` is a column with the text that a rejected line takes along as ``line``.
+    """
     line_and_contacts = "CASE WHEN contacts IS NULL THEN array(NULL) ELSE array_prepend(contacts, NULL) END"
     otherwise = "array(NULL)" if skips else "NULL"
     rows = f"CASE WHEN reason IS NULL THEN {line_and_contacts} ELSE {otherwise} END"
-    passed = [*REQUEST_COLUMNS[:-1], "source", "reason"]
+    passed = [*REQUEST_COLUMNS[:-1], "source", "reason", *([line] if line else [])]
     exploded = explode_contacts(parsed, passed, weighting, rows, first=0)
     return exploded.selectExpr(
         "source",
@@ -106,13 +109,14 @@ def contributions_of(parsed: DataFrame, weighting: str = "per_request", skips: b
         *[f"CASE WHEN at = 0 AND reason IS NULL THEN {m} END AS {name}" for name, m in REQUEST_MEASURES.items()],
         *[f"CASE WHEN at > 0 THEN {m} END AS {name}" for name, m in CONTACT_MEASURES.items()],
         "CASE WHEN at = 0 AND reason IS NULL THEN msec END AS last_msec",
-    ).select(*PARTIAL_COLUMNS)
+        *([f"CASE WHEN reason IS NOT NULL THEN {line} END AS line"] if line else []),
+    ).select(*PARTIAL_COLUMNS, *(["line"] if line else []))
 
 
-def add_up(rows: DataFrame) -> DataFrame:
+def add_up(rows: DataFrame, *more_keys: str) -> DataFrame:
     """Merge partial rows of equal keys; the only shuffle between lines and partials."""
     sums = sums_of("lines", *SUMS)
-    return rows.groupBy(*PARTIAL_KEYS).agg(*sums, F.max("last_msec").alias("last_msec"))
+    return rows.groupBy(*PARTIAL_KEYS, *more_keys).agg(*sums, F.max("last_msec").alias("last_msec"))
 
 
 def sums_of(*names: str) -> list[Column]:

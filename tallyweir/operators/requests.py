@@ -126,7 +126,7 @@ def _typed_fields() -> list[str]:
         "array_size(_fields) AS _width",
         f"{decimal_number(at['msec'])} AS _msec",
         *[f"{at[name]} AS {name}" for name in ("vhost", "protocol", "loctag")],
-        f"{integer(at['status'], 'INT')} AS status",
+        f"{integer(at['status'])} AS status",
         f"{integer(at['bytes_sent'])} AS bytes_sent",
         f"{decimal_number(at['gzip_ratio'])} AS gzip_ratio",
         f"{at['gzip_ratio']} AS _gzip_ratio",

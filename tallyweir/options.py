@@ -29,7 +29,7 @@ class RunOptions:
     outbox_limit     number of failed sends kept for later, the oldest fall off; None keeps all
     max_ahead        seconds that a line may be ahead of the clock; one further ahead is rejected as ``future``
                      and does not move the mark of its source; None accepts any time
-    keep_rejects     keep rejected lines with their reasons, a table per run; this parses the lines twice
+    keep_rejects     keep rejected lines with their reasons, a table per run
     """
 
     bucket_duration: int = 60

@@ -8,6 +8,7 @@ from functools import partial
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tallyweir.functions.buckets import bucket_time
+from tallyweir.functions.lineprotocol import float_field
 from tallyweir.operators.contacts import TIMES, contact_rows, request_summary
 from tallyweir.operators.flat_contacts import flat_contact_means, flat_contact_statuses
 from tallyweir.operators.increment import advance_marks, baseline, closed_partials, open_partials
@@ -29,6 +30,7 @@ from tallyweir.plans.inputs import (
     rename_logs,
     supplier_log,
     table,
+    wide_log,
     write_logs,
 )
 from tallyweir.sources.follow import LogFiles
@@ -76,8 +78,8 @@ def _marks(partials: DataFrame) -> DataFrame:
 
 def parse_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _requests(spark, sf_dir).select(
-        "event_id", "msec", "bucket", *BASE_KEYS, "status", "bytes_sent", "gzip_ratio", "request_length",
-        "request_time", "servers_contacted", "internal_redirects", "upstreams_servers",
+        "event_id", "msec", "bucket", *BASE_KEYS, F.col("status").cast("int"), F.col("bytes_sent").cast("bigint"),
+        "gzip_ratio", F.col("request_length").cast("bigint"), "request_time", "servers_contacted", "internal_redirects", "upstreams_servers",
     )
 
 
@@ -165,7 +167,8 @@ def single_metric(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_base_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = metrics_wide(_partials(access_log(spark, sf_dir)))
-    return wide.withColumn("time", _time()).withColumn("bytes_sent", F.col("bytes_sent").cast("bigint")).drop("source", "bucket")
+    whole = {name: F.col(name).cast("bigint") for name in ("bytes_sent", "request_length_mean")}
+    return wide.withColumns({"time": _time(), **whole}).drop("source", "bucket")
 
 
 def per_contact_upstreams(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,8 +192,16 @@ def large_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
     return points.select("measurement", "time", "value_i", F.round(F.col("value_d") / 1e9, 0).cast("bigint").alias("billions"))
 
 
+def wide_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points of numbers beyond 64 bits, and statuses beyond 32 bits, which stay texts; what is too long is scaled."""
+    names = "'bytes_sent', 'status', 'request_length_mean', 'request_time_mean', 'upstreams_status', 'upstreams_response_time_mean', 'upstreams_connect_time_mean'"
+    points = _points(wide_log(spark, sf_dir)).where(f"measurement IN ({names})")
+    scaled = "bigint(round(value_d / CASE measurement WHEN 'bytes_sent' THEN 1e25D ELSE 1e9D END, 0)) AS scaled"
+    return points.selectExpr("measurement", "time", "upstream", "status", "value_i", scaled)
+
+
 def long_upstream_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three upstream metrics of lines with some hundred contacts each."""
+    """Three upstream metrics of lines with 1 to some thousand contacts each."""
     lines = supplier_log(spark, sf_dir)
     names = ("upstreams_hits", "upstreams_status", "upstreams_response_time_mean")
     parts = [
@@ -235,13 +246,17 @@ def line_protocol(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def line_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All lines in bodies of at most 500: their number, their length, and whether the limit held."""
-    bodies = batch_bodies(line_protocol(spark, sf_dir), 500)
-    return bodies.agg(
-        F.sum("points").alias("points"),
-        F.sum(F.length("body")).alias("characters"),
-        F.every(F.col("points") <= 500).alias("within_size"),
-    )
+    """All lines in their order, in bodies of 500 but for the last."""
+    bodies = batch_bodies(line_protocol(spark, sf_dir).orderBy("line"), 500)
+    return bodies.select("number", "points", F.md5("body").alias("checksum"))
+
+
+def field_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shortest texts of fractions of up to 17 digits from 1e-300 to 1e300, and of plain ones."""
+    digits = "concat(1 + event_id % 9, lpad(string(event_id * 104729 % 100000000), 8, '0'), lpad(string(event_id * 7919 % 100000000), 8, '0'))"
+    wide = f"double(concat(CASE WHEN event_id % 2 = 0 THEN '-' ELSE '' END, substr({digits}, 1, int(1 + event_id % 17)), 'e', event_id * 13 % 585 - 300))"
+    numbers = table(spark, sf_dir, "events").selectExpr("event_id", f"{wide} AS wide", "value / 7 AS plain")
+    return numbers.selectExpr("event_id", f"{float_field('wide')} AS wide", f"{float_field('plain')} AS plain")
 
 
 def measurement_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -374,6 +389,15 @@ def run_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.rejects().select("source", F.col("value").alias("line"), "reason")
 
 
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rejected lines that runs driven by a stream of files keep."""
+    folder = shared_folder(spark, "stream-rejects")
+    options = RunOptions(BUCKET_DURATION, LOOKBACK, skip_to_end=False, keep_rejects=True)
+    runs = MetricsRuns(spark, f"{folder}/state", options)
+    stream_runs(_event_stream(spark, sf_dir), runs, f"{folder}/checkpoint").awaitTermination()
+    return runs.rejects().select("source", F.col("value").alias("line"), "reason")
+
+
 def increment_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Skipped lines per reason of a second run that gets lines of closed buckets, and of a source met late."""
     events = table(spark, sf_dir, "events")
@@ -469,6 +493,8 @@ QUERIES: dict[str, Query] = {
     "metrics_wide": all_base_metrics,
     "per_contact_upstreams": per_contact_upstreams,
     "large_sums": large_sums,
+    "wide_numbers": wide_numbers,
+    "field_texts": field_texts,
     "long_upstream_lists": long_upstream_lists,
     "order_contacts_means": order_contacts_means,
     "order_contacts_status": order_contacts_status,
@@ -487,6 +513,7 @@ QUERIES: dict[str, Query] = {
     "growing_log": growing_log,
     "torn_lines": torn_lines,
     "run_rejects": run_rejects,
+    "stream_rejects": stream_rejects,
     "start_over_runs": start_over_runs,
     "stream_closed_buckets": stream_closed_buckets,
     "stream_runs": streamed_runs,

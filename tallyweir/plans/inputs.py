@@ -129,19 +129,35 @@ def order_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+LONGEST_LIST = 4000
+
+
 def supplier_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One line per supplier whose upstream lists hold a contact per line item: some hundreds, servers repeated."""
-    contact = (
-        "struct(l_orderkey, l_linenumber, concat('10.0.', l_partkey % 7, '.1:80') AS server, "
-        "CASE l_returnflag WHEN 'A' THEN '200' WHEN 'R' THEN '404' ELSE '502' END AS status, "
-        f"concat('0.', {_padded('int(l_quantity)')}) AS response)"
-    )
-    lists = (
-        table(spark, sf_dir, "lineitem")
-        .selectExpr("l_suppkey", f"{contact} AS contact")
-        .groupBy("l_suppkey")
-        .agg(F.sort_array(F.collect_list("contact")).alias("c"))
+    """Lines whose upstream lists hold a contact per line item, servers repeated: of orders, of suppliers and of thirds of
+    all suppliers.  A list is dealt to as many lines as it has ``LONGEST_LIST`` items, so lines have 1 to about 5,000.
+    """
+    items = table(spark, sf_dir, "lineitem").selectExpr(
+        "CASE WHEN l_orderkey % 10 = 1 THEN concat('o', l_orderkey) WHEN l_orderkey % 2 = 0 THEN concat('s', l_suppkey) "
+        "ELSE concat('m', l_suppkey % 3) END AS list",
+        "l_orderkey",
+        "l_linenumber",
+        "concat('10.0.', l_partkey % 7, '.', l_partkey % 1000, ':80') AS server",
+        "CASE l_returnflag WHEN 'A' THEN '200' WHEN 'R' THEN '404' ELSE '502' END AS status",
+        "concat('0.', lpad(string(int(l_quantity)), 3, '0')) AS response",
     )
-    head = "concat('1|', 1704067200 + l_suppkey, '|s', l_suppkey, '|s|-|200|10|-|20|0.5|')"
+    parts = items.groupBy("list").agg(F.expr(f"ceil(count(*) / {LONGEST_LIST}) AS parts"))
+    dealt = items.join(parts, "list").withColumn("part", F.expr("l_orderkey % parts"))
+    lists = dealt.groupBy("list", "part").agg(F.sort_array(F.collect_list(F.struct("l_orderkey", "l_linenumber", "server", "status", "response"))).alias("c"))
+    head = "concat('1|1704067200|', list, '.', part, '|s|-|200|10|-|20|0.5|')"
     fields = ["array_join(c.server, ', ')", "array_join(c.status, ', ')", *["array_join(c.response, ', ')"] * 3]
     return lists.selectExpr("'suppliers' AS source", f"concat({head}, concat_ws('|', {', '.join(fields)})) AS value")
+
+
+def wide_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A line per event with numbers beyond 64 bits, beyond 32 bits where a status is meant, and beyond 9e12."""
+    fields = [
+        "'1'", "string(unix_seconds(CAST(ts AS TIMESTAMP)))", "'wide'", "'s'", "'-'", "concat('9000000000', event_id % 2)",
+        "'123456789012345678901234567890'", "'-'", "'98765432109876543210'", "concat('1000000000000', event_id % 7, '.5')", "'A, B, A'",
+        "concat('123456789012345678901234', event_id % 3, ', +0200, 000')", "'1e13, -, 2.5e20'", "'.5, -, 20000000000000'", "'-, -, -'",
+    ]
+    return table(spark, sf_dir, "events").selectExpr("'wide' AS source", f"concat_ws('|', {', '.join(fields)}) AS value")

@@ -266,10 +266,7 @@ def _line_text(static: dict[str, str]) -> str:
         f"coalesce(',{name}=' || {_escaped(f'nullif({column}, {chr(39)}{chr(39)})')}, '')"
         for name, column in sorted({**static, **tags}.items())
     ]
-    micro = "CAST(floor(value_d * 1000000 + 0.5) AS BIGINT)"
-    digits = f"rtrim(lpad(CAST({micro} % 1000000 AS VARCHAR), 6, '0'), '0')"
-    fraction = f"({micro} // 1000000) || '.' || CASE WHEN {digits} = '' THEN '0' ELSE {digits} END"
-    value = f"CASE WHEN value_i IS NOT NULL THEN value_i || 'i' ELSE {fraction} END"
+    value = "CASE WHEN value_i IS NOT NULL THEN value_i || 'i' ELSE CAST(value_d AS VARCHAR) END"
     return f"measurement || {' || '.join(parts)} || ' value=' || {value} || ' ' || (bucket * {_DURATION} // 60)"
 
 
@@ -288,11 +285,16 @@ sums AS (
 
 
 _SUPPLIER_LISTS = f"""
-WITH contacts AS (
-  SELECT 's' || l_suppkey AS vhost, '10.0.' || (l_partkey % 7) || '.1:80' AS upstream,
+WITH items AS (
+  SELECT *, CASE WHEN l_orderkey % 10 = 1 THEN 'o' || l_orderkey WHEN l_orderkey % 2 = 0 THEN 's' || l_suppkey
+    ELSE 'm' || (l_suppkey % 3) END AS list FROM lineitem
+),
+parts AS (SELECT list, CAST(ceil(count(*) / 4000.0) AS BIGINT) AS parts FROM items GROUP BY list),
+contacts AS (
+  SELECT list || '.' || (l_orderkey % parts) AS vhost, '10.0.' || (l_partkey % 7) || '.' || (l_partkey % 1000) || ':80' AS upstream,
     CASE l_returnflag WHEN 'A' THEN '200' WHEN 'R' THEN '404' ELSE '502' END AS status,
     {_us("CAST(trunc(l_quantity) AS INTEGER) / 1000")} AS us
-  FROM lineitem
+  FROM items JOIN parts USING (list)
 ),
 met AS (SELECT vhost, upstream, count(*) AS n, CAST(sum(us) AS BIGINT) AS us FROM contacts GROUP BY vhost, upstream)
 SELECT 'upstreams_hits' AS measurement, vhost, upstream, NULL AS status, CAST(n AS DOUBLE) AS value FROM met
@@ -303,6 +305,41 @@ UNION ALL
 SELECT 'upstreams_response_time_mean', vhost, upstream, NULL, CAST(n * us AS DOUBLE) / CAST(n * n * 1000000 AS DOUBLE) FROM met
 """
 
+_WIDE_NUMBERS = f"""
+WITH lines AS (SELECT event_id, CAST(ceil(epoch_us(ts) // 1000000 / {_DURATION}) AS BIGINT) AS bucket FROM events),
+hours AS (SELECT bucket, {time_text("bucket")} AS time, count(*) AS n, sum(10000000000000.5 + event_id % 7) AS seconds FROM lines GROUP BY bucket)
+SELECT 'bytes_sent' AS measurement, time, NULL AS upstream, NULL AS status, CAST(NULL AS BIGINT) AS value_i,
+  CAST(round(n * 123456789012345678901234567890.0 / 1e25, 0) AS BIGINT) AS scaled FROM hours
+UNION ALL
+SELECT 'request_length_mean', time, NULL, NULL, NULL, CAST(round(98765432109876543210.0 / 1e9, 0) AS BIGINT) FROM hours
+UNION ALL
+SELECT 'request_time_mean', time, NULL, NULL, NULL, CAST(round(CAST(seconds AS DOUBLE) / n / 1e9, 0) AS BIGINT) FROM hours
+UNION ALL
+SELECT 'status', {time_text("bucket")}, NULL, '9000000000' || (event_id % 2), count(*), NULL FROM lines GROUP BY ALL
+UNION ALL
+SELECT 'upstreams_status', {time_text("bucket")}, 'A', '123456789012345678901234' || (event_id % 3), 2 * count(*), NULL FROM lines GROUP BY ALL
+UNION ALL
+SELECT 'upstreams_status', time, 'A', '0', 2 * n, NULL FROM hours
+UNION ALL
+SELECT 'upstreams_status', time, 'B', '200', n, NULL FROM hours
+UNION ALL
+SELECT 'upstreams_response_time_mean', time, 'A', NULL, NULL, CAST(round((1e13 + 2.5e20) / 2 / 1e9, 0) AS BIGINT) FROM hours
+UNION ALL
+SELECT 'upstreams_connect_time_mean', time, 'A', NULL, NULL, CAST(round((0.5 + 2e13) / 2 / 1e9, 0) AS BIGINT) FROM hours
+"""
+
+# The engine's own texts of numbers are the shortest ones.
+_FIELD_TEXTS = """
+WITH numbers AS (
+  SELECT event_id, amount / 7 AS plain,
+    CAST(CASE WHEN event_id % 2 = 0 THEN '-' ELSE '' END || substr(
+      (1 + event_id % 9) || lpad(CAST(event_id * 104729 % 100000000 AS VARCHAR), 8, '0') || lpad(CAST(event_id * 7919 % 100000000 AS VARCHAR), 8, '0'),
+      1, 1 + event_id % 17) || 'e' || (event_id * 13 % 585 - 300) AS DOUBLE) AS wide
+  FROM (SELECT event_id, value AS amount FROM events)
+)
+SELECT event_id, CAST(wide AS VARCHAR) AS wide, CAST(plain AS VARCHAR) AS plain FROM numbers
+"""
+
 _LARGE_SUMS = f"""
 WITH lines AS (
   SELECT CAST(ceil(epoch_us(ts) // 1000000 / {_DURATION}) AS BIGINT) AS bucket,
@@ -405,8 +442,8 @@ def oracle_statements() -> dict[str, str]:
     )
     statements["line_protocol"] = points_sql(f"SELECT {_line_text(_STATIC)} AS line FROM points", source=BY_HOST)
     statements["batch_bodies"] = points_sql(
-        f"SELECT count(*) AS points, CAST(sum(length({_line_text(_STATIC)}) + 1) AS BIGINT) AS characters, "
-        "TRUE AS within_size FROM points",
+        "SELECT k // 500 AS number, count(*) AS points, md5(string_agg(line || chr(10), '' ORDER BY line)) AS checksum FROM ("
+        f"SELECT line, row_number() OVER (ORDER BY line) - 1 AS k FROM (SELECT {_line_text(_STATIC)} AS line FROM points)) GROUP BY number",
         source=BY_HOST,
     )
     statements["measurement_readback"] = points_sql(
@@ -464,7 +501,9 @@ def oracle_statements() -> dict[str, str]:
     )
     statements["rotated_runs"] = statements["growing_log"] = by_host
     statements["torn_lines"] = by_host.replace("CASE WHEN event_id % 97 = 0 THEN '2' ELSE '1' END,", "'1',")
-    statements["run_rejects"] = with_log("SELECT source, value AS line, reason FROM parsed WHERE reason IS NOT NULL")
+    statements["wide_numbers"] = _WIDE_NUMBERS
+    statements["field_texts"] = _FIELD_TEXTS
+    statements["stream_rejects"] = statements["run_rejects"] = with_log("SELECT source, value AS line, reason FROM parsed WHERE reason IS NOT NULL")
     statements["increment_late"] = with_log(_LATE_COUNTS, more=_LATE)
     statements["large_sums"] = _LARGE_SUMS
     statements["long_upstream_lists"] = _SUPPLIER_LISTS

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from itertools import islice
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyweir.operators.points import POINT_VALUE
+from tallyweir.sources.scratch import written
 
 DEFAULT_BATCH_SIZE = 500
 
@@ -32,38 +32,58 @@ def write_lines(lines: DataFrame, path: str, batch_size: int = DEFAULT_BATCH_SIZ
 
 
 def batch_bodies(lines: DataFrame, batch_size: int = DEFAULT_BATCH_SIZE) -> DataFrame:
-    """Bodies of at most ``batch_size`` ended lines with their line count, filled within each partition."""
+    """``number``, ``points``, ``body``: ended lines in bodies that all but the last hold ``batch_size``, in the order of the lines.
+
+    Lines are written once with their places; what is before each partition is known from one count per partition.
+    A body whose lines lie in two partitions is put together from its parts, all others leave their task whole.
+    """
     if batch_size < 1:
         raise ValueError(f"a body holds one line at least: {batch_size}")
+    placed = written(lines.select("line", F.monotonically_increasing_id().alias("place")), "lines")
+    sizes = placed.groupBy(F.expr(f"shiftright(place, {_PLACE_BITS})").alias("part")).agg(F.count("*").alias("n")).collect()
+    # a number per partition of the lines
+    before, total = {}, 0
+    for part, n in sorted(sizes):
+        before[part] = total
+        total += n
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, first, waiting = -1, 0, []
+        for batch in batches:
+            rows = []
+            for line, place in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                at = before[place >> _PLACE_BITS] + (place & (1 << _PLACE_BITS) - 1)
+                if at // batch_size != number or at != first + len(waiting):
+                    if waiting:
+                        rows.append((number, first, waiting))
+                    number, first, waiting = at // batch_size, at, []
+                waiting.append(line)
+            yield _bodies(rows)
+        yield _bodies([(number, first, waiting)] if waiting else [])
+
+    filled = written(placed.mapInArrow(fill, "number bigint, first bigint, points bigint, body string"), "bodies")
+    whole = f"points = {batch_size} OR number = {total // batch_size} AND points = {total % batch_size}"
+    parts = filled.where(f"NOT ({whole})").groupBy("number").agg(
+        F.sum("points").alias("points"), F.expr("array_join(transform(sort_array(collect_list(struct(first, body))), p -> p.body), '') AS body")
+    )
+    return filled.where(whole).select("number", "points", "body").union(parts)
 
-    def fill(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        waiting: list[str] = []
-        for frame in frames:
-            waiting.extend(frame["line"])
-            whole = len(waiting) - len(waiting) % batch_size
-            if whole:
-                starts = range(0, whole, batch_size)
-                yield _bodies([waiting[i : i + batch_size] for i in starts])
-                waiting = waiting[whole:]
-        if waiting:
-            yield _bodies([waiting])
 
-    return lines.select("line").mapInPandas(fill, "points long, body string")
+# Bits of a place that count the rows of a partition.
+_PLACE_BITS = 33
 
 
-def _bodies(batches: list[list[str]]) -> pd.DataFrame:
-    return pd.DataFrame(
-        {"points": [len(b) for b in batches], "body": ["\n".join(b) + "\n" for b in batches]}
-    )
+def _bodies(rows: list[tuple[int, int, list[str]]]) -> pa.RecordBatch:
+    columns = [r[0] for r in rows], [r[1] for r in rows], [len(r[2]) for r in rows], ["\n".join(r[2]) + "\n" for r in rows]
+    types = pa.int64(), pa.int64(), pa.int64(), pa.string()
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["number", "first", "points", "body"])
 
 
 def send_lines(lines: DataFrame, send: Callable[[str], None], batch_size: int = DEFAULT_BATCH_SIZE) -> None:
-    """Call ``send(body)`` on the executors for each batch; a failing call fails its task, and Spark retries it."""
-    if batch_size < 1:
-        raise ValueError(f"a body holds one line at least: {batch_size}")
+    """Call ``send(body)`` on the executors for each body; a failing call fails its task, and Spark retries it."""
 
     def send_all(rows: Iterator) -> None:
-        while some := [row["line"] for row in islice(rows, batch_size)]:
-            send("\n".join(some) + "\n")
+        for row in rows:
+            send(row["body"])
 
-    lines.select("line").foreachPartition(send_all)
+    batch_bodies(lines, batch_size).select("body").foreachPartition(send_all)

@@ -27,7 +27,7 @@ from tallyweir.operators.increment import (
     marks_from_times,
     open_partials,
 )
-from tallyweir.operators.partials import SUMS, WIDE, WIDE_SUMS, add_up, contributions, line_counts, with_source
+from tallyweir.operators.partials import SKIP, SUMS, WIDE, WIDE_SUMS, add_up, contributions, contributions_of, line_counts, with_source
 from tallyweir.operators.points import POINT_SCHEMA, points_from_partials
 from tallyweir.operators.requests import REASONS_BEFORE_LATE, parse_lines
 from tallyweir.operators.runstats import RunStats, stats_frame
@@ -42,6 +42,7 @@ COMMIT_SCHEMA = (
     "epoch bigint, run_id bigint, slot int, bucket_duration int, lookback_factor int, weighting string, "
     "checkpoint string, undelivered array<string>"
 )
+REPEATED = 10_000
 REJECTS_SCHEMA = "source string, value string, reason string, run bigint"
 PARTIALS_SCHEMA = (
     "source string, kind string, bucket bigint, vhost string, protocol string, loctag string, upstream string, "
@@ -189,7 +190,7 @@ class MetricsRuns:
         horizon = options.last_bucket(started if now is None else now)
         parsed, skipped = self._aggregate(lines, slot, last, before, horizon)
         if options.keep_rejects:
-            self._write_rejects(lines, before, horizon, run_id)
+            self._write_rejects(slot, run_id)
         parse_duration = time.time() - started
 
         closed = closed_partials(self.partials(slot), self.marks(slot))
@@ -248,8 +249,12 @@ class MetricsRuns:
         self, lines: DataFrame, slot: int, last: Commit | None, before: DataFrame, horizon: int | None
     ) -> tuple[int, int]:
         options = self.options
-        rows = contributions(lines, options.bucket_duration, options.weighting)
-        added = add_up(rows if last is None else rows.unionByName(self.leftover()))
+        if options.keep_rejects:
+            rows = contributions_of(self._judged(lines, before, horizon), options.weighting, line="_line")
+        else:
+            rows = contributions(lines, options.bucket_duration, options.weighting)
+        carried = rows if last is None else rows.unionByName(self.leftover(), allowMissingColumns=True)
+        added = add_up(carried, *(["line"] if options.keep_rejects else []))
         self._write_partials(label_skips(added, before, horizon, options.skip_to_end), slot)
         partials = self.partials(slot)
         noted = baseline_marks(partials, options.bucket_duration, options.lookback_factor)
@@ -259,20 +264,31 @@ class MetricsRuns:
         counts = line_counts(partials).agg(F.sum("parsed_lines"), F.sum("skipped_lines")).head()
         return counts[0] or 0, counts[1] or 0
 
-    def _write_rejects(self, lines: DataFrame, before: DataFrame, horizon: int | None, run_id: int) -> None:
-        """The rejected lines themselves; those of a source that is only noted are not listed one by one."""
-        parsed = parse_lines(lines, self.options.bucket_duration).select("source", "value", "bucket", "reason")
-        known = before.selectExpr("source", "closed_through", "true AS _known")
-        joined = parsed.join(known, "source", "left")
+    def _judged(self, lines: DataFrame, before: DataFrame, horizon: int | None) -> DataFrame:
+        """Parsed lines with the reason that marks and clock give them, and as ``_line`` the text of those to keep.
+
+        Those of a source that is only noted are not kept one by one; the added-up rows tell what becomes of them.
+        """
+        parsed = parse_lines(lines, self.options.bucket_duration)
+        known = before.selectExpr("source", "closed_through AS _closed", "true AS _known")
         unreadable = ", ".join(f"'{r}'" for r in REASONS_BEFORE_LATE)
+        noted = f"_known IS NULL AND {self.options.skip_to_end}"
         reason = (
-            f"CASE WHEN reason IN ({unreadable}) THEN reason "
+            f"CASE WHEN reason IN ({unreadable}) OR {noted} THEN reason "
             f"WHEN bucket > {horizon if horizon is not None else 'NULL'} THEN 'future' "
-            "WHEN bucket <= closed_through THEN 'late' ELSE reason END"
+            "WHEN bucket <= _closed THEN 'late' ELSE reason END"
         )
-        listed = joined.where("_known" if self.options.skip_to_end else "true").selectExpr("source", "value", f"{reason} AS reason")
-        path = f"{self.folder}/rejects/state={self.epoch}/run={run_id}"
-        listed.where("reason IS NOT NULL").write.mode("overwrite").parquet(path)
+        others = [c for c in parsed.columns if c != "reason"]
+        return parsed.join(known, "source", "left").selectExpr(*others, f"{reason} AS reason", f"CASE WHEN NOT ({noted}) THEN value END AS _line")
+
+    def _write_rejects(self, slot: int, run_id: int) -> None:
+        """The rejected lines themselves, which the partials of the run hold once with their number."""
+        partials = self.spark.read.schema(f"{PARTIALS_SCHEMA}, line string").parquet(f"{self.folder}/slot{slot}/partials")
+        listed = partials.where(f"kind = '{SKIP}' AND line IS NOT NULL").selectExpr("source", "line AS value", "status AS reason", "lines")
+        # a line that was repeated very often is not made an array of that length
+        many = listed.selectExpr("*", f"explode(sequence(0L, lines - 1, {REPEATED}L)) AS _first")
+        once = many.selectExpr("source", "value", "reason", f"explode(array_repeat(0, int(least({REPEATED}L, lines - _first)))) AS _n")
+        once.drop("_n").write.mode("overwrite").parquet(f"{self.folder}/rejects/state={self.epoch}/run={run_id}")
 
     def _write_partials(self, partials: DataFrame, slot: int) -> None:
         partials.write.mode("overwrite").parquet(f"{self.folder}/slot{slot}/partials")

@@ -75,11 +75,22 @@ def test_batches_fill_across_arrow_batches(spark):
         for wrong in (batch_bodies, lambda lines, size: send_lines(lines, print, size)):
             with pytest.raises(ValueError):
                 wrong(twelve_lines(spark), 0)
-        assert max(b.points for b in batch_bodies(twelve_lines(spark, 3), 5).collect()) <= 5
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
+@pytest.mark.parametrize(("partitions", "size"), [(1, 1), (3, 5), (12, 5), (20, 5), (5, 100), (4, 4), (7, 6)])
+def test_bodies_are_full_across_partitions(spark, partitions, size):
+    bodies = sorted(batch_bodies(twelve_lines(spark, partitions), size).collect())
+    assert [b.number for b in bodies] == list(range(len(bodies)))
+    assert [b.points for b in bodies] == [min(size, 12 - size * i) for i in range(len(bodies))]
+    assert "".join(b.body for b in bodies) == "".join(f"l{i}\n" for i in range(12))
+
+
+def test_no_lines_give_no_bodies(spark):
+    assert batch_bodies(twelve_lines(spark).limit(0)).collect() == []
+
+
 def test_sending_from_the_executors(spark, tmp_path):
     target = str(tmp_path)
 
@@ -91,7 +102,7 @@ def test_sending_from_the_executors(spark, tmp_path):
 
     send_lines(twelve_lines(spark, 2), send, 5)
     bodies = [open(p).read() for p in glob.glob(f"{target}/*.txt")]
-    assert sorted(b.count("\n") for b in bodies) == [1, 1, 5, 5]
+    assert sorted(b.count("\n") for b in bodies) == [2, 5, 5]
 
 
 def test_text_output(spark, tmp_path):
