@@ -9,6 +9,7 @@ from tallyweir.session import tune
 from tallyweir.sources.follow import LogFiles
 from tallyweir.sources.logs import cap_lines, read_log, stream_log
 from tallyweir.sources.scratch import written
+from tallyweir.streaming.per_source import counted_by_source, skipped_by_source, start_by_source
 from tallyweir.streaming.runs import MetricsRuns, stream_runs
 from tallyweir.streaming.watermarked import closed_bucket_points, start_closed_buckets
 
@@ -22,6 +23,7 @@ __all__ = [
     "accepted",
     "cap_lines",
     "closed_bucket_points",
+    "counted_by_source",
     "line_counts",
     "metric",
     "metrics_wide",
@@ -31,6 +33,8 @@ __all__ = [
     "read_log",
     "rejected",
     "skip_counts",
+    "skipped_by_source",
+    "start_by_source",
     "start_closed_buckets",
     "static_tags",
     "stream_log",

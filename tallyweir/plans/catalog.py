@@ -21,6 +21,7 @@ from tallyweir.operators.runstats import stats_frame, stats_lines
 from tallyweir.options import RunOptions
 from tallyweir.plans.inputs import (
     BUCKET_DURATION,
+    EVENT_COLUMNS,
     ORDER_BUCKET_DURATION,
     access_log,
     access_log_by_host,
@@ -37,6 +38,7 @@ from tallyweir.sources.follow import LogFiles
 from tallyweir.sources.logs import cap_lines, read_log
 from tallyweir.sources.scratch import shared_folder, written
 from tallyweir.sources.sinks import batch_bodies, register_measurements, write_points
+from tallyweir.streaming.per_source import skipped_by_source, start_by_source
 from tallyweir.streaming.runs import MetricsRuns, stream_runs
 from tallyweir.streaming.watermarked import closed_bucket_points, start_closed_buckets
 
@@ -438,6 +440,28 @@ def streamed_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _published(runs.points())
 
 
+# Until when each source's lines come first, and from when on they come next.
+_SLOW_AND_FAST = {"fast": ("2024-01-25 00:30:00", "2024-01-24 00:30:00"), "slow": ("2024-01-10 00:30:00", "2024-01-08 00:30:00")}
+
+
+def stream_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed hits and skipped lines of a slow and a fast source in one stream, each with its own mark, in two steps."""
+    folder = shared_folder(spark, "stream-sources")
+    events = table(spark, sf_dir, "events").select(*EVENT_COLUMNS)
+    for step, when in enumerate(("ts < TIMESTAMP_NTZ '{0}'", "ts >= TIMESTAMP_NTZ '{1}'")):
+        for source, times in _SLOW_AND_FAST.items():
+            lines = access_log_of(events.where(when.format(*times))).select(F.lit(source).alias("source"), "value")
+            lines.write.mode("append").parquet(f"{folder}/lines")
+        arriving = spark.readStream.schema("source string, value string").parquet(f"{folder}/lines")
+        start_by_source(arriving, f"{folder}/out", RUN_OPTIONS).awaitTermination()
+    hits = closed_bucket_points(spark, f"{folder}/out").where("measurement = 'hits'")
+    skipped = skipped_by_source(spark, f"{folder}/out")
+    none = [f"string(NULL) AS {c}" for c in ("time", *BASE_KEYS)]
+    return hits.selectExpr("source", "'hits' AS what", "time", *BASE_KEYS, "value_i AS n").union(
+        skipped.selectExpr("source", "reason AS what", *none, "lines AS n")
+    )
+
+
 def _daily_sends(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Points as sends of one day each."""
     return _points(access_log(spark, sf_dir)).withColumn("run", F.ceil(F.col("bucket") / 24))
@@ -517,6 +541,7 @@ QUERIES: dict[str, Query] = {
     "start_over_runs": start_over_runs,
     "stream_closed_buckets": stream_closed_buckets,
     "stream_runs": streamed_runs,
+    "stream_sources": stream_sources,
     "outbox_retain": outbox_retain,
     "outbox_replay": outbox_replay,
     "run_stats": run_stats,

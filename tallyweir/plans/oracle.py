@@ -370,6 +370,32 @@ SELECT source, reason, CAST(count(*) AS BIGINT) AS lines FROM (
 """
 
 
+# Lines of two steps by two sources; those of the second step in buckets that the first has closed are late.
+_SOURCES = f"""
+times(name, until, since) AS (
+  VALUES ('fast', TIMESTAMP '2024-01-25 00:30:00', TIMESTAMP '2024-01-24 00:30:00'),
+         ('slow', TIMESTAMP '2024-01-10 00:30:00', TIMESTAMP '2024-01-08 00:30:00')
+),
+arrived AS (
+  SELECT p.event_id, p.reason, CAST(ceil(p.msec / {_DURATION}) AS BIGINT) AS b, t.name, step
+  FROM parsed p JOIN events e USING (event_id), times t, (VALUES (1), (2)) AS steps(step)
+  WHERE CASE step WHEN 1 THEN e.ts < t.until ELSE e.ts >= t.since END
+),
+closed AS (SELECT name, max(b) - {_LOOKBACK} AS first FROM arrived WHERE step = 1 AND reason IS NULL GROUP BY name),
+told AS (
+  SELECT a.*, c.first, CASE WHEN reason IN ('bad_version', 'bad_msec') OR step = 1 THEN reason WHEN b <= c.first THEN 'late' ELSE reason END AS what
+  FROM arrived a LEFT JOIN closed c USING (name)
+),
+ended AS (SELECT name, max(b) - {_LOOKBACK} AS last FROM told WHERE what IS NULL GROUP BY name)
+"""
+_SOURCE_COUNTS = f"""
+SELECT name AS source, 'hits' AS what, {time_text("bucket")} AS time, vhost, protocol, loctag, count(*) AS n
+FROM told JOIN ended USING (name) JOIN requests USING (event_id) WHERE what IS NULL AND b <= last GROUP BY ALL
+UNION ALL
+SELECT name, what, NULL, NULL, NULL, NULL, count(*) FROM told WHERE what IS NOT NULL GROUP BY ALL
+"""
+
+
 def oracle_statements() -> dict[str, str]:
     hour = time_text("bucket")
     statements = {name: metric_sql(name) for name in METRIC_SQL}
@@ -502,6 +528,7 @@ def oracle_statements() -> dict[str, str]:
     statements["rotated_runs"] = statements["growing_log"] = by_host
     statements["torn_lines"] = by_host.replace("CASE WHEN event_id % 97 = 0 THEN '2' ELSE '1' END,", "'1',")
     statements["wide_numbers"] = _WIDE_NUMBERS
+    statements["stream_sources"] = with_log(_SOURCE_COUNTS, more=_SOURCES)
     statements["field_texts"] = _FIELD_TEXTS
     statements["stream_rejects"] = statements["run_rejects"] = with_log("SELECT source, value AS line, reason FROM parsed WHERE reason IS NOT NULL")
     statements["increment_late"] = with_log(_LATE_COUNTS, more=_LATE)

@@ -73,7 +73,7 @@ def start_closed_buckets(
         raise ValueError(f"not for this form of stream: {', '.join(name for name, used in other.items() if used)}")
     spark = lines.sparkSession
     folder = folder.rstrip("/")
-    _pin_options(spark, f"{folder}/options", options)
+    pin_options(spark, f"{folder}/options", options)
 
     def publish(batch: DataFrame, batch_id: int) -> None:
         # written first: the points read the partials more than once
@@ -93,7 +93,7 @@ def start_closed_buckets(
         .option("checkpointLocation", f"{folder}/checkpoint")
     )
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
-    with _state_on_disk(spark):
+    with state_on_disk(spark):
         return writer.start()
 
 
@@ -103,7 +103,7 @@ def closed_bucket_points(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @contextmanager
-def _state_on_disk(spark: SparkSession) -> Iterator[None]:
+def state_on_disk(spark: SparkSession) -> Iterator[None]:
     """Start a query with the state store that spills to disk, unless the session chose one."""
     if spark.conf.get(_STATE_STORE, None) not in (None, "") and "HDFSBacked" not in spark.conf.get(_STATE_STORE):
         yield
@@ -119,7 +119,7 @@ def _state_on_disk(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(_STATE_STORE, before)
 
 
-def _pin_options(spark: SparkSession, path: str, options: RunOptions) -> None:
+def pin_options(spark: SparkSession, path: str, options: RunOptions) -> None:
     """Keep the options beside the checkpoint and refuse others: its state was built with them."""
     try:
         pinned = json.loads(spark.read.text(path).head()["value"])
