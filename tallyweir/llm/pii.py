@@ -58,6 +58,16 @@ FORMS = {
     "number": r"(?<!\w)[0-9]{9,19}(?![0-9])",
 }
 _ANY = re.compile("|".join(f"(?P<{kind}>{form})" for kind, form in FORMS.items()))
+# Words before an unmarked number that tell that it belongs to a person, and before one that is no address.
+_CUE = re.compile(
+    r"(?<![^\W_])(?:phone|telephone|tel|mobile|cell|fax|call|account|acct|iban|card|ssn|social security|passport|licen[cs]e|insurance|tax|patient|customer|member|national id|id card"
+    r"|telefon|handy|mobil|konto|kontonummer|ausweis|steuer|versicherung|kunde|kundennummer|t[eé]l[eé]phone|portable|compte|passeport|carte|s[eé]curit[eé] sociale"
+    r"|tel[eé]fono|m[oó]vil|cuenta|pasaporte|tarjeta|dni|nie|nif)(?![^\W_])(?:[\s.:#=]|(?:no|nr|num|number|nummer|num[eé]ro|n[uú]mero|is|ist|est|es|at|unter|au|al|de|du|der)(?![^\W_])|n?[°º])*$",
+    re.IGNORECASE,
+)
+_CUE_REACH = 60
+_CARD_DIGITS = 16
+_VERSION = re.compile(r"(?<![^\W_])(?:version|versi[oó]n|ver|v|release|build|firmware|section|§)[\s.:#]*$", re.IGNORECASE)
 # No value of any form is without one of these.
 _HINT = re.compile(r"[0-9@]")
 
@@ -191,10 +201,12 @@ class Pseudonyms:
                     out[i] = c
         return "".join(out)
 
-    def _ip(self, text: str, _) -> str | None:
+    def _ip(self, text: str, match: re.Match) -> str | None:
         parts = [int(p) for p in text.split(".")]
         if max(parts) > 255 or text != ".".join(map(str, parts)):
             return None
+        if _VERSION.search(match.string, max(0, match.start() - _CUE_REACH), match.start()):
+            return None
         moved = self.other(int.from_bytes(bytes(parts), "big"), 1 << 32, "ip")
         return ".".join(map(str, moved.to_bytes(4, "big")))
 
@@ -243,8 +255,13 @@ class Pseudonyms:
         digits = re.sub(r"[ -]", "", text)
         return fill(text, self._checked(digits)) if luhn(digits) == 0 else None
 
-    def _number(self, text: str, _) -> str:
-        return self._checked(text) if len(text) >= 12 and luhn(text) == 0 else self.moved(text, DIGITS, "number")
+    def _number(self, text: str, match: re.Match) -> str | None:
+        if len(text) >= 12 and luhn(text) == 0:
+            return self._checked(text)
+        # a time, an order or a book has such numbers, too: only what is said to be personal is, and what is as long as
+        # the number of a card, whether or not it was copied right
+        personal = len(text) == _CARD_DIGITS
+        return self.moved(text, DIGITS, "number") if personal or _CUE.search(match.string, max(0, match.start() - _CUE_REACH), match.start()) else None
 
     def _checked(self, digits: str) -> str:
         """A number that ends in its Luhn check digit."""

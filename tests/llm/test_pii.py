@@ -34,7 +34,7 @@ VALUES = {
     "ssn": ["123-45-6789"],
     "phone": ["+1 (017) 555-7713", "+49 30 1234567", "(212) 555-0199", "212-555-0199", "+4915112345678"],
     "card": ["4111 1111 1111 1111", "3782-822463-10005"],
-    "number": ["9807915762804490", with_check("555555555555444"), "123456789"],
+    "number": ["9807915762804490", with_check("555555555555444"), with_check("98765432109")],
 }
 
 
@@ -83,6 +83,20 @@ def test_other_grouped_numbers_stay(text):
     assert P.replaced(text) == (text, [])
 
 
+@pytest.mark.parametrize("text", ["at 1700000000 s", "ISBN 9783161484101", "order 123456789012", "Version 1.2.3.4", "v. 10.0.0.1 of it", "411111111111112", "a phone costs 123456789"])
+def test_unmarked_numbers_stay(text):
+    assert P.replaced(text) == (text, [])
+
+
+@pytest.mark.parametrize("cue", ["Phone: ", "account no. ", "Kontonummer ist ", "téléphone : ", "DNI ", "passport number #", "cuenta nº ", "TEL="])
+def test_numbers_with_a_cue_are_moved(cue):
+    for number in ("123456789", "1700000000", "4111111111111112"):
+        out, found = P.replaced(f"His {cue}{number}, and so on")
+        assert [f.kind for f in found] == ["number"] and number not in out and out.startswith(f"His {cue}")
+        # the same value stays linked
+        assert P.replaced(f"{cue}{number}")[1][0].pseudonym == found[0].pseudonym
+
+
 def test_dates_are_permuted():
     days = [dt.date(1990, 1, 1) + dt.timedelta(i) for i in range(3000)]
     for form in ("%Y-%m-%d", "%d.%m.%Y", "%m/%d/%Y"):
@@ -131,6 +145,11 @@ def test_query_leaves_no_value_and_other_text_alone(spark):
         touched += bool(values)
         if not re.search(r"[0-9@]", text):
             assert r.text == text and r.n_found == 0
+        # found apart: by plain forms, each checked on its own
+        values = re.findall(r"[\w.+-]+@[\w-]+(?:\.[\w-]+)+|\+1 \([0-9]{3}\) [0-9]{3}-[0-9]{4}|(?<![0-9A-Za-z])[0-9a-f]{32,128}(?![0-9A-Za-z])", text)
+        values += re.findall(r"(?<!\w)[0-9]{16}(?![0-9])", text)
+        values += [v for v in re.findall(r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])", text) if max(map(int, v.split("."))) < 256]
+        assert r.n_found == len(values), text
         if hidden.random() < 0.2:
             assert r.text == pseudonyms.replaced(text)[0]
     assert not docs and touched > 20
