@@ -1,6 +1,6 @@
 """Near-duplicate documents by DartMinHash signatures.
 
-A document is a weighted set of shingles.  Darts are thrown at the plane of weight and rank of every
+A document is a set of shingles, each weighted by how often it occurs.  Darts are thrown at the plane of weight and rank of every
 element, the same ones wherever the element occurs; those that land below the element's weight count, and
 the dart of the lowest rank per coordinate is the signature's value there.  Runs of coordinates form bands,
 documents that agree in a band are candidates, and candidates are compared exactly.
@@ -72,18 +72,27 @@ def dart_signatures(elements: np.ndarray, weights: np.ndarray, counts: np.ndarra
     return dart_of.reshape(len(counts), k)
 
 
-def distinct_elements(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct values of every run, sorted, and how many each run has."""
+def distinct_elements(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct values of every run, sorted, how often each occurs, and how many each run has."""
     owner = np.repeat(np.arange(len(counts)), counts)
     order = np.lexsort((hashes, owner))
     hashes, owner = hashes[order], owner[order]
     first = np.ones(len(hashes), dtype=bool)
     first[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
-    return hashes[first], np.bincount(owner[first], minlength=len(counts))
+    times = np.diff(np.append(np.flatnonzero(first), len(first)))
+    return hashes[first], times, np.bincount(owner[first], minlength=len(counts))
 
 
-def _sets(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct shingles of texts, how many each has, and two hashes that tell different word sequences apart."""
+def occurrences(elements: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """An element of its own for each time that one occurs, so that what weighted sets share can be counted."""
+    with np.errstate(over="ignore"):
+        again = ranges(times).astype(np.uint64)
+        return np.where(again > 0, mixed(np.repeat(elements, times) + again * np.uint64(0x9FB21C651E98DF25)), np.repeat(elements, times))
+
+
+def _sets(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct shingles of texts, how often each occurs, how many distinct ones and how many in all each text has, and
+    two hashes that tell different word sequences apart."""
     hashes, counts = shingle_hashes(texts, WORDS)
     ends = np.cumsum(counts)
     with np.errstate(over="ignore"):
@@ -92,7 +101,7 @@ def _sets(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         for salt in (np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)):
             sums = np.append(np.uint64(0), np.cumsum(mixed(hashes ^ mixed(place + salt)), dtype=np.uint64))
             keys.append(sums[ends] - sums[ends - counts])
-    return *distinct_elements(hashes, counts), np.stack(keys, axis=1).view(np.int64)
+    return *distinct_elements(hashes, counts), counts, np.stack(keys, axis=1).view(np.int64)
 
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,8 +109,8 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = ["" if t is None else t for t in batch.column(1).to_pylist()]
         for low, high in slices(texts, most=256):
-            elements, counts, keys = _sets(texts[low:high])
-            signature = dart_signatures(elements, np.ones(len(elements)), counts, k).reshape(-1, BANDS, BAND_COORDINATES)
+            elements, times, distinct, counts, keys = _sets(texts[low:high])
+            signature = dart_signatures(elements, times.astype(np.float64), distinct, k).reshape(-1, BANDS, BAND_COORDINATES)
             with np.errstate(over="ignore"):
                 band = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), signature.shape[:2])
                 for i in range(BAND_COORDINATES):
@@ -117,18 +126,18 @@ def _shingled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         texts = ["" if t is None else t for t in batch["text"]]
         for low, high in slices(texts):
-            elements, counts, keys = _sets(texts[low:high])
-            own = np.split(elements.view(np.int64), np.cumsum(counts)[:-1])
+            elements, times, _, counts, keys = _sets(texts[low:high])
+            own = np.split(occurrences(elements, times).view(np.int64), np.cumsum(counts)[:-1])
             yield pd.DataFrame({"k1": keys[:, 0], "k2": keys[:, 1], "shingles": own})
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per document (``doc_id``, ``text``): ``doc_id``, ``k1``, ``k2``, ``group_id``, ``kept``.
 
-    Two documents are linked if they have the same words, or if their sets of five-word shingles have a
-    Jaccard similarity of ``SIMILARITY`` or more; groups are what links connect.  ``group_id`` is the
+    Two documents are linked if they have the same words, or if their five-word shingles, weighted by how often
+    each occurs, have a Jaccard similarity of ``SIMILARITY`` or more; groups are what links connect.  ``group_id`` is the
     smallest ``doc_id`` of the group, and that document is kept.  A text of fewer than five words has one
-    shingle.  Texts without words, null ones too, are linked with nothing: ``group_id`` is their own id and
+    shingle; very long ones are read whole.  Texts without words, null ones too, are linked with nothing: ``group_id`` is their own id and
     all are kept.  Every row is returned: a ``doc_id`` with several texts is as many documents, rows that
     repeat both are one.  Null ids come last; a group without any id has a null ``group_id`` and keeps one
     text.  An empty table gives no rows; other columns are ignored.  ``k1``, ``k2`` tell word sequences apart.
@@ -266,5 +275,5 @@ def deduplicated(docs: DataFrame) -> DataFrame:
 def _text_keys(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         texts = ["" if t is None else t for t in batch]
-        keys = [_sets(texts[low:high])[2] for low, high in slices(texts)]
+        keys = [_sets(texts[low:high])[-1] for low, high in slices(texts)]
         yield pd.DataFrame(np.concatenate(keys), columns=["k1", "k2"])

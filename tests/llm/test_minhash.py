@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -14,7 +15,7 @@ from tallyweir.llm.shared import mixed, word_hashes
 
 def shingles(text):
     words = re.findall(r"[a-z0-9\x80-\U0010ffff]+", (text or "").lower())
-    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+    return Counter(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if words else Counter()
 
 
 def brute_force(texts):
@@ -30,7 +31,7 @@ def brute_force(texts):
     for i, a in enumerate(sets):
         for j in range(i):
             b = sets[j]
-            if a and b and min(len(a), len(b)) >= SIMILARITY * max(len(a), len(b)) and len(a & b) >= SIMILARITY * len(a | b):
+            if a and b and min(a.total(), b.total()) >= SIMILARITY * max(a.total(), b.total()) and (a & b).total() >= SIMILARITY * (a | b).total():
                 x, y = find(i), find(j)
                 parent[max(x, y)] = min(x, y)
     return [find(i) for i in range(len(texts))]
@@ -53,6 +54,8 @@ def family_texts(seed=5):
     passage = " ".join(word() for _ in range(60))
     texts += [passage + " " + " ".join(word() for _ in range(rng.randrange(20, 90))) for _ in range(30)]
     texts += [texts[0]] * 20 + [texts[0].upper() + "!"] + [" ".join(word() for _ in range(50)) for _ in range(20)]
+    refrain = " ".join(word() for _ in range(30))
+    texts += [" ".join([refrain] * n + [word()]) for n in (1, 2, 5, 6, 7, 12)]
     texts += ["one two", "One, two.", "one two three", "", "...", "x " * 20000]
     return texts
 
@@ -95,7 +98,7 @@ def test_groups_equal_brute_force(spark, seed):
 
 def word_shingles(text):
     words = re.findall(r"[^\W_]+", text.lower())
-    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+    return Counter(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if words else Counter()
 
 
 def typographic_texts():
