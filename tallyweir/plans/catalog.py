@@ -391,6 +391,18 @@ def run_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.rejects().select("source", F.col("value").alias("line"), "reason")
 
 
+def merged_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points of three runs, those of the first two merged by day, the others fresh."""
+    events = table(spark, sf_dir, "events")
+    runs = MetricsRuns(spark, shared_folder(spark, "runs"), RUN_OPTIONS)
+    times = ["2024-01-08 00:30:00", "2024-01-16 00:30:00", "9999-01-01 00:00:00"]
+    for since, until in zip(["0001-01-01 00:00:00", *times], times):
+        runs.run(access_log_of(events.where(f"ts >= TIMESTAMP_NTZ '{since}' AND ts < TIMESTAMP_NTZ '{until}'")))
+        if until != times[-1]:
+            runs.merge_points()
+    return _published(runs.points())
+
+
 def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rejected lines that runs driven by a stream of files keep."""
     folder = shared_folder(spark, "stream-rejects")
@@ -538,6 +550,7 @@ QUERIES: dict[str, Query] = {
     "torn_lines": torn_lines,
     "run_rejects": run_rejects,
     "stream_rejects": stream_rejects,
+    "merged_points": merged_points,
     "start_over_runs": start_over_runs,
     "stream_closed_buckets": stream_closed_buckets,
     "stream_runs": streamed_runs,

@@ -493,6 +493,7 @@ def oracle_statements() -> dict[str, str]:
         where=f"bucket <= (SELECT max(bucket) - {_LOOKBACK} FROM requests)",
     )
     statements["increment_two_runs"] = closed_points
+    statements["merged_points"] = closed_points
     statements["start_over_runs"] = closed_points
     statements["stream_closed_buckets"] = closed_points
     statements["stream_runs"] = closed_points

@@ -34,6 +34,7 @@ from tallyweir.operators.runstats import RunStats, stats_frame
 from tallyweir.options import RunOptions, StateMismatch
 from tallyweir.sources.follow import FILES_SCHEMA, LogFiles, follow
 from tallyweir.sources.logs import POSITIONS_SCHEMA, advanced, has_place, next_blocks, take_blocks
+from tallyweir.sources.points_table import PointsTable
 from tallyweir.sources.sinks import write_points
 
 log = logging.getLogger(__name__)
@@ -87,6 +88,7 @@ class MetricsRuns:
         self.options = options or RunOptions()
         self.sink = sink
         self.stats_sink = stats_sink
+        self.published = PointsTable(spark, f"{self.folder}/points")
         self.checkpoint: str | None = None
         newest = self._newest_commit()
         self.epoch = 0 if newest is None else newest.epoch + start_over
@@ -150,7 +152,25 @@ class MetricsRuns:
 
     def points(self, *run_ids: int) -> DataFrame:
         """Published points of the given runs of this epoch, or of all of them."""
-        return self._points_in([f"state={self.epoch}/run={i}" for i in run_ids] or [f"state={self.epoch}"])
+        through = self.published.through(self.epoch)
+        if run_ids and min(run_ids) > through:
+            return self._points_in([f"state={self.epoch}/run={i}" for i in run_ids])
+        points = self.published.read(self.epoch)
+        return points.where(F.col("run").isin(list(run_ids))) if run_ids else points
+
+    def points_between(self, since: int, until: int) -> DataFrame:
+        """Published points of this epoch from one second on and before another; only their days are opened."""
+        return self.published.read(self.epoch, since, until)
+
+    def merge_points(self) -> None:
+        """Merge the points of finished runs into few files per day.  Runs that are still owed stay as they are."""
+        last = self.last_commit()
+        if last is None:
+            return
+        owed = [int(name.split("run=")[1]) for name in last.undelivered if name.startswith(f"state={self.epoch}/")]
+        through = min([last.run_id, *(i - 1 for i in owed)])
+        if through > self.published.through(self.epoch):
+            self.published.merge(self.epoch, through)
 
     def _points_in(self, folders: list[str]) -> DataFrame:
         # only these folders are listed, however many runs there have been
