@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from functools import partial
 
@@ -17,7 +18,7 @@ from tallyweir.operators.outbox import replayed, retained
 from tallyweir.operators.partials import CONTACT_SUMS, REQUEST, partial_metrics, skip_counts, sums_of
 from tallyweir.operators.points import POINT_VALUE, points_from_partials, static_tags, tags_from, to_lines, with_tags
 from tallyweir.operators.requests import accepted, parse_lines, rejected
-from tallyweir.operators.runstats import stats_frame, stats_lines
+from tallyweir.operators.runstats import STATS_SCHEMA, stats_frame, stats_lines
 from tallyweir.options import RunOptions
 from tallyweir.plans.inputs import (
     BUCKET_DURATION,
@@ -444,6 +445,20 @@ def stream_closed_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _published(closed_bucket_points(spark, folder))
 
 
+def stream_run_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the micro-batches of the watermark form tell of their lines, as statistics; they come beside the stream."""
+    folder, seen = shared_folder(spark, "stream-stats"), []
+    stream = start_closed_buckets(_event_stream(spark, sf_dir), folder, RUN_OPTIONS, stats_sink=lambda frame: seen.append(frame.collect()[0]))
+    stream.awaitTermination()
+    batches = sum(p.observedMetrics.get("lines") is not None for p in stream.recentProgress)
+    for _ in range(300):
+        if len(seen) >= batches:
+            break
+        time.sleep(0.1)
+    stats = spark.createDataFrame(seen, STATS_SCHEMA)
+    return stats.agg(F.sum("parsed_lines").alias("parsed_lines"), F.sum("skipped_lines").alias("skipped_lines"))
+
+
 def streamed_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Points of incremental runs driven by a stream of files."""
     folder = shared_folder(spark, "stream-runs")
@@ -553,6 +568,7 @@ QUERIES: dict[str, Query] = {
     "merged_points": merged_points,
     "start_over_runs": start_over_runs,
     "stream_closed_buckets": stream_closed_buckets,
+    "stream_run_stats": stream_run_stats,
     "stream_runs": streamed_runs,
     "stream_sources": stream_sources,
     "outbox_retain": outbox_retain,

@@ -514,6 +514,9 @@ def oracle_statements() -> dict[str, str]:
         "count(*) AS sent_points, CAST(0 AS BIGINT) AS resent_points FROM points",
         where=f"bucket <= (SELECT max(bucket) - {_LOOKBACK} FROM requests)",
     )
+    statements["stream_run_stats"] = with_log(
+        "SELECT count(*) AS parsed_lines, count(*) FILTER (reason IS NOT NULL) AS skipped_lines FROM parsed"
+    )
     statements["run_stats_line"] = points_sql(
         "SELECT 'run_stats,host=web1 parsed_lines=' || (SELECT count(*) FROM parsed) || 'i,sent_points=' || count(*) "
         "|| 'i,skipped_lines=' || (SELECT count(*) FROM parsed WHERE reason IS NOT NULL) || 'i ' "

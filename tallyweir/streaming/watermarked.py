@@ -9,20 +9,26 @@ lose lines to a fast one, use ``runs``, which keeps a mark per source.
 from __future__ import annotations
 
 import json
+import logging
+import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from datetime import datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tallyweir.functions.buckets import bucket_end
 from tallyweir.operators.partials import PARTIAL_KEYS, SUMS, contributions_of, sums_of, with_source
 from tallyweir.operators.points import POINT_SCHEMA, points_from_partials
 from tallyweir.operators.requests import parse_lines
+from tallyweir.operators.runstats import RunStats, stats_frame
 from tallyweir.options import RunOptions
 from tallyweir.sources.sinks import write_points
 
+log = logging.getLogger(__name__)
+
 _STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 _ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -61,9 +67,13 @@ def start_closed_buckets(
     options: RunOptions,
     sink: Callable[[DataFrame, int], None] | None = None,
     every: str | None = None,
+    stats_sink: Callable[[DataFrame], None] | None = None,
 ) -> StreamingQuery:
     """Publish the points of closed buckets to ``folder/points/batch=N`` and to ``sink``.
 
+    ``stats_sink`` gets the statistics of each micro-batch as a frame of one row, as from runs; it is called when
+    the batch is done, on the driver and beside the stream, so it may come a little later.
+
     A micro-batch is written under its own number, so a repeated batch replaces
     its first attempt.  Without ``every`` the stream takes what is there and ends.
     Options that only ``MetricsRuns`` knows are refused.
@@ -86,9 +96,13 @@ def start_closed_buckets(
         if sink is not None:
             sink(batch.sparkSession.read.schema(POINT_SCHEMA).parquet(target), batch_id)
 
+    name = f"closed-buckets-{uuid.uuid4().hex}"
+    if stats_sink is not None:
+        spark.streams.addListener(BatchStats(spark, name, stats_sink))
     writer = (
         closed_bucket_stream(lines, options)
         .writeStream.outputMode("append")
+        .queryName(name)
         .foreachBatch(publish)
         .option("checkpointLocation", f"{folder}/checkpoint")
     )
@@ -97,6 +111,37 @@ def start_closed_buckets(
         return writer.start()
 
 
+class BatchStats(StreamingQueryListener):
+    """Sends the statistics of the micro-batches of one stream, from what it has observed, until it ends."""
+
+    def __init__(self, spark: SparkSession, name: str, send: Callable[[DataFrame], None]) -> None:
+        self.spark, self.name, self.send, self.own = spark, name, send, None
+
+    def onQueryStarted(self, event) -> None:
+        if event.name == self.name:
+            self.own = event.runId
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        seen = progress.observedMetrics.get("lines")
+        if progress.name != self.name or seen is None:
+            return
+        ended = datetime.fromisoformat(progress.timestamp.replace("Z", "+00:00")).timestamp() + progress.batchDuration / 1000
+        seconds, parsing = progress.batchDuration / 1000, progress.durationMs.get("addBatch", 0) / 1000
+        stats = RunStats.measured(progress.batchId, ended, seconds, parsing, seen["parsed_lines"], seen["skipped_lines"], 0, 0)
+        try:
+            self.send(stats_frame(self.spark, stats))
+        except Exception as error:  # whatever the caller's sink raises, the stream goes on
+            log.warning("statistics not delivered: %s", error)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        if event.runId == self.own:
+            self.spark.streams.removeListener(self)
+
+
 def closed_bucket_points(spark: SparkSession, folder: str) -> DataFrame:
     """All points published to ``folder`` so far, with the number of their ``batch``."""
     return spark.read.schema(f"{POINT_SCHEMA}, batch bigint").parquet(f"{folder.rstrip('/')}/points")
