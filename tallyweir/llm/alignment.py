@@ -21,9 +21,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from tallyweir.llm.bitmaps import BLOCK_DOCS, added_up, members, planes
 from tallyweir.llm.bpe import PATTERN, byte_letters, cut
+from tallyweir.llm.packing import Known
 from tallyweir.llm.shared import kept, ranges, slices, stored
 
-KNOWN_CHUNKS = 250_000
+KNOWN_CHUNKS = 300_000
+KNOWN_WORDS = 150_000
 #: Characters of remembered chunks at most, as chunks may be long.
 KNOWN_CHARS = 16_000_000
 #: Postings that a block holds at most, about; a document is never divided.
@@ -49,10 +51,18 @@ class _Bytes:
         self.sizes = np.zeros(1 + max(vocabulary.values()), dtype=np.int64)
         for piece, i in vocabulary.items():
             self.sizes[i] = len(piece)
-        self.words: dict[str, list[int]] = {}
+        self.words = Known(self._word)
 
-    def ids(self, chunk: str) -> list[int]:
-        return [t.id for word in self.find(chunk) for t in self.merge(word.encode("utf-8", "replace").decode("latin-1").translate(self.letters))]
+    def _word(self, word: str) -> list[int]:
+        return [t.id for t in self.merge(word.encode("utf-8", "replace").decode("latin-1").translate(self.letters))]
+
+    def ids(self, chunks: list[str]) -> list[list[int]]:
+        """Ids of chunks with the space before each; chunks share most of their words."""
+        if len(self.words) > KNOWN_WORDS:
+            self.words.clear()
+        look = self.words.__getitem__
+        words = [self.find(" " + chunk) for chunk in chunks]
+        return [look(own[0]) if len(own) == 1 else [*chain.from_iterable(map(look, own))] for own in words]
 
 
 class _Pieces:
@@ -96,13 +106,28 @@ class Aligner:
         self.sizes = np.zeros(0, dtype=np.int64)
         self.pairs = np.zeros(0, dtype=np.int64)
         self.times = np.zeros(0, dtype=np.int64)
+        self.used = np.zeros(0, dtype=np.int64)
+
+    def forget_rare(self) -> None:
+        """Forget the chunks that were not met again."""
+        keep = self.used > 1
+        if 2 * keep.sum() > self.limit or self.chars > KNOWN_CHARS:
+            self.forget()
+            return
+        number = (np.cumsum(keep) - 1).tolist()
+        self.numbers = {c: number[i] for (c, i), kept in zip(self.numbers.items(), keep.tolist()) if kept}
+        self.chars = sum(map(len, self.numbers))
+        self.groups = [g for g, kept in zip(self.groups, keep.tolist()) if kept]
+        own = np.repeat(keep, self.sizes)
+        self.facts, self.sizes, self.pairs, self.times = self.facts[keep], self.sizes[keep], self.pairs[own], self.times[own]
+        self.used = np.zeros(len(self.groups), dtype=np.int64)
 
     def learn(self, chunks: set[str]) -> None:
         new = [c for c in chunks if c not in self.numbers]
         if new:
             if len(self.numbers) + len(new) > self.limit or self.chars > KNOWN_CHARS:
-                self.forget()
-                new = list(chunks)
+                self.forget_rare()
+                new = [c for c in chunks if c not in self.numbers]
             for low, high in slices(new, 200_000):
                 self._learn(new[low:high])
 
@@ -110,7 +135,7 @@ class Aligner:
         first = len(self.numbers)
         self.numbers.update(zip(new, range(first, first + len(new))))
         self.chars += sum(map(len, new))
-        a, b = [self.a.ids(" " + c) for c in new], self.b.ids(new)
+        a, b = self.a.ids(new), self.b.ids(new)
         # pieces of unknown characters or of a mark that stands for a space have other bytes than the text
         same = [b"".join(map(self.b.bytes.__getitem__, own)) == (" " + c).encode("utf-8", "replace") for c, own in zip(new, b)]
         found = [(own if ok else [], other if ok else []) for own, other, ok in zip(a, b, same)]
@@ -127,6 +152,7 @@ class Aligner:
         facts = np.stack([np.array(same), n_a, n_b, np.bincount(chunk, minlength=len(new)), np.zeros(len(new), dtype=np.int64)], axis=1)
         np.add.at(facts[:, 4], chunk, in_a * in_b)
         self.facts = np.concatenate([self.facts, facts])
+        self.used = np.append(self.used, np.zeros(len(new), dtype=np.int64))
         self.groups += self._texts(a, a_group, b, b_group, chunk, len(new))
         pairs, times, of = self._links(a, a_group, b, b_group, in_a, in_b)
         # the same pair within a chunk is one entry
@@ -222,6 +248,7 @@ def _aligned(aligner: Aligner, texts: list[str], first_doc: int) -> tuple[np.nda
     counts = np.array([len(c) for c in chunks], dtype=np.int64)
     of = np.repeat(np.arange(len(texts)), counts)
     numbers = np.fromiter(map(aligner.numbers.__getitem__, chain.from_iterable(chunks)), np.int64, len(of))
+    aligner.used += np.bincount(numbers, minlength=len(aligner.used))
     bad = np.zeros(len(texts), dtype=bool)
     bad[of[aligner.facts[numbers, 0] == 0]] = True
     good = ~bad[of]
