@@ -6,13 +6,15 @@ to them goes down to the last word: the size of an equal partition is the count
 cannot hold a frequent phrase are abandoned.  Only the phrases at the two ends of a range may go on in the next one;
 these are added up.
 
-Suffixes are cut short before words and pairs that are infrequent in all texts.  That is known from counts of hashes,
-kept as two bitmaps of fixed size: when hashes agree by chance some suffixes are longer than needed, never shorter.
+Suffixes are cut short before words and pairs that are infrequent in all texts.  That is known from counts by places
+of hashes, pairs being counted of what the words left, and kept as bitmaps of fixed size: when places agree by chance
+some suffixes are longer than needed, never shorter.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +23,7 @@ import xxhash
 from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
-from tallyweir.llm.shared import mixed, stored
+from tallyweir.llm.shared import mixed, powers, ranges, stored
 
 LONGEST = 4
 LEAST = 30
@@ -29,183 +31,257 @@ SHARE = 80
 TOP = 2000
 #: Bits of each bitmap of frequent hashes; a larger corpus makes them fuller, not larger.
 FILTER_BITS = 1 << 26
+#: Lengths of phrases, from one word on, that suffixes are cut short by.
+FILTERS = 2
+#: Bits that are counted together.
+PART_BITS = 1 << 15
+#: Suffixes that a task adds up before it writes them.
+SUFFIX_ROWS = 3_000_000
 #: Suffixes that one range holds at most, about.
 RANGE_ROWS = 500_000
-SLICE_WORDS = 2_000_000
-KNOWN_WORDS = 400_000
+#: Bytes of texts that are looked at together.
+SLICE_BYTES = 2_000_000
 NO_LANG = "und"
 # Ends every word of a suffix; cannot be in a word.
 _END = "\n"
 # Lower-cases A-Z, makes tabs spaces and all ends of pieces line feeds.
 _BYTES = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\x0b\x0c\x0d", b"abcdefghijklmnopqrstuvwxyz " + b"\n" * 9)
 _SALT = np.uint64(0x9E3779B97F4A7C15)
+_BASE = np.uint64(0xD6E8FEB86659FD93)
+_BASE_INVERSE = np.uint64(pow(0xD6E8FEB86659FD93, -1, 1 << 64))
 
 
-class _Words(dict):
-    """Numbers of the words of a language; ``all`` has every word by its number, 0 stands for the end of a piece."""
+class _Words(NamedTuple):
+    """The words of some texts: hashes by position, 0 where a piece ends, and each word's position, bytes and language."""
 
-    def __init__(self, every: list[tuple[str, bytes]], lang: str):
-        super().__init__({b"\n": 0, b"": -1})
-        self.every, self.lang = every, lang
+    hashes: np.ndarray
+    at: np.ndarray
+    data: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+    lang: np.ndarray
+    langs: list[str]
 
-    def __missing__(self, word: bytes) -> int:
-        number = self[word] = len(self.every)
-        self.every.append((self.lang, word))
-        return number
 
-
-class _Hashes:
-    """Hashes of a growing list of words with their languages."""
-
-    def __init__(self):
-        self.done = np.zeros(0, dtype=np.uint64)
-
-    def of(self, words: list[tuple[str, bytes]]) -> np.ndarray:
-        new = words[len(self.done) :]
-        seeds = {lang: xxhash.xxh64_intdigest(lang.encode("utf-8", "replace")) for lang in {lang for lang, _ in new}}
-        added = np.fromiter((xxhash.xxh64_intdigest(word, seeds[lang]) for lang, word in new), np.uint64, len(new))
-        self.done = np.append(self.done, added)
-        return self.done
-
-
-def _sliced(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, list[tuple[str, bytes]], bool]]:
-    """Numbers of the words of whole texts in order, 0 after each piece, all words by number, and whether numbers start anew."""
-    every: list[tuple[str, bytes]] = [("", b"")]
-    by_lang: dict[str, _Words] = {}
-    parts, size, anew = [], 0, True
+def _chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list[bytes], list[str]]]:
+    """Texts in pieces of bytes, cut only between pieces, about ``SLICE_BYTES`` at once, with their languages."""
+    texts, langs, size = [], [], 0
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            data = (text or b"").translate(_BYTES).replace(b"\n", b" \n ").split(b" ")
-            data.append(b"\n")
-            if lang not in by_lang:
-                by_lang[lang] = _Words(every, lang)
-            numbers = np.fromiter(map(by_lang[lang].__getitem__, data), np.int64, len(data))
-            parts.append(numbers[numbers >= 0])
-            size += len(parts[-1])
-            if size > SLICE_WORDS:
-                yield np.concatenate(parts), every, anew
-                parts, size, anew = [], 0, len(every) > KNOWN_WORDS
-                if anew:
-                    every, by_lang = [("", b"")], {}
-    if parts:
-        yield np.concatenate(parts), every, anew
-
-
-def _set(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    place = hashes % np.uint64(len(bits) * 8)
-    return bits[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8) & 1 == 1
-
-
-def _pair_hashes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+            data, start = (text or b"").translate(_BYTES), 0
+            while start < len(data):
+                room, end = SLICE_BYTES - size, len(data)
+                if start + room < len(data):
+                    cut = data.rfind(b"\n", start, start + room)
+                    # a text that does not fit goes on in the next slice; a piece alone may be longer than that
+                    end = cut + 1 if cut >= 0 else start if texts else (data.find(b"\n", start) + 1 or len(data))
+                if end > start:
+                    texts.append(data[start:end])
+                    langs.append(lang)
+                    size += end - start
+                start = end
+                if size >= SLICE_BYTES or start < len(data):
+                    yield texts, langs
+                    texts, langs, size = [], [], 0
+    if texts:
+        yield texts, langs
+
+
+def _words(batches: Iterable[pa.RecordBatch]) -> Iterator[_Words]:
+    """The words of whole texts, found and hashed over the bytes of many texts at once."""
+    power = inverse = np.zeros(0, dtype=np.uint64)
+    for texts, names in _chunks(batches):
+        data = np.frombuffer(b"\n" + b"\n".join(texts) + b"\n", dtype=np.uint8)
+        if len(power) < len(data):
+            power, inverse = powers(_BASE, len(data) * 5 // 4), powers(_BASE_INVERSE, len(data) * 5 // 4)
+        inside = (data != 32) & (data != 10)
+        edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+        starts, ends = edges[::2], edges[1::2]
+        langs = list(dict.fromkeys(names))
+        code = {lang: i for i, lang in enumerate(langs)}
+        text = np.searchsorted(np.cumsum([len(t) + 1 for t in texts]), starts)
+        lang = np.array([code[n] for n in names], dtype=np.int64)[text]
+        seeds = np.array([xxhash.xxh64_intdigest(n.encode("utf-8", "replace")) for n in langs], dtype=np.uint64)
+        with np.errstate(over="ignore"):
+            sums = np.zeros(len(data) + 1, dtype=np.uint64)
+            np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)], out=sums[1:])
+            own = mixed((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+        own = np.maximum(mixed(own ^ seeds[lang]), np.uint64(1))
+        line_ends = np.flatnonzero(data == 10)
+        at = np.arange(len(starts)) + np.searchsorted(line_ends, starts)
+        hashes = np.zeros(len(starts) + len(line_ends) + LONGEST, dtype=np.uint64)
+        hashes[at] = own
+        yield _Words(hashes, at, data, starts, ends, lang, langs)
+
+
+def _numbered(words: _Words) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of words by position, 0 where a piece ends, equal exactly for equal words of a language, and the first
+    word with each number."""
+    _, first, number = np.unique(words.hashes[words.at], return_index=True, return_inverse=True)
+    sizes, same = words.ends - words.starts, first[number]
+    if (words.lang == words.lang[same]).all() and (sizes == sizes[same]).all():
+        place = ranges(sizes)
+        exact = (words.data[np.repeat(words.starts, sizes) + place] == words.data[np.repeat(words.starts[same], sizes) + place]).all()
+    else:
+        exact = False
+    if not exact:
+        # different words with one hash
+        known: dict[tuple[int, bytes], int] = {}
+        each = [known.setdefault((k, words.data[a:b].tobytes()), i) for i, (k, a, b) in enumerate(zip(words.lang.tolist(), words.starts, words.ends))]
+        first, number = np.unique(each, return_inverse=True)
+    out = np.zeros(len(words.hashes), dtype=np.int64)
+    out[words.at] = number + 1
+    return out, first
+
+
+def _places(hashes: np.ndarray, at: np.ndarray, length: int, size: int) -> np.ndarray:
+    """Places in a bitmap of ``size`` bits of the phrases of ``length`` words that begin at the given positions."""
+    out = hashes[at]
     with np.errstate(over="ignore"):
-        return mixed(a * _SALT + mixed(b ^ _SALT))
+        for i in range(1, length):
+            out = mixed(out * _SALT + mixed(hashes[at + i] ^ _SALT))
+    return (out & np.uint64(size - 1)).astype(np.int32)
 
 
-def _texts(docs: DataFrame) -> DataFrame:
-    return docs.selectExpr(f"coalesce(lang, '{NO_LANG}') AS lang", "CAST(text AS BINARY) AS text")
+def _frequent(hashes: np.ndarray, bitmaps: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
+    """For each bitmap the positions where a phrase of its length may be frequent, and those of one word more.
 
+    A phrase can only be frequent if its first and its last words are, all but one.
+    """
+    at, out = np.flatnonzero(hashes), []
+    for length, bits in enumerate(bitmaps, 1):
+        place = _places(hashes, at, length, 8 * len(bits))
+        at = at[bits[place >> 3] >> (place & 7).astype(np.uint8) & 1 == 1]
+        on = np.zeros(len(hashes), dtype=bool)
+        on[at] = True
+        out.append(on)
+        at = at[on[at + 1]]
+    return out, at
 
-def word_hashes(docs: DataFrame) -> DataFrame:
-    """``h``, ``n``: hashes of words with their counts, added up by task; and ``lang``, ``n``: all its words."""
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, langs = _Hashes(), {}
-        for numbers, every, anew in _sliced(batches):
-            if anew:
-                hashes = _Hashes()
-            counts = np.bincount(numbers, minlength=len(every))[1:]
-            found = np.flatnonzero(counts)
-            yield _counts(hashes.of(every)[1:][found], counts[found])
-            codes = {lang: i for i, lang in enumerate({lang for lang, _ in every[1:]})}
-            of = np.fromiter((codes[lang] for lang, _ in every[1:]), np.int64, len(every) - 1)
-            sums = np.zeros(len(codes), dtype=np.int64)
-            np.add.at(sums, of, counts)
-            for lang, i in codes.items():
-                langs[lang] = langs.get(lang, 0) + int(sums[i])
-        if langs:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(langs)), pa.nulls(len(langs), pa.int64()), pa.array(list(langs.values()), pa.int64())], ["lang", "h", "n"]
-            )
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.selectExpr(f"coalesce(lang, '{NO_LANG}') AS lang", "CAST(text AS BINARY) AS text")
 
-    return _texts(docs).mapInArrow(counted, "lang string, h bigint, n bigint")
 
+def frequent_bits(docs: DataFrame, bitmaps: list[Broadcast], least: int, size: int = FILTER_BITS) -> np.ndarray:
+    """Bitmap of ``size`` bits: places where phrases of one word more than there are bitmaps add up to ``least``.
 
-def pair_hashes(docs: DataFrame, words: Broadcast) -> DataFrame:
-    """``h``, ``n``: hashes of pairs of frequent words with their counts, added up by task."""
+    The tasks add up and send what they have by parts of the bitmap; every part is counted in an array of fixed size,
+    whatever the number of rows.  The bitmap is all that reaches the driver.
+    """
+    length = len(bitmaps) + 1
+    parts = max(1, size // PART_BITS)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes()
-        for numbers, every, anew in _sliced(batches):
-            if anew:
-                hashes = _Hashes()
-            known = hashes.of(every)
-            frequent = _set(words.value, known)
-            frequent[0] = False
-            both = np.flatnonzero(frequent[numbers[:-1]] & frequent[numbers[1:]])
-            pairs, counts = np.unique(numbers[both] << np.int64(32) | numbers[both + 1], return_counts=True)
-            yield _counts(_pair_hashes(known[pairs >> 32], known[pairs & 0xFFFFFFFF]), counts)
-
-    return _texts(docs).mapInArrow(counted, "lang string, h bigint, n bigint")
-
-
-def _counts(hashes: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.nulls(len(hashes), pa.string()), pa.array(hashes.view(np.int64)), pa.array(counts.astype(np.int64))], ["lang", "h", "n"]
-    )
+        for words in _words(batches):
+            _, at = _frequent(words.hashes, [b.value for b in bitmaps])
+            places, counts = np.unique(_places(words.hashes, at, length, size), return_counts=True)
+            ends = np.searchsorted(places, np.arange(0, size + 1, size // parts))
+            # what reaches the least number already needs no more
+            columns = ((places & (size // parts - 1)).astype("<u2"), np.minimum(counts, least).astype("<u4" if least > 255 else "u1"))
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(parts, dtype=np.int32)), *(_cut(c, ends) for c in columns)], ["part", "places", "counts"])
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, places, counts in zip(*(c.to_pylist() for c in batch.columns)):
+                own = sums.setdefault(part, np.zeros(size // parts, dtype=np.uint32))
+                at = np.frombuffer(places, "<u2")
+                own[at] = np.minimum(own[at] + np.frombuffer(counts, "<u4" if least > 255 else "u1"), np.uint32(least))
+        bits = [np.packbits(own >= least, bitorder="little").tobytes() for own in sums.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(bits, pa.binary())], ["part", "bits"])
+
+    sent = _texts(docs).mapInArrow(counted, "part int, places binary, counts binary")
+    tasks = max(32, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    out = np.zeros(size // 8, dtype=np.uint8)
+    for row in sent.repartition(tasks, "part").mapInArrow(added, "part int, bits binary").collect():
+        own = np.frombuffer(row.bits, dtype=np.uint8)
+        out[row.part * len(own) : (row.part + 1) * len(own)] = own
+    return out
+
 
+def _cut(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The bytes of the values between the ends."""
+    offsets = pa.py_buffer((ends * values.itemsize).astype(np.int32).tobytes())
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, offsets, pa.py_buffer(np.ascontiguousarray(values).tobytes())])
 
-def frequent_bits(counts: DataFrame, least: int, size: int = FILTER_BITS) -> np.ndarray:
-    """Bitmap of ``size`` bits of the hashes whose counts add up to ``least``; this size is all that reaches the driver."""
-    frequent = counts.where("h IS NOT NULL").groupBy("h").agg(F.sum("n").alias("n")).where(f"n >= {least}")
-    places = frequent.selectExpr(f"h & {size - 1} AS place").selectExpr("place >> 15 AS part", "place & 32767 AS bit")
-    bits = np.zeros(size // 8, dtype=np.uint8)
-    for row in places.groupBy("part").agg(F.expr("bitmap_construct_agg(bit)").alias("bits")).toLocalIterator():
-        part = np.frombuffer(row.bits, dtype=np.uint8)[: size // 8]
-        bits[row.part * 4096 : row.part * 4096 + len(part)] = part
-    return bits
 
+def suffixes(docs: DataFrame, bitmaps: list[Broadcast]) -> DataFrame:
+    """``lang``, ``suffix`` (its words and empty places, each ended), ``n``, added up by task; an empty suffix counts all words.
 
-def suffixes(docs: DataFrame, words: Broadcast, pairs: Broadcast, longest: int = LONGEST) -> DataFrame:
-    """``lang``, ``suffix`` (each of its ``longest`` words or empty places ended), ``n``, added up by task."""
+    Suffixes have ``LONGEST`` words, fewer where they are cut short.
+    """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes()
-        for numbers, every, anew in _sliced(batches):
-            if anew:
-                hashes = _Hashes()
-            known = hashes.of(every)
-            frequent = _set(words.value, known)
-            frequent[0] = False
-            numbers = np.append(numbers, np.zeros(longest, dtype=np.int64))
-            at = np.flatnonzero(frequent[numbers])
-            joined = np.zeros(len(numbers), dtype=bool)
-            both = at[frequent[numbers[at + 1]]]
-            joined[both] = _set(pairs.value, _pair_hashes(known[numbers[both]], known[numbers[both + 1]]))
-            columns, on = [numbers[at]], np.ones(len(at), dtype=bool)
-            for i in range(1, longest):
-                on = on & joined[at + i - 1]
-                columns.append(np.where(on, numbers[at + i], 0))
+        totals: dict[str, int] = {}
+        # numbers of the task's frequent words, and its suffixes so far
+        own: dict[tuple[str, bytes], int] = {("", b""): 0}
+        kept, rows = [], 0
+        for words in _words(batches):
+            on, _ = _frequent(words.hashes, [b.value for b in bitmaps])
+            at = np.flatnonzero(on[0])
+            numbers, first = _numbered(words)
+            columns, goes_on = [numbers[at]], np.ones(len(at), dtype=bool)
+            for i in range(1, LONGEST):
+                # the longest phrase that is filtered, or shorter ones at the beginning, must hold at each word
+                goes_on = goes_on & on[min(i, len(on) - 1)][at + max(0, i - len(on) + 1)]
+                columns.append(np.where(goes_on, numbers[at + i], 0))
             columns, counts = _added_up(columns)
-            texts = pa.array([word for _, word in every], pa.binary()).cast(pa.string(), safe=False)
-            langs = pa.array([lang for lang, _ in every], pa.string())
-            for low in range(0, len(counts), 50_000):
-                own = [c[low : low + 50_000] for c in columns]
-                suffix = pc.binary_join_element_wise(*[texts.take(pa.array(c)) for c in own], "", _END)
-                yield pa.RecordBatch.from_arrays(
-                    [langs.take(pa.array(own[0])), suffix, pa.array(counts[low : low + 50_000])], ["lang", "suffix", "n"]
-                )
+            used = np.unique(np.concatenate(columns))
+            used = used[used > 0]
+            of, word = np.zeros(len(first) + 1, dtype=np.int64), first[used - 1]
+            names = zip(words.lang[word].tolist(), words.starts[word].tolist(), words.ends[word].tolist())
+            of[used] = [own.setdefault((words.langs[k], words.data[a:b].tobytes()), len(own)) for k, a, b in names]
+            kept.append((*(of[c] for c in columns), counts))
+            rows += len(counts)
+            if rows > SUFFIX_ROWS:
+                kept = [_merged(kept)]
+                rows = len(kept[0][0])
+                if 2 * rows > SUFFIX_ROWS:
+                    yield from _written(kept[0], own)
+                    own, kept, rows = {("", b""): 0}, [], 0
+            for lang, n in zip(words.langs, np.bincount(words.lang, minlength=len(words.langs)).tolist()):
+                totals[lang] = totals.get(lang, 0) + n
+        if kept:
+            yield from _written(_merged(kept), own)
+        found = {lang: n for lang, n in totals.items() if n}
+        yield _batch(pa.array(list(found), pa.string()), pa.array([""] * len(found), pa.string()), pa.array(list(found.values()), pa.int64()))
 
     return _texts(docs).mapInArrow(cut, "lang string, suffix string, n bigint")
 
 
-def _added_up(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
-    """Distinct rows of the columns and how often each occurs."""
+def _merged(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    columns = [np.concatenate([p[i] for p in parts]) for i in range(len(parts[0]))]
+    return (*(out := _added_up(columns[:-1], columns[-1]))[0], out[1])
+
+
+def _written(columns: tuple[np.ndarray, ...], words: dict[tuple[str, bytes], int]) -> Iterator[pa.RecordBatch]:
+    """Suffixes as rows, their words by number."""
+    texts = pa.array([word for _, word in words], pa.binary()).cast(pa.string(), safe=False)
+    langs = pa.array([lang for lang, _ in words], pa.string())
+    for low in range(0, len(columns[0]), 50_000):
+        *own, counts = (pa.array(c[low : low + 50_000]) for c in columns)
+        yield _batch(langs.take(own[0]), pc.binary_join_element_wise(*[texts.take(c) for c in own], "", _END), counts)
+
+
+SUFFIXES = pa.schema([("lang", pa.string()), ("suffix", pa.string()), ("n", pa.int64())])
+
+
+def _batch(*columns: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(list(columns), schema=SUFFIXES)
+
+
+def _added_up(columns: list[np.ndarray], counts: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray]:
+    """Distinct rows of the columns and how often each occurs, or the sums of ``counts``."""
     code = columns[0]
     for column in columns[1:]:
-        # codes and numbers are below the rows of a slice, so both fit into 64 bits
+        # codes and numbers are below the rows of a task's table, so both fit into 64 bits
         _, code = np.unique(code << np.int64(32) | column, return_inverse=True)
-    _, first, counts = np.unique(code, return_index=True, return_counts=True)
-    return [c[first] for c in columns], counts.astype(np.int64)
+    _, first, code, n = np.unique(code, return_index=True, return_inverse=True, return_counts=True)
+    if counts is not None:
+        n = np.zeros(len(first), dtype=np.int64)
+        np.add.at(n, code, counts)
+    return [c[first] for c in columns], n.astype(np.int64)
 
 
 def multikey_counts(keys: np.ndarray, weights: np.ndarray, open_rows: Iterable[int], least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -254,24 +330,25 @@ def _sums(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarr
     return sums[starts + sizes] - sums[starts]
 
 
-def phrases(found: DataFrame, least: int, longest: int = LONGEST) -> DataFrame:
-    """``lang``, ``phrase``, ``words``, ``n`` of all phrases of at most ``longest`` words that occur ``least`` times."""
+def phrases(found: DataFrame, least: int) -> DataFrame:
+    """``lang``, ``phrase``, ``words``, ``n`` of all phrases of at most ``LONGEST`` words that occur ``least`` times."""
     spark = found.sparkSession
     ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), found.count() // RANGE_ROWS + 1)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches), SUFFIXES)
-        if not len(table):
+        some = [b for b in batches if len(b)]
+        if not some:
             return
+        table = pa.Table.from_batches(some)
         langs, suffix = table["lang"].combine_chunks(), table["suffix"].combine_chunks()
         words = pc.list_flatten(pc.split_pattern(suffix, _END)).dictionary_encode()
-        keys = words.indices.to_numpy().reshape(len(table), longest + 1)[:, :longest].T.astype(np.int64)
+        keys = words.indices.to_numpy().reshape(len(table), LONGEST + 1)[:, :LONGEST].T.astype(np.int64)
         keys[keys == words.dictionary.index("").as_py()] = -1
         lang_codes = langs.dictionary_encode()
         keys = np.concatenate([lang_codes.indices.to_numpy().astype(np.int64)[None], keys])
         row, depth, weight = multikey_counts(keys, table["n"].to_numpy(), _ends(lang_codes, suffix), least)
         row, depth, weight = row[depth > 0], depth[depth > 0], weight[depth > 0]
-        for d in range(1, longest + 1):
+        for d in range(1, LONGEST + 1):
             at = row[depth == d]
             own = [words.dictionary.take(pa.array(keys[i, at])) for i in range(1, d + 1)]
             phrase = pc.binary_join_element_wise(*own, " ") if d > 1 else own[0]
@@ -285,9 +362,6 @@ def phrases(found: DataFrame, least: int, longest: int = LONGEST) -> DataFrame:
     return counts.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n")).where(f"n >= {least}")
 
 
-SUFFIXES = pa.schema([("lang", pa.string()), ("suffix", pa.string()), ("n", pa.int64())])
-
-
 def _ends(langs: pa.DictionaryArray, suffix: pa.Array) -> list[int]:
     """The rows that come first and last in the order of the range partitioning, by bytes."""
     data = suffix.cast(pa.binary())
@@ -301,11 +375,11 @@ def _ends(langs: pa.DictionaryArray, suffix: pa.Array) -> list[int]:
     return out
 
 
-def collocations(docs: DataFrame, least: int = LEAST, share: int = SHARE, top: int = TOP, longest: int = LONGEST) -> DataFrame:
+def collocations(docs: DataFrame, least: int = LEAST, share: int = SHARE, top: int = TOP) -> DataFrame:
     """The ``top`` collocations of every language of ``docs`` (``lang``, ``text``).
 
     Words are what stands between spaces and tabs within a piece, pieces what stands between ``.,;:!?`` and line
-    ends; A-Z are lower-cased.  A phrase of 2 to ``longest`` words that occurs ``a`` >= ``least`` times scores
+    ends; A-Z are lower-cased.  A phrase of 2 to ``LONGEST`` words that occurs ``a`` >= ``least`` times scores
     floor(2000000 a / (l + r)), where ``l`` and ``r`` count the two parts of its lowest-scoring cut, the first of
     equal ones.  A phrase within a longer one that has ``share`` percent of its occurrences is left out.  Returns
     ``lang``, ``rank``, ``phrase``, ``a``, ``l``, ``r``, ``n`` (all words of the language), ``score``.
@@ -315,14 +389,13 @@ def collocations(docs: DataFrame, least: int = LEAST, share: int = SHARE, top: i
     table gives no rows; other columns are ignored.
     """
     spark = docs.sparkSession
-    docs = docs.select("lang", "text")
-    counts = stored(word_hashes(docs), "word-counts")
-    words = spark.sparkContext.broadcast(frequent_bits(counts, least))
-    pairs = spark.sparkContext.broadcast(frequent_bits(pair_hashes(docs, words), least))
-    found = stored(suffixes(docs, words, pairs, longest), "suffixes")
-    known = stored(phrases(found, least, longest), "phrases")
-    totals = counts.where("h IS NULL").groupBy("lang").agg(F.sum("n").alias("n"))
-    return _best(_without_parts(_scored(known), known, share, longest), top).join(totals, "lang").select(
+    docs, bitmaps = docs.select("lang", "text"), []
+    for _ in range(FILTERS):
+        bitmaps.append(spark.sparkContext.broadcast(frequent_bits(docs, bitmaps, least)))
+    found = stored(suffixes(docs, bitmaps), "suffixes")
+    known = stored(phrases(found.where("suffix <> ''"), least), "phrases")
+    totals = found.where("suffix = ''").groupBy("lang").agg(F.sum("n").alias("n"))
+    return _best(_without_parts(_scored(known), known, share), top).join(totals, "lang").select(
         "lang", "rank", "phrase", "a", "l", "r", "n", "score"
     )
 
@@ -342,8 +415,8 @@ def _scored(known: DataFrame) -> DataFrame:
     return scored.groupBy("lang", "phrase", "a").agg(F.min("cut").alias("cut")).selectExpr("lang", "phrase", "a", "cut.l AS l", "cut.r AS r", "cut.score AS score")
 
 
-def _without_parts(scored: DataFrame, known: DataFrame, share: int, longest: int) -> DataFrame:
-    places = [(first, length) for length in range(2, longest) for first in range(1, longest - length + 2)]
+def _without_parts(scored: DataFrame, known: DataFrame, share: int) -> DataFrame:
+    places = [(first, length) for length in range(2, LONGEST) for first in range(1, LONGEST - length + 2)]
     inside = [f"IF(words > {length} AND words >= {first + length - 1}, array_join(slice(all_words, {first}, {length}), ' '), NULL)" for first, length in places]
     longer = known.where("words > 2").selectExpr("lang", "words", "n", "split(phrase, ' ') AS all_words")
     within = longer.selectExpr("lang", "n", f"explode(array({', '.join(inside)})) AS phrase").where("phrase IS NOT NULL")
