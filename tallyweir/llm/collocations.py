@@ -36,7 +36,7 @@ FILTERS = 2
 #: Bits that are counted together.
 PART_BITS = 1 << 15
 #: Suffixes that a task adds up before it writes them.
-SUFFIX_ROWS = 3_000_000
+SUFFIX_ROWS = 2_000_000
 #: Suffixes that one range holds at most, about.
 RANGE_ROWS = 500_000
 #: Bytes of texts that are looked at together.
@@ -232,7 +232,7 @@ def suffixes(docs: DataFrame, bitmaps: list[Broadcast]) -> DataFrame:
             of, word = np.zeros(len(first) + 1, dtype=np.int64), first[used - 1]
             names = zip(words.lang[word].tolist(), words.starts[word].tolist(), words.ends[word].tolist())
             of[used] = [own.setdefault((words.langs[k], words.data[a:b].tobytes()), len(own)) for k, a, b in names]
-            kept.append((*(of[c] for c in columns), counts))
+            kept.append((*(of[c].astype(np.int32) for c in columns), counts))
             rows += len(counts)
             if rows > SUFFIX_ROWS:
                 kept = [_merged(kept)]
@@ -273,7 +273,7 @@ def _batch(*columns: pa.Array) -> pa.RecordBatch:
 
 def _added_up(columns: list[np.ndarray], counts: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray]:
     """Distinct rows of the columns and how often each occurs, or the sums of ``counts``."""
-    code = columns[0]
+    code = columns[0].astype(np.int64)
     for column in columns[1:]:
         # codes and numbers are below the rows of a task's table, so both fit into 64 bits
         _, code = np.unique(code << np.int64(32) | column, return_inverse=True)

@@ -52,7 +52,8 @@ def judged(captures: DataFrame, valid: DataFrame) -> DataFrame:
     a domain, longer patterns shorter ones, then the list's name decides.  Without an active entry, without a
     host in the URL, or with a null ``url`` or ``fetched``, the verdict is ``none`` and the rest null.  All
     rows and columns stay; columns named like the results, in any case of letters, are replaced.
-    No captures or no entries are no error.
+    No captures or no entries are no error;
+    URLs of any length are read whole.
 
     Captures are made distinct before the join, so that a host with very many of them meets its entries once
     per URL and day; the joins are plain equi-joins, which Spark splits where a key is frequent.
@@ -61,10 +62,13 @@ def judged(captures: DataFrame, valid: DataFrame) -> DataFrame:
     parts = distinct.selectExpr("url", "fetched", f"{host_of('url')} AS host", f"{path_of('url')} AS path").where("host <> ''")
     labels = "split(host, r'\\.')"
     above = f"transform(sequence(1, size({labels})), i -> array_join(slice({labels}, i, size({labels})), '.'))"
-    # "/a/b" begins with "/", "/a", "/a/" and "/a/b", as far as patterns end at a slash or the whole path
-    folders = "split(path, '/')"
+    # "/a/b" begins with "/", "/a", "/a/" and "/a/b", as far as patterns end at a slash or the whole path; a path is
+    # followed as deep as any pattern goes, so a very long one costs no more than others
+    deepest = valid.where(F.col("kind") == PATH).agg(F.max(F.expr("size(split(pattern, '/'))"))).first()[0] or 0
+    folders = f"split(path, '/', {deepest + 2})"
     below = (
-        f"array_distinct(concat(transform(sequence(1, size({folders}) - 1), i -> host || array_join(slice({folders}, 1, i), '/') || '/'), array(host || path)))"
+        f"array_distinct(concat(transform(slice(sequence(1, size({folders})), 1, least(size({folders}) - 1, {deepest})), "
+        f"i -> host || array_join(slice({folders}, 1, i), '/') || '/'), array(host || path)))"
     )
     keys = parts.selectExpr(
         "url",

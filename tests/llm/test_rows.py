@@ -15,7 +15,7 @@ from tallyweir.llm.queries import BYTE_TOKENIZER, END_ID, PIECE_VOCABULARY, WORD
 from tallyweir.llm.urlfilter import intervals, judged
 
 IDS = [2**53 + 1, 2**53 + 3, 2**63 - 1, -(2**63), None, 0]
-TEXTS = [f"{w} is a text of its own that has more than five words" for w in ("first", "second", "third", "fourth", "fifth", "sixth")]
+TEXTS = [" ".join(f"{w}{c}" for c in "abcdefghi") for w in ("first", "second", "third", "fourth", "fifth", "sixth")]
 CLASHING = ["row", "key", "_key", "d", "_d", "x", "y", "rows", "new", "prediction", "_prediction", "_replaced", "entry", "_url", "at", "own", "band", "node", "k1", "KEY", "Rows"]
 
 

@@ -81,3 +81,16 @@ def test_query_equals_its_sql(spark, sf):
 def test_query_runs_no_python(spark):
     plan = op3_url_filter(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_very_long_paths_cost_no_more(spark):
+    import time
+
+    changes = spark.createDataFrame([("l", "block", "path", "a.com/p/p/", day(0), True)], CHANGE)
+    long = "http://a.com/" + "p/" * 100_000
+    captures = spark.createDataFrame([(long, day(3)), ("http://a.com/q/" + "p/" * 100_000, day(3))], "url string, fetched date")
+    began = time.time()
+    assert {r.url[13]: r.verdict for r in judged(captures, intervals(changes)).collect()} == {"p": "block", "q": "none"}
+    assert time.time() - began < 60
+    none = intervals(changes.where("false"))
+    assert {r.verdict for r in judged(captures, none).collect()} == {"none"} and judged(captures.where("false"), none).count() == 0
