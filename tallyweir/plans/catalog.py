@@ -36,6 +36,7 @@ from tallyweir.plans.inputs import (
     write_logs,
 )
 from tallyweir.sources.follow import LogFiles
+from tallyweir.sources.ledger import SendOnce
 from tallyweir.sources.logs import cap_lines, read_log
 from tallyweir.sources.scratch import shared_folder, written
 from tallyweir.sources.sinks import batch_bodies, register_measurements, write_points
@@ -508,6 +509,24 @@ def outbox_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replayed(saved, new, 10).groupBy("run", "resent").agg(F.count(F.lit(1)).alias("points"))
 
 
+def replayed_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points that the store got, as bodies, when the first delivery arrives but is not acknowledged and so repeated."""
+    events = table(spark, sf_dir, "events")
+    got = spark.sparkContext.accumulator(0)
+    once = SendOnce(spark, shared_folder(spark, "ledger"), lambda body: got.add(body.count("\n")), lambda points: to_lines(points, HOST_TAGS))
+    broken = [True]
+
+    def sink(points: DataFrame) -> None:
+        once(points)
+        if broken.pop() if broken else False:
+            raise OSError("the answer is lost")
+
+    runs = MetricsRuns(spark, shared_folder(spark, "runs"), RUN_OPTIONS, sink)
+    runs.run(access_log_of(events.where("ts < TIMESTAMP_NTZ '2024-01-16 00:30:00'")))
+    stats = runs.run(access_log_of(events.where("ts >= TIMESTAMP_NTZ '2024-01-16 00:30:00'")))
+    return spark.createDataFrame([(got.value, once.sent, stats.sent_points + stats.resent_points)], "got bigint, listed bigint, delivered bigint")
+
+
 def _one_run(spark: SparkSession, sf_dir: str):
     runs = MetricsRuns(spark, shared_folder(spark, "runs"), RUN_OPTIONS)
     return runs, runs.run(access_log(spark, sf_dir))
@@ -573,6 +592,7 @@ QUERIES: dict[str, Query] = {
     "stream_sources": stream_sources,
     "outbox_retain": outbox_retain,
     "outbox_replay": outbox_replay,
+    "replayed_delivery": replayed_delivery,
     "run_stats": run_stats,
     "run_stats_line": run_stats_line,
 }

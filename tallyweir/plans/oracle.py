@@ -508,6 +508,10 @@ def oracle_statements() -> dict[str, str]:
     statements["outbox_replay"] = points_sql(
         "SELECT run, run < newest AS resent, count(*) AS points FROM ranked WHERE r <= 11 GROUP BY ALL", more=daily
     )
+    statements["replayed_delivery"] = points_sql(
+        "SELECT count(*) AS got, count(*) AS listed, count(*) AS delivered FROM points",
+        where=f"bucket <= (SELECT max(bucket) - {_LOOKBACK} FROM requests)",
+    )
     statements["run_stats"] = points_sql(
         "SELECT (SELECT count(*) FROM parsed) AS parsed_lines, "
         "(SELECT count(*) FROM parsed WHERE reason IS NOT NULL) AS skipped_lines, "

@@ -105,6 +105,40 @@ def test_sending_from_the_executors(spark, tmp_path):
     assert sorted(b.count("\n") for b in bodies) == [2, 5, 5]
 
 
+def test_bodies_are_sent_once(spark, tmp_path, monkeypatch):
+    import tallyweir.sources.ledger as ledger
+
+    monkeypatch.setattr(ledger, "WAVE", 2)
+    target = tmp_path / "store"
+    target.mkdir()
+    fails = tmp_path / "fails"
+
+    def send(body, target=str(target), fails=str(fails)):
+        import os
+        import uuid
+
+        if os.path.exists(fails) and "l7" in body:
+            raise OSError("away")
+        with open(f"{target}/{uuid.uuid4().hex}", "w") as file:
+            file.write(body)
+
+    points = spark.range(12).selectExpr("id", "3L AS run")
+    once = ledger.SendOnce(spark, f"{tmp_path}/ledger", send, lambda p: p.selectExpr("concat('l', id) AS line"), batch_size=2)
+    fails.touch()
+    with pytest.raises(Exception, match="away"):
+        once(points)
+    fails.unlink()
+    once(points)
+    once(points)
+    sent = "".join(open(p).read() for p in target.iterdir()).split()
+    assert set(sent) == {f"l{i}" for i in range(12)} and once.sent == 12
+    # but for what the failed wave had sent, nothing arrives twice
+    assert len(sent) <= 12 + 2
+    other = ledger.SendOnce(spark, f"{tmp_path}/ledger", send, once.lines_of, epoch=1, batch_size=2)
+    other(points)
+    assert other.sent == 12 and sum(r.points for r in other.ledger(3).collect()) == 12
+
+
 def test_text_output(spark, tmp_path):
     path = str(tmp_path / "lines")
     write_lines(twelve_lines(spark), path, 5)
