@@ -102,7 +102,7 @@ def _matched(seen: DataFrame, before: DataFrame) -> DataFrame:
     found = begins.join(known, ["source", "head_lines", "head"]).where("done <= complete AND head_lines <= complete")
     best = found.groupBy("file").agg(F.max(F.struct("done", "head_lines", "head")).alias("known"))
     # files that begin with the same lines are one log: the known one, or a new one that is already seen twice
-    whole = f"IF(complete >= {HEAD_LINES}, element_at(heads, {HEAD_LINES}), NULL)"
+    whole = f"IF(complete >= {HEAD_LINES}, get(heads, {HEAD_LINES - 1}), NULL)"
     named = f"coalesce(string(known), 'lines ' || {whole}, 'file ' || file) AS log"
     return seen.join(best, "file", "left").selectExpr(*seen.columns, "coalesce(known.done, 0L) AS before", named)
 
@@ -131,8 +131,9 @@ def _state(plan: DataFrame, before: DataFrame, listed: DataFrame) -> DataFrame:
     )
     after = after.selectExpr(
         "source", "file", "IF(now = complete, size, -1L) AS size", "modified", "now AS done",
-        f"int(least(now, {HEAD_LINES}L)) AS head_lines",
-        f"IF(now > 0, element_at(heads, int(least(now, {HEAD_LINES}L))), NULL) AS head", "0 AS unseen",
+        # the first split of a file may hold fewer lines
+        f"int(least(now, {HEAD_LINES}L, size(heads))) AS head_lines",
+        f"get(heads, int(least(now, {HEAD_LINES}L, size(heads))) - 1) AS head", "0 AS unseen",
     )
     same = ["file", "size", "modified"]
     unchanged = before.join(listed, same, "left_semi").withColumn("unseen", F.lit(0))

@@ -187,6 +187,20 @@ def test_a_cap_goes_on_in_order_over_a_rename(logs):
     assert got == [lines(3, 4, 5), lines(6, 7, 8), lines(9, 10)]
 
 
+def test_files_of_many_small_splits(spark, logs):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "60")
+    try:
+        logs.write("a.log", text(*range(20)) + "lin")
+        assert logs.read(15) == lines(*range(15))
+        logs.add("a.log", "e 20\n" + text(*range(21, 45)))
+        logs.rename("a.log", "a.log.1")
+        logs.write("a.log", text(*range(100, 103)))
+        assert logs.read() == lines(*range(15, 45), *range(100, 103))
+        assert logs.read() == []
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_long_logs_that_begin_alike_are_one_only_if_they_are(logs):
     same = [f"line {i}" for i in range(40)]
     logs.write("a.log", "\n".join([*same, "x"]) + "\n")
