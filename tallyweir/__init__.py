@@ -7,6 +7,7 @@ from tallyweir.operators.requests import accepted, parse_lines, rejected
 from tallyweir.options import OptionMismatch, RunOptions, StateMismatch
 from tallyweir.session import tune
 from tallyweir.sources.follow import LogFiles
+from tallyweir.sources.ledger import SendOnce
 from tallyweir.sources.logs import cap_lines, read_log, stream_log
 from tallyweir.sources.scratch import written
 from tallyweir.streaming.per_source import counted_by_source, skipped_by_source, start_by_source
@@ -19,6 +20,7 @@ __all__ = [
     "MetricsRuns",
     "OptionMismatch",
     "RunOptions",
+    "SendOnce",
     "StateMismatch",
     "accepted",
     "cap_lines",
