@@ -19,7 +19,7 @@ from tallyweir.llm.queries import END_ID, PIECE_VOCABULARY, PSEUDONYM_KEY, WORD_
 from tallyweir.llm.shared import passed, small_batches, stored, table
 
 #: What a worker may remember in one stage: it serves all stages in turn, and memory once taken is slow to come back.
-KNOWN_CHUNKS = 100_000
+KNOWN_CHUNKS = 60_000
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
