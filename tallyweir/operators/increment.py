@@ -71,7 +71,8 @@ def label_skips(
 
     All this is a property of source and bucket, so it is decided on the added-up rows.
     """
-    joined = partials.join(marks.selectExpr("source", "closed_through", "true AS _known"), "source", "left")
+    # a row per source goes to the others, of which one source may have nearly all
+    joined = partials.join(F.broadcast(marks.selectExpr("source", "closed_through", "true AS _known")), "source", "left")
     checked_first = ", ".join(f"'{reason}'" for reason in REASONS_BEFORE_LATE)
     unreadable = f"kind = '{SKIP}' AND status IN ({checked_first})"
     reason = (

@@ -290,7 +290,8 @@ class MetricsRuns:
         Those of a source that is only noted are not kept one by one; the added-up rows tell what becomes of them.
         """
         parsed = parse_lines(lines, self.options.bucket_duration)
-        known = before.selectExpr("source", "closed_through AS _closed", "true AS _known")
+        # the marks go to the lines: a join by source would bring all lines of a source to one task
+        known = F.broadcast(before.selectExpr("source", "closed_through AS _closed", "true AS _known"))
         unreadable = ", ".join(f"'{r}'" for r in REASONS_BEFORE_LATE)
         noted = f"_known IS NULL AND {self.options.skip_to_end}"
         reason = (

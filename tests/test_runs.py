@@ -226,6 +226,14 @@ def test_rejects_and_statistics_of_a_run(spark, lines_of, folder):
     assert [(s.run_id, s.parsed_lines, s.skipped_lines) for s in seen] == [(0, 2, 1), (1, 3, 2)]
 
 
+def test_lines_of_one_source_are_not_dealt_by_source(spark, lines_of, folder, monkeypatch):
+    plans, write = [], MetricsRuns._write_partials
+    monkeypatch.setattr(MetricsRuns, "_write_partials", lambda self, partials, slot: plans.append(partials) or write(self, partials, slot))
+    runs = MetricsRuns(spark, folder, RunOptions(bucket_duration=60, lookback_factor=1, skip_to_end=False, keep_rejects=True))
+    runs.run(lines_of(*[("one", line) for line in at(1, 2, 3)]))
+    assert "SortMergeJoin" not in plans[0]._jdf.queryExecution().sparkPlan().toString()
+
+
 def test_start_over_is_a_new_epoch(spark, lines_of, folder):
     store = Store()
     first = MetricsRuns(spark, folder, OPTIONS, store)
