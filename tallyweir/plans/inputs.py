@@ -116,10 +116,24 @@ def _line() -> str:
     )
 
 
+#: Bytes of a table's files for each partition that its rows are dealt to.
+PARTITION_BYTES = 8 << 20
+
+
+def partitions_for(spark: SparkSession, sf_dir: str, name: str) -> int:
+    """Partitions that grow with a table, so that a task's share of it does not."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+    size = path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+    return max(spark.sparkContext.defaultParallelism, -(-size // PARTITION_BYTES))
+
+
 def order_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contacts of requests in relational form: request, bucket, upstream, status, response seconds."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_returnflag", "l_quantity")
+    # dealt by request, which the join and what is counted per request then share
+    n = partitions_for(spark, sf_dir, "lineitem")
+    items, orders = items.repartition(n, "l_orderkey"), orders.repartition(n, "o_orderkey")
     return items.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).selectExpr(
         "l_orderkey AS request",
         f"ceil(unix_seconds(cast(o_orderdate AS TIMESTAMP)) / {ORDER_BUCKET_DURATION}) AS bucket",
