@@ -159,8 +159,10 @@ def supplier_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CASE l_returnflag WHEN 'A' THEN '200' WHEN 'R' THEN '404' ELSE '502' END AS status",
         "concat('0.', lpad(string(int(l_quantity)), 3, '0')) AS response",
     )
-    parts = items.groupBy("list").agg(F.expr(f"ceil(count(*) / {LONGEST_LIST}) AS parts"))
-    dealt = items.join(parts, "list").withColumn("part", F.expr("l_orderkey % parts"))
+    # only long lists are looked up, one row per LONGEST_LIST items at most: a join by list would bring a list to one task
+    parts = items.groupBy("list").agg(F.expr(f"ceil(count(*) / {LONGEST_LIST}) AS parts")).where("parts > 1")
+    dealt = items.join(F.broadcast(parts), "list", "left").withColumn("part", F.expr("l_orderkey % coalesce(parts, 1)"))
+    dealt = dealt.repartition(partitions_for(spark, sf_dir, "lineitem"), "list", "part")
     lists = dealt.groupBy("list", "part").agg(F.sort_array(F.collect_list(F.struct("l_orderkey", "l_linenumber", "server", "status", "response"))).alias("c"))
     head = "concat('1|1704067200|', list, '.', part, '|s|-|200|10|-|20|0.5|')"
     fields = ["array_join(c.server, ', ')", "array_join(c.status, ', ')", *["array_join(c.response, ', ')"] * 3]

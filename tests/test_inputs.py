@@ -11,3 +11,16 @@ def test_contacts_of_orders_are_dealt_to_partitions_that_grow_with_the_table(spa
     monkeypatch.setattr(inputs, "PARTITION_BYTES", 5000)
     contacts = inputs.order_contacts(spark, SF)
     assert contacts.rdd.getNumPartitions() == inputs.partitions_for(spark, SF, "lineitem") > 20
+
+
+def test_long_lists_are_not_joined_by_list(spark, monkeypatch):
+    whole = sorted(r.value for r in inputs.supplier_log(spark, SF).collect())
+    monkeypatch.setattr(inputs, "PARTITION_BYTES", 5000)
+    # no size is small enough to be broadcast by itself
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        log = inputs.supplier_log(spark, SF)
+        assert "SortMergeJoin" not in log._jdf.queryExecution().sparkPlan().toString()
+        assert sorted(r.value for r in log.collect()) == whole
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
