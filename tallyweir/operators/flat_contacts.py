@@ -30,8 +30,8 @@ def flat_contact_means(contacts: DataFrame) -> DataFrame:
 
 def flat_contact_statuses(contacts: DataFrame) -> DataFrame:
     """Hits per bucket, server and status: each distinct status of a request counts all its contacts of the server."""
-    # Dealt by request once: the counts and the window over them use the same exchange.
-    per_status = contacts.groupBy(*_REQUEST, "status").agg(F.expr("count(*) AS k")).repartition(*_REQUEST)
+    # Rows that come dealt by request stay where they are: the counts and the window over them need no exchange then.
+    per_status = contacts.groupBy(*_REQUEST, "status").agg(F.expr("count(*) AS k"))
     # One row per distinct status is left of a request and server, so the window is small.
     weighted = per_status.withColumn("n", F.sum("k").over(Window.partitionBy(*_REQUEST)))
     return weighted.groupBy("bucket", "upstream", "status").agg(F.expr("sum(n) AS hits"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tallyweir.operators.flat_contacts import flat_contact_statuses
 from tallyweir.plans import inputs
 
 SF = "/root/testdata/sf0.001"
@@ -13,6 +14,12 @@ def test_contacts_of_orders_are_dealt_to_partitions_that_grow_with_the_table(spa
     assert contacts.rdd.getNumPartitions() == inputs.partitions_for(spark, SF, "lineitem") > 20
 
 
+def test_statuses_per_request_stay_where_the_join_dealt_them(spark):
+    plan = flat_contact_statuses(inputs.order_contacts(spark, SF))._jdf.queryExecution().executedPlan().toString()
+    # both tables, and the sums of buckets and servers
+    assert plan.count("Exchange hashpartitioning") == 3
+
+
 def test_long_lists_are_not_joined_by_list(spark, monkeypatch):
     whole = sorted(r.value for r in inputs.supplier_log(spark, SF).collect())
     monkeypatch.setattr(inputs, "PARTITION_BYTES", 5000)
