@@ -30,6 +30,7 @@ from tallyweir.plans.inputs import (
     host_lines,
     order_contacts,
     rename_logs,
+    spread,
     supplier_log,
     table,
     wide_log,
@@ -311,8 +312,8 @@ def increment_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All lines in two runs, before and from 2024-01-16; open buckets go over into the second."""
     events = table(spark, sf_dir, "events")
     runs = MetricsRuns(spark, shared_folder(spark, "runs"), RUN_OPTIONS)
-    runs.run(access_log_of(events.where("ts < TIMESTAMP_NTZ '2024-01-16 00:30:00'")))
-    runs.run(access_log_of(events.where("ts >= TIMESTAMP_NTZ '2024-01-16 00:30:00'")))
+    runs.run(access_log_of(spread(events.where("ts < TIMESTAMP_NTZ '2024-01-16 00:30:00'"), sf_dir)))
+    runs.run(access_log_of(spread(events.where("ts >= TIMESTAMP_NTZ '2024-01-16 00:30:00'"), sf_dir)))
     return _published(runs.points())
 
 

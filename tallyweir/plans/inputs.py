@@ -35,6 +35,12 @@ def access_log_of(events: DataFrame) -> DataFrame:
     return events.selectExpr("event_id", "user_id", f"'{LOG_SOURCE}' AS source", f"{_line()} AS value")
 
 
+def spread(events: DataFrame, sf_dir: str) -> DataFrame:
+    """Events dealt evenly by their id: a row becomes a line of many times its size, so few file splits are much work."""
+    n = partitions_for(events.sparkSession, sf_dir, "events", EVENT_BYTES)
+    return events.select(*EVENT_COLUMNS).repartition(n, "event_id")
+
+
 def access_log_by_host(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same lines as the logs of three hosts."""
     return access_log(spark, sf_dir).withColumn("source", F.expr("concat('web', user_id % 3, '/access.log')"))
@@ -118,13 +124,14 @@ def _line() -> str:
 
 #: Bytes of a table's files for each partition that its rows are dealt to.
 PARTITION_BYTES = 8 << 20
+EVENT_BYTES = 1 << 20
 
 
-def partitions_for(spark: SparkSession, sf_dir: str, name: str) -> int:
+def partitions_for(spark: SparkSession, sf_dir: str, name: str, share: int | None = None) -> int:
     """Partitions that grow with a table, so that a task's share of it does not."""
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
     size = path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
-    return max(spark.sparkContext.defaultParallelism, -(-size // PARTITION_BYTES))
+    return max(spark.sparkContext.defaultParallelism, -(-size // (share or PARTITION_BYTES)))
 
 
 def order_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,6 +20,13 @@ def test_statuses_per_request_stay_where_the_join_dealt_them(spark):
     assert plan.count("Exchange hashpartitioning") == 3
 
 
+def test_events_are_spread_over_more_tasks_than_their_file_has_splits(spark, monkeypatch):
+    monkeypatch.setattr(inputs, "EVENT_BYTES", 1000)
+    events = inputs.table(spark, SF, "events")
+    parts = inputs.spread(events, SF).rdd.glom().map(len).collect()
+    assert len(parts) > 20 and max(parts) < 3 * events.count() / len(parts)
+
+
 def test_long_lists_are_not_joined_by_list(spark, monkeypatch):
     whole = sorted(r.value for r in inputs.supplier_log(spark, SF).collect())
     monkeypatch.setattr(inputs, "PARTITION_BYTES", 5000)
