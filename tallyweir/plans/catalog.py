@@ -419,8 +419,8 @@ def increment_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Skipped lines per reason of a second run that gets lines of closed buckets, and of a source met late."""
     events = table(spark, sf_dir, "events")
     runs = MetricsRuns(spark, shared_folder(spark, "runs"), RunOptions(BUCKET_DURATION, LOOKBACK, skip_to_end=True))
-    first = access_log_of(events.where("ts < TIMESTAMP_NTZ '2024-01-20 00:30:00'"))
-    second = access_log_of(events.where("ts >= TIMESTAMP_NTZ '2024-01-16 00:30:00'"))
+    first = access_log_of(spread(events.where("ts < TIMESTAMP_NTZ '2024-01-20 00:30:00'"), sf_dir))
+    second = access_log_of(spread(events.where("ts >= TIMESTAMP_NTZ '2024-01-16 00:30:00'"), sf_dir))
     runs.run(first)
     runs.run(second.union(second.withColumn("source", F.lit("met.late"))))
     return skip_counts(runs.partials(runs.last_commit().slot))
