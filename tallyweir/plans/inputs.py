@@ -43,7 +43,11 @@ def spread(events: DataFrame, sf_dir: str) -> DataFrame:
 
 def access_log_by_host(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same lines as the logs of three hosts."""
-    return access_log(spark, sf_dir).withColumn("source", F.expr("concat('web', user_id % 3, '/access.log')"))
+    return by_host(access_log(spark, sf_dir))
+
+
+def by_host(log: DataFrame) -> DataFrame:
+    return log.withColumn("source", F.expr("concat('web', user_id % 3, '/access.log')"))
 
 
 HOSTS = 12

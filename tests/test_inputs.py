@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tallyweir.operators.flat_contacts import flat_contact_statuses
-from tallyweir.plans import inputs
+from tallyweir.plans import catalog, inputs
 
 SF = "/root/testdata/sf0.001"
 
@@ -38,3 +40,13 @@ def test_long_lists_are_not_joined_by_list(spark, monkeypatch):
         assert sorted(r.value for r in log.collect()) == whole
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_lines_of_a_capped_run_come_from_many_files(spark, monkeypatch):
+    monkeypatch.setattr(inputs, "EVENT_BYTES", 1000)
+    seen = []
+    monkeypatch.setattr(catalog.MetricsRuns, "run", lambda self, lines: seen.append(lines))
+    catalog.capped_runs(spark, SF)
+    # the first block of events lies in one split of their table; all runs read the same lines
+    files = {f.select(F.input_file_name()).where("block = 0").distinct().count() for f in seen}
+    assert len(seen) == 4 and min(files) > 20
