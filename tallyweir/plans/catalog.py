@@ -440,7 +440,7 @@ def start_over_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = table(spark, sf_dir, "events").schema
     # a pattern, because a stream takes a plain path for a folder and the table may be one file
-    return access_log_of(spark.readStream.schema(schema).parquet(f"{sf_dir}/events[.]parquet"))
+    return access_log_of(spread(spark.readStream.schema(schema).parquet(f"{sf_dir}/events[.]parquet"), sf_dir))
 
 
 def stream_closed_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -50,3 +50,15 @@ def test_lines_of_a_capped_run_come_from_many_files(spark, monkeypatch):
     # the first block of events lies in one split of their table; all runs read the same lines
     files = {f.select(F.input_file_name()).where("block = 0").distinct().count() for f in seen}
     assert len(seen) == 4 and min(files) > 20
+
+
+def test_events_of_a_stream_are_spread_over_more_tasks_than_their_file_has_splits(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(inputs, "EVENT_BYTES", 1000)
+    parts = []
+
+    def note(batch, _):
+        parts.extend(r["count"] for r in batch.groupBy(F.spark_partition_id()).count().collect())
+
+    stream = catalog._event_stream(spark, SF).writeStream.foreachBatch(note).option("checkpointLocation", str(tmp_path / "stream"))
+    stream.trigger(availableNow=True).start().awaitTermination()
+    assert len(parts) > 20 and max(parts) < 3 * sum(parts) / len(parts)
