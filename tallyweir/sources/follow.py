@@ -11,10 +11,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from tallyweir.sources.logs import placed_lines, take_blocks
+from tallyweir.sources.logs import placed_lines, rotated, source_name, take_blocks
 
 #: Lines that a log is known by.
 HEAD_LINES = 32
+#: Lines of a file split that are counted together.
+CELL_LINES = 4096
 #: Runs after which a log that is seen no more is forgotten; a file may be out of sight while it is renamed.
 KEPT_RUNS = 24
 FILES_SCHEMA = (
@@ -48,6 +50,10 @@ class LogFiles:
         text = spark.read.option("lineSep", "\n").text(self.paths)
         return placed_lines(text.where(F.col("_metadata.file_path").isin(files)), self.source_pattern, self.rotation, *_facts("size", "modified"))
 
+    def named(self, files: DataFrame) -> DataFrame:
+        """Files with the source and the age that their lines have."""
+        return files.withColumns({"source": source_name(self.source_pattern, F.col("file")), "age": rotated(self.rotation, F.col("file"))})
+
 
 _FILE = {"file": "file_path", "size": "file_size", "modified": "file_modification_time"}
 
@@ -66,7 +72,7 @@ def follow(spark: SparkSession, logs: LogFiles, before: DataFrame, folder: str,
     same = ["file", "size", "modified"]
     changed = [r.file for r in listed.join(before, same, "left_anti").select("file").collect()]
     lines = logs.lines(spark, changed)
-    seen = _kept(_begun(lines), f"{folder}/seen")
+    seen = _kept(_begun(logs, lines), f"{folder}/seen")
     plan = _kept(_planned(_matched(seen, before), max_lines), f"{folder}/plan")
     _kept(_state(plan, before, listed), f"{folder}/files")
     whole = [r.file for r in plan.where("done = 0 AND take = lines").select("file").collect()]
@@ -79,11 +85,13 @@ def _kept(frame: DataFrame, path: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
-def _begun(lines: DataFrame) -> DataFrame:
+def _begun(logs: LogFiles, lines: DataFrame) -> DataFrame:
     """Per file its lines, how many of them have ended, and hashes of its first 1, 2, ... lines."""
-    counts = lines.groupBy("source", "file", "size", "modified", "age").agg(
-        F.count("*").alias("lines"), F.expr("sum(octet_length(value) + 1L)").alias("bytes")
+    # by file alone; its name gives source and age afterwards, not once for each line
+    counts = lines.groupBy("file").agg(
+        F.max("size").alias("size"), F.max("modified").alias("modified"), F.count("*").alias("lines"), F.expr("sum(octet_length(value) + 1L)").alias("bytes")
     )
+    counts = logs.named(counts)
     # a last line without its end counts for a byte more than there is; if the file grew meanwhile, for more
     ended = f"file RLIKE r'{_PACKED}' OR bytes = size OR bytes = size - {_MARK_BYTES}"
     counts = counts.selectExpr("*", f"IF({ended}, lines, lines - 1) AS complete")
@@ -145,13 +153,17 @@ def _state(plan: DataFrame, before: DataFrame, listed: DataFrame) -> DataFrame:
 
 
 def _parts(lines: DataFrame, plan: DataFrame, folder: str) -> DataFrame:
-    """The lines after those that are done, of files that are not taken whole."""
-    counts = lines.groupBy("source", "file", "block").agg(F.count("*").alias("n"))
-    so_far = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, 0)
+    """The lines after those that are done, of files that are not taken whole.
+
+    A block is counted by cells of its lines, so only one cell is numbered where a file goes on, not a block.
+    """
+    lines = lines.withColumn("cell", F.expr(f"seq div {CELL_LINES}"))
+    counts = lines.groupBy("file", "block", "cell").agg(F.count("*").alias("n"))
+    so_far = Window.partitionBy("file").orderBy("block", "cell").rowsBetween(Window.unboundedPreceding, 0)
     counts = counts.withColumn("start", F.sum("n").over(so_far) - F.col("n"))
     placed = counts.join(plan.selectExpr("file", "done", "done + take AS end"), "file")
     blocks = _kept(
-        placed.selectExpr("source", "file", "block", "n", *[f"least(n, greatest(0L, {at} - start)) AS {name}" for at, name in (("done", "low"), ("end", "high"))]),
+        placed.selectExpr("file", "block", "cell", "n", *[f"least(n, greatest(0L, {at} - start)) AS {name}" for at, name in (("done", "low"), ("end", "high"))]),
         f"{folder}/blocks",
     )
     return take_blocks(lines, blocks).select("source", "value")

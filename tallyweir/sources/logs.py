@@ -6,16 +6,21 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import DataStreamReader
 
 
-def source_name(pattern: str | None = None) -> Column:
+def source_name(pattern: str | None = None, path: Column | None = None) -> Column:
     """Identity of the log a line comes from: its path, or group 1 of ``pattern`` in it.
 
     Rotated files of one log need a pattern that leaves out the rotation, or
     each file counts as a log of its own.
     """
-    path = F.col("_metadata.file_path")
+    path = F.col("_metadata.file_path") if path is None else path
     return path if pattern is None else F.regexp_extract(path, pattern, 1)
 
 
+def rotated(rotation: str | None, path: Column) -> Column:
+    """How often the file was rotated, by group 1 of ``rotation`` in its path; 0 if that is no number."""
+    return F.lit(0) if rotation is None else F.coalesce(F.regexp_extract(path, rotation, 1).try_cast("int"), F.lit(0))
+
+
 PLACE = ("file", "block", "seq")
 POSITIONS_SCHEMA = "source string, file string, done bigint"
 
@@ -33,18 +38,15 @@ def read_log(
 
 def placed_lines(text: DataFrame, source_pattern: str | None = None, rotation: str | None = None, *more: Column) -> DataFrame:
     """Lines of a text table with their source, their place and ``more`` columns about their file."""
-    age = F.lit(0) if rotation is None else F.expr("coalesce(try_cast(_number AS INT), 0)")
-    number = F.lit("") if rotation is None else F.regexp_extract(F.col("_metadata.file_path"), rotation, 1)
-    placed = text.select(
+    return text.select(
         source_name(source_pattern).alias("source"),
         "value",
         F.col("_metadata.file_path").alias("file"),
-        number.alias("_number"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("seq"),
         *more,
+        rotated(rotation, F.col("_metadata.file_path")).alias("age"),
     )
-    return placed.withColumn("age", age).drop("_number")
 
 
 def stream_log(
@@ -104,9 +106,9 @@ def take_blocks(lines: DataFrame, blocks: DataFrame) -> DataFrame:
     """The lines in the ranges of ``next_blocks``.
 
     Blocks taken whole pass as they are; only those that a range cuts are numbered line by line, so no sort
-    or task ever holds more than a block.  A compressed log is one block.
+    or task ever holds more than a block.  A compressed log is one block, unless blocks are divided by ``cell``.
     """
-    keys = ["source", "file", "block"]
+    keys = [name for name in ("source", "file", "block", "cell") if name in blocks.columns]
     whole = lines.join(blocks.where("low = 0 AND high = n").select(*keys), keys, "left_semi")
     cut = lines.join(blocks.where("low < high AND high - low < n").select(*keys, "low", "high"), keys)
     number = F.row_number().over(Window.partitionBy(*keys).orderBy("seq"))

@@ -258,3 +258,15 @@ def test_runs_follow_files(spark, tmp_path):
     assert again.run(logs.logs).parsed_lines == 6
     again.run(spark.createDataFrame([(bare_line(600.0), "web")], "value string, source string"))
     assert again.run(logs.logs).parsed_lines == 0
+
+
+def test_only_a_cell_is_numbered_where_a_log_goes_on(spark, logs, monkeypatch):
+    monkeypatch.setattr(module, "CELL_LINES", 16)
+    first, more = text(*range(200)), text(*range(200, 300))
+    logs.write("a.log", first)
+    assert logs.read() == sorted(first.splitlines())
+    logs.add("a.log", more)
+    assert logs.read() == sorted(more.splitlines())
+    blocks = spark.read.parquet(f"{logs.root}/state{logs.n - 1}/blocks")
+    cut = blocks.where("low < high AND high - low < n").collect()
+    assert len(cut) <= 1 and all(r.n <= 16 for r in cut) and blocks.agg({"n": "sum"}).first()[0] == 300
