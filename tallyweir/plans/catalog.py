@@ -28,7 +28,8 @@ from tallyweir.plans.inputs import (
     access_log_by_host,
     access_log_of,
     by_host,
-    host_lines,
+    host_events,
+    log_line,
     order_contacts,
     rename_logs,
     spread,
@@ -341,24 +342,24 @@ def _following(spark: SparkSession) -> tuple[str, LogFiles, MetricsRuns]:
     return folder, logs, MetricsRuns(spark, shared_folder(spark, "runs"), _ALL_OPEN)
 
 
-def _share(lines: DataFrame, high: float, low: float = 0.0) -> DataFrame:
-    """The lines between two parts of the event ids."""
-    last = lines.agg(F.max("event_id")).first()[0] or 0
-    return lines.where((F.col("event_id") <= last * high) & ((F.col("event_id") > last * low) | F.lit(low == 0)))
+def _share(events: DataFrame, high: float, low: float = 0.0) -> DataFrame:
+    """The events between two parts of the event ids."""
+    last = events.agg(F.max("event_id")).first()[0] or 0
+    return events.where((F.col("event_id") <= last * high) & ((F.col("event_id") > last * low) | F.lit(low == 0)))
 
 
 def rotated_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All lines once, by runs between which logs are renamed, and then copied and truncated while lines come in."""
     folder, logs, runs = _following(spark)
-    lines = host_lines(spark, sf_dir)
-    write_logs(_share(lines, 0.3), folder)
+    events = host_events(spark, sf_dir)
+    write_logs(_share(events, 0.3), folder)
     runs.run(logs)
     rename_logs(spark, folder, "access.log", "access.log.1")
-    write_logs(_share(lines, 0.6, 0.3), folder)
+    write_logs(_share(events, 0.6, 0.3), folder)
     runs.run(logs)
     rename_logs(spark, folder, "access.log.1", "access.log.2")
-    write_logs(_share(lines, 0.8, 0.3), folder, "access.log.1")
-    write_logs(_share(lines, 1.0, 0.8), folder)
+    write_logs(_share(events, 0.8, 0.3), folder, "access.log.1")
+    write_logs(_share(events, 1.0, 0.8), folder)
     runs.run(logs)
     return _hits(runs.leftover())
 
@@ -366,9 +367,9 @@ def rotated_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def growing_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All lines once, by runs over logs that grow, and one over logs that did not."""
     folder, logs, runs = _following(spark)
-    lines = host_lines(spark, sf_dir)
+    events = host_events(spark, sf_dir)
     for part in (0.2, 0.5, 0.5, 1.0):
-        write_logs(_share(lines, part), folder)
+        write_logs(_share(events, part), folder)
         runs.run(logs)
     runs.run(logs)
     return _hits(runs.leftover())
@@ -377,14 +378,15 @@ def growing_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def torn_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All lines once, by runs over logs whose last line is still being written: what there is of it is not read."""
     folder, logs, runs = _following(spark)
-    lines = host_lines(spark, sf_dir).withColumn("value", F.expr("concat('1', substr(value, 2))"))
+    events = host_events(spark, sf_dir)
+    line = f"concat('1', substr({log_line()}, 2))"
     # each line end is written with the first character of the next line, which all begin alike
-    begun = F.row_number().over(Window.partitionBy("source").orderBy("event_id")) > 1
-    torn = lines.withColumn("value", F.when(begun, F.expr("substr(value, 2)")).otherwise(F.col("value")))
+    firsts = events.groupBy(F.col("source").alias("host")).agg(F.min("event_id").alias("first"))
+    torn, torn_line = events.join(F.broadcast(firsts), F.expr("source <=> host")), f"substr({line}, IF(event_id > first, 2, 1))"
     for part in (0.3, 0.7):
-        write_logs(_share(torn, part), folder, end="\n1")
+        write_logs(_share(torn, part), folder, end="\n1", value=torn_line)
         runs.run(logs)
-    write_logs(lines, folder)
+    write_logs(events, folder, value=line)
     runs.run(logs)
     return _hits(runs.leftover())
 

@@ -32,7 +32,7 @@ def access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def access_log_of(events: DataFrame) -> DataFrame:
-    return events.selectExpr("event_id", "user_id", f"'{LOG_SOURCE}' AS source", f"{_line()} AS value")
+    return events.selectExpr("event_id", "user_id", f"'{LOG_SOURCE}' AS source", f"{log_line()} AS value")
 
 
 def spread(events: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,16 +53,22 @@ def by_host(log: DataFrame) -> DataFrame:
 HOSTS = 12
 
 
-def host_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same lines as the logs of more hosts, in the order of ``event_id``."""
-    return access_log(spark, sf_dir).withColumn("source", F.expr(f"concat('web', user_id % {HOSTS})"))
+def host_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with the host whose log has their line as ``source``; ``write_logs`` makes the lines."""
+    events = table(spark, sf_dir, "events").select(*EVENT_COLUMNS)
+    return events.withColumn("source", F.expr(f"concat('web', user_id % {HOSTS})"))
 
 
-def write_logs(lines: DataFrame, folder: str, name: str = "access.log", end: str = "\n") -> None:
-    """Write the log of each source into ``folder``/source/``name``, replacing it; ``end`` follows every line."""
-    spark = lines.sparkSession
+def write_logs(events: DataFrame, folder: str, name: str = "access.log", end: str = "\n", value: str | None = None) -> None:
+    """Write the log of each source into ``folder``/source/``name``, replacing it; ``end`` follows every line.
+
+    Events go to their host's task and are put in order as narrow rows; ``value`` makes lines of them afterwards.
+    """
+    spark = events.sparkSession
     scratch = f"{folder}-{uuid.uuid4().hex}"
-    ordered = lines.repartition("source").sortWithinPartitions("source", "event_id").select("source", "value")
+    # a task for each host: by hash some tasks would write the logs of several
+    dealt = events.repartitionById(HOSTS, F.expr(f"int(coalesce(pmod(user_id, {HOSTS}), 0))"))
+    ordered = dealt.sortWithinPartitions("source", "event_id").selectExpr("source", f"{value or log_line()} AS value")
     ordered.write.partitionBy("source").option("lineSep", end).text(scratch)
     paths = spark._jvm.org.apache.hadoop.fs
     files = paths.Path(scratch).getFileSystem(spark._jsc.hadoopConfiguration())
@@ -85,7 +91,7 @@ def _padded(number: str) -> str:
     return f"lpad(string({number}), 3, '0')"
 
 
-def _line() -> str:
+def log_line() -> str:
     us = "unix_micros(cast(ts AS TIMESTAMP))"
     a, b = "concat('10.0.0.', user_id % 4, ':80')", "concat('10.0.1.', user_id % 3, ':81')"
     t = f"concat('0.', {_padded('event_id * 13 % 1000')})"

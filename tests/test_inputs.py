@@ -62,3 +62,24 @@ def test_events_of_a_stream_are_spread_over_more_tasks_than_their_file_has_split
     stream = catalog._event_stream(spark, SF).writeStream.foreachBatch(note).option("checkpointLocation", str(tmp_path / "stream"))
     stream.trigger(availableNow=True).start().awaitTermination()
     assert len(parts) > 20 and max(parts) < 3 * sum(parts) / len(parts)
+
+
+def test_each_host_log_is_written_by_a_task_of_its_own_in_order(spark, tmp_path):
+    events = inputs.host_events(spark, SF)
+    tasks = []
+    real = type(events).repartitionById
+
+    def seen(frame, n, by):
+        dealt = real(frame, n, by)
+        tasks.extend(r.hosts for r in dealt.groupBy(F.spark_partition_id()).agg(F.count_distinct("source").alias("hosts")).collect())
+        return dealt
+
+    type(events).repartitionById = seen
+    try:
+        inputs.write_logs(events, str(tmp_path / "hosts"), value="event_id || ' ' || user_id")
+    finally:
+        type(events).repartitionById = real
+    assert tasks == [1] * inputs.HOSTS
+    for host in range(inputs.HOSTS):
+        rows = events.where(f"user_id % {inputs.HOSTS} = {host}").orderBy("event_id").collect()
+        assert (tmp_path / "hosts" / f"web{host}" / "access.log").read_text().splitlines() == [f"{r.event_id} {r.user_id}" for r in rows]
